@@ -116,6 +116,12 @@ _SECONDS = (
     "concat(cast(cast(floor(us / 1000000) as bigint) as string), '.', "
     "lpad(cast(cast(floor((us % 1000000) / 1000) as bigint) as string), 3, '0'))"
 )
+# The event-time header carries a simulation clock that starts at 0 and runs slow.
+_SIM = "cast(floor((us - 1704067200000000) / 24) as bigint)"
+_SIM_SECONDS = (
+    f"concat(cast(cast(floor({_SIM} / 1000000) as bigint) as string), '.', "
+    f"lpad(cast(cast(floor(({_SIM} % 1000000) / 1000) as bigint) as string), 3, '0'))"
+)
 _CENTS = "cast(floor(value * 100 + 0.5) as bigint)"
 _AMOUNT = (
     f"concat(cast(cast(floor({_CENTS} / 100) as bigint) as string), '.', "
@@ -172,7 +178,7 @@ _MSG = {
     "time_text": (
         "case event_id % 11 when 0 then 'None' when 1 then 'none' when 2 then 'abc' "
         "when 3 then 'nan' when 4 then '-1.9995' when 5 then null when 6 then null "
-        f"else {_SECONDS} end"
+        f"else {_SIM_SECONDS} end"
     ),
     "source_service": "'payment-gateway'",
     "run_id": "concat('run-', cast(event_id % 3 as string))",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
 
+ROWS_PER_FILE = 1_000_000
+
 
 def ensure_table(
     spark: SparkSession,
@@ -53,13 +55,6 @@ def read_archive(
     return rows
 
 
-def hours(column: str, values: list[str | None]) -> Column:
-    """Partition filter for the given hours, null included."""
-    named = [v for v in values if v is not None]
-    match = F.col(column).isin(named) if named else F.lit(False)
-    return match | F.col(column).isNull() if None in values else match
-
-
 def hourly_counts(archive: DataFrame) -> DataFrame:
     return archive.groupBy("event_hour").agg(F.count(F.lit(1)).alias("n"))
 
@@ -73,25 +68,42 @@ def load_reference(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def compact(spark: SparkSession, path: str, target: str, rows_per_file: int = 1_000_000) -> None:
-    """Rewrite the archive at ``path`` into ``target`` with few files per hour, rows unchanged.
+def hour_counts(rows: DataFrame) -> DataFrame:
+    """Rows and offset range per hour: at most one row per hour of history, small enough to
+    broadcast whatever the archive's size."""
+    return rows.groupBy(F.col("event_hour").alias("_hour")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("kafka_offset").alias("_low"),
+        F.max("kafka_offset").alias("_high"),
+    )
 
-    Hours are sized by their row counts: a heavy hour gets as many files as it needs,
-    so no task ever holds more than ``rows_per_file`` rows of it. Readers move to
-    ``target`` once the write has committed; the source stays as it is until then.
+
+def by_hour(rows: DataFrame, counts: DataFrame, rows_per_file: int) -> DataFrame:
+    """Gather each hour into as few tasks as its size allows, so few files are written.
+
+    A heavy hour is spread by key hash over as many tasks as it needs files.
     """
-    rows = spark.read.schema(schemas.ARCHIVE).parquet(path)
-    files = (
-        rows.groupBy(F.col("event_hour").alias("_hour"))
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
-    )
-    # One row per hour of history.
+    files = counts.select("_hour", F.ceil(F.col("_n") / rows_per_file).alias("_files"))
     spread = F.pmod(F.xxhash64(*schemas.BRONZE_KEY), F.col("_files"))
-    (
+    return (
         rows.join(F.broadcast(files), F.col("event_hour").eqNullSafe(F.col("_hour")))
         .repartition("event_hour", spread)
         .drop("_hour", "_files")
         .sortWithinPartitions("event_hour", *schemas.BRONZE_KEY)
+    )
+
+
+def compact(
+    spark: SparkSession, path: str, target: str, rows_per_file: int = ROWS_PER_FILE
+) -> None:
+    """Rewrite the archive at ``path`` into ``target`` with few files per hour, rows unchanged.
+
+    Readers move to ``target`` once the write has committed; the source stays as it
+    is until then.
+    """
+    rows = spark.read.schema(schemas.ARCHIVE).parquet(path)
+    (
+        by_hour(rows, hour_counts(rows), rows_per_file)
         .write.option("maxRecordsPerFile", rows_per_file)
         .partitionBy("event_hour")
         .parquet(target)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream import schemas
 from riskstream.functions.headers import event_hour
 from riskstream.operators.bronze import to_bronze
-from riskstream.sources.tables import hours
+from riskstream.sources.tables import ROWS_PER_FILE, by_hour, hour_counts
 
 COMMIT_INTERVAL = "5 seconds"
 _MAX_LISTED_HOURS = 1_000
@@ -21,7 +21,7 @@ def archive(
     checkpoint: str,
     name: str,
     trigger: dict | None = None,
-    files_per_batch: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Append a stream of Kafka records to the archive at ``path``.
 
@@ -31,7 +31,11 @@ def archive(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_new(to_bronze(batch), path, batch_id, files_per_batch)
+        rows = to_bronze(batch).persist()
+        try:
+            append_new(rows, path, batch_id, rows_per_file)
+        finally:
+            rows.unpersist()
 
     return (
         records.writeStream.foreachBatch(write)
@@ -43,12 +47,12 @@ def archive(
 
 
 def append_new(
-    bronze: DataFrame, path: str, batch_id: int, files_per_batch: int | None = None
+    bronze: DataFrame, path: str, batch_id: int, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Append the rows whose (topic, partition, offset) the archive lacks.
 
     The archive is read only where the batch could collide: in the batch's hours
-    and from its lowest offset per topic, keys only.
+    and offset range, keys only.
     """
     spark = bronze.sparkSession
     rows = (
@@ -56,35 +60,47 @@ def append_new(
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .withColumn("event_hour", event_hour(F.col("event_time")))
     )
+    counts = hour_counts(rows)
     if _exists(spark, path):
-        extent = rows.agg(
-            F.min("kafka_offset"),
-            F.max("kafka_offset"),
-            F.min("event_hour"),
-            F.max("event_hour"),
-            F.count_if(F.col("event_hour").isNull()),
-        ).first()
-        if extent[0] is None:
+        near = _near(counts)
+        if near is None:
             return
-        low, high, first_hour, last_hour, without_hour = extent
-        near = F.lit(False)
-        if first_hour is not None:
-            near = F.col("event_hour").between(first_hour, last_hour)
-            seen = rows.select("event_hour").distinct().take(_MAX_LISTED_HOURS + 1)
-            if len(seen) <= _MAX_LISTED_HOURS:
-                near = hours("event_hour", [r[0] for r in seen])
-        if without_hour:
-            near = near | F.col("event_hour").isNull()
-        stored = (
-            spark.read.schema(schemas.ARCHIVE)
-            .parquet(path)
-            .where(near & F.col("kafka_offset").between(low, high))
-            .select(*schemas.BRONZE_KEY)
-        )
-        rows = rows.join(stored, schemas.BRONZE_KEY, "left_anti")
-    if files_per_batch:
-        rows = rows.repartition(files_per_batch)
-    rows.select(*schemas.ARCHIVE.names).write.mode("append").partitionBy("event_hour").parquet(path)
+        stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(near)
+        rows = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
+    (
+        by_hour(rows, counts, rows_per_file)
+        .select(*schemas.ARCHIVE.names)
+        .write.mode("append")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("event_hour")
+        .parquet(path)
+    )
+
+
+def _near(counts: DataFrame) -> Column | None:
+    """Where the archive may hold rows of a batch, or None for an empty batch.
+
+    Names each hour of the batch; a replay of more hours than fit a filter is
+    limited by its first and last hour instead.
+    """
+    listed = counts.take(_MAX_LISTED_HOURS + 1)
+    if not listed:
+        return None
+    hour = F.col("event_hour")
+    if len(listed) <= _MAX_LISTED_HOURS:
+        named = [r["_hour"] for r in listed if r["_hour"] is not None]
+        low, high = min(r["_low"] for r in listed), max(r["_high"] for r in listed)
+        near = hour.isin(named) if named else F.lit(False)
+        unknown = len(named) < len(listed)
+    else:
+        first, last, low, high, gaps = counts.agg(
+            F.min("_hour"), F.max("_hour"), F.min("_low"), F.max("_high"),
+            F.count_if(F.col("_hour").isNull()),
+        ).first()
+        near, unknown = hour.between(first, last), gaps > 0
+    if unknown:
+        near = near | hour.isNull()
+    return near & F.col("kafka_offset").between(low, high)
 
 
 def _exists(spark, path: str) -> bool:
