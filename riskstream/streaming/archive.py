@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,11 +32,7 @@ def archive(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = to_bronze(batch).persist()
-        try:
-            append_new(rows, path, batch_id, rows_per_file)
-        finally:
-            rows.unpersist()
+        append_new(to_bronze(batch), path, batch_id, rows_per_file)
 
     return (
         records.writeStream.foreachBatch(write)
@@ -55,26 +52,32 @@ def append_new(
     and offset range, keys only.
     """
     spark = bronze.sparkSession
+    # Read three times below: for the counts, against the archive, and to write.
     rows = (
         bronze.dropDuplicates(schemas.BRONZE_KEY)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .withColumn("event_hour", event_hour(F.col("event_time")))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    counts = hour_counts(rows)
-    if _exists(spark, path):
-        near = _near(counts)
-        if near is None:
-            return
-        stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(near)
-        rows = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
-    (
-        by_hour(rows, counts, rows_per_file)
-        .select(*schemas.ARCHIVE.names)
-        .write.mode("append")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("event_hour")
-        .parquet(path)
-    )
+    try:
+        counts = hour_counts(rows)
+        new = rows
+        if _exists(spark, path):
+            near = _near(counts)
+            if near is None:
+                return
+            stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(near)
+            new = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
+        (
+            by_hour(new, counts, rows_per_file)
+            .select(*schemas.ARCHIVE.names)
+            .write.mode("append")
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy("event_hour")
+            .parquet(path)
+        )
+    finally:
+        rows.unpersist()
 
 
 def _near(counts: DataFrame) -> Column | None:
