@@ -83,6 +83,7 @@ class RollingProcessor(StatefulProcessor):
     def __init__(self, windows: dict[str, int]):
         self._windows = {n: s * MICROS for n, s in windows.items()}
         self._longest = max(self._windows.values())
+        self._names = _output(windows).names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -130,7 +131,8 @@ class RollingProcessor(StatefulProcessor):
                 frames += [count, total] + ([std] if name in STD_WINDOWS else [])
             for us, row_id, amount in ready[start:stop]:
                 since = None if previous is None else (us - previous) / MICROS
-                out.append(Row(key[0], row_id, amount, us, since, *frames))
+                values = (key[0], row_id, amount, us, since, *frames)
+                out.append(Row(**dict(zip(self._names, values))))
                 previous = us
             for _, _, amount in ready[start:stop]:
                 history.add(now, amount)
