@@ -52,7 +52,11 @@ def heavy_keys(
 
 
 def with_slice(df: DataFrame, key: str, time: str, heavy: DataFrame | None) -> DataFrame:
-    """Add ``_slice``: the time slice of a heavy key's row, null for every other row."""
+    """Add ``_slice``: the time slice of a heavy key's row, null for every other row.
+
+    ``_alone`` separates rows without a key from each other.
+    """
+    df = df.withColumn("_alone", spread_nulls(key, time))
     if heavy is None:
         return df.withColumn("_slice", F.lit(None).cast("bigint"))
     offset = F.col(time) - F.col("_first")
@@ -80,7 +84,7 @@ def carry_previous(
     ``sliced`` comes from :func:`with_slice`; ``order`` must agree with the slices.
     """
     before = (
-        Window.partitionBy(key, "_slice", spread_nulls(key, *order))
+        Window.partitionBy(key, "_slice", "_alone")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -118,7 +122,7 @@ def carry_next(
     sliced: DataFrame, key: str, order: list[str], value: str, out: str, heavy: DataFrame | None
 ) -> DataFrame:
     """For each row, ``value`` of the next row in ``order``; ``value`` itself is never null."""
-    ahead = Window.partitionBy(key, "_slice", spread_nulls(key, *order)).orderBy(*order)
+    ahead = Window.partitionBy(key, "_slice", "_alone").orderBy(*order)
     rows = sliced.withColumn(out, F.lead(value).over(ahead))
     if heavy is None:
         return rows

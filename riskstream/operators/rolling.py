@@ -88,7 +88,7 @@ def _by_window(
     tx: DataFrame, key: str, time: str, amount: str, row_id: str, windows: dict[str, int]
 ) -> DataFrame:
     # Rows without a card each form their own partition, so all their frames are empty.
-    card = Window.partitionBy(key, spread_nulls(key, row_id))
+    card = Window.partitionBy(key, "_alone")
     since = F.col(time) - F.lag(time).over(card.orderBy(time, row_id))
     columns: dict[str, Column] = {}
     for name, seconds in windows.items():
@@ -99,7 +99,12 @@ def _by_window(
         if name in STD_WINDOWS:
             columns[f"{key}_amt_std_{name}"] = F.stddev_samp(amount).over(frame)
     # The lag sorts by (card, time, id); the frames then reuse that order.
-    return tx.withColumn(f"{key}_time_since_last", since / MICROS).withColumns(columns)
+    return (
+        tx.withColumn("_alone", spread_nulls(key, row_id))
+        .withColumn(f"{key}_time_since_last", since / MICROS)
+        .withColumns(columns)
+        .drop("_alone")
+    )
 
 
 def _dense_keys(
