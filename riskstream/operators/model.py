@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from riskstream.session import written
 
 TRAIN_SHARE = 0.8
 TREES, DEPTH, SEED = 200, 6, 42
+# Spark's trees take no missing values: they get a value of their own, below all others.
+MISSING = -1e12
 
 
 def time_split(
@@ -76,7 +78,12 @@ def train(
     labelled = df.where(F.col(label).isNotNull())
     ratio = class_ratio(labelled, label).first()["ratio"]
     weight = F.when(F.col(label) == 1, F.lit(float(ratio or 1.0))).otherwise(1.0)
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    filled = ", ".join(
+        f"coalesce(nanvl(cast(`{c}` as double), {MISSING}D), {MISSING}D) as `_in_{c}`"
+        for c in features
+    )
+    fill = SQLTransformer(statement=f"select *, {filled} from __THIS__")
+    assembler = VectorAssembler(inputCols=[f"_in_{c}" for c in features], outputCol="features")
     trees_ = GBTClassifier(
         labelCol=label,
         weightCol="_weight",
@@ -92,15 +99,13 @@ def train(
         ),
         "training",
     )
-    return Pipeline(stages=[assembler, trees_]).fit(rows)
+    return Pipeline(stages=[fill, assembler, trees_]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` plus ``score``, the probability of the positive class, and ``prediction``."""
-    scored = model.transform(df)
-    return scored.withColumn("score", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability"
-    )
+    scored = model.transform(df).withColumn("score", vector_to_array("probability")[1])
+    return scored.select(*df.columns, "score", "prediction")
 
 
 def evaluate(df: DataFrame, label: Column, prediction: Column) -> DataFrame:
