@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from riskstream.operators.silver import NUMBER_TYPES
 
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
 _TRUTH = r"^(?i:true|false)$"
 
 
@@ -96,65 +97,72 @@ def drift(
     ``n_mistyped``: a value that does not convert. Fields absent from the proposal are
     ignored, as removing a field is always allowed.
     """
-    keyed = bronze.where(F.col(value).isNotNull()).select(
-        F.col(version).alias("schema_version"), F.col(value).alias("_text")
+    named = {f.name: f.type for f in proposed}
+    kinds = F.create_map(*[F.lit(v) for pair in named.items() for v in pair])
+    entries = F.map_entries(F.from_json(F.col(value), "map<string,string>"))
+    kept = F.filter(entries, lambda e: e["key"].isin(list(named)))
+    # One nameless entry per record counts the records in the same pass.
+    record = F.array(F.struct(F.lit("").alias("key"), F.lit(None).cast("string").alias("value")))
+    known = F.concat(record, F.coalesce(kept, F.slice(record, 1, 0)))
+    found = (
+        bronze.select(
+            F.col(version).alias("_version"),
+            F.explode(F.when(F.col(value).isNotNull(), known)).alias("_e"),
+        )
+        .select(
+            "_version",
+            F.col("_e.key").alias("_field"),
+            _unwrapped(F.col("_e.value")).alias("_content"),
+            kinds[F.col("_e.key")].alias("_kind"),
+        )
+        .groupBy("_version", "_field")
+        .agg(
+            F.count(F.lit(1)).alias("_present"),
+            F.count_if(F.col("_content").isNull()).alias("_nulls"),
+            F.count_if(_mistyped(F.col("_content"), F.col("_kind"))).alias("_bad"),
+        )
     )
     literals = [
         F.struct(
             F.lit(f.name).alias("field"),
-            F.lit(f.type).alias("kind"),
             F.lit(f.nullable).alias("nullable"),
             F.lit(f.has_default).alias("has_default"),
         )
         for f in proposed
     ]
-    expected = (
-        keyed.groupBy("schema_version")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("schema_version", "n_rows", F.explode(F.array(*literals)).alias("_f"))
-        .select("schema_version", "n_rows", "_f.*")
+    # One entry per proposed field and version.
+    counts = F.struct("_present", "_nulls", "_bad")
+    versions = found.groupBy(F.col("_version").alias("schema_version")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_field", counts))).alias("_found")
     )
-    wanted = F.create_map(*[F.lit(v) for f in proposed for v in (f.name, f.type)])
-    content = _unwrapped(F.col("_raw"))
-    # Each record becomes its fields, which are counted before the shuffle.
-    found = (
-        keyed.select("schema_version", F.explode(F.from_json("_text", "map<string,string>")))
-        .where(F.col("key").isin([f.name for f in proposed]))
-        .select(
-            F.col("schema_version").alias("_version"),
-            F.col("key").alias("_field"),
-            F.col("value").alias("_raw"),
-            wanted[F.col("key")].alias("_kind"),
-        )
-        .groupBy("_version", "_field")
-        .agg(
-            F.count(F.lit(1)).alias("_present"),
-            F.count_if(F.col("_raw").isNull()).alias("_nulls"),
-            F.count_if(_mistyped(content, F.col("_kind"))).alias("_bad"),
-        )
-    )
-    same = F.col("schema_version").eqNullSafe(F.col("_version")) & (
-        F.col("field") == F.col("_field")
-    )
-    absent = F.col("n_rows") - F.coalesce("_present", F.lit(0))
-    counted = expected.join(found, same, "left").select(
+    n_rows = F.col("_found")[""]["_present"]
+    of_field = F.try_element_at(F.col("_found"), F.col("field"))
+    expected = versions.select(
+        "schema_version", n_rows.alias("n_rows"), "_found", F.explode(F.array(*literals)).alias("_f")
+    ).select("schema_version", "n_rows", "_f.*", "_found")
+
+    def counted_as(part: str) -> Column:
+        return F.coalesce(of_field[part], F.lit(0)).cast("bigint")
+
+    zero = F.lit(0).cast("bigint")
+    counted = expected.select(
         "schema_version",
         "field",
         "n_rows",
-        F.when(F.col("has_default"), 0).otherwise(absent).cast("bigint").alias("n_missing"),
-        F.when(F.col("nullable"), 0)
-        .otherwise(F.coalesce("_nulls", F.lit(0)))
-        .cast("bigint")
-        .alias("n_null"),
-        F.coalesce("_bad", F.lit(0)).cast("bigint").alias("n_mistyped"),
+        F.when(F.col("has_default"), zero)
+        .otherwise(F.col("n_rows") - counted_as("_present"))
+        .alias("n_missing"),
+        F.when(F.col("nullable"), zero).otherwise(counted_as("_nulls")).alias("n_null"),
+        counted_as("_bad").alias("n_mistyped"),
     )
     broken = F.col("n_missing") + F.col("n_null") + F.col("n_mistyped")
     return counted.withColumn("readable", broken == 0)
 
 
 def _mistyped(content: Column, kind: Column) -> Column:
-    bad_double = (kind == "double") & content.try_cast("double").isNull()
-    bad_long = (kind == "long") & content.try_cast("bigint").isNull()
+    # Patterns, because a failing cast costs many times a failing match.
+    bad_double = (kind == "double") & ~content.rlike(_NUMBER)
+    bad_long = (kind == "long") & ~content.rlike(_WHOLE)
     return content.isNotNull() & (bad_double | bad_long)
 
 
@@ -162,4 +170,4 @@ def _unwrapped(text: Column) -> Column:
     """The value inside ``{"double": ...}``, or the text itself."""
     pattern = r'^\{"(?:' + "|".join(NUMBER_TYPES + ["string"]) + r')":"?(.*?)"?\}$'
     inner = F.regexp_extract(text, pattern, 1)
-    return F.when(inner == "", text).otherwise(inner)
+    return F.when(text.startswith("{"), F.coalesce(F.nullif(inner, F.lit("")), text)).otherwise(text)

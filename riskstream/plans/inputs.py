@@ -91,94 +91,75 @@ _ORPHAN = {
 
 def identities(spark: SparkSession, folder: str) -> DataFrame:
     rows = tx(spark, folder)
-    matched = rows.where("TransactionID % 4 = 0").selectExpr(
-        *[f"{text} as {name}" for name, text in _IDENT.items()]
-    )
-    orphans = rows.where("TransactionID % 101 = 0").selectExpr(
-        *[f"{text} as {name}" for name, text in _ORPHAN.items()]
-    )
+    matched = rows.where("TransactionID % 4 = 0").selectExpr(*_named(_IDENT))
+    orphans = rows.where("TransactionID % 101 = 0").selectExpr(*_named(_ORPHAN))
     return matched.union(orphans)
 
 
-def _select(columns: dict[str, str]) -> str:
-    return ", ".join(f"{text} as {name}" for name, text in columns.items())
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{text} as {name}" for name, text in columns.items()]
 
 
 _IDENT_SQL = (
-    f"ident as (select {_select(_IDENT)} from tx where TransactionID % 4 = 0 "
-    f"union all select {_select(_ORPHAN)} from tx where TransactionID % 101 = 0)"
+    f"ident as (select {", ".join(_named(_IDENT))} from tx where TransactionID % 4 = 0 "
+    f"union all select {", ".join(_named(_ORPHAN))} from tx where TransactionID % 101 = 0)"
 )
 
 # Kafka records. One card makes a fifth of them; cards ending in 3 arrive salted; one
-# partition fell quiet two months ago.
-_USER = "(case when event_id % 5 = 0 then 3 else user_id end)"
-_SECONDS = (
-    "concat(cast(cast(floor(us / 1000000) as bigint) as string), '.', "
-    "lpad(cast(cast(floor((us % 1000000) / 1000) as bigint) as string), 3, '0'))"
-)
-# The event-time header carries a simulation clock that starts at 0 and runs slow.
-_SIM = "cast(floor((us - 1704067200000000) / 24) as bigint)"
-_SIM_SECONDS = (
-    f"concat(cast(cast(floor({_SIM} / 1000000) as bigint) as string), '.', "
-    f"lpad(cast(cast(floor(({_SIM} % 1000000) / 1000) as bigint) as string), 3, '0'))"
-)
-_CENTS = "cast(floor(value * 100 + 0.5) as bigint)"
-_AMOUNT = (
-    f"concat(cast(cast(floor({_CENTS} / 100) as bigint) as string), '.', "
-    f"lpad(cast({_CENTS} % 100 as string), 2, '0'))"
-)
-_CARD = f"concat(cast({_USER} as string), '.0')"
-_FLAG = "case when k % 10 = 0 then '1.0' else '0.0' end"
-_NO_CARD, _NO_AMOUNT = "event_id % 97 = 0", "event_id % 89 = 0"
-_M1 = "case when k % 2 = 0 then 'T' else 'F' end"
-_ID = "cast(event_id as string)"
+# partition fell quiet two months ago. The event-time header carries a simulation clock
+# that starts at 0 and runs slow. Every fourth record wraps its nullable fields with
+# their type name; others lack the time or the mark, or hold text for a number.
 
 
-def _either(missing: str, value: str) -> str:
-    return f"case when {missing} then 'null' else {value} end"
+def _decimal(whole: str, part: str, digits: int) -> str:
+    return f"concat(cast({whole} as string), '.', lpad(cast({part} as string), {digits}, '0'))"
 
 
-_WRAPPED = (
-    f"""concat('{{"TransactionID":', {_ID}, ',"TransactionDT":', {_SECONDS}, """
-    f"""',"isFraud":{{"double":', {_FLAG}, '}},"TransactionAmt":', """
-    + _either(_NO_AMOUNT, f"""concat('{{"double":', {_AMOUNT}, '}}')""")
-    + """, ',"card1":', """
-    + _either(_NO_CARD, f"""concat('{{"double":', {_CARD}, '}}')""")
-    + f""", ',"M1":{{"string":"', {_M1}, '"}}}}')"""
-)
-_PLAIN_AMOUNT = _either(
-    _NO_AMOUNT, f"""case when event_id % 8 = 7 then '"n/a"' else {_AMOUNT} end"""
-)
-_PLAIN_CARD = _either(_NO_CARD, _CARD)
-
-
-def _plain(time: bool, mark: bool) -> str:
-    with_time = f"""',"TransactionDT":', {_SECONDS}, """ if time else ""
-    with_mark = f"""',"M1":"', {_M1}, '"}}'""" if mark else "'}'"
-    return (
-        f"""concat('{{"TransactionID":', {_ID}, {with_time}',"isFraud":', {_FLAG}, """
-        f"""',"TransactionAmt":', {_PLAIN_AMOUNT}, ',"card1":', {_PLAIN_CARD}, {with_mark})"""
-    )
+def _bigint(value: str) -> str:
+    return f"cast(floor({value}) as bigint)"
 
 
+_PIECES = {
+    "holder": "case when event_id % 5 = 0 then 3 else user_id end",
+    "id": "cast(event_id as string)",
+    "seconds": _decimal(_bigint("us / 1000000"), _bigint("(us % 1000000) / 1000"), 3),
+    "sim": _bigint("(us - 1704067200000000) / 24"),
+    "cents": _bigint("value * 100 + 0.5"),
+    "open_": """case when event_id % 4 = 0 then '{"double":' else '' end""",
+    "close_": "case when event_id % 4 = 0 then '}' else '' end",
+    "flag": "case when k % 10 = 0 then '1.0' else '0.0' end",
+    "letter": "case when k % 2 = 0 then 'T' else 'F' end",
+    "no_card": "event_id % 97 = 0",
+}
+_PAYLOAD = (
+    """concat('{"TransactionID":', id, """
+    """case when event_id % 4 = 3 then '' else concat(',"TransactionDT":', seconds) end, """
+    """',"isFraud":', open_, flag, close_, ',"TransactionAmt":', """
+    """case when event_id % 89 = 0 then 'null' when event_id % 8 = 7 then '"n/a"' else """
+    f"concat(open_, {_decimal(_bigint('cents / 100'), 'cents % 100', 2)}, close_) end, "
+    """',"card1":', case when no_card then 'null' """
+    """else concat(open_, cast(holder as string), '.0', close_) end, """
+    """case event_id % 4 when 0 then concat(',"M1":{"string":"', letter, '"}') """
+    """when 2 then '' else concat(',"M1":"', letter, '"') end, '}')"""
+)
 _MSG = {
     "kafka_key": (
-        f"case when {_NO_CARD} then {_ID} when {_USER} % 10 = 3 "
-        f"then concat(cast({_USER} as string), '-', cast(event_id % 4 as string)) "
-        f"else cast({_USER} as string) end"
+        "case when no_card then id when holder % 10 = 3 "
+        "then concat(cast(holder as string), '-', cast(event_id % 4 as string)) "
+        "else cast(holder as string) end"
     ),
     "kafka_value": (
-        f"case when event_id % 83 = 0 then null when event_id % 79 = 0 then '{{\"Trans' "
-        f"when event_id % 4 = 0 then {_WRAPPED} when event_id % 4 = 1 then {_plain(True, True)} "
-        f"when event_id % 4 = 2 then {_plain(True, False)} else {_plain(False, True)} end"
+        "case when event_id % 83 = 0 then null when event_id % 79 = 0 then '{\"Trans' "
+        f"else {_PAYLOAD} end"
     ),
     "kafka_topic": "'transactions.raw'",
-    "kafka_partition": f"cast({_USER} % 12 as int)",
+    "kafka_partition": "cast(holder % 12 as int)",
     "kafka_offset": "event_id",
     "time_text": (
         "case event_id % 11 when 0 then 'None' when 1 then 'none' when 2 then 'abc' "
-        "when 3 then 'nan' when 4 then '-1.9995' when 5 then null when 6 then null "
-        f"else {_SIM_SECONDS} end"
+        "when 3 then 'nan' when 4 then '-1.9995' when 5 then null when 6 then null else "
+        + _decimal(_bigint("sim / 1000000"), _bigint("(sim % 1000000) / 1000"), 3)
+        + " end"
     ),
     "source_service": "'payment-gateway'",
     "run_id": "concat('run-', cast(event_id % 3 as string))",
@@ -189,9 +170,8 @@ _INGEST = "ts - case when kafka_partition = 7 then interval {days} else interval
 
 def kafka_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records as the Kafka source returns them."""
-    flat = events(spark, folder).select(
-        "event_id", "ts", *[F.expr(text).alias(name) for name, text in _MSG.items()]
-    )
+    pieces = events(spark, folder).selectExpr("*", *_named(_PIECES))
+    flat = pieces.selectExpr("event_id", "ts", *_named(_MSG))
     ingest = F.expr(_INGEST.format(days="'60' day", zero="'0' day")).cast("timestamp")
 
     def head(name: str, value: Column) -> Column:
@@ -231,8 +211,10 @@ _MSG_SQL = (
   case when abs(try_cast(time_text as double)) < 9e12
        then cast(trunc(try_cast(time_text as double) * 1000) as bigint) end as event_ms
   from (select ts, """
-    + ", ".join(f"{text} as {name}" for name, text in _MSG.items())
-    + " from ev))"
+    + ", ".join(_named(_MSG))
+    + " from (select *, "
+    + ", ".join(_named(_PIECES))
+    + " from ev)))"
 )
 
 

@@ -48,14 +48,13 @@ def append_new(
 ) -> None:
     """Append the rows whose (topic, partition, offset) the archive lacks.
 
-    The archive is read only where the batch could collide: in the batch's hours
-    and offset range, keys only.
+    A batch holds an offset once, as a topic does. The archive is read only where
+    the batch could collide: in its hours and offset range, keys only.
     """
     spark = bronze.sparkSession
     # Read three times below: for the counts, against the archive, and to write.
     rows = (
-        bronze.dropDuplicates(schemas.BRONZE_KEY)
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        bronze.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .withColumn("event_hour", event_hour(F.col("event_time")))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
