@@ -59,7 +59,7 @@ def rolling_features(
         features = _by_window(sparse_rows, key, time, amount, row_id, windows).unionByName(
             _by_slice(dense_rows_, key, time, amount, row_id, windows, slice_seconds)
         )
-    return _derived(features, key, amount, windows)
+    return with_means(features, key, amount, windows)
 
 
 def feature_names(key: str = "card1", windows: dict[str, int] = WINDOWS) -> list[str]:
@@ -73,7 +73,7 @@ def feature_names(key: str = "card1", windows: dict[str, int] = WINDOWS) -> list
     )
 
 
-def _derived(df: DataFrame, key: str, amount: str, windows: dict[str, int]) -> DataFrame:
+def with_means(df: DataFrame, key: str, amount: str, windows: dict[str, int]) -> DataFrame:
     means = {
         f"{key}_amt_mean_{w}": safe_ratio(
             F.col(f"{key}_amt_sum_{w}"), F.col(f"{key}_txn_count_{w}")
@@ -138,9 +138,21 @@ def _by_slice(
     windows: dict[str, int],
     slice_seconds: int,
 ) -> DataFrame:
-    width = slice_seconds * MICROS
-    deviation = F.col(amount) - F.coalesce(F.col("_center"), F.lit(0.0))
-    points = tx.groupBy(F.col(key).alias("_k"), F.col(time).alias("_t")).agg(
+    points = frame_points(tx, key, time, amount, row_id, F.coalesce("_center", F.lit(0.0)))
+    at = frames(points, slice_sums(points, slice_seconds), windows, slice_seconds)
+    return attach(tx, at, key, time, row_id, windows).drop("_center")
+
+
+def slice_of(time: Column, slice_seconds: int) -> Column:
+    return _slice(time, slice_seconds * MICROS)
+
+
+def frame_points(
+    tx: DataFrame, key: str, time: str, amount: str, row_id: str, center: Column
+) -> DataFrame:
+    """One row per (card, time): the parts of its rows, deviations taken from ``center``."""
+    deviation = F.col(amount) - center
+    return tx.groupBy(F.col(key).alias("_k"), F.col(time).alias("_t")).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(amount).alias("_n"),
         F.sum(amount).alias("_sum"),
@@ -149,6 +161,18 @@ def _by_slice(
         F.min(row_id).alias("_first_id"),
     )
 
+
+def slice_sums(points: DataFrame, slice_seconds: int) -> DataFrame:
+    """One row per (card, slice): its parts and the time of its last row."""
+    return points.groupBy("_k", slice_of(F.col("_t"), slice_seconds).alias("_slice")).agg(
+        *[F.sum(part).alias(part) for part in _PARTS], F.max("_t").alias("_last")
+    )
+
+
+def frames(
+    points: DataFrame, sums: DataFrame, windows: dict[str, int], slice_seconds: int
+) -> DataFrame:
+    """Parts of every frame, per (card, time) of ``points``, and the time before it."""
     # Every point, plus a copy moved forward by each window: in the slice where a row
     # looks back by w, the copies at or after the row are the rest of its oldest slice.
     moves = [("", 0)] + [(name, seconds * MICROS) for name, seconds in windows.items()]
@@ -157,7 +181,7 @@ def _by_slice(
         "_k",
         (F.col("_t") + F.col("_move.by")).alias("_t"),
         F.col("_move.w").alias("_w"),
-        _slice(F.col("_t") + F.col("_move.by"), width).alias("_slice"),
+        slice_of(F.col("_t") + F.col("_move.by"), slice_seconds).alias("_slice"),
         "_first_id",
         *_PARTS,
     )
@@ -174,42 +198,47 @@ def _by_slice(
             edges[f"{part}_tail_{name}"] = F.sum(moved).over(onward)
     partial = copies.withColumns(edges).where(own)
 
-    slices = points.groupBy("_k", _slice(F.col("_t"), width).alias("_slice")).agg(
-        *[F.sum(part).alias(part) for part in _PARTS], F.max("_t").alias("_last")
-    )
     line = Window.partitionBy("_k").orderBy("_slice")
     between: dict[str, Column] = {"_prev_slice": F.lag("_last").over(line)}
     for name, seconds in windows.items():
         whole = line.rangeBetween(1 - seconds // slice_seconds, -1)
         for part in _PARTS:
             between[f"{part}_mid_{name}"] = F.sum(part).over(whole)
-    middle = slices.select("_k", "_slice", *[c.alias(n) for n, c in between.items()])
-
-    at = partial.join(middle, ["_k", "_slice"])
+    middle = sums.select("_k", "_slice", *[c.alias(n) for n, c in between.items()])
 
     def total(part: str, name: str) -> Column:
         pieces = [f"{part}_head", f"{part}_mid_{name}", f"{part}_tail_{name}"]
         return reduce(lambda a, b: a + b, [F.coalesce(F.col(p), F.lit(0)) for p in pieces])
 
+    return partial.join(middle, ["_k", "_slice"]).select(
+        "_k",
+        "_t",
+        "_first_id",
+        F.coalesce("_prev", "_prev_slice").alias("_before"),
+        *[total(part, name).alias(f"{part}_{name}") for name in windows for part in _PARTS],
+    )
+
+
+def attach(
+    tx: DataFrame, at: DataFrame, key: str, time: str, row_id: str, windows: dict[str, int]
+) -> DataFrame:
+    """Give each row the features of its (card, time)."""
     features: dict[str, Column] = {}
     for name in windows:
-        n = total("_n", name)
-        features[f"{key}_txn_count_{name}"] = F.when(total("_rows", name) > 0, n)
-        features[f"{key}_amt_sum_{name}"] = F.when(n > 0, total("_sum", name))
+        n = F.col(f"_n_{name}")
+        features[f"{key}_txn_count_{name}"] = F.when(F.col(f"_rows_{name}") > 0, n)
+        features[f"{key}_amt_sum_{name}"] = F.when(n > 0, F.col(f"_sum_{name}"))
         if name in STD_WINDOWS:
-            dev, sq = total("_dev", name), total("_sq", name)
+            dev, sq = F.col(f"_dev_{name}"), F.col(f"_sq_{name}")
             spread = F.greatest(sq - dev * dev / F.nullif(n, F.lit(0)), F.lit(0.0))
             features[f"{key}_amt_std_{name}"] = F.when(
                 n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0)))
             )
-    previous = F.coalesce("_prev", "_prev_slice")
-    at = at.select(
-        "_k", "_t", "_first_id", previous.alias("_before"), *[c.alias(n) for n, c in features.items()]
-    )
+    at = at.select("_k", "_t", "_first_id", "_before", *[c.alias(n) for n, c in features.items()])
     # Rows sharing a time follow the first of them at distance zero.
     since = F.when(F.col(row_id) == F.col("_first_id"), F.col(time) - F.col("_before")).otherwise(0)
     return (
         tx.join(at, (F.col(key) == F.col("_k")) & (F.col(time) == F.col("_t")))
         .withColumn(f"{key}_time_since_last", since / MICROS)
-        .drop("_k", "_t", "_first_id", "_before", "_center")
+        .drop("_k", "_t", "_first_id", "_before")
     )

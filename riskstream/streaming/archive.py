@@ -61,7 +61,7 @@ def append_new(
     try:
         counts = hour_counts(rows)
         new = rows
-        if _exists(spark, path):
+        if path_exists(spark, path):
             near = _near(counts)
             if near is None:
                 return
@@ -105,17 +105,22 @@ def _near(counts: DataFrame) -> Column | None:
     return near & F.col("kafka_offset").between(low, high)
 
 
-def _exists(spark, path: str) -> bool:
+def path_exists(spark, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a micro-batch as partition ``batch_id``, replacing an earlier try of the same batch."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, by: list[str] | None = None
+) -> None:
+    """Write a micro-batch as partition ``batch_id`` (below the partitions ``by``).
+
+    A batch run again writes the same partitions and replaces its earlier try.
+    """
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*(by or []), "batch_id")
         .parquet(path)
     )
