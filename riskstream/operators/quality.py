@@ -76,8 +76,9 @@ def lag_summary(
 ) -> DataFrame:
     """Rows, mean, exact percentile and maximum of a lag in whole milliseconds, per group.
 
-    Rows are first counted per (group, lag); the percentile then reads one weighted
-    value per distinct lag, so a group's size does not matter.
+    Rows are first counted per (group, lag). The percentile is then found by a
+    running count over a group's distinct lags, which spills instead of holding
+    them in memory, so a group's size does not matter.
     """
     names = [f"_by{i}" for i in range(len(by))]
     counts = (
@@ -86,12 +87,26 @@ def lag_summary(
         .groupBy(*names, "_lag")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return counts.groupBy(*names).agg(
+    group = Window.partitionBy(*names)
+    ranked = counts.withColumns(
+        {
+            "_upto": F.sum("_n").over(group.orderBy("_lag")),
+            "_rank": share * (F.sum("_n").over(group) - 1),
+        }
+    )
+    reached = F.col("_upto") > F.floor("_rank")
+    passed = F.col("_upto") > F.ceil("_rank")
+    summary = ranked.groupBy(*names).agg(
         F.sum("_n").alias("n"),
         (F.sum(F.col("_lag") * F.col("_n")) / F.sum("_n")).alias("avg_ms"),
-        F.percentile("_lag", share, F.col("_n")).alias("p_ms"),
+        F.min(F.when(reached, F.col("_lag"))).alias("_low"),
+        F.min(F.when(passed, F.col("_lag"))).alias("_high"),
+        F.max("_rank").alias("_rank"),
         F.max("_lag").alias("max_ms"),
     )
+    part = F.col("_rank") - F.floor("_rank")
+    value = F.col("_low") + (F.col("_high") - F.col("_low")) * part
+    return summary.select(*names, "n", "avg_ms", value.alias("p_ms"), "max_ms")
 
 
 def latency_summary(

@@ -121,6 +121,10 @@ def _dense_keys(
     return small_or_written(dense, "dense-cards")
 
 
+def _parts_of(window: str) -> list[str]:
+    return _PARTS if window in STD_WINDOWS else _PARTS[:3]
+
+
 def _slice(time: Column, width: int) -> Column:
     return ((time - F.pmod(time, F.lit(width))) / width).cast("bigint")
 
@@ -193,7 +197,7 @@ def frames(
     for part in _PARTS:
         edges[f"{part}_head"] = F.sum(F.when(own, F.col(part))).over(earlier)
     for name in windows:
-        for part in _PARTS:
+        for part in _parts_of(name):
             moved = F.when(F.col("_w") == name, F.col(part))
             edges[f"{part}_tail_{name}"] = F.sum(moved).over(onward)
     partial = copies.withColumns(edges).where(own)
@@ -202,7 +206,7 @@ def frames(
     between: dict[str, Column] = {"_prev_slice": F.lag("_last").over(line)}
     for name, seconds in windows.items():
         whole = line.rangeBetween(1 - seconds // slice_seconds, -1)
-        for part in _PARTS:
+        for part in _parts_of(name):
             between[f"{part}_mid_{name}"] = F.sum(part).over(whole)
     middle = sums.select("_k", "_slice", *[c.alias(n) for n, c in between.items()])
 
@@ -215,7 +219,7 @@ def frames(
         "_t",
         "_first_id",
         F.coalesce("_prev", "_prev_slice").alias("_before"),
-        *[total(part, name).alias(f"{part}_{name}") for name in windows for part in _PARTS],
+        *[total(part, name).alias(f"{part}_{name}") for name in windows for part in _parts_of(name)],
     )
 
 

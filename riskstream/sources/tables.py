@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
+from riskstream.operators.hot import small_or_written
 
 ROWS_PER_FILE = 1_000_000
 
@@ -68,14 +69,17 @@ def load_reference(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hour_counts(rows: DataFrame) -> DataFrame:
-    """Rows and offset range per hour: at most one row per hour of history, small enough to
-    broadcast whatever the archive's size."""
-    return rows.groupBy(F.col("event_hour").alias("_hour")).agg(
+def hour_counts(rows: DataFrame) -> DataFrame | None:
+    """Rows and offset range per hour, or None without rows.
+
+    Broadcast while the hours are few; bad event times may name any number of them.
+    """
+    counts = rows.groupBy(F.col("event_hour").alias("_hour")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("kafka_offset").alias("_low"),
         F.max("kafka_offset").alias("_high"),
     )
+    return small_or_written(counts, "hours")
 
 
 def by_hour(rows: DataFrame, counts: DataFrame, rows_per_file: int) -> DataFrame:
@@ -83,12 +87,12 @@ def by_hour(rows: DataFrame, counts: DataFrame, rows_per_file: int) -> DataFrame
 
     A heavy hour is spread by key hash over as many tasks as it needs files.
     """
-    files = counts.select("_hour", F.ceil(F.col("_n") / rows_per_file).alias("_files"))
-    spread = F.pmod(F.xxhash64(*schemas.BRONZE_KEY), F.col("_files"))
+    files = F.ceil(F.col("_n") / rows_per_file)
+    spread = F.pmod(F.xxhash64(*schemas.BRONZE_KEY), files)
     return (
-        rows.join(F.broadcast(files), F.col("event_hour").eqNullSafe(F.col("_hour")))
+        rows.join(counts, F.col("event_hour").eqNullSafe(F.col("_hour")))
         .repartition("event_hour", spread)
-        .drop("_hour", "_files")
+        .drop(*counts.columns)
         .sortWithinPartitions("event_hour", *schemas.BRONZE_KEY)
     )
 
@@ -102,8 +106,11 @@ def compact(
     is until then.
     """
     rows = spark.read.schema(schemas.ARCHIVE).parquet(path)
+    counts = hour_counts(rows)
+    if counts is None:
+        return
     (
-        by_hour(rows, hour_counts(rows), rows_per_file)
+        by_hour(rows, counts, rows_per_file)
         .write.option("maxRecordsPerFile", rows_per_file)
         .partitionBy("event_hour")
         .parquet(target)

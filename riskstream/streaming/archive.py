@@ -60,12 +60,11 @@ def append_new(
     )
     try:
         counts = hour_counts(rows)
+        if counts is None:
+            return
         new = rows
         if path_exists(spark, path):
-            near = _near(counts)
-            if near is None:
-                return
-            stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(near)
+            stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(_near(counts))
             new = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
         (
             by_hour(new, counts, rows_per_file)
@@ -79,28 +78,26 @@ def append_new(
         rows.unpersist()
 
 
-def _near(counts: DataFrame) -> Column | None:
-    """Where the archive may hold rows of a batch, or None for an empty batch.
+def _near(counts: DataFrame) -> Column:
+    """Where the archive may hold rows of a batch.
 
     Names each hour of the batch; a replay of more hours than fit a filter is
     limited by its first and last hour instead.
     """
-    listed = counts.take(_MAX_LISTED_HOURS + 1)
-    if not listed:
-        return None
+    listed = counts.select("_hour").take(_MAX_LISTED_HOURS + 1)
+    first, last, low, high, gaps = counts.agg(
+        F.min("_hour"),
+        F.max("_hour"),
+        F.min("_low"),
+        F.max("_high"),
+        F.count_if(F.col("_hour").isNull()),
+    ).first()
     hour = F.col("event_hour")
+    near = hour.between(first, last)
     if len(listed) <= _MAX_LISTED_HOURS:
         named = [r["_hour"] for r in listed if r["_hour"] is not None]
-        low, high = min(r["_low"] for r in listed), max(r["_high"] for r in listed)
         near = hour.isin(named) if named else F.lit(False)
-        unknown = len(named) < len(listed)
-    else:
-        first, last, low, high, gaps = counts.agg(
-            F.min("_hour"), F.max("_hour"), F.min("_low"), F.max("_high"),
-            F.count_if(F.col("_hour").isNull()),
-        ).first()
-        near, unknown = hour.between(first, last), gaps > 0
-    if unknown:
+    if gaps:
         near = near | hour.isNull()
     return near & F.col("kafka_offset").between(low, high)
 

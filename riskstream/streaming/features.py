@@ -162,6 +162,7 @@ class _History:
     def __init__(self, minutes, sums):
         self._minutes, self._sums = minutes, sums
         self._table = {k[0]: tuple(v) for k, v in sums.iterator()} if sums.exists() else {}
+        self._kept = set(self._table)
         self._raw: dict[int, tuple[list, list]] = {}
         self._suffixes: dict[int, tuple] = {}
         self._whole = None
@@ -206,7 +207,8 @@ class _History:
         oldest = oldest_us // _MINUTE
         for minute in [m for m in self._table if m < oldest]:
             del self._table[minute]
-            if self._raw.pop(minute, None) is None or self._sums.containsKey((minute,)):
+            self._raw.pop(minute, None)
+            if minute in self._kept:
                 self._sums.removeKey((minute,))
                 self._minutes.removeKey((minute,))
         for minute, (times, amounts) in self._raw.items():
