@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskstream.functions.scalars import null_if_nan
+from riskstream.functions.scalars import null_if_nan, seconds_to_timestamp
 
 # Type names a wrapped number may carry; each widens to double.
 NUMBER_TYPES = ["double", "float", "long", "int"]
@@ -63,6 +63,23 @@ def _field(field: T.StructField) -> Column:
     return null_if_nan(both) if isinstance(field.dataType, T.DoubleType) else both
 
 
+def transactions(
+    bronze: DataFrame, schema: T.StructType, origin: str = "1970-01-01"
+) -> DataFrame:
+    """Valid transactions with their event time, keyed by the card in the payload.
+
+    The record key may be salted; the payload's card never is, so whatever groups
+    by ``card1`` sees one card as one key. Works on streams.
+    """
+    typed = parse(bronze.drop("event_time"), schema).where("valid")
+    return typed.withColumns(
+        {
+            "card1": F.col("card1").cast("bigint"),
+            "event_time": seconds_to_timestamp(F.col("TransactionDT"), origin),
+        }
+    )
+
+
 def union_versions(*versions: DataFrame) -> DataFrame:
     """Rows of several schema versions under one schema; fields a version lacks are null."""
     merged = versions[0]
