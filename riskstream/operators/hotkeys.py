@@ -62,20 +62,25 @@ def key_shares(sample: DataFrame, by: list[str] | None = None) -> DataFrame:
 
     ``by`` is topic or partition. An empty sample gives no rows.
     """
-    by = by or []
-    keyed = sample.where(F.col("kafka_key").isNotNull())
-    counts = keyed.groupBy(*by, strip_salt(F.col("kafka_key")).alias("key")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = _counts(sample, by or [])
+    # Totals come from the counts, so the sample is read once.
     if by:
         # One row per topic partition at most.
-        totals = F.broadcast(keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("total")))
+        totals = F.broadcast(counts.groupBy(*by).agg(F.sum("n").alias("total")))
         shares = counts.join(totals, by)
     else:
-        shares = counts.withColumn("total", keyed.select(F.count(F.lit(1))).scalar())
+        shares = counts.withColumn("total", counts.select(F.sum("n")).scalar())
     return shares.withColumn("share", F.col("n") / F.col("total"))
 
 
+def _counts(sample: DataFrame, by: list[str]) -> DataFrame:
+    return (
+        sample.where(F.col("kafka_key").isNotNull())
+        .groupBy(*by, strip_salt(F.col("kafka_key")).alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def detect(
     sample: DataFrame, tracked: DataFrame, threshold: float = HEAVY_SHARE
 ) -> DataFrame:
@@ -95,11 +100,11 @@ def demote(sample: DataFrame, tracked: DataFrame, threshold: float = HEAVY_SHARE
 
     An empty sample proves nothing and gives no rows.
     """
-    shares = key_shares(sample)
-    total = sample.where(F.col("kafka_key").isNotNull()).select(F.count(F.lit(1))).scalar()
-    counted = tracked.select("key").distinct().join(shares.select("key", "n"), "key", "left")
+    counts = _counts(sample, [])
+    total = counts.select(F.sum("n")).scalar()
+    seen = tracked.select("key").distinct().join(counts, "key", "left")
     return (
-        counted.withColumns({"n": F.coalesce("n", F.lit(0)), "total": total})
+        seen.withColumns({"n": F.coalesce("n", F.lit(0)), "total": total})
         .where(F.col("total") > 0)
         .withColumn("share", F.col("n") / F.nullif(F.col("total"), F.lit(0)))
         .where(F.col("share") < threshold)

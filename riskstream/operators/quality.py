@@ -30,20 +30,24 @@ def partition_skew(
         *part, F.floor(F.unix_micros(time) / 60_000_000).cast("bigint").alias("minute")
     ).agg(F.sum(size).alias("bytes"))
     so_far = Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = minutes.withColumn("size", F.sum("bytes").over(so_far.partitionBy(*part)))
+    own = so_far.partitionBy(*part)
+    first = F.row_number().over(Window.partitionBy(*part).orderBy("minute")) == 1
+    sizes = minutes.withColumns({"size": F.sum("bytes").over(own), "_first": first})
     per_minute = sizes.groupBy("kafka_topic", "minute").agg(
-        F.max("size").alias("top"), F.sum("bytes").alias("bytes")
-    )
-    parts = minutes.groupBy("kafka_topic").agg(
-        F.countDistinct("kafka_partition").alias("n_partitions")
+        F.max("size").alias("top"),
+        F.sum("bytes").alias("bytes"),
+        F.count_if("_first").alias("_new"),
     )
     topic = so_far.partitionBy("kafka_topic")
     ratios = (
         # Sizes never shrink, so the running maximum is the largest size at that minute.
         per_minute.withColumns(
-            {"max_size": F.max("top").over(topic), "total": F.sum("bytes").over(topic)}
+            {
+                "max_size": F.max("top").over(topic),
+                "total": F.sum("bytes").over(topic),
+                "n_partitions": F.sum("_new").over(Window.partitionBy("kafka_topic")),
+            }
         )
-        .join(F.broadcast(parts), "kafka_topic")  # one row per topic
         .withColumn("avg_size", F.col("total") / F.col("n_partitions"))
         .withColumn("size_ratio", F.col("max_size") / F.nullif(F.col("avg_size"), F.lit(0)))
         .withColumn("breach", F.coalesce(F.col("size_ratio") > ratio, F.lit(False)))
