@@ -110,14 +110,24 @@ def _by_window(
 def _dense_keys(
     tx: DataFrame, key: str, time: str, amount: str, longest: int, dense_rows: int
 ) -> DataFrame | None:
-    """Dense cards with a typical amount, around which squares are summed without cancellation."""
-    per_stretch = (
-        tx.where(F.col(key).isNotNull())
+    """Dense cards with a typical amount, around which squares are summed without cancellation.
+
+    Counting rows per card and stretch would move almost as many rows as there are, so
+    only cards with enough rows in all are looked at that closely.
+    """
+    known = tx.where(F.col(key).isNotNull())
+    many = known.groupBy(F.col(key).alias("_many")).agg(F.count(F.lit(1)).alias("_rows"))
+    many = small_or_written(many.where(F.col("_rows") > dense_rows).select("_many"), "many-rows")
+    if many is None:
+        return None
+    dense = (
+        known.join(many, F.col(key) == F.col("_many"), "left_semi")
         .groupBy(key, _slice(F.col(time), longest * MICROS).alias("_stretch"))
         .agg(F.count(F.lit(1)).alias("_rows"), F.avg(amount).alias("_mean"))
         .where(F.col("_rows") > dense_rows)
+        .groupBy(F.col(key).alias("_dense"))
+        .agg(F.avg("_mean").alias("_center"))
     )
-    dense = per_stretch.groupBy(F.col(key).alias("_dense")).agg(F.avg("_mean").alias("_center"))
     return small_or_written(dense, "dense-cards")
 
 
