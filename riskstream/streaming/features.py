@@ -4,9 +4,14 @@
 State of a card, in RocksDB:
 
 * ``pending``: rows the watermark has not passed yet;
+* ``recent``: the whole history of a card with few rows, read and written at once;
+
+and for a card with many rows instead of ``recent``
+
 * ``minutes``: per minute the raw (time, amount) rows, read only where a frame starts;
 * ``sums``: per minute the mergeable rows, count, sum, mean and squared deviations;
-* ``last``: time of the newest emitted row.
+
+``last`` is the time of the newest emitted row.
 
 A row is emitted once the watermark has passed its time, when no earlier row can
 still arrive. Minutes older than the longest window are dropped.
@@ -27,11 +32,15 @@ from riskstream.functions.scalars import MICROS, safe_ratio
 from riskstream.operators.rolling import RATIO_WINDOW, STD_WINDOWS, WINDOWS
 
 LATENESS = "30 seconds"
+SMALL_ROWS = 500
 _MINUTE = 60 * MICROS
 
 
 def streaming_features(
-    tx: DataFrame, windows: dict[str, int] = WINDOWS, lateness: str = LATENESS
+    tx: DataFrame,
+    windows: dict[str, int] = WINDOWS,
+    lateness: str = LATENESS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Features of a stream with ``card1``, ``TransactionID``, ``TransactionAmt``, ``event_time``.
 
@@ -43,7 +52,7 @@ def streaming_features(
     rows = tx.select(*columns, F.unix_micros("event_time").alias("us")).withWatermark(
         "event_time", lateness
     )
-    processor = RollingProcessor(windows)
+    processor = RollingProcessor(windows, small_rows)
     features = (
         rows.where(F.col("card1").isNotNull())
         .groupBy("card1")
@@ -80,7 +89,8 @@ def _output(windows: dict[str, int]) -> T.StructType:
 class RollingProcessor(StatefulProcessor):
     """Past-only frames over one card's event-time history; every window is at least a minute."""
 
-    def __init__(self, windows: dict[str, int]):
+    def __init__(self, windows: dict[str, int], small_rows: int):
+        self._small_rows = small_rows
         self._windows = {n: s * MICROS for n, s in windows.items()}
         self._longest = max(self._windows.values())
         self._names = _output(windows).names
@@ -88,6 +98,7 @@ class RollingProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._pending = handle.getListState("pending", "us bigint, id bigint, amt double")
+        self._recent = handle.getValueState("recent", "us array<bigint>, amt array<double>")
         self._minutes = handle.getMapState(
             "minutes", "minute bigint", "us array<bigint>, amt array<double>"
         )
@@ -105,7 +116,7 @@ class RollingProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         border = watermark * 1000
-        waiting = list(self._pending.get()) if self._pending.exists() else []
+        waiting = list(self._pending.get())
         ready = sorted((r for r in waiting if r[0] <= border), key=lambda r: (r[0], r[1]))
         later = [tuple(r) for r in waiting if r[0] > border]
         if ready:
@@ -116,8 +127,9 @@ class RollingProcessor(StatefulProcessor):
         elif later:  # an earlier timer of this batch has done the work
             self._handle.registerTimer(max(min(r[0] for r in later) // 1000 + 1, watermark + 1))
             return iter([])
-        history = _History(self._minutes, self._sums)
-        previous = self._last.get()[0] if self._last.exists() else None
+        history = _History(self._recent, self._minutes, self._sums, self._small_rows)
+        last = self._last.get()
+        previous = None if last is None else last[0]
         out = []
         start = 0
         while start < len(ready):
@@ -159,14 +171,22 @@ class _History:
     frame starts in, and summed from the back once, so each frame costs a search.
     """
 
-    def __init__(self, minutes, sums):
-        self._minutes, self._sums = minutes, sums
-        self._table = {k[0]: tuple(v) for k, v in sums.iterator()} if sums.exists() else {}
-        self._kept = set(self._table)
+    def __init__(self, recent, minutes, sums, small_rows: int):
+        self._recent, self._minutes, self._sums = recent, minutes, sums
+        self._small_rows = small_rows
+        self._table: dict[int, tuple] = {}
         self._raw: dict[int, tuple[list, list]] = {}
         self._suffixes: dict[int, tuple] = {}
         self._whole = None
         self._newest = None
+        self._kept: set[int] = set()
+        small = recent.get()
+        if small is not None:
+            for us, amount in zip(*small):
+                self.add(us, amount)
+        elif sums.exists():
+            self._table = {k[0]: tuple(v) for k, v in sums.iterator()}
+            self._kept = set(self._table)
 
     def add(self, us: int, amount: float | None) -> None:
         minute = us // _MINUTE
@@ -211,6 +231,16 @@ class _History:
             if minute in self._kept:
                 self._sums.removeKey((minute,))
                 self._minutes.removeKey((minute,))
+        if not self._kept:
+            rows = [self._raw[m] for m in sorted(self._raw)]
+            times = [t for row in rows for t in row[0]]
+            if not times:
+                self._recent.clear()
+                return None
+            if len(times) <= self._small_rows:
+                self._recent.update((times, [a for row in rows for a in row[1]]))
+                return max(self._table)
+            self._recent.clear()
         for minute, (times, amounts) in self._raw.items():
             self._minutes.updateValue((minute,), (times, amounts))
             self._sums.updateValue((minute,), self._table[minute])

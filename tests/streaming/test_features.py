@@ -61,15 +61,16 @@ def run(spark, stream, tmp_path, name="features"):
     return spark.read.parquet(out), query
 
 
-@pytest.mark.parametrize("shuffled", [False, True])
-def test_stream_equals_batch(spark, sf, tmp_path, shuffled):
+@pytest.mark.parametrize("shuffled, small_rows", [(False, 500), (True, 20)])
+def test_stream_equals_batch(spark, sf, tmp_path, shuffled, small_rows):
+    """In order with whole histories, and out of order with histories kept by minute."""
     rows = feed(spark, sf).persist()
     source = str(tmp_path / "in")
     # Arrival up to 30 s after the event.
     late = F.pmod(F.col("TransactionID") * 37, F.lit(31)) * 1_000_000 if shuffled else F.lit(0)
     write_files(rows, source, F.unix_micros("event_time") + late, 5)
     add_file(flush_row(spark), source, "part-flush")
-    stream = streaming_features(read_files(spark, source, rows.schema))
+    stream = streaming_features(read_files(spark, source, rows.schema), small_rows=small_rows)
     found, query = run(spark, stream, tmp_path)
     batch = rolling_features(rows.withColumn("us", F.unix_micros("event_time")))
     expected = shown(batch)
