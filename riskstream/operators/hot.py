@@ -16,6 +16,7 @@ from riskstream.session import written
 
 MAX_ROWS_PER_TASK = 5_000_000
 _MAX_DRIVER_KEYS = 10_000
+_SLICES = 4_096  # a power of two
 
 
 def small_or_written(df: DataFrame, name: str) -> DataFrame | None:
@@ -35,20 +36,30 @@ def small_or_written(df: DataFrame, name: str) -> DataFrame | None:
 def heavy_keys(
     df: DataFrame, key: str, time: str, max_rows: int = MAX_ROWS_PER_TASK
 ) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, their first time and a slice width for each.
+    """Keys with more than ``max_rows`` rows, each with the times that cut its history.
 
-    The width spreads a key's rows evenly over enough slices of ``max_rows``.
+    The cuts are quantiles of the key's times, about two per ``max_rows`` rows, so a
+    burst gets as many slices as its rows need. They come from a mergeable sketch; any
+    cuts give the right result, even ones balance the tasks.
     """
-    pieces = F.ceil(F.col("_n") / max_rows)
-    span = F.col("_max") - F.col("_first") + 1
-    heavy = (
+    counted = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_heavy"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_max"))
+        .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > max_rows)
-        .select("_heavy", "_first", F.ceil(span / pieces).cast("bigint").alias("_width"))
     )
-    return small_or_written(heavy, "heavy-keys")
+    keys = small_or_written(counted, "heavy-keys")
+    if keys is None:
+        return None
+    quantiles = [i / _SLICES for i in range(1, _SLICES)]
+    every = F.greatest(F.floor(_SLICES / (2 * F.ceil(F.col("_n") / max_rows))), F.lit(1))
+    cuts = (
+        df.join(keys, F.col(key) == F.col("_heavy"))
+        .groupBy("_heavy", "_n")
+        .agg(F.percentile_approx(time, quantiles, 10 * _SLICES).alias("_all"))
+        .select("_heavy", F.filter("_all", lambda c, i: (i + 1) % every == 0).alias("_cuts"))
+    )
+    return small_or_written(cuts, "heavy-cuts")
 
 
 def with_slice(df: DataFrame, key: str, time: str, heavy: DataFrame | None) -> DataFrame:
@@ -59,11 +70,19 @@ def with_slice(df: DataFrame, key: str, time: str, heavy: DataFrame | None) -> D
     df = df.withColumn("_alone", spread_nulls(key, time))
     if heavy is None:
         return df.withColumn("_slice", F.lit(None).cast("bigint"))
-    offset = F.col(time) - F.col("_first")
+    # Number of cuts at or below the time, by halving steps.
+    steps = F.array(*[F.lit(_SLICES >> i) for i in range(1, _SLICES.bit_length())])
+    reached = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at
+        + F.when(F.try_element_at("_cuts", at + step) <= F.col(time), step).otherwise(0),
+    )
+    slice_ = F.when(F.col("_cuts").isNotNull(), reached).cast("bigint")
     return (
         df.join(heavy, F.col(key) == F.col("_heavy"), "left")
-        .withColumn("_slice", F.floor(offset / F.col("_width")).cast("bigint"))
-        .drop("_heavy", "_first", "_width")
+        .withColumn("_slice", slice_)
+        .drop("_heavy", "_cuts")
     )
 
 

@@ -106,3 +106,22 @@ def test_as_of_never_pairs_a_key_with_all_its_versions(spark):
     events = spark.createDataFrame([(1, 7, 5)], "TransactionID long, card1 long, us long")
     plan = joins.as_of(events, history)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" in plan
+
+
+def test_a_burst_is_cut_into_even_slices(spark):
+    from riskstream.operators.hot import heavy_keys, with_slice
+
+    # 900 of 1000 rows in the last hundredth of the key's span, and a light key beside it.
+    burst = spark.range(900).select(F.lit(7).alias("k"), (F.col("id") + 990_000).alias("t"))
+    quiet = spark.range(100).select(F.lit(7).alias("k"), (F.col("id") * 9_900).alias("t"))
+    light = spark.range(10).select(F.lit(8).alias("k"), F.col("id").alias("t"))
+    df = burst.union(quiet).union(light)
+    heavy = heavy_keys(df, "k", "t", max_rows=100)
+    sliced = with_slice(df, "k", "t", heavy)
+    assert sliced.count() == 1010 and sliced.where("k = 8 and _slice is not null").count() == 0
+    sizes = sliced.where("k = 7").groupBy("_slice").agg(
+        F.count(F.lit(1)).alias("n"), F.min("t").alias("low"), F.max("t").alias("high")
+    )
+    rows = sorted(sizes.collect(), key=lambda r: r._slice)
+    assert len(rows) >= 10 and max(r.n for r in rows) <= 100
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
