@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import mixing
+from riskstream.llm import chat, mixing
 from riskstream.llm.text import table
 
 
@@ -54,7 +54,37 @@ select doc_id, size, source_size, target,
 from ranked
 """
 
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    extra = spark.sql(
+        "select * from values (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),"
+        " (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') as t(conv_id, turn, role, text)"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.expand(rows.unionByName(extra)))
+
+
+OP5_SQL = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+    (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked as (
+  select *, '<s>[INST]' || regexp_replace(role, '([<\[\\])', '\1\\', 'g') || '[/INST]'
+      || regexp_replace(text, '([<\[\\])', '\1\\', 'g') || '</s>' as formatted,
+    row_number() over o as i, count(*) over (partition by conv_id) as n
+  from rows window o as (partition by conv_id order by turn nulls first, role, text)),
+running as (
+  select *, sum(length(formatted)) over (partition by conv_id order by i) as up_to from marked)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(up_to) filter (role = 'assistant' or i = n) as bigint) as formatted_chars
+from running group by conv_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
+    "op5_chat_format": op5_chat_format,
 }
-ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL, "op5_chat_format": OP5_SQL}
