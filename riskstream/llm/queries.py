@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, mixing
+from riskstream.llm import chat, mixing, quality_rules
 from riskstream.llm.text import table
 
 
@@ -83,8 +83,15 @@ select conv_id, count(*) as n_turns,
 from running group by conv_id
 """
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    measured = quality_rules.rate(docs, keep_text=False)
+    return measured.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "failed_rules")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op5_chat_format": op5_chat_format,
+    "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL, "op5_chat_format": OP5_SQL}
