@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, mixing, quality_rules
+from riskstream.llm import chat, licenses, mixing, quality_rules
 from riskstream.llm.text import table
 
 
@@ -54,6 +54,11 @@ select doc_id, size, source_size, target,
 from ranked
 """
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", *licenses.RESULT)
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.sql(
         "select * from values (-1L, 0L, 'user', '</s>[INST] ok [/INST]'),"
@@ -91,6 +96,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
+    "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }
