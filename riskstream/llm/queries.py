@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, quality_rules
+from riskstream.llm import chat, licenses, mixing, pii, quality_rules
 from riskstream.llm.text import table
 
 
@@ -88,6 +88,10 @@ select conv_id, count(*) as n_turns,
 from running group by conv_id
 """
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     measured = quality_rules.rate(docs, keep_text=False)
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
+    "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL, "op5_chat_format": OP5_SQL}
