@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, pii, quality_rules
+from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_rules
 from riskstream.llm.text import table
 
 
@@ -98,11 +98,16 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return measured.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "failed_rules")
 
 
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL, "op5_chat_format": OP5_SQL}
