@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_rules
+from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_rules, tiling
 from riskstream.llm.text import table
 
 
@@ -54,6 +54,11 @@ select doc_id, size, source_size, target,
 from ranked
 """
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tiling.leaks(docs, table(spark, folder, "benchmark"))
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", *licenses.RESULT)
@@ -104,6 +109,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
+    "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
     "op8_pii": op8_pii,
