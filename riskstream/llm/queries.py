@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_rules, secret_scan, tiling
+from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, tiling
 from riskstream.llm.text import table
 
 
@@ -93,6 +93,11 @@ select conv_id, count(*) as n_turns,
 from running group by conv_id
 """
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_model.classify(docs, table(spark, folder, "labels"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return secret_scan.digests(secret_scan.spans(docs, secret_scan.trained_on(docs)))
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
     "op5_chat_format": op5_chat_format,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
