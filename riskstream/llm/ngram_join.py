@@ -42,6 +42,7 @@ from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
 from riskstream.llm.hashing import WordHashes, as_long, mix, windows
+from riskstream.llm.text import WORD
 from riskstream.session import written
 
 SHINGLE = 4
@@ -266,6 +267,29 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
 
 
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of similar documents: that of the smallest ``doc_id``.
+
+    Rows without words or without ``doc_id`` are in no group and stay. Of several rows with the
+    smallest ``doc_id`` of a group, the one with the least text stays.
+    """
+    found = written(similar(docs, size, percent).filter("n_shingles > 0"), "similar")
+    doomed = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    left = docs.join(_small(written(doomed, "doomed")), "doc_id", "left_anti")
+    again = _small(written(again.filter("doc_id is not null"), "again"))
+    with_words = F.rlike(F.coalesce("text", F.lit("")), F.lit(WORD))
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
+    several = left.join(again, "doc_id", "left_semi")
+    first = several.filter(with_words).withColumn("_place", F.row_number().over(order))
+    return (
+        left.join(again, "doc_id", "left_anti")
+        .unionByName(several.filter(~with_words))
+        .unionByName(first.filter("_place = 1").drop("_place"))
+        .select(*docs.columns)
+    )
+
+
 def _join(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFrame:
     rows = index.select("doc_id", F.explode(F.arrays_zip("keys", "heads")).alias("x")).select(
         F.col("x.keys").alias("key"), F.col("doc_id").alias("a"), F.col("x.heads").alias("b")

@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, tiling
-from riskstream.llm.text import table
+from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, tiling, token_counts
+from riskstream.llm.text import table, whole
+
+
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    edits = token_counts.routine_edits(whole("text"), F.col("doc_id"))
+    return token_counts.count(docs.withColumn("edits", edits))
 
 
 def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,6 +124,7 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
     "op3_decontamination": op3_decontamination,
     "op4_license_scan": op4_license_scan,
