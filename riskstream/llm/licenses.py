@@ -18,6 +18,9 @@ they have the name of a result column, which then wins.
 
 from __future__ import annotations
 
+import functools
+import operator
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -25,8 +28,9 @@ from pyspark.sql import functions as F
 
 from riskstream.llm.text import ascii_lower, whole
 
-#: What is not a letter, a digit or beyond ASCII parts words (after lowering A-Z).
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What is not a letter, a digit or beyond ASCII parts words.
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Phrases that always count, with their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -35,7 +39,7 @@ RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels
 
 
 class License(NamedTuple):
-    """Label, keyword every form contains, full name, short identifier, and address, over words."""
+    """Label, a plain part of the short identifier, full name, identifier, address, over words."""
 
     label: str
     keyword: str
@@ -97,13 +101,13 @@ LICENSES: list[License] = [
     License("mit-0", "mit", rf"mit no attribution(?: {_L})?", "mit 0"),
     License("mit", "mit", rf"(?:the )?mit {_L}|mit x11 {_L}|expat {_L}", "mit",
             "opensource org licen[cs]es? mit"),
-    License("bsd-4-clause", "bsd", rf"(?:original bsd|bsd 4 clause|4 clause bsd) {_L}",
+    License("bsd-4-clause", "bsd", rf"original bsd {_L}|bsd 4 clause {_L}|4 clause bsd {_L}",
             "bsd 4 clause"),
-    License("bsd-3-clause", "bsd", rf"(?:new bsd|modified bsd|bsd 3 clause|3 clause bsd) {_L}",
+    License("bsd-3-clause", "bsd", rf"(?:new |modified )bsd {_L}|bsd 3 clause {_L}|3 clause bsd {_L}",
             "bsd 3 clause", "opensource org licenses bsd 3 clause"),
-    License("bsd-2-clause", "bsd", rf"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd) {_L}",
+    License("bsd-2-clause", "bsd", rf"simplified bsd {_L}|freebsd {_L}|bsd 2 clause {_L}|2 clause bsd {_L}",
             "bsd 2 clause", "opensource org licenses bsd 2 clause"),
-    License("0bsd", "bsd", rf"(?:zero clause|0 clause) bsd {_L}|bsd zero clause {_L}", "0bsd"),
+    License("0bsd", "bsd", rf"zero clause bsd {_L}|0 clause bsd {_L}|bsd zero clause {_L}", "0bsd"),
     License("mpl-2.0", "mozilla", rf"mozilla public {_L}{_V}2(?: 0)?", "mozilla mpl 2 0",
             "mozilla org mpl 2 0"),
     License("mpl-1.1", "mozilla", rf"mozilla public {_L}{_V}1 1", "mozilla mpl 1 1",
@@ -151,8 +155,8 @@ LICENSES: list[License] = [
             "academic free afl 3 0"),
     License("openrail-m", "openrail", rf"(?:creative ml |bigscience )?openrail m {_L}",
             "(?:creativeml )?openrail m"),
-    License("gpl", "general public", rf"{_GNU}general public {_L}", "gnu gpl"),
-    License("lgpl", "general public", rf"{_GNU}lesser general public {_L}", "gnu lgpl"),
+    License("gpl", "gpl", rf"{_GNU}general public {_L}", "gnu gpl"),
+    License("lgpl", "lgpl", rf"{_GNU}lesser general public {_L}", "gnu lgpl"),
     License("apache", "apache", rf"apache (?:software )?{_L}", "apache license"),
     License("bsd", "bsd", rf"(?:the )?bsd {_L}", "bsd license"),
     License("creative-commons", "creative commons", rf"creative commons (?:[a-z]+ )?{_L}",
@@ -164,22 +168,22 @@ LICENSES: list[License] = [
 ]
 
 _GRANT = (
-    r"(?:licensed|released|distributed|published|available|provided|covered|made available)"
-    r"(?: to you)? (?:under|by)(?: the)?(?: terms of)?(?: the)? "
+    r"(?:licensed|released|distributed|published|available|provided|covered)"
+    r"(?: to you)? under(?: the)?(?: terms of)?(?: the| an| a)? "
 )
 
-#: Word beginnings of which every text with a license has one.
+#: A text is only scanned if it contains one of these, in any case.
 GATE = (
-    "licen", "copyright", "spdx", "public domain", "copyleft", "creativecommons", "unlicense",
-    "all rights", "free software", "open source", "gpl", "lgpl", "agpl", "gfdl", "gnu", "cc",
-    "wtfpl", "cddl", "eupl",
+    "licen", "copyright", "copyleft", "spdx", "gpl", "gnu", "creative commons", "creativecommons",
+    "cc0", "cc by", "cc-by", "public domain", "unencumbered", "rights reserved",
 )
 
 
 class Rule(NamedTuple):
-    """Priority 1 is the best; ``sure`` is the confidence the rule gives a label."""
+    """Both keywords must occur; priority 1 is the best; ``sure`` is the label's confidence."""
 
     keyword: str
+    second: str
     pattern: str
     label: str
     priority: int
@@ -194,37 +198,48 @@ def rules() -> list[Rule]:
     """All signature rules in order."""
     made = []
     for x in LICENSES:
+        in_name = _plain_part(x.name)
         tag = rf"spdx {_L} identifier {x.short}"
-        made.append(Rule("spdx", _bounded(tag), x.label, 1, 1.0))
-        grant = rf"{_GRANT}(?:an? )?(?:{x.name}|{x.short})"
-        made.append(Rule("under", _bounded(grant), x.label, 2, 0.95))
+        made.append(Rule("spdx", x.keyword, _bounded(tag), x.label, 1, 1.0))
+        made.append(Rule(in_name, "under", _bounded(f"{_GRANT}(?:{x.name})"), x.label, 2, 0.95))
+        made.append(Rule(x.keyword, "under", _bounded(f"{_GRANT}(?:{x.short})"), x.label, 2, 0.95))
         if x.address:
-            made.append(Rule("licen", _bounded(x.address), x.label, 2, 0.95))
-        # Some names are spelt without the keyword of the short form.
-        made.append(Rule(_word_of(x.name), _bounded(x.name), x.label, 3, 0.8))
+            made.append(Rule(_plain_part(x.address), "", _bounded(x.address), x.label, 2, 0.95))
+        made.append(Rule(in_name, "", _bounded(x.name), x.label, 3, 0.8))
         if " " in x.short or "gpl" in x.short:
-            made.append(Rule(x.keyword, _bounded(x.short), x.label, 4, 0.6))
+            made.append(Rule(x.keyword, "", _bounded(x.short), x.label, 4, 0.6))
     return made
 
 
-def _word_of(name: str) -> str:
-    """A plain word that every match of a name contains."""
-    for word in ("licen", "creative commons", "unencumbered", "public domain", "copyright"):
-        if word in name.replace("licen[cs]e", "licen"):
-            return word
-    return " "
+def _plain_part(pattern: str) -> str:
+    """The longest piece that every match contains, but for the words most licenses share."""
+    if "|" in re.sub(r"\([^()]*\)", "", pattern):
+        shared = ("bsd", "licen")
+        return next((w for w in shared if all(w in p for p in pattern.split("|"))), "")
+    fixed = re.sub(r"\((?:[^()]|\([^()]*\))*\)[?]?", "\n", pattern.replace(_L, "\n"))
+    pieces = re.split(r"\n|[a-z0-9 ]\?|\[[^]]*\]\*?|\.\{[^}]*\}", fixed)
+    pieces = [piece.strip() for piece in pieces if re.fullmatch(r"[a-z0-9 ]+", piece.strip())]
+    return max(pieces, key=len, default="")
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with the columns of ``RESULT`` and ``detections`` (start, end, label)."""
-    docs = docs.drop(*RESULT, "detections", "_norm", "_found", "_base")
-    words = F.trim(F.regexp_replace(ascii_lower(whole("text")), _GAP, " "))
-    spaced = docs.withColumn("_norm", F.concat(F.lit(" "), words, F.lit(" ")))
-    gate = F.rlike("_norm", F.lit(f" (?:{'|'.join(GATE)})"))
+    docs = docs.drop(*RESULT, "detections", "_low", "_norm", "_found", "_base")
+    words = F.trim(ascii_lower(F.regexp_replace(whole("text"), _GAP, " ")))
+    low = F.lower(whole("text"))
+    gate = functools.reduce(operator.or_, (F.contains("_low", F.lit(word)) for word in GATE))
+    spaced = (
+        docs.withColumns(
+            {"n_words": F.regexp_count(whole("text"), F.lit(_WORD)).cast("bigint"), "_low": low}
+        )
+        .withColumn("_norm", F.when(gate, F.concat(F.lit(" "), words, F.lit(" "))))
+        .drop("_low")
+    )
     table = F.array(
         *(
             F.struct(
                 F.lit(r.keyword).alias("keyword"),
+                F.lit(r.second).alias("second"),
                 F.lit(r.pattern).alias("pattern"),
                 F.lit(r.label).alias("label"),
                 F.lit(r.priority).alias("priority"),
@@ -233,7 +248,10 @@ def scan(docs: DataFrame) -> DataFrame:
             for r in rules()
         )
     )
-    applying = F.filter(table, lambda r: F.contains(F.col("_norm"), r["keyword"]))
+    applying = F.filter(
+        table,
+        lambda r: F.contains(F.col("_norm"), r["keyword"]) & F.contains(F.col("_norm"), r["second"]),
+    )
     found = F.flatten(
         F.transform(
             applying,
@@ -254,10 +272,7 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     scanned = spaced.withColumns(
         {
-            "n_words": F.when(F.col("_norm") == "  ", 0)
-            .otherwise(F.length("_norm") - F.length(F.translate("_norm", " ", "")) - 1)
-            .cast("bigint"),
-            "_found": F.when(gate, F.sort_array(found)).otherwise(F.array().cast(_FOUND)),
+            "_found": F.when(F.col("_norm").isNotNull(), F.sort_array(found)).otherwise(F.array().cast(_FOUND)),
             "_base": F.when(F.contains("_norm", F.lit(" license ")), base).otherwise(
                 F.array().cast(_BASE)
             ),
