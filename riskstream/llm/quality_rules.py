@@ -66,7 +66,7 @@ def measure(docs: DataFrame) -> DataFrame:
     text = whole("text")
     words = F.array_remove(F.split(text, SPACES), "")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(WORD)))
-    shouted = F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*|\s+", ""))
+    shouted = F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*|[\x20\x09-\x0D]+", ""))
     counted = docs.withColumns(
         {
             "_words": words,

@@ -123,6 +123,104 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+OP9_SQL = r"""
+with docs as (
+  select doc_id, lang, source, row_number() over () as row, coalesce(text, '') as text
+  from documents),
+counted as (
+  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+    len(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+    len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l,
+    len(regexp_replace(text, '[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*|[\x20\x09-\x0D]+', '', 'g'))
+      as shouted
+  from docs),
+grams as (
+  select row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+  from (select row, w, unnest(range(1, len(w) - 1)) as i from counted)),
+repeated as (
+  select row, i from (select row, i, count(*) over (partition by row, g) as n from grams) where n > 1),
+covered as (
+  select row, count(distinct i + d) as n
+  from repeated, (values (0), (1), (2)) as t(d) group by row),
+measured as (
+  select doc_id, lang, source, row, len(w) as n_words, word_chars, n_symbols,
+    len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words, shouted
+  from counted left join covered c using (row)),
+judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    least(1000, case when word_chars > 0 then 1000 * n_symbols // word_chars else 0 end) as symbols,
+    least(1000, case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end) as repeats,
+    least(1000, case when n_words > 0 then 10000 * n_dup_lines // n_words else 0 end) as lines,
+    least(1000, case when word_chars > 0 then 1000 * shouted // word_chars else 0 end) as shouting
+  from measured),
+rates as (
+  unpivot (select row, lang, source, symbols, repeats, lines, shouting from judged
+    where not base_failed)
+  on symbols, repeats, lines, shouting into name rule value rate),
+own as (
+  select lang, source, rule, count(*) as n, quantile_disc(rate, 0.25) as q1,
+    quantile_disc(rate, 0.75) as q3 from rates group by all),
+by_lang as (
+  select lang, rule, count(*) as n, quantile_disc(rate, 0.25) as q1, quantile_disc(rate, 0.75) as q3
+  from rates group by all),
+every as (
+  select rule, quantile_disc(rate, 0.25) as q1, quantile_disc(rate, 0.75) as q3
+  from rates group by all),
+chosen as (
+  select o.lang, o.source, o.rule,
+    case when o.n >= 30 then o.q1 when l.n >= 30 then l.q1 else e.q1 end as q1,
+    case when o.n >= 30 then o.q3 when l.n >= 30 then l.q3 else e.q3 end as q3
+  from own o join by_lang l on o.lang is not distinct from l.lang and o.rule = l.rule
+    join every e on o.rule = e.rule),
+limits as (
+  select lang, source,
+    max(greatest(60, least(120, 4 * q3 - 3 * q1))) filter (rule = 'symbols') as most_symbols,
+    max(greatest(400, least(500, 4 * q3 - 3 * q1))) filter (rule = 'repeats') as most_repeats,
+    max(greatest(250, least(500, 4 * q3 - 3 * q1))) filter (rule = 'lines') as most_lines,
+    max(greatest(300, least(500, 4 * q3 - 3 * q1))) filter (rule = 'shouting') as most_shouting
+  from chosen group by all),
+failed as (
+  select j.*, concat_ws(',',
+    case when symbols > coalesce(most_symbols, 120) then 'symbols' end,
+    case when repeats > coalesce(most_repeats, 500) then 'repeats' end,
+    case when lines > coalesce(most_lines, 500) then 'lines' end,
+    case when shouting > coalesce(most_shouting, 500) then 'shouting' end) as failed_rules
+  from judged j left join limits m
+    on j.lang is not distinct from m.lang and j.source is not distinct from m.source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and failed_rules = '' as kept, failed_rules
+from failed
+"""
+
+OP10_SQL = r"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(case when len(w) >= 4
+      then [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]
+      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+    from docs)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 85 * (x.n + y.n - c)),
+both_ways as (select a, b from links union select b, a from links),
+reach as (
+  select a as id, b as other from both_ways
+  union select r.id, l.b from reach r join both_ways l on l.a = r.other)
+select d.doc_id, coalesce(s.n, 0) as n_shingles,
+  least(d.doc_id, coalesce(r.least, d.doc_id)) as component_id
+from docs d left join sizes s using (doc_id)
+  left join (select id as doc_id, min(other) as least from reach group by id) r using (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
@@ -135,4 +233,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
 }
-ORACLE_SQL: dict[str, str] = {"op2_source_mix": OP2_SQL, "op5_chat_format": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_source_mix": OP2_SQL,
+    "op5_chat_format": OP5_SQL,
+    "op9_quality_rules": OP9_SQL,
+    "op10_ngram_join": OP10_SQL,
+}
