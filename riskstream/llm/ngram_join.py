@@ -16,10 +16,13 @@ other pair has a set within the allowance. ``plan`` picks m, the number of segme
 Keys become links in three rounds, none of which pairs all members of a key: (1) within each batch
 of rows and then across batches every set is paired with the smallest document of its key, and
 each document is verified against the partner it shares most keys with; (2) what is still apart is
-verified for the remaining pairs; (3) for keys whose members are still in different components,
-the members of different components are paired. Pairs are verified exactly on the whole sets.
-A group of copies is thereby joined by a star, whatever its size. Links within a component that
-is already joined are not verified again: the result is the components.
+verified for the remaining pairs; (3) keys whose members are still in different components are
+searched for pairs between these: members are compared in blocks by size and by sketch (parity bits
+of the set, from which a least difference follows), each names its closest partners that are not
+ruled out, and the search is repeated for more partners until no member has any left. Pairs are
+verified exactly on the whole sets. A group of copies is thereby joined by a star, whatever its
+size, and only pairs that may link are emitted. Links within a component that is already joined
+are not verified again: the result is the components.
 
 Defined cases: a null or blank text has no set and links with nothing; fewer than ``SHINGLE`` words
 make one shingle of the whole sequence; rows with equal ``doc_id`` are one node with several sets;
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
-from riskstream.llm.hashing import WordHashes, as_long, mix, windows
+from riskstream.llm.hashing import as_long, hashed, mix, slices, windows
 from riskstream.llm.text import WORD
 from riskstream.session import written
 
@@ -52,6 +55,14 @@ PERCENT = 85
 BAND = 1.4
 #: What a segment of fewer than three expected elements costs, in index rows.
 SMALL_SEGMENT = 5
+#: Bits of a sketch for sets below a size.
+SKETCH_BITS = ((1500, 1024), (6000, 4096), (math.inf, 16384))
+#: Members of a key that are compared in one task.
+BLOCK = 1000
+#: Numbers of a comparison held at once.
+CELLS = 500_000
+#: Partners a member of an open key names in the first search, and how many times more in each next.
+FIRST_PARTNERS, MORE_PARTNERS = 4, 16
 #: Document ids up to this number (16 bytes each) are broadcast to the scan of the texts.
 BROADCAST_IDS = 1_000_000
 
@@ -117,12 +128,29 @@ def bands_of(size: int, percent: int) -> list[Band]:
     return [b for b in known if b.high > size and 100 * size >= percent * b.low]
 
 
-def shingles(text: bytes | None, hashes: WordHashes, size: int) -> np.ndarray:
-    """The set of a text, sorted. Words are runs without ASCII white space, A-Z lowered."""
-    words = hashes.of(text.lower().split()) if text else np.empty(0, np.uint64)
-    if not len(words):
-        return words
-    return np.unique(windows(words, min(size, len(words))))
+def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+    """The set of each text, sorted."""
+    words, counts = hashed(texts)
+    every = windows(words, size)
+    sets, at = [], 0
+    for n in counts.tolist():
+        if n >= size:
+            sets.append(np.unique(every[at : at + n - size + 1]))
+        else:
+            sets.append(windows(words[at : at + n], n) if n else words[:0])
+        at += n
+    return sets
+
+
+def sketch_of(elements: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements per bucket, as bits; buckets grow with the set.
+
+    Two sets differ in at least as many elements as their sketches in bits.
+    """
+    bits = next(size for limit, size in SKETCH_BITS if len(elements) < limit)
+    place = (mix(elements ^ np.uint64(0xA5A5A5A5A5A5A5A5)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
 def keys_of(elements: np.ndarray, percent: int) -> np.ndarray:
@@ -132,20 +160,17 @@ def keys_of(elements: np.ndarray, percent: int) -> np.ndarray:
         salt = mix(np.array([band.number + 1], np.uint64))[0]
         spread = mix(elements ^ salt)
         segment = (((spread >> np.uint64(32)) * np.uint64(band.m)) >> np.uint64(32)).astype(np.int64)
-        value = mix(elements + salt)
         content = np.zeros(band.m, np.uint64)
-        np.add.at(content, segment, value)
+        np.add.at(content, segment, spread)
         count = np.bincount(segment, minlength=band.m)
         place = mix(np.arange(band.m, dtype=np.uint64) + salt)
         made.append(mix(content + place)[count > 0])
         if band.twice:
             inside = (segment < band.twice) & (count[segment] > 1)
             s = segment[inside]
-            made.append(mix(content[s] - value[inside] + place[s]))
-        lost = np.where(count == 0, 1, 0)
-        lost[: band.twice] = np.select(
-            [count[: band.twice] == 0, count[: band.twice] == 1], [2, 1], 0
-        )
+            made.append(mix(content[s] - spread[inside] + place[s]))
+        lost = (count == 0).astype(np.int64)
+        lost[: band.twice] = np.maximum(2 - count[: band.twice], 0)
         if lost.sum() > band.allowance:
             made.append(mix(place[lost > 0] ^ np.uint64(0x5555555555555555)))
     return np.concatenate(made)
@@ -161,39 +186,50 @@ def _long_lists(flat: np.ndarray, lengths: list[int]) -> pa.ListArray:
 
 
 def _index(size: int, percent: int):
-    """Per row its set size and keys, and per key the smallest document of the batch with it."""
+    """Per row set size, keys and sketch, and per key the smallest document of the slice with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            ids = batch.column("doc_id")
-            sizes, keys = [], []
-            for doc_id, text in zip(ids.to_pylist(), _texts(batch, "text"), strict=True):
-                elements = shingles(text, hashes, size)
-                sizes.append(len(elements))
-                with_keys = len(elements) and doc_id is not None
-                keys.append(as_long(keys_of(elements, percent)) if with_keys else _NO_KEYS)
-            lengths = [len(k) for k in keys]
-            flat = np.concatenate([_NO_KEYS, *keys])
-            owner = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), lengths)
-            order = np.lexsort((owner, flat))
-            first = np.ones(len(flat), bool)
-            first[1:] = flat[order][1:] != flat[order][:-1]
-            least = np.empty(len(flat), np.int64)
-            least[order] = owner[order][np.maximum.accumulate(np.where(first, np.arange(len(flat)), 0))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array(sizes, pa.int64()),
-                    _long_lists(flat, lengths),
-                    _long_lists(least, lengths),
-                ],
-                names=["doc_id", "n_shingles", "keys", "heads"],
-            )
+            texts = _texts(batch, "text")
+            for part in slices(texts):
+                yield _indexed(
+                    batch.column("doc_id").slice(part.start, part.stop - part.start),
+                    shingle_sets(texts[part], size),
+                    percent,
+                )
 
     return run
 
 
+def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    named = ids.is_valid().to_numpy(zero_copy_only=False).tolist()
+    keys = [
+        as_long(keys_of(s, percent)) if len(s) and name else _NO_KEYS
+        for s, name in zip(sets, named, strict=True)
+    ]
+    sketches = [sketch_of(s) for s in sets]
+    lengths = [len(k) for k in keys]
+    flat = np.concatenate([_NO_KEYS, *keys])
+    owner = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), lengths)
+    order = np.lexsort((owner, flat))
+    sorted_keys = flat[order]
+    first = np.ones(len(flat), bool)
+    first[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    head_at = np.maximum.accumulate(np.where(first, np.arange(len(flat)), 0))
+    least = np.empty(len(flat), np.int64)
+    least[order] = owner[order][head_at]
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            pa.array([len(s) for s in sets], pa.int64()),
+            _long_lists(flat, lengths),
+            _long_lists(least, lengths),
+            _long_lists(np.concatenate([_NO_KEYS, *sketches]), [len(s) for s in sketches]),
+        ],
+        names=["doc_id", "n_shingles", "keys", "heads", "sketch"],
+    )
+
+
 _NO_KEYS = np.empty(0, np.int64)
 
 
@@ -201,14 +237,16 @@ def _sets(size: int, columns: tuple[str, ...]):
     """Rows of ``columns`` and ``text`` with the text replaced by its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            sets = [as_long(shingles(t, hashes, size)) for t in _texts(batch, "text")]
-            flat = np.concatenate([_NO_KEYS, *sets])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), _long_lists(flat, [len(s) for s in sets])],
-                names=[*columns, "elements"],
-            )
+            texts = _texts(batch, "text")
+            for part in slices(texts):
+                n = part.stop - part.start
+                sets = [as_long(s) for s in shingle_sets(texts[part], size)]
+                elements = _long_lists(np.concatenate([_NO_KEYS, *sets]), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(part.start, n) for c in columns), elements],
+                    names=[*columns, "elements"],
+                )
 
     return run
 
@@ -257,7 +295,7 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     index = written(
         docs.select("doc_id", "text").mapInArrow(
             _index(size, percent),
-            "doc_id long, n_shingles long, keys array<long>, heads array<long>",
+            "doc_id long, n_shingles long, keys array<long>, heads array<long>, sketch array<long>",
         ),
         "ngram-index",
     )
@@ -306,34 +344,151 @@ def _join(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFra
     joined = written(components(links), "components")
 
     rest = _apart(counts, joined).join(best, ["a", "b"], "left_anti").select("a", "b")
-    rest = written(rest, "pairs")
+    rest = written(_close(rest, index, percent), "pairs")
     links = written(links.unionByName(verify(docs, rest, size, percent)), "verified")
     joined = written(components(links), "components")
+    seen = best.unionByName(rest).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    )
+
+    most = FIRST_PARTNERS
+    while True:
+        found = written(_partners(shared, joined, index, percent, most), "partners")
+        new = found.filter("a is not null").select("a", "b").distinct()
+        new = written(new.join(seen, ["a", "b"], "left_anti"), "pairs")
+        more = found.filter("more").limit(1).count()
+        if new.count():
+            links = written(links.unionByName(verify(docs, new, size, percent)), "verified")
+            joined = written(components(links), "components")
+            seen = seen.unionByName(new)
+        if not more:
+            return joined
+        most *= MORE_PARTNERS
+
+
+def _close(pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` that may link by set size and sketch."""
+    own = index.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("_na"))
+    other = index.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("_nb"))
+    fits = (100 * F.col("_na") >= percent * F.col("_nb")) & (
+        100 * F.col("_nb") >= percent * F.col("_na")
+    )
+    return pairs.join(own, "a").join(other, "b").filter(fits).select("a", "b").distinct()
 
+
+def _partners(
+    shared: DataFrame, joined: DataFrame, index: DataFrame, percent: int, most: int
+) -> DataFrame:
+    """For keys with members in different components, each member's closest partners there.
+
+    A key's members are cut into blocks, and every pair of blocks is compared in one task by size and
+    sketch, which are enough to rule out almost all pairs that do not link. Each member names the
+    ``most`` closest partners that are left; ``more`` tells that a member has others.
+    """
     open_ = written(_apart(shared, joined).select("key").distinct(), "open-keys")
-    in_open = shared.join(open_, "key", "left_semi")
+    in_open = shared.join(_small(open_), "key", "left_semi")
     members = in_open.select("key", F.col("a").alias("id")).unionByName(
         in_open.select("key", F.col("b").alias("id"))
     )
-    members = members.distinct().join(joined, "id", "left")
-    members = members.join(
-        index.select(F.col("doc_id").alias("id"), "n_shingles").distinct(), "id"
-    ).select("key", "id", "n_shingles", F.coalesce("component", "id").alias("c"))
-    members = written(members, "open-members")
-    other = members.select(
-        "key", F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("c").alias("c_b")
+    members = members.distinct().join(joined, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("c")
     )
-    fits = (100 * F.col("n_shingles") >= percent * F.col("n_b")) & (
-        100 * F.col("n_b") >= percent * F.col("n_shingles")
-    )
-    last = (
-        members.join(other, (members["key"] == other["key"]) & (F.col("c") > F.col("c_b")) & fits)
-        .select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
-        .distinct()
+    members = written(members, "open-members")
+    blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
+    known = index.filter("doc_id is not null").select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"
     )
-    seen = best.unionByName(rest).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    mine = F.pmod(F.xxhash64("id"), "n_blocks").cast("int")
+    with_block = members.join(blocks, "key").withColumn("block", mine)
+    # A row goes to each pair of blocks that its own block is in.
+    spread = with_block.select(
+        "key", "id", "c", "block",
+        F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("_other"),
+    ).select(
+        "key", "id", "c", "block",
+        F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
+    )
+    rows = spread.join(known, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
+    rows = rows.select("key", "i", "j", "block", "id", "c", "n", "sketch")
+    return rows.mapInArrow(_compare(percent, most), "a long, b long, more boolean")
+
+
+def _compare(percent: int, most: int):
+    """Close pairs within runs of rows with equal (key, i, j), which may go on in the next batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if kept is not None:
+                rows = pa.concat_tables([kept, rows]).combine_chunks()
+            if not rows.num_rows:
+                continue
+            group = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+            starts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+            last = int(starts[-1]) if len(starts) else 0
+            kept = rows.slice(last)
+            yield _compared(rows.slice(0, last), starts[:-1], percent, most)
+        if kept is not None:
+            yield _compared(kept, np.empty(0, np.int64), percent, most)
+
+    return run
+
+
+def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa.RecordBatch:
+    pairs, more = [], False
+    if rows.num_rows:
+        ids, comps, sizes, own, i, j = (
+            rows.column(c).to_numpy() for c in ("id", "c", "n", "block", "i", "j")
+        )
+        lists = rows.column("sketch").combine_chunks()
+        flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+        offsets = np.concatenate([[0], ends])
+        for a, b in zip([0, *starts.tolist()], [*starts.tolist(), rows.num_rows], strict=True):
+            if (comps[a:b] == comps[a]).all():
+                continue
+            width = int((offsets[a + 1 : b + 1] - offsets[a:b]).min())
+            bits = _folded(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
+            two_blocks = i[a] != j[a]
+            for x in range(0, b - a, step := max(1, CELLS // ((b - a) * width))):
+                some = slice(a + x, min(a + x + step, b))
+                total = sizes[some, None] + sizes[None, a:b]
+                least = np.minimum(sizes[some, None], sizes[None, a:b])
+                near = (comps[some, None] != comps[None, a:b]) & (
+                    100 * least >= percent * (total - least)
+                )
+                if two_blocks:
+                    near &= own[some, None] != own[None, a:b]
+                apart = np.bitwise_count(bits[x : x + step, None] ^ bits[None]).sum(2, np.int64)
+                near &= apart <= (100 - percent) * total // (100 + percent)
+                for k in np.flatnonzero(near.sum(1) > most).tolist():
+                    more = True
+                    y = np.flatnonzero(near[k])
+                    near[k, y[np.lexsort((ids[a:b][y], apart[k, y]))[most:]]] = False
+                k, y = np.nonzero(near)
+                one, other = ids[some][k], ids[a:b][y]
+                pairs += zip(
+                    np.maximum(one, other).tolist(), np.minimum(one, other).tolist(), strict=True
+                )
+    pairs = sorted(set(pairs))
+    flags = [more] * len(pairs)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([p[0] for p in pairs], pa.int64()),
+            pa.array([p[1] for p in pairs], pa.int64()),
+            pa.array(flags, pa.bool_()),
+        ],
+        names=["a", "b", "more"],
     )
-    last = written(last.join(seen, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(verify(docs, last, size, percent))
-    return components(links)
+
+
+def _folded(flat: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """Sketches as rows of one width: halves of longer ones are added up modulo two."""
+    n = len(offsets) - 1
+    if len(flat) == n * width:
+        return flat.reshape(n, width)
+    rows = [
+        np.bitwise_xor.reduce(flat[offsets[k] : offsets[k + 1]].reshape(-1, width), axis=0)
+        for k in range(n)
+    ]
+    return np.stack(rows)

@@ -23,15 +23,14 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskstream.llm.hashing import RANDOM, bounds, mix, pieces, powers, slices, word_hashes
 from riskstream.session import written
 
 BUCKETS, DIMENSIONS, ENTRIES = 8192, 32, 4
@@ -40,35 +39,13 @@ SAMPLE = 20_000
 FOLDS, HELD_OUT = 5, 0
 PREDICTED = 0.3
 HIDDEN = 24
-_CACHE = 300_000
 _FEATURES = 3 * DIMENSIONS + 4
 
-_SHAPES = [
-    (re.compile(r"[a-zà-öø-ÿ]+"), "a"),
-    (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "A"),
-    (re.compile(r"[0-9]+"), "0"),
-    (re.compile(r"([^aA0])\1+"), r"\1"),
-]
-
-
-def shape(token: str) -> str:
-    """Letter case, digits and signs of a token, runs made one: ``Foo!!`` is ``Aa!``."""
-    for pattern, sign in _SHAPES:
-        token = pattern.sub(sign, token)
-    return token[:12]
-
-
-class Buckets(dict):
-    """Token to the buckets of itself and of its shape; remembers a bounded number of tokens."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= _CACHE:
-            for old in list(self)[: _CACHE // 2]:
-                del self[old]
-        own = xxhash.xxh3_64_intdigest(token) % BUCKETS
-        looks = xxhash.xxh3_64_intdigest("\0" + shape(token)) % BUCKETS
-        value = self[token] = own * BUCKETS + looks
-        return value
+#: What a byte looks like: a lower-case letter (or beyond ASCII), a capital, a digit, or itself.
+_LOOKS = np.array(
+    [97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else b
+     for b in range(256)], np.uint8,
+)
 
 
 def _index_vectors() -> np.ndarray:
@@ -81,30 +58,44 @@ def _index_vectors() -> np.ndarray:
     return vectors
 
 
-def _tokens(texts: list[str | None], buckets: Buckets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all tokens, of their shapes, and the number of tokens per text."""
-    parts, lengths = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = text.split() if text else []
-        lengths[i] = len(words)
-        parts.append(np.fromiter(map(buckets.__getitem__, words), np.int64, len(words)))
-    both = np.concatenate([*parts, np.empty(0, np.int64)])
-    return both // BUCKETS, both % BUCKETS, lengths
+def _buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all tokens and of their shapes in bytes that end with white space, and starts.
+
+    In a shape every run of equal looks counts once: ``Foo!!`` and ``Fa!`` look the same.
+    """
+    starts, ends = bounds(data)
+    own = (word_hashes(data, starts, ends) % np.uint64(BUCKETS)).astype(np.uint16)
+    looks = _LOOKS[data]
+    new = np.ones(len(data), bool)
+    new[1:] = looks[1:] != looks[:-1]
+    new[starts] = True
+    rank = np.cumsum(new)
+    power, inverse = powers(len(data) + 2)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(
+        np.where(new, RANDOM[looks] * power[rank], np.uint64(0)), dtype=np.uint64, out=sums[1:]
+    )
+    shape = mix((sums[ends] - sums[starts]) * inverse[rank[starts]])
+    return own, (shape % np.uint64(BUCKETS)).astype(np.uint16), starts
+
 
+def _runs(texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Number of the first text, token and shape buckets, and tokens per text, of bounded runs.
 
-#: Tokens handled at once, so that memory does not grow with a batch of long texts.
-_CHUNK = 200_000
+    A long text comes as several runs with the same number.
+    """
+    for part in slices(texts):
+        some = texts[part]
+        for piece in pieces(some[0] or b"") if len(some) == 1 else [None]:
+            few = some if piece is None else [piece]
+            data = np.frombuffer(b"\n".join(t or b"" for t in few) + b"\n", np.uint8)
+            own, looks, starts = _buckets(data)
+            begins = np.cumsum([0, *(len(t or b"") + 1 for t in few)])
+            yield part.start, own, looks, np.diff(np.searchsorted(starts, begins))
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | None]]]:
-    """Texts of a batch in groups of about ``_CHUNK`` words, with the row of the first."""
-    texts = batch.column("text").to_pylist()
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "") // 5
-        if size >= _CHUNK or i == len(texts) - 1:
-            yield start, texts[start : i + 1]
-            start, size = i + 1, 0
+def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
+    return batch.column("text").cast(pa.large_binary()).to_pylist()
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
@@ -115,21 +106,21 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     index = _index_vectors()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
         total = np.zeros((BUCKETS, DIMENSIONS))
         flat = np.arange(DIMENSIONS)
         for batch in batches:
-            for _, texts in _pieces(batch):
-                own, looks, lengths = _tokens(texts, buckets)
+            for _, own, looks, lengths in _runs(_texts(batch)):
                 if len(own) < 2:
                     continue
-                border = np.ones(len(own), bool)
-                border[np.cumsum(lengths)[:-1][np.cumsum(lengths)[:-1] < len(own)]] = False
-                pair = border[1:]  # False where the next token is of another text
+                said = index[own]
+                said += index[looks]
+                ends = np.cumsum(lengths)[:-1]
+                ends = ends[(ends > 0) & (ends < len(own))]
                 around = np.zeros((len(own), DIMENSIONS), np.float32)
-                said = index[own] + index[looks]
-                around[:-1][pair] += said[1:][pair]
-                around[1:][pair] += said[:-1][pair]
+                around[:-1] = said[1:]
+                around[ends - 1] = 0  # what follows is another text
+                said[ends - 1] = 0
+                around[1:] += said[:-1]
                 for rows in (own, looks):
                     order = np.argsort(rows, kind="stable")
                     found, first = np.unique(rows[order], return_index=True)
@@ -162,28 +153,34 @@ class Features:
 
     def __init__(self, vectors: np.ndarray) -> None:
         self.vectors, self.index = vectors, _index_vectors() / np.sqrt(ENTRIES).astype(np.float32)
-        self.buckets = Buckets()
 
-    def of(self, texts: list[str | None]) -> np.ndarray:
-        own, looks, lengths = _tokens(texts, self.buckets)
-        out = np.zeros((len(texts), _FEATURES), np.float32)
-        full = np.flatnonzero(lengths)
-        if len(full):
+    def of(self, texts: list[bytes | None]) -> np.ndarray:
+        d = DIMENSIONS
+        sums = np.zeros((len(texts), 5 * d + 1))
+        n = np.zeros(len(texts), np.int64)
+        for first, own, looks, lengths in _runs(texts):
+            full = np.flatnonzero(lengths)
+            n[first : first + len(lengths)] += lengths
+            if not len(full):
+                continue
             starts = (np.cumsum(lengths) - lengths)[full]
-            n = lengths[full][:, None]
-            d = DIMENSIONS
-            out[full, :d] = np.add.reduceat(self.vectors[own], starts, axis=0) / n
-            out[full, d : 2 * d] = np.add.reduceat(self.vectors[looks], starts, axis=0) / n
-            out[full, 2 * d : 3 * d] = np.add.reduceat(self.index[looks], starts, axis=0) / n
-            same = np.add.reduceat(self.index[own], starts, axis=0) / n
-            out[full, 3 * d] = np.linalg.norm(same, axis=1)
             nexts = np.minimum(np.arange(len(own)) + 1, len(own) - 1)
-            pairs = self.index[(own * 31 + own[nexts]) % BUCKETS]
-            pairs = np.add.reduceat(pairs, starts, axis=0) / n
-            out[full, 3 * d + 1] = np.linalg.norm(pairs, axis=1)
-            out[full, 3 * d + 2] = np.add.reduceat(own == own[nexts], starts) / n[:, 0]
-        out[:, 3 * DIMENSIONS + 3] = np.log1p(lengths)
-        return out
+            pair = (own.astype(np.int64) * 31 + own[nexts]) % BUCKETS
+            parts = (self.vectors[own], self.vectors[looks], self.index[looks], self.index[own],
+                     self.index[pair])
+            for k, part in enumerate(parts):
+                sums[first + full, k * d : (k + 1) * d] += np.add.reduceat(part, starts, axis=0)
+            sums[first + full, 5 * d] += np.add.reduceat((own == own[nexts]).astype(float), starts)
+        means = sums / np.maximum(n, 1)[:, None]
+        return np.column_stack(
+            [
+                means[:, : 3 * d],
+                np.linalg.norm(means[:, 3 * d : 4 * d], axis=1),
+                np.linalg.norm(means[:, 4 * d : 5 * d], axis=1),
+                means[:, 5 * d],
+                np.log1p(n),
+            ]
+        )
 
 
 class Network:
@@ -261,16 +258,12 @@ def _features_of(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(vectors)
         for batch in batches:
-            for start, texts in _pieces(batch):
-                x = features.of(texts).astype(np.float32)
-                offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * _FEATURES)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("label").slice(start, len(texts)),
-                        pa.ListArray.from_arrays(offsets, pa.array(x.ravel())),
-                    ],
-                    names=["label", "features"],
-                )
+            x = features.of(_texts(batch)).astype(np.float32)
+            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * _FEATURES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))],
+                names=["label", "features"],
+            )
 
     return docs.mapInArrow(run, "label int, features array<float>")
 
@@ -299,12 +292,10 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(vectors)
         for batch in batches:
-            for start, texts in _pieces(batch):
-                scores = network.probability(features.of(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, len(texts)), pa.array(scores, pa.float64())],
-                    names=["doc_id", "score"],
-                )
+            scores = network.probability(features.of(_texts(batch)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+            )
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 

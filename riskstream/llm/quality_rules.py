@@ -66,7 +66,9 @@ def measure(docs: DataFrame) -> DataFrame:
     text = whole("text")
     words = F.array_remove(F.split(text, SPACES), "")
     lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(WORD)))
-    shouted = F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]*\p{Ll}[^\x20\x09-\x0D]*|[\x20\x09-\x0D]+", ""))
+    # Tried at word starts only and without giving back, so no long word makes it slow.
+    with_lower = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{Ll}]*+\p{Ll}[^\x20\x09-\x0D]*+"
+    shouted = F.length(F.regexp_replace(text, rf"{with_lower}|{SPACES}", ""))
     counted = docs.withColumns(
         {
             "_words": words,

@@ -2,6 +2,7 @@ import collections
 import re
 
 from riskstream.llm import quality_rules
+from riskstream.session import written
 from tests.llm.helpers import docs
 
 
@@ -61,7 +62,8 @@ def test_a_small_group_is_judged_by_its_language_and_a_bad_one_by_the_ceiling(sp
 
 
 def test_sketches_merge(spark, sf):
-    measured = quality_rules.measure(spark.read.parquet(f"{sf}/documents.parquet"))
+    docs_ = spark.read.parquet(f"{sf}/documents.parquet")
+    measured = written(quality_rules.measure(docs_).drop("text"), "measured")
     whole = quality_rules.sketches(measured)
     parts = [quality_rules.sketches(measured.filter(f"doc_id % 3 = {k}")) for k in range(3)]
     merged = parts[0].unionByName(parts[1]).unionByName(parts[2])
