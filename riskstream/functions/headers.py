@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Largest whole second whose micros still fit a bigint.
-_MAX_SECONDS = 9.0e12
+# Milliseconds whose micros still fit a bigint.
+_MAX_MILLIS = float((2**63 - 1) // 1000)
 
 
 def utf8(raw: Column) -> Column:
@@ -28,8 +28,8 @@ def event_time_millis(text: Column) -> Column:
     # Most bad values ("None", "nan") are turned away by the pattern, which costs far
     # less than a cast that fails.
     seconds = F.when(text.rlike(r"^\s*[+-]?[0-9.]"), text.try_cast("double"))
-    finite = F.abs(seconds) < _MAX_SECONDS  # NaN sorts above every number
-    return F.when(finite, (seconds * 1000).cast("bigint"))
+    fits = F.abs(seconds * 1000) < _MAX_MILLIS  # NaN sorts above every number
+    return F.when(fits, (seconds * 1000).cast("bigint"))
 
 
 def event_time(text: Column) -> Column:
@@ -38,4 +38,11 @@ def event_time(text: Column) -> Column:
 
 def event_hour(time: Column) -> Column:
     """Partition value of the archive; a row without event time has a null hour."""
-    return F.date_format(time, "yyyy-MM-dd-HH")
+    return hour_text(F.unix_micros(time))
+
+
+def hour_text(micros: Column) -> Column:
+    """``yyyy-MM-dd-HH`` in UTC, whatever the session's time zone."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    text = F.timestamp_add("MICROSECOND", micros, start).cast("string")
+    return F.translate(F.substring_index(text, ":", 1), " ", "-")

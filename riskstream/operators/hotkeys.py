@@ -13,8 +13,6 @@ from riskstream.functions.keys import strip_salt
 
 HEAVY_SHARE = 0.02
 LOOKBACK_SECONDS = 600
-MAX_MESSAGES = 50_000
-
 _PART = ["kafka_topic", "kafka_partition"]
 
 
@@ -22,16 +20,17 @@ def recent(
     messages: DataFrame,
     as_of: Column,
     lookback_seconds: int = LOOKBACK_SECONDS,
-    max_messages: int | None = MAX_MESSAGES,
+    max_messages: int | None = None,
     whole_topic: bool = False,
     time: str = "ingest_time",
 ) -> DataFrame:
-    """The messages of each partition in the lookback window, newest ``max_messages`` offsets.
+    """The messages of each partition in the lookback window.
 
     A partition is read from its first offset at or after ``as_of - lookback``. A
     quiet partition with no such message is read from its lowest offset instead.
-    With ``whole_topic`` the limit is shared evenly by the topic's partitions, at
-    least one message each; None sets no limit.
+    ``max_messages`` reads only that many of the newest offsets, for a quick look at a
+    live topic; with ``whole_topic`` they are shared evenly by the topic's partitions,
+    at least one message each.
     """
     seen = messages.where(F.col(time) <= as_of)
     window_start = as_of - F.expr(f"interval {int(lookback_seconds)} seconds")
@@ -65,8 +64,7 @@ def key_shares(sample: DataFrame, by: list[str] | None = None) -> DataFrame:
     counts = _counts(sample, by or [])
     # Totals come from the counts, so the sample is read once.
     if by:
-        # One row per topic partition at most.
-        totals = F.broadcast(counts.groupBy(*by).agg(F.sum("n").alias("total")))
+        totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
         shares = counts.join(totals, by)
     else:
         shares = counts.withColumn("total", counts.select(F.sum("n")).scalar())
@@ -129,6 +127,11 @@ def without_cooled(tracked: DataFrame, cooled: DataFrame) -> DataFrame:
     return tracked.select("key").subtract(cooled.select("key"))
 
 
+def listed(keys: DataFrame) -> DataFrame:
+    """Distinct keys in order, as the set is stored and shown."""
+    return keys.select("key").distinct().orderBy("key")
+
+
 def propose(heavy: DataFrame, cooled: DataFrame, tracked: DataFrame) -> DataFrame:
     """Pending changes to the tracked set, to be approved by a person."""
     adds = added(heavy, tracked).withColumn("action", F.lit("add"))

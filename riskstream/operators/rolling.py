@@ -2,7 +2,8 @@
 
 The frame of a row at time ``t`` is ``[t - w, t)``: rows at exactly ``t - w``
 count, rows at ``t`` (peers) do not. An empty frame gives null for every feature;
-a frame whose amounts are all null gives count 0 and null sum.
+a frame whose amounts are all null gives count 0 and null sum. A row without time is in
+no frame and its own features are null.
 
 Two plans give the same numbers:
 
@@ -53,7 +54,8 @@ def rolling_features(
     if dense is None:
         features = _by_window(tx, key, time, amount, row_id, windows)
     else:
-        match = F.col(key) == F.col("_dense")
+        # Rows without time are in no frame and have none.
+        match = (F.col(key) == F.col("_dense")) & F.col(time).isNotNull()
         sparse_rows = tx.join(dense, match, "left_anti")
         dense_rows_ = tx.join(dense, match, "inner").drop("_dense")
         features = _by_window(sparse_rows, key, time, amount, row_id, windows).unionByName(
@@ -94,10 +96,12 @@ def _by_window(
     for name, seconds in windows.items():
         frame = card.orderBy(time).rangeBetween(-seconds * MICROS, -1)
         seen = F.count(F.lit(1)).over(frame) > 0
-        columns[f"{key}_txn_count_{name}"] = F.when(seen, F.count(amount).over(frame))
-        columns[f"{key}_amt_sum_{name}"] = F.sum(amount).over(frame)
+        # The frame of a null time would be the other null times.
+        timed = F.col(time).isNotNull()
+        columns[f"{key}_txn_count_{name}"] = F.when(timed & seen, F.count(amount).over(frame))
+        columns[f"{key}_amt_sum_{name}"] = F.when(timed, F.sum(amount).over(frame))
         if name in STD_WINDOWS:
-            columns[f"{key}_amt_std_{name}"] = F.stddev_samp(amount).over(frame)
+            columns[f"{key}_amt_std_{name}"] = F.when(timed, F.stddev_samp(amount).over(frame))
     # The lag sorts by (card, time, id); the frames then reuse that order.
     return (
         tx.withColumn("_alone", spread_nulls(key, row_id))

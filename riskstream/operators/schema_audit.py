@@ -19,16 +19,13 @@ def profile(
     text: DataFrame,
     required: list[str],
     overrides: dict[str, str] | None = None,
-    sample_rows: int | None = None,
 ) -> DataFrame:
     """Position, type and nullability of each column of an all-text table.
 
     Numbers, columns without any value, and true/false columns without a null are
     ``double``; everything else is ``string``. ``overrides`` fixes the type of named
-    columns. ``sample_rows`` profiles only the first rows.
+    columns.
     """
-    if sample_rows is not None:
-        text = text.limit(sample_rows)
     facts: list[Column] = [F.count(F.lit(1)).alias("_rows")]
     for i, name in enumerate(text.columns):
         value = F.col(f"`{name}`")

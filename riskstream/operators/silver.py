@@ -80,6 +80,25 @@ def transactions(
     )
 
 
+def parse_versions(
+    bronze: DataFrame,
+    versions: dict[str, T.StructType],
+    default: str,
+    version: str = "schema_version",
+    value: str = "kafka_value",
+) -> DataFrame:
+    """Each record read by the schema its ``version`` names, all under one schema.
+
+    Records without a version, or with one not listed, are read by ``default``. Fields a
+    version lacks are null; ``valid`` is about the fields the record's own schema requires.
+    """
+    own = F.when(F.col(version).isin(list(versions)), F.col(version)).otherwise(F.lit(default))
+    parts = [
+        parse(bronze.where(own == name), schema, value) for name, schema in versions.items()
+    ]
+    return union_versions(*parts)
+
+
 def union_versions(*versions: DataFrame) -> DataFrame:
     """Rows of several schema versions under one schema; fields a version lacks are null."""
     merged = versions[0]

@@ -148,24 +148,40 @@ from (select kafka_offset, case when json_valid(kafka_value) then kafka_value en
 
 
 def mixed_version_read(spark, folder):
-    """Three record layouts under one schema."""
-    rows = silver.parse(inputs.bronze(spark, folder), _PAYLOAD).where("TransactionID is not null")
-    old = rows.where("kafka_offset % 4 = 2").select("TransactionID", "TransactionAmt", "card1")
-    new = rows.where("kafka_offset % 4 = 1").select("M1", "card1", "TransactionID", "TransactionAmt")
-    wide = rows.where("kafka_offset % 4 = 0").select(
-        "TransactionID", "isFraud", "TransactionAmt", "card1", "M1"
-    )
-    return silver.union_versions(old, new, wide)
+    """Every record read by the schema its header names, under one schema."""
 
+    def fields(*names: str) -> T.StructType:
+        return T.StructType([_PAYLOAD[n] for n in names])
 
-_MIXED_SQL = f"""select try_cast(json_extract_string(v, '$.TransactionID') as bigint)
-    as TransactionID, {_json_number("TransactionAmt")} as TransactionAmt,
-  {_json_number("card1")} as card1,
-  case when kafka_offset % 4 != 2 then coalesce(json_extract_string(v, '$.M1.string'),
+    versions = {
+        "0": _PAYLOAD,
+        "1": fields("M1", "card1", "TransactionID", "TransactionAmt"),
+        "2": fields("TransactionID", "TransactionAmt", "card1"),
+        "3": fields("TransactionID", "TransactionDT", "M1"),
+    }
+    rows = silver.parse_versions(inputs.bronze(spark, folder), versions, default="0")
+    return rows.select(
+        "kafka_offset", "schema_version", "TransactionID", "TransactionAmt", "card1", "M1",
+        "isFraud", "valid",
+    )
+
+
+def _where_version(*versions: str) -> str:
+    return f"coalesce(schema_version, '0') in ({', '.join(repr(v) for v in versions)})"
+
+
+_MIXED_SQL = f"""select kafka_offset, schema_version,
+  try_cast(json_extract_string(v, '$.TransactionID') as bigint) as TransactionID,
+  case when {_where_version("0", "1", "2")} then {_json_number("TransactionAmt")} end
+    as TransactionAmt,
+  case when {_where_version("0", "1", "2")} then {_json_number("card1")} end as card1,
+  case when {_where_version("0", "1", "3")} then coalesce(json_extract_string(v, '$.M1.string'),
     json_extract_string(v, '$.M1')) end as M1,
-  case when kafka_offset % 4 = 0 then {_json_number("isFraud")} end as isFraud
-from (select kafka_offset, case when json_valid(kafka_value) then kafka_value end as v from msgs)
-where kafka_offset % 4 != 3 and json_exists(v, '$.TransactionID')"""
+  case when {_where_version("0")} then {_json_number("isFraud")} end as isFraud,
+  coalesce(json_exists(v, '$.TransactionID')
+    and ({_where_version("1", "2")} or json_exists(v, '$.TransactionDT')), false) as valid
+from (select kafka_offset, schema_version, case when json_valid(kafka_value) then kafka_value end
+  as v from msgs)"""
 
 
 def _as_text(spark, folder):
@@ -209,9 +225,16 @@ _TEXT_SQL = (
 def csv_round_trip(spark, folder):
     """Transactions written as CSV and read back with explicit types."""
     path = _new_path(spark, "csv")
-    rows = inputs.tx(spark, folder).select("TransactionID", "card1", "TransactionAmt", "card4")
+    rows = inputs.tx(spark, folder).select(
+        "TransactionID", "card1", "TransactionAmt", "card4", F.expr(_ODD_TEXT).alias("note")
+    )
     files.write_csv(rows, path)
-    return files.read_csv(spark, path, rows.schema)
+    return files.read_csv(spark, path, rows.schema, line_breaks=True)
+
+
+# Quotes, commas and line breaks inside a value.
+_ODD_TEXT = """case TransactionID % 5 when 0 then concat('say "', coalesce(card4, '?'), '", then, stop')
+  when 1 then concat('two', chr(10), 'lines') when 2 then '"' when 3 then 'a,b' else card4 end"""
 
 
 _PROPOSED = [
@@ -320,7 +343,9 @@ QUERIES = {
     "mixed_version_read": Query(mixed_version_read, sql(_MIXED_SQL, "msgs")),
     "schema_profile": Query(schema_profile, sql(_profile_sql(), "tx", extra=_TEXT_SQL)),
     "csv_round_trip": Query(
-        csv_round_trip, sql("select TransactionID, card1, TransactionAmt, card4 from tx", "tx")
+        csv_round_trip, sql(
+            f"select TransactionID, card1, TransactionAmt, card4, {_ODD_TEXT} as note from tx", "tx"
+        )
     ),
     "schema_drift_audit": Query(
         schema_drift_audit, sql(_drift_sql(), "msgs", extra=_READABLE_SQL)

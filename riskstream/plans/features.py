@@ -63,7 +63,12 @@ def rolling(spark, folder):
 
 def rolling_hot(spark, folder):
     # A low limit sends the heavy card, and whoever else is dense, down the sliced plan.
-    return _shown(rolling_features(inputs.tx(spark, folder, hot=True), dense_rows=50))
+    rows = inputs.tx(spark, folder, hot=True).withColumn("us", F.expr(_SOME_TIMES))
+    return _shown(rolling_features(rows, dense_rows=50))
+
+
+# Now and then the time is missing, for the heavy card and for others.
+_SOME_TIMES = "case when TransactionID % 103 = 0 then null else us end"
 
 
 def time_since_last(spark, folder):
@@ -110,10 +115,14 @@ def time_quantile(spark, folder):
 
 def categorical_codes(spark, folder):
     train, test, _ = model.time_split(inputs.tx(spark, folder))
-    # Training rows lack one value, so the test part holds an unseen one.
-    train = train.where(F.coalesce(F.col("card4"), F.lit("")) != "b2")
-    codes = model.fit_codes(train, ["ProductCD", "card4"])
-    return model.encode(test, codes).select("TransactionID", "ProductCD_code", "card4_code")
+    # Devices that turn up late are new to the training part.
+    device = F.expr(_DEVICE_SQL)
+    codes = model.fit_codes(train.withColumn("device", device), ["ProductCD", "card4", "device"])
+    rows = model.encode(test.withColumn("device", device), codes)
+    return rows.select("TransactionID", "ProductCD_code", "card4_code", "device_code")
+
+
+_DEVICE_SQL = "concat('d', cast(cast(floor(us / 86400000000) as bigint) % 40 as string))"
 
 
 def class_ratio(spark, folder):
@@ -215,7 +224,15 @@ QUERIES = {
         rolling, sql(_SHOWN_SQL + " from feat", "tx", extra=_features_sql("tx"))
     ),
     "rolling_features_hot": Query(
-        rolling_hot, sql(_SHOWN_SQL + " from feat", "tx_hot", extra=_features_sql("tx_hot"))
+        rolling_hot,
+        sql(
+            f"{_SHOWN_SQL} from feat union all select TransactionID, card1, "
+            + ", ".join("null" for _ in _FEATURES)
+            + f" from tx_hot where ({_SOME_TIMES}) is null",
+            "tx_hot",
+            extra=f"timed as (select * from tx_hot where ({_SOME_TIMES}) is not null), "
+            + _features_sql("timed"),
+        ),
     ),
     "time_since_last": Query(
         time_since_last,
@@ -266,17 +283,18 @@ QUERIES = {
         categorical_codes,
         sql(
             """select TransactionID, coalesce(p.code, -1) as ProductCD_code,
-              coalesce(c.code, -1) as card4_code
-            from tx cross join split
+              coalesce(c.code, -1) as card4_code, coalesce(d.code, -1) as device_code
+            from (select *, {device} as device from tx) cross join split
             left join (select ProductCD, row_number() over (order by ProductCD) - 1 as code
                        from known group by ProductCD) p using (ProductCD)
             left join (select card4, row_number() over (order by card4) - 1 as code
                        from known where card4 is not null group by card4) c using (card4)
-            where us > border""",
+            left join (select device, row_number() over (order by device) - 1 as code
+                       from known group by device) d using (device)
+            where us > border""".replace("{device}", _DEVICE_SQL),
             "tx",
             extra=_SPLIT_SQL
-            + """, known as (select tx.* from tx, split
-               where us <= border and coalesce(card4, '') != 'b2')""",
+            + f", known as (select tx.*, {_DEVICE_SQL} as device from tx, split where us <= border)",
         ),
     ),
     "class_ratio": Query(

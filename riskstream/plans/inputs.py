@@ -208,7 +208,7 @@ _MSG_SQL = (
     "msgs as (select *, "
     + _INGEST.format(days="60 day", zero="0 day")
     + """ as ingest_time,
-  case when abs(try_cast(time_text as double)) < 9e12
+  case when abs(try_cast(time_text as double) * 1000) < 9223372036854775
        then cast(trunc(try_cast(time_text as double) * 1000) as bigint) end as event_ms
   from (select ts, """
     + ", ".join(_named(_MSG))

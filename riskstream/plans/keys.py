@@ -19,8 +19,9 @@ def _sample(spark, folder, as_of: str = _AS_OF, **limits):
     return hotkeys.recent(inputs.bronze(spark, folder), clock, _DAYS * 86_400, **limits)
 
 
-def _sample_sql(as_of: str = _AS_OF, limit: str = "50000", name: str = "sample") -> str:
+def _sample_sql(as_of: str = _AS_OF, limit: str | None = None, name: str = "sample") -> str:
     """The scan window by arg: seen rows, bounds per partition, rows from the start offset."""
+    start = f"greatest(coalesce(first, low), high - {limit})" if limit else "coalesce(first, low)"
     return f"""{name}_seen as (select * from msgs where ingest_time <= timestamp '{as_of}'),
 {name}_bounds as (
   select kafka_partition, min(kafka_offset) as low, max(kafka_offset) + 1 as high,
@@ -30,10 +31,9 @@ def _sample_sql(as_of: str = _AS_OF, limit: str = "50000", name: str = "sample")
 {name} as (
   select s.*, regexp_replace(kafka_key, '-[0-9]+$', '') as key
   from {name}_seen s join {name}_bounds b using (kafka_partition)
-  where kafka_offset >= greatest(coalesce(first, low), high - {limit}))"""
+  where kafka_offset >= {start})"""
 
 
-_TOPIC_LIMIT = "greatest(50000 // parts, 1)"
 _PART = "kafka_topic, kafka_partition"
 _SHARES_SQL = f"""shares as (
   select {_PART}, key, n, sum(n) over (partition by kafka_partition) as total,
@@ -68,7 +68,7 @@ def partition_key(spark, folder):
 
 
 def key_shares(spark, folder):
-    shares = hotkeys.key_shares(_sample(spark, folder, max_messages=None))
+    shares = hotkeys.key_shares(_sample(spark, folder))
     return shares.withColumn("share", rounded("share"))
 
 
@@ -87,8 +87,7 @@ def _heavy(spark, folder):
 
 
 def _cooled(spark, folder):
-    sample = _sample(spark, folder, whole_topic=True)
-    return hotkeys.demote(sample, inputs.tracked_keys(spark))
+    return hotkeys.demote(_sample(spark, folder), inputs.tracked_keys(spark))
 
 
 def detect(spark, folder):
@@ -101,15 +100,19 @@ def demote(spark, folder):
 
 def set_union(spark, folder):
     tracked = inputs.tracked_keys(spark)
-    return hotkeys.with_added(tracked, hotkeys.added(_heavy(spark, folder), tracked))
+    return hotkeys.listed(hotkeys.with_added(tracked, hotkeys.added(_heavy(spark, folder), tracked)))
 
 
 def set_demoted(spark, folder):
-    return hotkeys.without_cooled(inputs.tracked_keys(spark), _cooled(spark, folder))
+    return hotkeys.listed(
+        hotkeys.without_cooled(inputs.tracked_keys(spark), _cooled(spark, folder))
+    )
 
 
 def already_tracked(spark, folder):
-    return hotkeys.already_tracked(_heavy(spark, folder), inputs.tracked_keys(spark))
+    return hotkeys.listed(
+        hotkeys.already_tracked(_heavy(spark, folder), inputs.tracked_keys(spark))
+    )
 
 
 def _proposals(spark, folder):
@@ -125,7 +128,7 @@ def approved_set(spark, folder):
     """The tracked set after someone approved the removals and rejected the additions."""
     status = F.when(F.col("action") == "remove", "approved").otherwise("rejected")
     answered = _proposals(spark, folder).withColumn("status", status)
-    return hotkeys.apply_approved(inputs.tracked_keys(spark), answered)
+    return hotkeys.listed(hotkeys.apply_approved(inputs.tracked_keys(spark), answered))
 
 
 def skew_diagnosis(spark, folder):
@@ -143,7 +146,7 @@ def chronic_hot_keys(spark, folder):
     return hotkeys.chronic(scans)
 
 
-def _sampled(query: str, *more: str, limit: str = "50000") -> str:
+def _sampled(query: str, *more: str, limit: str | None = None) -> str:
     tables = ", ".join([_sample_sql(limit=limit), *more])
     return sql(query, "msgs", "tracked", extra=tables)
 
@@ -180,7 +183,6 @@ QUERIES = {
             f"""select key, n, cast(sum(n) over () as bigint) as total,
               {sql_rounded('n / sum(n) over ()')} as share
             from (select key, count(*) as n from sample group by key)""",
-            limit="1000000000",
         ),
     ),
     "hotkey_window_sample": Query(
@@ -211,7 +213,6 @@ QUERIES = {
         _sampled(
             f"select key, n, total, {sql_rounded('share')} as share from cooled",
             _COOLED_SQL,
-            limit=_TOPIC_LIMIT,
         ),
     ),
     "hotkey_set_union": Query(
@@ -225,7 +226,6 @@ QUERIES = {
         _sampled(
             "select key from tracked except select key from cooled",
             _COOLED_SQL,
-            limit=_TOPIC_LIMIT,
         ),
     ),
     "hotkey_already_tracked": Query(
@@ -246,7 +246,7 @@ QUERIES = {
                     _sample_sql(),
                     _SHARES_SQL,
                     _HEAVY_SQL,
-                    _sample_sql(limit=_TOPIC_LIMIT, name="topic"),
+                    _sample_sql(name="topic"),
                     _COOLED_SQL.replace("from sample", "from topic"),
                 ]
             ),
@@ -257,7 +257,6 @@ QUERIES = {
         _sampled(
             "select key from tracked except select key from cooled",
             _COOLED_SQL,
-            limit=_TOPIC_LIMIT,
         ),
     ),
     "skew_diagnosis": Query(

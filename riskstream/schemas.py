@@ -56,25 +56,27 @@ def _numbered(prefix: str, last: int, kind: T.DataType) -> list[tuple[str, T.Dat
 
 
 def transaction() -> T.StructType:
-    """Version 1 of the transaction event: 386 fields, two of them required."""
+    """Version 1 of the transaction event: 386 fields in wire order, two of them required.
+
+    Fixed values: names, order, types and which fields are required.
+    """
     double, text = T.DoubleType(), T.StringType()
-    amount_and_card = [("TransactionAmt", double), ("card1", double)]
-    feature_columns = (
-        _numbered("dist", 2, double)
-        + _numbered("C", 14, double)
-        + _numbered("D", 15, double)
-        + _numbered("M", 9, text)
-        + _numbered("V", 339, double)
-    )
-    references = [("user_reference_sk", double), ("merchant_data_sk", double)]
-    schema = _event(
-        [("TransactionID", T.LongType()), ("TransactionDT", double)],
-        [("isFraud", double)] + amount_and_card + feature_columns + references,
-    )
-    # On the wire the label comes before the event time.
-    wire_order = ["TransactionID", "isFraud", "TransactionDT"]
+    columns = [
+        ("isFraud", double),
+        ("TransactionDT", double),
+        ("TransactionAmt", double),
+        ("card1", double),
+        *_numbered("dist", 2, double),
+        *_numbered("C", 14, double),
+        *_numbered("D", 15, double),
+        *_numbered("M", 9, text),
+        *_numbered("V", 339, double),
+        ("user_reference_sk", double),
+        ("merchant_data_sk", double),
+    ]
     return T.StructType(
-        [schema[n] for n in wire_order] + [f for f in schema.fields if f.name not in wire_order]
+        [T.StructField("TransactionID", T.LongType(), False)]
+        + [T.StructField(name, kind, name != "TransactionDT") for name, kind in columns]
     )
 
 

@@ -11,17 +11,26 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, absent values as null."""
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+# A quote inside a value is doubled, as spreadsheets and data frames write it.
+_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def read_csv_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """All columns as text, absent values as null.
+
+    Values with ``line_breaks`` need whole files read by one task each.
+    """
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=line_breaks, **_QUOTING)
     return raw.select(
         *[F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = False
+) -> DataFrame:
     """Columns of ``schema``; unreadable values are null. Other columns of the file are dropped."""
-    text = read_csv_text(spark, path)
+    text = read_csv_text(spark, path, line_breaks)
     return text.select(
         *[_typed(f"`{f.name}`", f.dataType).alias(f.name) for f in schema.fields]
     )
@@ -39,4 +48,4 @@ def _typed(name: str, kind: T.DataType):
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, header=True)
+    df.write.mode(mode).csv(path, header=True, **_QUOTING)

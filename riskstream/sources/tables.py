@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
+from riskstream.functions.headers import event_hour
 from riskstream.operators.hot import small_or_written
 
 ROWS_PER_FILE = 1_000_000
@@ -46,7 +47,7 @@ def read_archive(
         if text is None:
             continue
         limit = F.to_timestamp(F.lit(text))
-        hour = F.date_format(limit, "yyyy-MM-dd-HH")
+        hour = event_hour(limit)
         if closed:
             rows = rows.where((F.col("event_time") >= limit) & (F.col("event_hour") >= hour))
         else:

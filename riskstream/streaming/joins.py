@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.operators.joins import enrich
+from riskstream.session import written
+
+_LOG = logging.getLogger(__name__)
 
 
 def join_feeds(
@@ -63,16 +67,18 @@ def enrich_stream(
 
 
 class RefreshingTable:
-    """A lookup table re-read for every micro-batch; a failed read keeps the last good one."""
+    """A lookup table re-read for every micro-batch; a failed read keeps the last good one.
+
+    What was read is copied to a folder of its own, a new one per refresh, so the last good
+    version stays readable when the source is overwritten, damaged or gone.
+    """
 
     def __init__(self, read: Callable[[], DataFrame], empty: DataFrame):
         self._read, self._current = read, empty
 
     def get(self) -> DataFrame:
         try:
-            fresh = self._read()
-            fresh.limit(1).count()  # opens a file, so a half-written table fails here
-            self._current = fresh
-        except Exception:  # noqa: BLE001 - any unreadable table means "keep the old one"
-            pass
+            self._current = written(self._read(), "lookup")
+        except Exception as error:  # noqa: BLE001 - whatever fails, the old table stays in use
+            _LOG.warning("refresh failed, the last good table stays in use: %s", error)
         return self._current

@@ -33,6 +33,9 @@ def publish(
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
+        # A feed may be quiet, and features wait for the watermark: nothing to write then.
+        if rows.isEmpty():
+            return
         write_batch(rows, history, batch_id)
         stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{history}/batch_id={batch_id}")
         write_batch(latest_per_key(stored, key), latest, batch_id)

@@ -139,3 +139,40 @@ def test_history_and_latest_agree(spark, sf, tmp_path):
     fold_latest(spark, latest, target, 1, "card1")
     folded = read_latest(spark, target).select(*expected.columns)
     assert folded.exceptAll(expected).count() == 0 and folded.count() == expected.count()
+
+
+def test_a_quiet_feed_publishes_nothing_and_goes_on(spark, sf, tmp_path):
+    rows = inputs.tx(spark, sf).where("TransactionID < 50").select(
+        "TransactionID", "us", "card1", "TransactionAmt"
+    )
+    rows.limit(0).write.parquet(str(tmp_path / "in" / "a"))
+    history, latest = str(tmp_path / "history"), str(tmp_path / "latest")
+
+    def run():
+        feed = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in" / "*"))
+        publish(feed, history, latest, str(tmp_path / "c"), trigger=ONCE).awaitTermination()
+
+    run()
+    rows.write.parquet(str(tmp_path / "in" / "b"))
+    run()
+    assert spark.read.parquet(history).count() == 50
+    assert read_latest(spark, latest).count() == latest_per_key(rows).count()
+
+
+def test_an_overwritten_unreadable_table_keeps_the_old_keys(spark, tmp_path):
+    path = tmp_path / "keys"
+
+    def read():
+        return spark.read.schema("key string").parquet(str(path))
+
+    table = RefreshingTable(read, spark.createDataFrame([], "key string"))
+    assert table.get().count() == 0  # no table yet
+    spark.createDataFrame([("3",)], "key string").write.parquet(str(path))
+    assert [r.key for r in table.get().collect()] == ["3"]
+    for part in path.glob("part-*"):
+        part.write_bytes(b"no table")
+    for crc in path.glob(".part-*"):
+        crc.unlink()
+    assert [r.key for r in table.get().collect()] == ["3"]
+    spark.createDataFrame([("7",)], "key string").write.mode("overwrite").parquet(str(path))
+    assert [r.key for r in table.get().collect()] == ["7"]

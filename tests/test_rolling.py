@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from riskstream.operators.rolling import rolling_features
+from riskstream.operators.rolling import feature_names, rolling_features
 
 SCHEMA = "TransactionID long, us long, card1 long, TransactionAmt double"
 S = 1_000_000
@@ -113,3 +113,14 @@ def test_the_sparse_plan_shuffles_once(spark, sf):
     plan = rolling_features(inputs.tx(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_rows_without_time_stay_and_have_no_features(spark):
+    rows = [(i, 1, 1_000_000 * i, 2.0) for i in range(100)] + [(500, 1, None, 3.0), (501, 2, None, 4.0)]
+    tx = spark.createDataFrame(rows, "TransactionID long, card1 long, us long, TransactionAmt double")
+    for dense_rows in (10, 10_000):
+        found = {r.TransactionID: r for r in rolling_features(tx, dense_rows=dense_rows).collect()}
+        assert len(found) == 102
+        assert found[50].card1_txn_count_1h == 50
+        for i in (500, 501):
+            assert all(found[i][c] is None for c in feature_names())

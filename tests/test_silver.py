@@ -82,8 +82,6 @@ def test_profile(spark):
     }
     schema = schema_audit.schema_from_profile(schema_audit.profile(df, ["id"], {"id": "long"}))
     assert schema.names[0] == "id" and not schema["id"].nullable
-    sample = schema_audit.profile(df.coalesce(1), ["id"], sample_rows=1)
-    assert sample.where("field = 'mixed'").first().type == "string"
 
 
 def test_drift_follows_the_compatibility_rules(spark):
