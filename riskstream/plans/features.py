@@ -137,15 +137,26 @@ def eval_metrics(spark, folder):
     return metrics.select("tp", "fp", "fn", *[rounded(c).alias(c) for c in ("precision", "recall", "f1")])
 
 
-_VECTOR = ["TransactionAmt", "id_01", "fraud_rate", *_FEATURES]
+# Categories that enter the vector as codes of the training part; user attributes come from
+# the reference table, which knows a card's latest value.
+_CODED = ["ProductCD", "user_card4", "DeviceInfo"]
+_CODES = [f"{c}_code" for c in _CODED]
+_WHOLE = [*_COUNTS, "id_01", *_CODES]
+_VECTOR = ["TransactionAmt", "id_01", "fraud_rate", "user_card2", *_CODES, *_FEATURES]
 
 
 def _vector(spark, folder) -> DataFrame:
+    """Every input of the model: amounts, rolling features, identity, reference data, codes."""
     rows = inputs.tx(spark, folder)
     device = inputs.identities(spark, folder).select("TransactionID", "id_01", "DeviceInfo")
-    merchants = reference.merchant_data(rows)
+    users = reference.user_reference(rows, ["card2", "card4"]).select(
+        "card1", F.col("card2").alias("user_card2"), F.col("card4").alias("user_card4")
+    )
     wide = joins.join_identity(rolling_features(rows), device)
-    return wide.join(merchants, "ProductCD", "left")
+    wide = joins.enrich(wide, users, reference.merchant_data(rows))
+    known, _, _ = model.time_split(rows)
+    known = joins.join_identity(known, device).join(users, "card1", "left")
+    return model.encode(wide, model.fit_codes(known.select(*_CODED), _CODED))
 
 
 def feature_vector(spark, folder):
@@ -154,23 +165,54 @@ def feature_vector(spark, folder):
         "TransactionID",
         "isFraud",
         "DeviceInfo",
-        *[c if c in _COUNTS + ["id_01"] else rounded(c).alias(c) for c in _VECTOR],
+        *[c if c in _WHOLE else rounded(c).alias(c) for c in _VECTOR],
     )
 
 
 def positional_vector(spark, folder):
-    """The numeric part of the feature vector under positional names."""
-    rows = _vector(spark, folder).select("TransactionID", "TransactionAmt", "id_01", "fraud_rate")
-    named = model.positional(rows.drop("TransactionID"))
-    return named.groupBy().agg(
-        F.count("f0").alias("n_f0"), F.count("f1").alias("n_f1"), F.count("f2").alias("n_f2")
+    """The feature vector under positional names, as the model is handed it."""
+    rows = _vector(spark, folder).select(
+        "TransactionID", *[F.col(c) if c in _WHOLE else rounded(c).alias(c) for c in _VECTOR]
     )
+    return model.positional(rows)
 
 
 _MERCHANT_SQL = """merchants as (
   select row_number() over (order by ProductCD) as merchant_data_sk, ProductCD,
          avg(isFraud) as fraud_rate from tx group by ProductCD)"""
 
+_USERS_SQL = """users as (
+  select card1, arg_max(card2, us) filter (card2 is not null) as user_card2,
+    arg_max(card4, us) filter (card4 is not null) as user_card4
+  from tx where card1 is not null group by card1)"""
+
+
+def _codes_sql(column: str) -> str:
+    return f"""codes_{column} as (
+  select {column}, row_number() over (order by {column}) - 1 as code
+  from known where {column} is not null group by {column})"""
+
+
+_WIDE_SQL = ", ".join(
+    [
+        _features_sql("tx"),
+        _MERCHANT_SQL,
+        _USERS_SQL,
+        _SPLIT_SQL,
+        """joined as (
+  select f.*, i.id_01, i.DeviceInfo, user_card2, user_card4, fraud_rate
+  from feat f left join (select TransactionID, id_01, DeviceInfo from ident) i
+    using (TransactionID) left join users using (card1) left join merchants using (ProductCD))""",
+        "known as (select joined.* from joined, split where us <= border)",
+        *map(_codes_sql, _CODED),
+        "wide as (select joined.*, "
+        + ", ".join(f"coalesce(codes_{c}.code, -1) as {c}_code" for c in _CODED)
+        + " from joined "
+        + " ".join(f"left join codes_{c} using ({c})" for c in _CODED)
+        + ")",
+    ]
+)
+
 # The score of the decision queries: a fixed expression in place of a trained model.
 _SCORE = "(k + 0.5) / 100.0"
 
@@ -324,25 +366,24 @@ QUERIES = {
         feature_vector,
         sql(
             "select TransactionID, isFraud, DeviceInfo, "
-            + ", ".join(
-                c if c in _COUNTS + ["id_01"] else f"{sql_rounded(c)} as {c}" for c in _VECTOR
-            )
-            + """ from feat left join (select TransactionID, id_01, DeviceInfo from ident) i
-                 using (TransactionID) left join merchants using (ProductCD)""",
+            + ", ".join(c if c in _WHOLE else f"{sql_rounded(c)} as {c}" for c in _VECTOR)
+            + " from wide",
             "tx",
             "ident",
-            extra=_features_sql("tx") + ", " + _MERCHANT_SQL,
+            extra=_WIDE_SQL,
         ),
     ),
     "positional_vector": Query(
         positional_vector,
         sql(
-            """select count(TransactionAmt) as n_f0, count(id_01) as n_f1, count(fraud_rate) as n_f2
-            from tx left join (select TransactionID, id_01 from ident) i using (TransactionID)
-            left join merchants using (ProductCD)""",
+            "select TransactionID as f0, "
+            + ", ".join(
+                f"{c if c in _WHOLE else sql_rounded(c)} as f{i + 1}" for i, c in enumerate(_VECTOR)
+            )
+            + " from wide",
             "tx",
             "ident",
-            extra=_MERCHANT_SQL,
+            extra=_WIDE_SQL,
         ),
     ),
     "decisions": Query(
