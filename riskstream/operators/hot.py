@@ -16,7 +16,8 @@ from riskstream.session import written
 
 MAX_ROWS_PER_TASK = 5_000_000
 _MAX_DRIVER_KEYS = 10_000
-_SLICES = 4_096  # a power of two
+# Quantiles kept per heavy key: a power of two, more when the heaviest key needs more slices.
+_LEAST_SLICES, _MOST_SLICES = 4_096, 1 << 24
 
 
 def small_or_written(df: DataFrame, name: str) -> DataFrame | None:
@@ -51,14 +52,18 @@ def heavy_keys(
     keys = small_or_written(counted, "heavy-keys")
     if keys is None:
         return None
+    heaviest = keys.agg(F.max("_n")).first()[0]
+    slices = _LEAST_SLICES
+    while slices * max_rows < 2 * heaviest and slices < _MOST_SLICES:
+        slices *= 2
     # One constant instead of thousands keeps the plan small.
-    shares = F.lit(",".join(str(i / _SLICES) for i in range(1, _SLICES)))
+    shares = F.lit(",".join(str(i / slices) for i in range(1, slices)))
     quantiles = F.split(shares, ",").cast("array<double>")
-    every = F.greatest(F.floor(_SLICES / (2 * F.ceil(F.col("_n") / max_rows))), F.lit(1))
+    every = F.greatest(F.floor(slices / (2 * F.ceil(F.col("_n") / max_rows))), F.lit(1))
     cuts = (
         df.join(keys, F.col(key) == F.col("_heavy"))
         .groupBy("_heavy", "_n")
-        .agg(F.percentile_approx(time, quantiles, 10 * _SLICES).alias("_all"))
+        .agg(F.percentile_approx(time, quantiles, 10 * slices).alias("_all"))
         .select("_heavy", F.filter("_all", lambda c, i: (i + 1) % every == 0).alias("_cuts"))
     )
     return small_or_written(cuts, "heavy-cuts")
@@ -73,7 +78,7 @@ def with_slice(df: DataFrame, key: str, time: str, heavy: DataFrame | None) -> D
     if heavy is None:
         return df.withColumn("_slice", F.lit(None).cast("bigint"))
     # Number of cuts at or below the time, by halving steps.
-    steps = F.array(*[F.lit(_SLICES >> i) for i in range(1, _SLICES.bit_length())])
+    steps = F.array(*[F.lit(_MOST_SLICES >> i) for i in range(1, _MOST_SLICES.bit_length())])
     reached = F.aggregate(
         steps,
         F.lit(0),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,7 @@ from riskstream.operators.bronze import to_bronze
 from riskstream.sources.tables import ROWS_PER_FILE, by_hour, hour_counts
 
 COMMIT_INTERVAL = "5 seconds"
-_MAX_LISTED_HOURS = 1_000
+_MAX_LISTED_HOURS = 100
 
 
 def archive(
@@ -63,8 +63,8 @@ def append_new(
         if counts is None:
             return
         new = rows
-        if path_exists(spark, path):
-            stored = spark.read.schema(schemas.ARCHIVE).parquet(path).where(_near(counts))
+        stored = _stored_near(spark, path, counts)
+        if stored is not None:
             new = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
         (
             by_hour(new, counts, rows_per_file)
@@ -78,11 +78,15 @@ def append_new(
         rows.unpersist()
 
 
-def _near(counts: DataFrame) -> Column:
-    """Where the archive may hold rows of a batch.
+_NO_HOUR = "__HIVE_DEFAULT_PARTITION__"  # where Spark puts rows whose partition value is null
 
-    Names each hour of the batch; a replay of more hours than fit a filter is
-    limited by its first and last hour instead.
+
+def _stored_near(spark, path: str, counts: DataFrame) -> DataFrame | None:
+    """What the archive may hold of a batch, or None.
+
+    Only the folders of the batch's own hours are looked at, so the work of a batch does not
+    grow with the archive. A replay of more hours than are worth naming reads the archive
+    between its first and last hour instead.
     """
     listed = counts.select("_hour").take(_MAX_LISTED_HOURS + 1)
     first, last, low, high, gaps = counts.agg(
@@ -92,14 +96,20 @@ def _near(counts: DataFrame) -> Column:
         F.max("_high"),
         F.count_if(F.col("_hour").isNull()),
     ).first()
-    hour = F.col("event_hour")
-    near = hour.between(first, last)
+    read = spark.read.schema(schemas.ARCHIVE).option("basePath", path)
     if len(listed) <= _MAX_LISTED_HOURS:
-        named = [r["_hour"] for r in listed if r["_hour"] is not None]
-        near = hour.isin(named) if named else F.lit(False)
-    if gaps:
-        near = near | hour.isNull()
-    return near & F.col("kafka_offset").between(low, high)
+        folders = [f"{path}/event_hour={r['_hour'] or _NO_HOUR}" for r in listed]
+        folders = [folder for folder in folders if path_exists(spark, folder)]
+        stored = read.parquet(*folders) if folders else None
+    elif path_exists(spark, path):
+        hour = F.col("event_hour")
+        near = hour.between(first, last)
+        stored = read.parquet(path).where(near | hour.isNull() if gaps else near)
+    else:
+        stored = None
+    if stored is None:
+        return None
+    return stored.where(F.col("kafka_offset").between(low, high))
 
 
 def path_exists(spark, path: str) -> bool:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from riskstream import schemas
+from riskstream.functions.headers import event_hour
 from riskstream.operators.hotkeys import detect, recent
 from riskstream.operators.quality import duplicates
 from riskstream.plans import inputs
@@ -108,3 +109,30 @@ def test_scan_over_the_archive(spark, sf, tmp_path):
     )
     none = spark.createDataFrame([], schemas.TRACKED_KEYS)
     assert "3" in {r.key for r in detect(sample, none, 0.1).collect()}
+
+
+def test_a_batch_opens_only_its_own_hours(spark, sf, tmp_path):
+    path = str(tmp_path / "archive")
+    rows = inputs.bronze(spark, sf).where("event_time is not null").persist()
+    hours = [r[0] for r in rows.select(F.date_trunc("hour", "event_time")).distinct().take(2)]
+    batch = rows.where(F.date_trunc("hour", "event_time") == hours[0])
+    other = tmp_path / "archive" / f"event_hour={hours[1]:%Y-%m-%d-%H}"
+    other.mkdir(parents=True)
+    (other / "part-0.parquet").write_bytes(b"not a table")
+    for batch_id in (0, 1):
+        append_new(batch, path, batch_id)
+    stored = spark.read.schema(schemas.ARCHIVE).parquet(f"{path}/event_hour={hours[0]:%Y-%m-%d-%H}")
+    assert stored.count() == batch.count() > 0
+
+
+def test_hours_do_not_depend_on_the_session_time_zone(spark):
+    rows = spark.createDataFrame([(0,), (-1,), (1_705_000_000_000_000,), (None,)], "us long")
+    hour = rows.select(event_hour(F.timestamp_micros("us")).alias("h"))
+    expected = ["1970-01-01-00", "1969-12-31-23", "2024-01-11-19", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert [r.h for r in hour.collect()] == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
