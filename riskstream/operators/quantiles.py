@@ -28,7 +28,10 @@ def exact_quantile(
     low = _ranked(values, rows, math.floor(rank), max_rows)
     if rank == math.floor(rank):
         return float(low)
-    high = _ranked(values, rows, math.ceil(rank), max_rows)
+    # The next value in order is either a tie or the smallest one above.
+    v = F.col("v")
+    at_most, above = values.agg(F.count_if(v <= low), F.min(F.when(v > low, v))).first()
+    high = low if at_most > math.ceil(rank) else above
     return float(low + (high - low) * (rank - math.floor(rank)))
 
 
