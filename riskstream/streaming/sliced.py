@@ -38,7 +38,7 @@ from riskstream.streaming.archive import path_exists, write_batch
 _ROWS = "card1 bigint, TransactionID bigint, TransactionAmt double, us bigint"
 _MARKS = "newest bigint, n_late bigint, batch_id bigint"
 _SUMS = (
-    "_k bigint, _rows bigint, _n bigint, _sum double, _dev double, _sq double, _last bigint, "
+    "_k bigint, _rows bigint, _n bigint, _sum double, _m2 double, _last bigint, "
     "_slice bigint, batch_id bigint"
 )
 _LAST = "_k bigint, _last bigint, batch_id bigint"
@@ -116,8 +116,10 @@ def _emit(
         back = seconds // slice_seconds
         needed = needed | F.col("_slice").between(first - back, last - back)
     near = stored.where(needed & F.col("card1").isNotNull())
+    # Squares are summed around a typical amount of the card, so that they do not cancel.
+    centers = near.groupBy("card1").agg(F.coalesce(F.avg("TransactionAmt"), F.lit(0.0)).alias("_c"))
     points = frame_points(
-        near, "card1", "us", "TransactionAmt", "TransactionID", F.lit(0.0)
+        near.join(centers, "card1"), "card1", "us", "TransactionAmt", "TransactionID", F.col("_c")
     ).where(F.col("_t") <= end)
     open_sums = slice_sums(points, slice_seconds).where(F.col("_slice").between(first, last))
     sums = open_sums
@@ -125,6 +127,11 @@ def _emit(
         closed = spark.read.schema(_SUMS).parquet(f"{store}/sums")
         longest = max(windows.values()) // slice_seconds
         closed = closed.where(F.col("_slice").between(first - longest, first - 1))
+        closed = closed.join(centers.withColumnRenamed("card1", "_k"), "_k")
+        dev = F.col("_sum") - F.col("_n") * F.col("_c")
+        closed = closed.withColumns(
+            {"_dev": dev, "_sq": F.col("_m2") + F.when(F.col("_n") > 0, dev * dev / F.col("_n"))}
+        )
         sums = open_sums.unionByName(closed.select(*open_sums.columns))
 
     at = frames(points, sums, windows, slice_seconds).where(F.col("_t") > start)
@@ -150,7 +157,10 @@ def _emit(
     write_batch(features, out, batch_id)
     newest_rows = band.where(F.col("card1").isNotNull()).groupBy(F.col("card1").alias("_k"))
     write_batch(newest_rows.agg(F.max("us").alias("_last")), f"{store}/last", batch_id)
-    write_batch(open_sums.where(F.col("_slice") < last), f"{store}/sums", batch_id, by=["_slice"])
+    # Stored free of the centre: rows, sum, and squares around the slice's own mean.
+    own = F.when(F.col("_n") > 0, F.col("_sq") - F.col("_dev") * F.col("_dev") / F.col("_n"))
+    parts = open_sums.withColumn("_m2", F.greatest(own, F.lit(0.0))).drop("_dev", "_sq")
+    write_batch(parts.where(F.col("_slice") < last), f"{store}/sums", batch_id, by=["_slice"])
 
 
 def _newest(spark, store: str, batch_id: int) -> int | None:

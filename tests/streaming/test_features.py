@@ -161,3 +161,19 @@ def test_sliced_stream_counts_late_rows_and_remembers_idle_cards(spark, tmp_path
     assert rows[4].card1_time_since_last is None
     marks = spark.read.parquet(str(tmp_path / "store" / "marks"))
     assert marks.agg(F.sum("n_late")).first()[0] == 1
+
+
+def test_large_amounts_keep_their_deviation_in_the_sliced_stream(spark, tmp_path):
+    rows = spark.range(300).select(
+        F.lit(7).cast("bigint").alias("card1"),
+        F.col("id").alias("TransactionID"),
+        (F.lit(1e9) + (F.col("id") % 2) * 0.01).alias("TransactionAmt"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 300_000_000).alias("event_time"),
+    )
+    source = str(tmp_path / "in")
+    write_files(rows.unionByName(flush_row(spark)), source, F.col("event_time"), 4)
+    found = spark.read.parquet(run_sliced(spark, source, tmp_path, rows.schema))
+    deviations = [r[0] for r in found.where("card1 = 7").select("card1_amt_std_24h").collect()]
+    known = [d for d in deviations if d is not None]
+    assert len(deviations) == 300 and len(known) == 298
+    assert all(abs(d - 0.005) < 0.003 for d in known)
