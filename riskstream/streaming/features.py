@@ -20,10 +20,10 @@ still arrive. Minutes older than the longest window are dropped.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -41,17 +41,19 @@ def streaming_features(
     windows: dict[str, int] = WINDOWS,
     lateness: str = LATENESS,
     small_rows: int = SMALL_ROWS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Features of a stream with ``card1``, ``TransactionID``, ``TransactionAmt``, ``event_time``.
 
+    The columns of ``keep`` come out with their row, for joins and decisions after this step.
     Group by the raw card, never by a salted key. Rows without a card have null
     features and skip the state. Rows later than ``lateness`` are dropped and show
     up in the query's ``numRowsDroppedByWatermark``.
     """
     columns = ["card1", "TransactionID", "TransactionAmt", "event_time"]
-    rows = tx.select(*columns, F.unix_micros("event_time").alias("us")).withWatermark(
-        "event_time", lateness
-    )
+    rows = tx.select(
+        *columns, F.unix_micros("event_time").alias("us"), packed(keep).alias("_kept")
+    ).withWatermark("event_time", lateness)
     processor = RollingProcessor(windows, small_rows)
     features = (
         rows.where(F.col("card1").isNotNull())
@@ -60,6 +62,7 @@ def streaming_features(
     )
     without_card = rows.where(F.col("card1").isNull()).drop("event_time")
     both = features.unionByName(without_card, allowMissingColumns=True)
+    both = unpacked(both, tx.select(*keep).schema)
     means = {
         f"card1_amt_mean_{w}": safe_ratio(
             F.col(f"card1_amt_sum_{w}"), F.col(f"card1_txn_count_{w}")
@@ -70,6 +73,23 @@ def streaming_features(
     return both.withColumns(means).withColumn(f"amt_to_mean_{RATIO_WINDOW}_ratio", ratio)
 
 
+_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def packed(columns: Sequence[str]) -> Column:
+    """Columns as one text that state can hold; null for none."""
+    return F.to_json(F.struct(*columns), _JSON) if columns else F.lit(None).cast("string")
+
+
+def unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema`` in place of ``_kept``."""
+    if not schema.fields:
+        return df.drop("_kept")
+    return df.withColumn("_kept", F.from_json("_kept", schema, _JSON)).select(
+        *[c for c in df.columns if c != "_kept"], "_kept.*"
+    )
+
+
 def _output(windows: dict[str, int]) -> T.StructType:
     fields = [
         T.StructField("card1", T.LongType()),
@@ -83,7 +103,7 @@ def _output(windows: dict[str, int]) -> T.StructType:
         fields.append(T.StructField(f"card1_amt_sum_{name}", T.DoubleType()))
         if name in STD_WINDOWS:
             fields.append(T.StructField(f"card1_amt_std_{name}", T.DoubleType()))
-    return T.StructType(fields)
+    return T.StructType([*fields, T.StructField("_kept", T.StringType())])
 
 
 class RollingProcessor(StatefulProcessor):
@@ -97,7 +117,7 @@ class RollingProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._pending = handle.getListState("pending", "us bigint, id bigint, amt double")
+        self._pending = handle.getListState("pending", "us bigint, id bigint, amt double, kept string")
         self._recent = handle.getValueState("recent", "us array<bigint>, amt array<double>")
         self._minutes = handle.getMapState(
             "minutes", "minute bigint", "us array<bigint>, amt array<double>"
@@ -108,7 +128,7 @@ class RollingProcessor(StatefulProcessor):
         self._last = handle.getValueState("last", "us bigint")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        added = [(r["us"], r["TransactionID"], r["TransactionAmt"]) for r in rows]
+        added = [(r["us"], r["TransactionID"], r["TransactionAmt"], r["_kept"]) for r in rows]
         self._pending.appendList(added)
         self._handle.registerTimer(min(a[0] for a in added) // 1000 + 1)
         return iter([])
@@ -141,12 +161,12 @@ class RollingProcessor(StatefulProcessor):
             for name, length in self._windows.items():
                 count, total, std = history.frame(now - length, now)
                 frames += [count, total] + ([std] if name in STD_WINDOWS else [])
-            for us, row_id, amount in ready[start:stop]:
+            for us, row_id, amount, kept in ready[start:stop]:
                 since = None if previous is None else (us - previous) / MICROS
-                values = (key[0], row_id, amount, us, since, *frames)
+                values = (key[0], row_id, amount, us, since, *frames, kept)
                 out.append(Row(**dict(zip(self._names, values))))
                 previous = us
-            for _, _, amount in ready[start:stop]:
+            for _, _, amount, _ in ready[start:stop]:
                 history.add(now, amount)
             start = stop
         if ready:

@@ -17,9 +17,12 @@ replaces what its first try left.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.functions.scalars import MICROS
@@ -34,8 +37,9 @@ from riskstream.operators.rolling import (
     with_means,
 )
 from riskstream.streaming.archive import path_exists, write_batch
+from riskstream.streaming.features import packed, unpacked
 
-_ROWS = "card1 bigint, TransactionID bigint, TransactionAmt double, us bigint"
+_ROWS = "card1 bigint, TransactionID bigint, TransactionAmt double, us bigint, _kept string"
 _MARKS = "newest bigint, n_late bigint, batch_id bigint"
 _SUMS = (
     "_k bigint, _rows bigint, _n bigint, _sum double, _m2 double, _last bigint, "
@@ -53,20 +57,29 @@ def sliced_features(
     windows: dict[str, int] = WINDOWS,
     slice_seconds: int = SLICE_SECONDS,
     trigger: dict | None = None,
+    keep: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write the features of ``card1``, ``TransactionID``, ``TransactionAmt``, ``event_time`` rows.
 
     A row is written once every row before it must have arrived. Rows later than
-    ``lateness_seconds`` are left out and counted in ``marks``.
+    ``lateness_seconds`` are left out and counted in ``marks``. The columns of ``keep`` come
+    out with their row.
     """
     rows = tx.select(
-        "card1", "TransactionID", "TransactionAmt", F.unix_micros("event_time").alias("us")
+        "card1",
+        "TransactionID",
+        "TransactionAmt",
+        F.unix_micros("event_time").alias("us"),
+        packed(keep).alias("_kept"),
     )
+    kept = tx.select(*keep).schema
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)  # read for its extent and to store it
         try:
-            _emit(df, batch_id, store, out, lateness_seconds * MICROS, windows, slice_seconds)
+            _emit(
+                df, batch_id, store, out, lateness_seconds * MICROS, windows, slice_seconds, kept
+            )
         finally:
             df.unpersist()
 
@@ -86,6 +99,7 @@ def _emit(
     lateness: int,
     windows: dict[str, int],
     slice_seconds: int,
+    kept_columns: T.StructType,
 ) -> None:
     spark = df.sparkSession
     before = _newest(spark, store, batch_id - 1)
@@ -148,13 +162,13 @@ def _emit(
         )
     band = stored.where(
         (F.col("us") > start) & (F.col("us") <= end) & F.col("_slice").between(first, last)
-    ).select("card1", "TransactionID", "TransactionAmt", "us")
+    ).select("card1", "TransactionID", "TransactionAmt", "us", "_kept")
     ready = attach(band, at.drop("_idle"), "card1", "us", "TransactionID", windows)
     without_card = band.where(F.col("card1").isNull())
     features = with_means(
         ready.unionByName(without_card, allowMissingColumns=True), "card1", "TransactionAmt", windows
-    ).drop(*[c for c in ready.columns if c.startswith("_")])
-    write_batch(features, out, batch_id)
+    ).drop(*[c for c in ready.columns if c.startswith("_") and c != "_kept"])
+    write_batch(unpacked(features, kept_columns), out, batch_id)
     newest_rows = band.where(F.col("card1").isNotNull()).groupBy(F.col("card1").alias("_k"))
     write_batch(newest_rows.agg(F.max("us").alias("_last")), f"{store}/last", batch_id)
     # Stored free of the centre: rows, sum, and squares around the slice's own mean.

@@ -177,3 +177,30 @@ def test_large_amounts_keep_their_deviation_in_the_sliced_stream(spark, tmp_path
     known = [d for d in deviations if d is not None]
     assert len(deviations) == 300 and len(known) == 298
     assert all(abs(d - 0.005) < 0.003 for d in known)
+
+
+def test_kept_columns_come_out_with_their_row_in_both_forms(spark, sf, tmp_path):
+    rows = feed(spark, sf, 120).withColumns(
+        {
+            "ProductCD": F.when(F.col("TransactionID") % 3 > 0, F.concat(F.lit('é"'), "TransactionID")),
+            "seen_at": F.timestamp_micros(F.col("TransactionID") + 1_704_067_200_123_456),
+            "score": F.col("TransactionID") / 7,
+        }
+    )
+    keep = ["ProductCD", "seen_at", "score"]
+    source = str(tmp_path / "in")
+    write_files(rows, source, F.col("event_time"), 2)
+    flush = flush_row(spark).selectExpr(
+        "*", "string(null) as ProductCD", "timestamp(null) as seen_at", "double(null) as score"
+    )
+    add_file(flush, source, "part-flush")
+    stream = streaming_features(read_files(spark, source, rows.schema), keep=keep)
+    stateful, _ = run(spark, stream, tmp_path)
+    sliced_features(
+        read_files(spark, source, rows.schema), str(tmp_path / "store"), str(tmp_path / "sliced"),
+        str(tmp_path / "sliced-c"), trigger=ONCE, keep=keep,
+    ).awaitTermination()
+    expected = {r[0]: tuple(r[1:]) for r in rows.select("TransactionID", *keep).collect()}
+    for found in (stateful, spark.read.parquet(str(tmp_path / "sliced"))):
+        got = found.where("TransactionID >= 0").select("TransactionID", *keep).collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == expected
