@@ -46,9 +46,15 @@ RESULT = ("n_tokens", "n_units", "n_edits", "n_tokens_edited", "n_reencoded")
 EDIT = "struct<start:bigint,end:bigint,text:string>"
 
 
-def encoding(ranks: str = RANKS) -> tiktoken.Encoding:
-    with open(ranks, "rb") as file:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+def read_ranks(path: str = RANKS) -> bytes:
+    """The file of ranks, under a megabyte; the driver reads it and sends it with the tasks."""
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def encoding(ranks: bytes) -> tiktoken.Encoding:
+    lines = (line.split() for line in ranks.splitlines())
+    table = {base64.b64decode(a): int(b) for a, b in lines}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
@@ -199,9 +205,10 @@ def count(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     schema = docs.select(*others).schema
     for name in RESULT:
         schema = schema.add(name, "long")
+    data = read_ranks(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(encoding(ranks))
+        counter = Counter(encoding(data))
         for batch in batches:
             rows = []
             for text, edits in zip(

@@ -8,7 +8,7 @@ SIGNS = ["a", "b", "the", " ", "  ", "\n", "\t", "'s", "'ll", "don't", "é", "1"
 
 
 def test_counts_follow_any_edits():
-    bpe = token_counts.encoding()
+    bpe = token_counts.encoding(token_counts.read_ranks())
     counter = token_counts.Counter(bpe)
     rng = random.Random(4)
 
@@ -30,7 +30,7 @@ def test_counts_follow_any_edits():
 
 
 def test_only_the_touched_stretch_is_encoded_again():
-    tree = token_counts.Tree("word " * 20_000, token_counts.Counter(token_counts.encoding()))
+    tree = token_counts.Tree("word " * 20_000, token_counts.Counter(token_counts.encoding(token_counts.read_ranks())))
     tree.edit(50_000, 50_004, "two words")
     assert tree.reencoded <= 8
     assert tree.n_tokens == token_counts.Tree(tree.text(), tree.counter).n_tokens
@@ -43,7 +43,7 @@ def test_edits_from_a_table_and_awkward_rows(spark):
         "doc_id bigint, step int, start int, end int, text string",
     )
     rows = by_id(token_counts.count(token_counts.with_edits(df, edits)))
-    bpe = token_counts.encoding()
+    bpe = token_counts.encoding(token_counts.read_ranks())
     # step 1 puts two blanks first, step 2 replaces the first five characters then
     assert rows[1]["n_tokens_edited"] == len(bpe.encode_ordinary("goodbyelo world"))
     assert rows[1]["n_tokens"] == len(bpe.encode_ordinary("hello world"))
@@ -56,7 +56,7 @@ def test_every_document_against_whole_encoding(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     edited = df.withColumn("edits", token_counts.routine_edits(df["text"], df["doc_id"]))
     texts = by_id(edited)
-    bpe = token_counts.encoding()
+    bpe = token_counts.encoding(token_counts.read_ranks())
     for i, r in by_id(token_counts.count(edited)).items():
         text = texts[i]["text"]
         assert r["n_tokens"] == len(bpe.encode_ordinary(text))
