@@ -13,12 +13,10 @@ also indexes its empty segments, in a key space of its own; two such sets then m
 other pair has a set within the allowance. ``plan`` picks m, the number of segments with allocation
 2, and E by cost: index rows plus the weight of segments so small that unlike sets share them.
 
-Keys become links in three rounds, none of which pairs all members of a key: (1) within each batch
-of rows and then across batches every set is paired with the smallest document of its key, and
-each document is verified against the partner it shares most keys with; (2) what is still apart is
-verified for the remaining pairs; (3) keys whose members are still in different components are
-searched for pairs between these: members are compared in blocks by size and by sketch (parity bits
-of the set, from which a least difference follows), each names its closest partners that are not
+Keys become links in two steps, neither of which pairs all members of a key: (1) within each slice
+of rows and then across slices every set is paired with the smallest document of its key, and those
+pairs are verified; (2) keys whose members are still in different components are searched for pairs between these: members are compared in blocks by size and by sketch (parity bits
+of the set, from which a least difference follows), each names the closest partners that are not
 ruled out, and the search is repeated for more partners until no member has any left. Pairs are
 verified exactly on the whole sets. A group of copies is thereby joined by a star, whatever its
 size, and only pairs that may link are emitted. Links within a component that is already joined
@@ -39,7 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -56,15 +54,17 @@ BAND = 1.4
 #: What a segment of fewer than three expected elements costs, in index rows.
 SMALL_SEGMENT = 5
 #: Bits of a sketch for sets below a size.
-SKETCH_BITS = ((1500, 1024), (6000, 4096), (math.inf, 16384))
-#: Members of a key that are compared in one task.
-BLOCK = 1000
+SKETCH_BITS = ((400, 1024), (1500, 2048), (6000, 8192), (math.inf, 32768))
+#: Keys that two neighbours in a family share at least.
+FAMILY = 3
+#: Members of a group that are compared in one task.
+BLOCK = 4000
 #: Numbers of a comparison held at once.
 CELLS = 500_000
 #: Partners a member of an open key names in the first search, and how many times more in each next.
 FIRST_PARTNERS, MORE_PARTNERS = 4, 16
-#: Document ids up to this number (16 bytes each) are broadcast to the scan of the texts.
-BROADCAST_IDS = 1_000_000
+#: Tables of ids up to this many rows (two or three numbers each) are broadcast.
+BROADCAST_ROWS = 250_000
 
 
 class Band(NamedTuple):
@@ -185,8 +185,14 @@ def _long_lists(flat: np.ndarray, lengths: list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+#: Rows of the index: a document with its set size and sketch, a key of the smallest document of
+#: its slice that has it, a key of another one. ``part`` is what a task gathers rows by.
+_DOCUMENT, _HEAD, _MEMBER = 0, 1, 2
+_INDEX = "kind int, part long, key long, a long, b long, sketch array<long>"
+
+
 def _index(size: int, percent: int):
-    """Per row set size, keys and sketch, and per key the smallest document of the slice with it."""
+    """Rows of the index, slice by slice: (document, set size) and (document, head) per key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,26 +213,34 @@ def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBa
         as_long(keys_of(s, percent)) if len(s) and name else _NO_KEYS
         for s, name in zip(sets, named, strict=True)
     ]
+    key = np.concatenate([_NO_KEYS, *keys])
+    owner = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), [len(k) for k in keys])
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    head = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+    other = owner != head
+    # A key that many documents of a slice share is gathered by its head alone.
+    part = np.where(other, as_long(mix((owner ^ key).view(np.uint64))), key)
+    n, m = len(sets), len(key)
     sketches = [sketch_of(s) for s in sets]
-    lengths = [len(k) for k in keys]
-    flat = np.concatenate([_NO_KEYS, *keys])
-    owner = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), lengths)
-    order = np.lexsort((owner, flat))
-    sorted_keys = flat[order]
-    first = np.ones(len(flat), bool)
-    first[1:] = sorted_keys[1:] != sorted_keys[:-1]
-    head_at = np.maximum.accumulate(np.where(first, np.arange(len(flat)), 0))
-    least = np.empty(len(flat), np.int64)
-    least[order] = owner[order][head_at]
+    offsets = np.concatenate([np.zeros(m + 1, np.int64), np.cumsum([len(s) for s in sketches])])
+    spread = as_long(mix(np.arange(n, dtype=np.uint64) + np.uint64(m)))
     return pa.RecordBatch.from_arrays(
         [
-            ids,
-            pa.array([len(s) for s in sets], pa.int64()),
-            _long_lists(flat, lengths),
-            _long_lists(least, lengths),
-            _long_lists(np.concatenate([_NO_KEYS, *sketches]), [len(s) for s in sketches]),
+            pa.array(np.concatenate([np.where(other, _MEMBER, _HEAD), [_DOCUMENT] * n]), pa.int32()),
+            pa.array(np.concatenate([part, spread])),
+            pa.array(np.concatenate([key, spread])),
+            pa.concat_arrays([pa.array(owner, pa.int64()), ids.cast(pa.int64())]),
+            pa.array(np.concatenate([head, np.array([len(s) for s in sets], np.int64)])),
+            pa.ListArray.from_arrays(
+                pa.array(offsets.astype(np.int32)),
+                pa.array(np.concatenate([_NO_KEYS, *sketches])),
+                mask=pa.array(np.arange(m + n) < m),
+            ),
         ],
-        names=["doc_id", "n_shingles", "keys", "heads", "sketch"],
+        names=["kind", "part", "key", "a", "b", "sketch"],
     )
 
 
@@ -251,21 +265,26 @@ def _sets(size: int, columns: tuple[str, ...]):
     return run
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """Broadcast a written table of ids or pairs when it is known to be small."""
-    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written; broadcast where it is joined if it is known to be small.
+
+    The rows are counted while they are written.
+    """
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return F.broadcast(table) if seen.get["n"] <= BROADCAST_ROWS else table
 
 
 def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the written ``pairs (a, b)`` whose sets link.
+    """Those of the stored ``pairs (a, b)`` whose sets link.
 
     The set of ``a`` is made where its text is read, and sent to ``b``.
     """
     texts = docs.select("doc_id", "text")
-    left = texts.join(_small(pairs), F.col("doc_id") == F.col("a")).select("a", "b", "text")
+    left = texts.join(pairs, F.col("doc_id") == F.col("a")).select("a", "b", "text")
     left = left.mapInArrow(_sets(size, ("a", "b")), "a long, b long, elements array<long>")
-    wanted = written(pairs.select("b").distinct(), "partners")
-    right = texts.join(_small(wanted), F.col("doc_id") == F.col("b")).select("b", "text")
+    wanted = _stored(pairs.select("b").distinct(), "partners")
+    right = texts.join(wanted, F.col("doc_id") == F.col("b")).select("b", "text")
     right = right.mapInArrow(_sets(size, ("b",)), "b long, elements array<long>")
     right = right.withColumnRenamed("elements", "others")
     shared = F.size(F.array_intersect("elements", "others"))
@@ -278,28 +297,19 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     )
 
 
-def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of ``pairs`` whose two documents are not in one component."""
-    left = joined.select(F.col("id").alias("a"), F.col("component").alias("_ca"))
-    right = joined.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
-    return (
-        pairs.join(left, "a", "left")
-        .join(right, "b", "left")
-        .withColumns({"_ca": F.coalesce("_ca", "a"), "_cb": F.coalesce("_cb", "b")})
-        .filter("_ca <> _cb")
-    )
-
-
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per document."""
-    index = written(
-        docs.select("doc_id", "text").mapInArrow(
-            _index(size, percent),
-            "doc_id long, n_shingles long, keys array<long>, heads array<long>, sketch array<long>",
-        ),
-        "ngram-index",
+    rows = docs.select("doc_id", "text").mapInArrow(_index(size, percent), _INDEX)
+    # Of the heads of a key the smallest is the head of all; the others become its members.
+    head = F.first("a").over(Window.partitionBy("kind", "part").orderBy("a"))
+    rows = rows.withColumn("b", F.when(F.col("kind") == _HEAD, head).otherwise(F.col("b")))
+    rows = rows.filter((F.col("kind") == _DOCUMENT) | (F.col("a") != F.col("b")))
+    rows = written(rows.drop("part"), "ngram-index")
+    index = rows.filter(F.col("kind") == _DOCUMENT).select(
+        F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sketch"
     )
-    joined = _join(docs, index, size, percent)
+    shared = rows.filter(F.col("kind") != _DOCUMENT).select("key", "a", "b")
+    joined = _join(docs, index, shared, size, percent)
     return index.join(joined, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
@@ -314,8 +324,8 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     found = written(similar(docs, size, percent).filter("n_shingles > 0"), "similar")
     doomed = found.filter("doc_id <> component_id").select("doc_id").distinct()
     again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    left = docs.join(_small(written(doomed, "doomed")), "doc_id", "left_anti")
-    again = _small(written(again.filter("doc_id is not null"), "again"))
+    left = docs.join(_stored(doomed, "doomed"), "doc_id", "left_anti")
+    again = _stored(again.filter("doc_id is not null"), "again")
     with_words = F.rlike(F.coalesce("text", F.lit("")), F.lit(WORD))
     order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
     several = left.join(again, "doc_id", "left_semi")
@@ -328,93 +338,133 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     )
 
 
-def _join(docs: DataFrame, index: DataFrame, size: int, percent: int) -> DataFrame:
-    rows = index.select("doc_id", F.explode(F.arrays_zip("keys", "heads")).alias("x")).select(
-        F.col("x.keys").alias("key"), F.col("doc_id").alias("a"), F.col("x.heads").alias("b")
-    )
-    by_key = Window.partitionBy("key").orderBy("a")
-    across = rows.filter("a = b").withColumn("b", F.first("a").over(by_key)).filter("a <> b")
-    shared = written(rows.filter("a <> b").unionByName(across), "shared-keys")
-
-    counts = shared.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    best = written(
-        counts.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")), "pairs"
-    )
-    links = written(verify(docs, best, size, percent), "verified")
-    joined = written(components(links), "components")
-
-    rest = _apart(counts, joined).join(best, ["a", "b"], "left_anti").select("a", "b")
-    rest = written(_close(rest, index, percent), "pairs")
-    links = written(links.unionByName(verify(docs, rest, size, percent)), "verified")
-    joined = written(components(links), "components")
-    seen = best.unionByName(rest).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+def _join(
+    docs: DataFrame, index: DataFrame, shared: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """``id, component`` of all documents that link with another."""
+    known = index.filter("doc_id is not null and n_shingles > 0").select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"
     )
+    pairs = _stored(shared.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    tried = _stored(_close(pairs.select("a", "b"), known, percent), "close-pairs")
+    links = written(verify(docs, tried, size, percent), "verified")
+    joined = _stored(components(links), "components")
+    family = components(pairs.filter(F.col("n") >= FAMILY).select("a", "b"))
+    groups = _groups(_stored_open(shared, joined), _stored(family, "families"), known)
 
     most = FIRST_PARTNERS
     while True:
-        found = written(_partners(shared, joined, index, percent, most), "partners")
-        new = found.filter("a is not null").select("a", "b").distinct()
-        new = written(new.join(seen, ["a", "b"], "left_anti"), "pairs")
-        more = found.filter("more").limit(1).count()
-        if new.count():
+        found = written(_partners(groups, joined, percent, most), "partners")
+        new = found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        new = _stored(new, "pairs")
+        if not new.isEmpty():
             links = written(links.unionByName(verify(docs, new, size, percent)), "verified")
-            joined = written(components(links), "components")
-            seen = seen.unionByName(new)
-        if not more:
+            joined = _stored(components(links), "components")
+            tried = tried.unionByName(new)
+        if found.filter("more").isEmpty():
             return joined
         most *= MORE_PARTNERS
 
 
-def _close(pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` that may link by set size and sketch."""
-    own = index.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("_na"))
-    other = index.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("_nb"))
-    fits = (100 * F.col("_na") >= percent * F.col("_nb")) & (
-        100 * F.col("_nb") >= percent * F.col("_na")
+def _close(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Those of the stored ``pairs`` that may link by set size and sketch, larger id first."""
+    left = known.join(pairs, F.col("id") == F.col("a")).select(
+        "a", "b", F.col("n").alias("na"), F.col("sketch").alias("sa")
+    )
+    both = left.join(known, F.col("id") == F.col("b"))
+    total = F.col("n") + F.col("na")
+    # Sketches of one length are compared; others are left to the exact check.
+    apart = F.aggregate(
+        F.zip_with("sa", "sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda acc, x: acc + x,
     )
-    return pairs.join(own, "a").join(other, "b").filter(fits).select("a", "b").distinct()
+    fits = 100 * F.least("n", "na") >= percent * F.greatest("n", "na")
+    near = (F.size("sa") != F.size("sketch")) | (
+        apart <= F.floor((100 - percent) * total / (100 + percent))
+    )
+    return both.filter(fits & near).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    ).distinct()
 
 
-def _partners(
-    shared: DataFrame, joined: DataFrame, index: DataFrame, percent: int, most: int
-) -> DataFrame:
-    """For keys with members in different components, each member's closest partners there.
+def _stored_open(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows of ``shared`` whose key has members in different components."""
+    left = joined.select(F.col("id").alias("a"), F.col("component").alias("_ca"))
+    right = joined.select(F.col("id").alias("b"), F.col("component").alias("_cb"))
+    apart = shared.join(left, "a", "left").join(right, "b", "left")
+    apart = apart.filter(F.coalesce("_ca", "a") != F.coalesce("_cb", "b"))
+    open_ = _stored(apart.select("key").distinct(), "open-keys")
+    return written(shared.join(open_, "key", "left_semi"), "open-rows")
 
-    A key's members are cut into blocks, and every pair of blocks is compared in one task by size and
-    sketch, which are enough to rule out almost all pairs that do not link. Each member names the
-    ``most`` closest partners that are left; ``more`` tells that a member has others.
+
+def _groups(in_open: DataFrame, family: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of open keys in the groups they are searched in, with size and sketch.
+
+    Members that share ``FAMILY`` keys with a common neighbour are a family, as copies are. A family
+    is searched as one group where that compares fewer pairs than its keys one by one; keys with
+    members of several families, and those of the other families, are searched as they are. A
+    group is cut into blocks; a row goes to each pair (i, j) of blocks that its own block is in.
     """
-    open_ = written(_apart(shared, joined).select("key").distinct(), "open-keys")
-    in_open = shared.join(_small(open_), "key", "left_semi")
-    members = in_open.select("key", F.col("a").alias("id")).unionByName(
+    ends = in_open.select("key", F.col("a").alias("id")).unionByName(
         in_open.select("key", F.col("b").alias("id"))
     )
-    members = members.distinct().join(joined, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("c")
+    family = family.withColumnRenamed("component", "g")
+    members = ends.distinct().join(family, "id", "left")
+    members = written(members.withColumn("g", F.coalesce("g", "id")), "open-members")
+    in_key = written(
+        members.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n")), "open-keys-by-family"
     )
-    members = written(members, "open-members")
-    blocks = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks"))
-    known = index.filter("doc_id is not null").select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"
+    size = _stored(
+        members.select("g", "id").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("s")), "sizes"
+    )
+    cost = in_key.groupBy("g").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")).join(size, "g")
+    whole = _stored(
+        cost.select("g", (F.col("s") * F.col("s") <= F.col("pairs")).alias("whole")), "how"
+    )
+    mixed = _stored(
+        in_key.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("mixed")).filter("mixed"), "mixed"
+    )
+    placed = members.join(whole, "g").join(mixed, "key", "left")
+    chosen = (
+        placed.filter("whole")
+        .select(F.lit(True).alias("whole"), F.col("g").alias("key"), "id")
+        .unionByName(
+            placed.filter("mixed or not whole").select(F.lit(False).alias("whole"), "key", "id")
+        )
+    )
+    chosen = written(chosen.distinct(), "compared")
+    blocks = chosen.groupBy("whole", "key").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_blocks")
     )
     mine = F.pmod(F.xxhash64("id"), "n_blocks").cast("int")
-    with_block = members.join(blocks, "key").withColumn("block", mine)
-    # A row goes to each pair of blocks that its own block is in.
-    spread = with_block.select(
-        "key", "id", "c", "block",
+    spread = chosen.join(_stored(blocks, "blocks"), ["whole", "key"]).withColumn("block", mine)
+    spread = spread.select(
+        "whole", "key", "id", "block",
         F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("_other"),
     ).select(
-        "key", "id", "c", "block",
+        "whole", "key", "id", "block",
         F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
     )
-    rows = spread.join(known, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    rows = rows.select("key", "i", "j", "block", "id", "c", "n", "sketch")
+    return written(spread.join(known, "id"), "open-groups")
+
+
+def _partners(groups: DataFrame, joined: DataFrame, percent: int, most: int) -> DataFrame:
+    """For members of groups with several components, their closest partners in other ones.
+
+    Every pair of blocks is compared in one task by size and sketch, which are enough to rule out
+    almost all pairs that do not link. Of two members the one whose component has the larger number
+    names the other; each names the ``most`` closest; ``more`` tells that some member has others.
+    """
+    place = ["whole", "key", "i", "j"]
+    rows = groups.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    rows = rows.repartition(*place).sortWithinPartitions(*place, "id")
+    rows = rows.select(*place, "block", "id", "c", "n", "sketch")
     return rows.mapInArrow(_compare(percent, most), "a long, b long, more boolean")
 
 
 def _compare(percent: int, most: int):
-    """Close pairs within runs of rows with equal (key, i, j), which may go on in the next batch."""
+    """Close pairs within runs of rows of one place, which may go on in the next batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
@@ -424,7 +474,8 @@ def _compare(percent: int, most: int):
                 rows = pa.concat_tables([kept, rows]).combine_chunks()
             if not rows.num_rows:
                 continue
-            group = np.stack([rows.column(c).to_numpy() for c in ("key", "i", "j")])
+            place = [rows.column(c).to_numpy() for c in ("whole", "key", "i", "j")]
+            group = np.stack([p.astype(np.int64) for p in place])
             starts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
             last = int(starts[-1]) if len(starts) else 0
             kept = rows.slice(last)
@@ -454,7 +505,7 @@ def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa
                 some = slice(a + x, min(a + x + step, b))
                 total = sizes[some, None] + sizes[None, a:b]
                 least = np.minimum(sizes[some, None], sizes[None, a:b])
-                near = (comps[some, None] != comps[None, a:b]) & (
+                near = (comps[some, None] > comps[None, a:b]) & (
                     100 * least >= percent * (total - least)
                 )
                 if two_blocks:
