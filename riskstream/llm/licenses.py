@@ -272,7 +272,9 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     scanned = spaced.withColumns(
         {
-            "_found": F.when(F.col("_norm").isNotNull(), F.sort_array(found)).otherwise(F.array().cast(_FOUND)),
+            "_found": F.when(F.col("_norm").isNotNull(), F.sort_array(found)).otherwise(
+                F.array().cast(_FOUND)
+            ),
             "_base": F.when(F.contains("_norm", F.lit(" license ")), base).otherwise(
                 F.array().cast(_BASE)
             ),

@@ -15,12 +15,13 @@ other pair has a set within the allowance. ``plan`` picks m, the number of segme
 
 Keys become links in two steps, neither of which pairs all members of a key: (1) within each slice
 of rows and then across slices every set is paired with the smallest document of its key, and those
-pairs are verified; (2) keys whose members are still in different components are searched for pairs between these: members are compared in blocks by size and by sketch (parity bits
-of the set, from which a least difference follows), each names the closest partners that are not
-ruled out, and the search is repeated for more partners until no member has any left. Pairs are
-verified exactly on the whole sets. A group of copies is thereby joined by a star, whatever its
-size, and only pairs that may link are emitted. Links within a component that is already joined
-are not verified again: the result is the components.
+pairs are verified; (2) keys whose members are still in different components are searched for pairs
+between these: members are compared in blocks by size and by sketch (parity bits of the set, from
+which a least difference follows), each names the closest partners that are not ruled out, and the
+search is repeated for more partners until no member has any left. Pairs are verified exactly on the
+whole sets. A group of copies is thereby joined by a star, whatever its size, and only pairs that may
+link are emitted. Links within a component that is already joined are not verified again: the result
+is the components.
 
 Defined cases: a null or blank text has no set and links with nothing; fewer than ``SHINGLE`` words
 make one shingle of the whole sequence; rows with equal ``doc_id`` are one node with several sets;

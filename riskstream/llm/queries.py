@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskstream.llm import chat, licenses, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, tiling, token_counts
+from riskstream.llm import (
+    chat,
+    licenses,
+    mixing,
+    ngram_join,
+    pii,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    tiling,
+    token_counts,
+)
 from riskstream.llm.text import table, whole
 
 
