@@ -535,7 +535,8 @@ def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa
 
 
 def _folded(flat: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
-    """Sketches as rows of one width: halves of longer ones are added up modulo two."""
+    """Sketches as unsigned rows of one width: halves of longer ones are added up modulo two."""
+    flat = np.ascontiguousarray(flat).view(np.uint64)  # bits of a negative number count otherwise
     n = len(offsets) - 1
     if len(flat) == n * width:
         return flat.reshape(n, width)

@@ -123,3 +123,28 @@ def test_components_of_paths_stars_and_loops(spark):
     assert {found[1000 + i] for i in range(300)} == {1000}
     assert found[5000] == found[4999] == 4999
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_search_by_key_in_small_blocks_and_several_rounds(spark, monkeypatch):
+    """Without families, three members a block, one partner at first: the same components."""
+    for name, value in (("BLOCK", 3), ("FAMILY", 10**9), ("FIRST_PARTNERS", 1), ("MORE_PARTNERS", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    # A family around the similarity: some pairs link, some do not.
+    texts = [" ".join(edited(words, rng, rng.choice([0.005, 0.01, 0.02, 0.03]))) for _ in range(60)]
+    assert got(docs(spark, texts).repartition(5)) == brute(texts, list(range(60)))
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 60, 390, 410, 1490, 1510, 6100):
+        for _ in range(20):
+            whole = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+            shared = int(rng.integers(0, n + 1))
+            a, b = whole[:n], np.concatenate([whole[:shared], whole[n : n + n - shared]])
+            one, other = ngram_join.sketch_of(a), ngram_join.sketch_of(b)
+            width = min(len(one), len(other))
+            flat = np.concatenate([one, other])
+            bits = ngram_join._folded(flat, np.array([0, len(one), len(flat)]), width)
+            assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= 2 * (n - shared)
