@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskstream.session import written
+from riskstream.session import counted
 
 ROWS_PER_TASK = 1_000_000
 _MAX_RANGES = 4_096
@@ -18,18 +18,18 @@ def dense_ids(
 ) -> DataFrame:
     """Number the rows of ``df``, which has one row per ``key``, in key order.
 
-    ``df`` is written once and counted. A table one task can sort is numbered
+    ``df`` is written once and counted meanwhile. A table one task can sort is numbered
     directly; a longer one is cut into key ranges that are numbered side by side,
     each starting after the rows of the ranges below it.
     """
-    table = written(df, "ids")
-    ranges = -(-table.count() // rows_per_task)
+    table, rows = counted(df, "ids")
+    ranges = -(-rows // rows_per_task)
     in_order = Window.orderBy(key)
     if ranges <= 1:
         return table.withColumn(out, F.row_number().over(in_order).cast("bigint") + (start - 1))
 
     ranges = min(ranges, _MAX_RANGES)
-    ranged = table.withColumn("_range", _range_of(F.col(key), _cuts(table, key, ranges)))
+    ranged = table.withColumn("_range", _range_of(F.col(key), _cuts(table, key, rows, ranges)))
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range: at most _MAX_RANGES rows.
     starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -42,10 +42,10 @@ def dense_ids(
     )
 
 
-def _cuts(table: DataFrame, key: str, ranges: int) -> list:
+def _cuts(table: DataFrame, key: str, rows: int, ranges: int) -> list:
     """Range borders from a sample; any borders give the right ids, even ones balance the tasks."""
     wanted = ranges * _SAMPLE_PER_RANGE
-    share = min(1.0, wanted / max(table.count(), 1))
+    share = min(1.0, wanted / max(rows, 1))
     sample = sorted(row[0] for row in table.select(key).sample(share, seed=7).take(2 * wanted))
     step = max(len(sample) // ranges, 1)
     return sample[step::step][: ranges - 1]

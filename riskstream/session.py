@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +62,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/riskstream/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The written table and its number of rows, counted while it is written."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return table, seen.get["n"]
