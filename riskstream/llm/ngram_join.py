@@ -38,14 +38,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
 from riskstream.llm.hashing import as_long, hashed, mix, slices, windows
 from riskstream.llm.text import WORD
-from riskstream.session import written
+from riskstream.session import counted, written
 
 SHINGLE = 4
 #: Two sets link when 100 x intersection >= PERCENT x union.
@@ -267,13 +267,9 @@ def _sets(size: int, columns: tuple[str, ...]):
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written; broadcast where it is joined if it is known to be small.
-
-    The rows are counted while they are written.
-    """
-    seen = Observation()
-    table = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-    return F.broadcast(table) if seen.get["n"] <= BROADCAST_ROWS else table
+    """``df`` written; broadcast where it is joined if it is known to be small."""
+    table, rows = counted(df, name)
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
 
 def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
