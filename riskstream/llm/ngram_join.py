@@ -51,9 +51,9 @@ SHINGLE = 4
 #: Two sets link when 100 x intersection >= PERCENT x union.
 PERCENT = 85
 #: Largest to smallest set size of a band.
-BAND = 1.4
+BAND = 1.6
 #: What a segment of fewer than three expected elements costs, in index rows.
-SMALL_SEGMENT = 5
+SMALL_SEGMENT = 2
 #: Bits of a sketch for sets below a size.
 SKETCH_BITS = ((400, 1024), (1500, 2048), (6000, 8192), (math.inf, 32768))
 #: Keys that two neighbours in a family share at least.
@@ -187,9 +187,10 @@ def _long_lists(flat: np.ndarray, lengths: list[int]) -> pa.ListArray:
 
 
 #: Rows of the index: a document with its set size and sketch, a key of the smallest document of
-#: its slice that has it, a key of another one. ``part`` is what a task gathers rows by.
+#: its slice that has it, a key of another one. ``part`` is what a task gathers rows by: the key, for
+#: heads; what follows from it is left null there, so that the many rows of heads shuffle small.
 _DOCUMENT, _HEAD, _MEMBER = 0, 1, 2
-_INDEX = "kind int, part long, key long, a long, b long, sketch array<long>"
+_INDEX = "part long, a long, kind int, key long, b long, sketch array<long>"
 
 
 def _index(size: int, percent: int):
@@ -230,18 +231,21 @@ def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBa
     spread = as_long(mix(np.arange(n, dtype=np.uint64) + np.uint64(m)))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.concatenate([np.where(other, _MEMBER, _HEAD), [_DOCUMENT] * n]), pa.int32()),
             pa.array(np.concatenate([part, spread])),
-            pa.array(np.concatenate([key, spread])),
             pa.concat_arrays([pa.array(owner, pa.int64()), ids.cast(pa.int64())]),
-            pa.array(np.concatenate([head, np.array([len(s) for s in sets], np.int64)])),
+            pa.array(np.concatenate([np.where(other, _MEMBER, _HEAD), [_DOCUMENT] * n]), pa.int32()),
+            pa.array(np.concatenate([key, spread]), mask=np.concatenate([~other, [True] * n])),
+            pa.array(
+                np.concatenate([head, np.array([len(s) for s in sets], np.int64)]),
+                mask=np.concatenate([~other, [False] * n]),
+            ),
             pa.ListArray.from_arrays(
                 pa.array(offsets.astype(np.int32)),
                 pa.array(np.concatenate([_NO_KEYS, *sketches])),
                 mask=pa.array(np.arange(m + n) < m),
             ),
         ],
-        names=["kind", "part", "key", "a", "b", "sketch"],
+        names=["part", "a", "kind", "key", "b", "sketch"],
     )
 
 
@@ -301,7 +305,8 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     head = F.first("a").over(Window.partitionBy("kind", "part").orderBy("a"))
     rows = rows.withColumn("b", F.when(F.col("kind") == _HEAD, head).otherwise(F.col("b")))
     rows = rows.filter((F.col("kind") == _DOCUMENT) | (F.col("a") != F.col("b")))
-    rows = written(rows.drop("part"), "ngram-index")
+    key = F.coalesce("key", "part").alias("key")
+    rows = written(rows.select("kind", key, "a", "b", "sketch"), "ngram-index")
     index = rows.filter(F.col("kind") == _DOCUMENT).select(
         F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sketch"
     )
