@@ -1,10 +1,10 @@
 """License scan by ordered signature rules.
 
 Text is reduced to lower-case words joined by single spaces, so a rule is a regular expression over
-words and a place is a word number. A rule runs only on a text that contains its keyword, and any
-rule only on a text that contains one of ``GATE``. Detections are then put in order of start (longer
-first, better priority first); one that lies inside an interval of the same or a better priority is
-suppressed. What is left gives the labels.
+words and a place is a word number. A rule runs only on a text whose words contain its keywords, and
+any rule only on a text that can match some rule (``_gate``). Detections are then put in order of
+start (longer first, better priority first); one that lies inside an interval of the same or a
+better priority is suppressed. What is left gives the labels.
 
 The rules are written per license (``LICENSES``) and per form: identifier tag, grant, full name,
 address, short identifier. Everything runs in one pass over each row, with built-in functions only;
@@ -30,7 +30,6 @@ from riskstream.llm.text import ascii_lower, whole
 
 #: What is not a letter, a digit or beyond ASCII parts words.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Phrases that always count, with their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -167,20 +166,20 @@ LICENSES: list[License] = [
             "all rights reserved"),
 ]
 
-_GRANT = (
-    r"(?:licensed|released|distributed|published|available|provided|covered)"
-    r"(?: to you)? under(?: the)?(?: terms of)?(?: the| an| a)? "
+_GRANTED = (
+    r"(?:licensed|released|distributed|published|(?:made )?available|provided|covered)(?: to you)?"
 )
-
-#: A text is only scanned if it contains one of these, in any case.
-GATE = (
-    "licen", "copyright", "copyleft", "spdx", "gpl", "gnu", "creative commons", "creativecommons",
-    "cc0", "cc by", "cc-by", "public domain", "unencumbered", "rights reserved",
-)
+_TERMS = r"(?: the)?(?: terms of)?(?: the| an| a)? "
+#: Second keywords of the grants; such a rule also needs ``_GRANTED`` before it.
+_BY = (" under ", " by ")
 
 
 class Rule(NamedTuple):
-    """Both keywords must occur; priority 1 is the best; ``sure`` is the label's confidence."""
+    """Both keywords must occur; priority 1 is the best; ``sure`` is the label's confidence.
+
+    The keyword is a part of the pattern that every match contains; the second one is ``spdx``, one
+    of ``_BY`` or empty.
+    """
 
     keyword: str
     second: str
@@ -198,25 +197,34 @@ def rules() -> list[Rule]:
     """All signature rules in order."""
     made = []
     for x in LICENSES:
-        in_name = _plain_part(x.name)
+        in_name, in_short = _plain_part(x.name), _plain_part(x.short)
         tag = rf"spdx {_L} identifier {x.short}"
-        made.append(Rule("spdx", x.keyword, _bounded(tag), x.label, 1, 1.0))
-        made.append(Rule(in_name, "under", _bounded(f"{_GRANT}(?:{x.name})"), x.label, 2, 0.95))
-        made.append(Rule(x.keyword, "under", _bounded(f"{_GRANT}(?:{x.short})"), x.label, 2, 0.95))
+        made.append(Rule(in_short, "spdx", _bounded(tag), x.label, 1, 1.0))
+        for by in _BY:
+            grant = f"{_GRANTED}{by.rstrip()}{_TERMS}"
+            made.append(Rule(in_name, by, _bounded(f"{grant}(?:{x.name})"), x.label, 2, 0.95))
+            made.append(Rule(in_short, by, _bounded(f"{grant}(?:{x.short})"), x.label, 2, 0.95))
         if x.address:
             made.append(Rule(_plain_part(x.address), "", _bounded(x.address), x.label, 2, 0.95))
         made.append(Rule(in_name, "", _bounded(x.name), x.label, 3, 0.8))
         if " " in x.short or "gpl" in x.short:
-            made.append(Rule(x.keyword, "", _bounded(x.short), x.label, 4, 0.6))
+            made.append(Rule(in_short, "", _bounded(x.short), x.label, 4, 0.6))
     return made
 
 
+def _gate() -> Column:
+    """Whether any rule can match: a tag, the start of a grant, or a keyword of another rule."""
+    words = {r.keyword for r in rules() if not r.second}
+    words = {"spdx"} | {w for w in words if not any(v in w for v in words if v != w)}
+    has = functools.reduce(operator.or_, (F.contains("_norm", F.lit(w)) for w in sorted(words)))
+    return has | F.rlike("_norm", F.lit(f" {_GRANTED}(?:{'|'.join(_BY)})"))
+
+
 def _plain_part(pattern: str) -> str:
-    """The longest piece that every match contains, but for the words most licenses share."""
-    if "|" in re.sub(r"\([^()]*\)", "", pattern):
-        shared = ("bsd", "licen")
-        return next((w for w in shared if all(w in p for p in pattern.split("|"))), "")
-    fixed = re.sub(r"\((?:[^()]|\([^()]*\))*\)[?]?", "\n", pattern.replace(_L, "\n"))
+    """The longest piece that every match contains."""
+    fixed = re.sub(r"\((?:[^()]|\([^()]*\))*\)[?]?", "\n", pattern.replace(_L, "licen\ne"))
+    if "|" in fixed:
+        return next(w for w in ("bsd", "licen") if all(w in p for p in fixed.split("|")))
     pieces = re.split(r"\n|[a-z0-9 ]\?|\[[^]]*\]\*?|\.\{[^}]*\}", fixed)
     pieces = [piece.strip() for piece in pieces if re.fullmatch(r"[a-z0-9 ]+", piece.strip())]
     return max(pieces, key=len, default="")
@@ -224,37 +232,20 @@ def _plain_part(pattern: str) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with the columns of ``RESULT`` and ``detections`` (start, end, label)."""
-    docs = docs.drop(*RESULT, "detections", "_low", "_norm", "_found", "_base")
-    words = F.trim(ascii_lower(F.regexp_replace(whole("text"), _GAP, " ")))
-    low = F.lower(whole("text"))
-    gate = functools.reduce(operator.or_, (F.contains("_low", F.lit(word)) for word in GATE))
-    spaced = (
-        docs.withColumns(
-            {"n_words": F.regexp_count(whole("text"), F.lit(_WORD)).cast("bigint"), "_low": low}
-        )
-        .withColumn("_norm", F.when(gate, F.concat(F.lit(" "), words, F.lit(" "))))
-        .drop("_low")
-    )
-    table = F.array(
-        *(
-            F.struct(
-                F.lit(r.keyword).alias("keyword"),
-                F.lit(r.second).alias("second"),
-                F.lit(r.pattern).alias("pattern"),
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.sure).alias("sure"),
-            )
-            for r in rules()
-        )
-    )
-    applying = F.filter(
-        table,
-        lambda r: F.contains(F.col("_norm"), r["keyword"]) & F.contains(F.col("_norm"), r["second"]),
+    docs = docs.drop(*RESULT, "detections", "_norm", "_scanned", "_found", "_base")
+    words = F.trim(_ascii_lower(F.regexp_replace(whole("text"), _GAP, " ")))
+    spaced = docs.withColumn("_norm", F.concat(F.lit(" "), words, F.lit(" ")))
+    spaced = spaced.withColumns(
+        {
+            "n_words": F.when(F.col("_norm") == "  ", 0)
+            .otherwise(_n_spaces(F.col("_norm")) - 1)
+            .cast("bigint"),
+            "_scanned": _gate(),
+        }
     )
     found = F.flatten(
         F.transform(
-            applying,
+            _applying(),
             lambda r: F.transform(
                 _places(F.col("_norm"), r["pattern"]),
                 lambda p: F.struct(
@@ -272,14 +263,14 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     scanned = spaced.withColumns(
         {
-            "_found": F.when(F.col("_norm").isNotNull(), F.sort_array(found)).otherwise(
+            "_found": F.when(F.col("_scanned"), F.sort_array(found)).otherwise(
                 F.array().cast(_FOUND)
             ),
             "_base": F.when(F.contains("_norm", F.lit(" license ")), base).otherwise(
                 F.array().cast(_BASE)
             ),
         }
-    ).drop("_norm")
+    ).drop("_norm", "_scanned")
     kept = scanned.withColumn("detections", _unsuppressed(F.col("_found"))).drop("_found")
     starts = F.transform("_base", lambda b: b["start"].cast("bigint"))
     base_labels = F.transform("_base", lambda b: b["label"])
@@ -301,10 +292,48 @@ def scan(docs: DataFrame) -> DataFrame:
     ).drop("_base")
 
 
+_RULE = (
+    "array<struct<keyword:string,pattern:string,label:string,priority:int,sure:double>>"
+)
 _FOUND = "array<struct<start:int,minus_end:int,priority:int,label:string,sure:double>>"
 _BASE = "array<struct<start:int,label:string>>"
 
 
+def _applying() -> Column:
+    """The rules both of whose keywords occur; a second keyword is looked for once for all."""
+    groups: dict[str, list[Rule]] = {}
+    for r in rules():
+        groups.setdefault(r.second, []).append(r)
+    parts = []
+    for second, members in groups.items():
+        table = F.array(
+            *(
+                F.struct(
+                    F.lit(r.keyword).alias("keyword"),
+                    F.lit(r.pattern).alias("pattern"),
+                    F.lit(r.label).alias("label"),
+                    F.lit(r.priority).alias("priority"),
+                    F.lit(r.sure).alias("sure"),
+                )
+                for r in members
+            )
+        )
+        some = F.filter(table, lambda r: F.contains(F.col("_norm"), r["keyword"]))
+        if second in _BY:
+            has = F.rlike("_norm", F.lit(f" {_GRANTED}{second}"))
+        else:
+            has = F.contains("_norm", F.lit(second))
+        parts.append(F.when(has, some).otherwise(F.array().cast(_RULE)))
+    return F.concat(*parts)
+
+
+def _ascii_lower(text: Column) -> Column:
+    """``ascii_lower``, faster on a text of ASCII alone."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        ascii_lower(text)
+    )
+
+
 def _base_places(phrase: str, label: str) -> Column:
     return F.transform(
         _places(F.col("_norm"), F.lit(_bounded(phrase))),
@@ -313,7 +342,7 @@ def _base_places(phrase: str, label: str) -> Column:
 
 
 def _n_spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, " ", ""))
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
 def _places(norm: Column, pattern: Column) -> Column:

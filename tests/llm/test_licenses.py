@@ -81,3 +81,27 @@ def test_keywords_stand_in_the_plainest_match_of_each_rule():
 
     for rule in licenses.rules():
         assert rule.keyword in plain(rule.pattern) + " ", (rule, plain(rule.pattern))
+
+
+def labels_of(spark, texts):
+    return {r["text"]: r["labels"].split(",") for r in check(docs(spark, texts))}
+
+
+def test_no_text_that_a_rule_matches_is_skipped(spark):
+    cases = {
+        "This file is available under CDDL 1.0": "cddl-1.0",
+        "Released under EUPL 1.2": "eupl-1.2",
+        "released under the WTFPL": "wtfpl",
+        "GFDL 1.3": "gfdl-1.3",
+        "released under Apache 2.0": "apache-2.0",
+        "released under the BSD 3-Clause": "bsd-3-clause",
+        "made available to you by the\nISC, see": "isc",
+        "covered by Apache 2.0": "apache-2.0",
+        "released into the public\ndomain": "public-domain",
+        "creative\ncommons attribution 4.0": "cc-by-4.0",
+        "all rights\nreserved": "proprietary",
+        "CC\nBY-SA 4.0": "cc-by-sa-4.0",
+    }
+    got = labels_of(spark, list(cases))
+    for text, label in cases.items():
+        assert label in got[text], (text, got[text])
