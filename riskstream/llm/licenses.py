@@ -38,10 +38,9 @@ RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels
 
 
 class License(NamedTuple):
-    """Label, a plain part of the short identifier, full name, identifier, address, over words."""
+    """Label, full name, identifier as in a tag, address, over words."""
 
     label: str
-    keyword: str
     name: str
     short: str
     address: str = ""
@@ -56,7 +55,6 @@ def _cc(kind: str, long: str, version: str) -> License:
     digits = version.replace(".", " ")
     return License(
         f"cc-{kind}-{version}",
-        " ".join(kind.split("-")),
         rf"creative commons {long}{_V}{digits}",
         rf"cc {' '.join(kind.split('-'))} {digits}",
         rf"creativecommons org licenses {' '.join(kind.split('-'))} {digits}",
@@ -69,7 +67,6 @@ def _gnu(label: str, prefix: str, short: str, version: str, path: str) -> Licens
     optional = "(?: 0)?" if minor == "0" else ""
     return License(
         f"{label}-{version}",
-        short[:3] if label == "gpl" else short,
         rf"{_GNU}{prefix}public {_L}{_V}{digits}{optional}",
         rf"{short}(?: version| v)? ?v?{digits}{optional}",
         rf"gnu org (?:licenses|copyleft) (?:old licenses )?{path} {digits}{optional}",
@@ -84,85 +81,86 @@ LICENSES: list[License] = [
     *(_cc("by-sa", "attribution share ?alike", v) for v in ("4.0", "3.0", "2.5", "2.0")),
     *(_cc("by-nd", "attribution no ?deriv[a-z]*", v) for v in ("4.0", "3.0")),
     *(_cc("by", "attribution", v) for v in ("4.0", "3.0", "2.5", "2.0")),
-    License("cc0-1.0", "cc0", rf"creative commons (?:cc0|zero){_V}1 0", "cc0(?: 1 0)?",
+    License("cc0-1.0", rf"creative commons (?:cc0|zero){_V}1 0", "cc0(?: 1 0)?",
             "creativecommons org publicdomain zero 1 0"),
     _gnu("agpl", "affero general ", "agpl", "3.0", "agpl"),
     *(_gnu("lgpl", "(?:lesser|library) general ", "lgpl", v, "lgpl") for v in ("3.0", "2.1", "2.0")),
     *(_gnu("gpl", "general ", "gpl", v, "gpl") for v in ("3.0", "2.0", "1.0")),
-    License("gfdl-1.3", "gfdl", rf"{_GNU}free documentation {_L}{_V}1 3", "gfdl 1 3",
+    License("gfdl-1.3", rf"{_GNU}free documentation {_L}{_V}1 3", "gfdl 1 3",
             "gnu org licenses fdl 1 3"),
-    License("gfdl-1.2", "gfdl", rf"{_GNU}free documentation {_L}{_V}1 2", "gfdl 1 2"),
-    License("apache-2.0", "apache", rf"apache (?:software )?{_L}{_V}2(?: 0)?", "apache v?2(?: 0)?",
+    License("gfdl-1.2", rf"{_GNU}free documentation {_L}{_V}1 2", "gfdl 1 2"),
+    License("apache-2.0", rf"apache (?:software )?{_L}{_V}2(?: 0)?", "apache v?2(?: 0)?",
             "apache org licenses license 2 0"),
-    License("apache-1.1", "apache", rf"apache (?:software )?{_L}{_V}1 1", "apache v?1 1",
+    License("apache-1.1", rf"apache (?:software )?{_L}{_V}1 1", "apache v?1 1",
             "apache org licenses license 1 1"),
-    License("apache-1.0", "apache", rf"apache (?:software )?{_L}{_V}1 0", "apache v?1 0"),
-    License("mit-0", "mit", rf"mit no attribution(?: {_L})?", "mit 0"),
-    License("mit", "mit", rf"(?:the )?mit {_L}|mit x11 {_L}|expat {_L}", "mit",
+    License("apache-1.0", rf"apache (?:software )?{_L}{_V}1 0", "apache v?1 0"),
+    License("mit-0", rf"mit no attribution(?: {_L})?", "mit 0"),
+    License("mit", rf"(?:the )?mit {_L}|mit x11 {_L}|expat {_L}", "mit",
             "opensource org licen[cs]es? mit"),
-    License("bsd-4-clause", "bsd", rf"original bsd {_L}|bsd 4 clause {_L}|4 clause bsd {_L}",
+    License("bsd-4-clause", rf"original bsd {_L}|bsd 4 clause {_L}|4 clause bsd {_L}",
             "bsd 4 clause"),
-    License("bsd-3-clause", "bsd", rf"(?:new |modified )bsd {_L}|bsd 3 clause {_L}|3 clause bsd {_L}",
+    License("bsd-3-clause", rf"(?:new |modified )bsd {_L}|bsd 3 clause {_L}|3 clause bsd {_L}",
             "bsd 3 clause", "opensource org licenses bsd 3 clause"),
-    License("bsd-2-clause", "bsd", rf"simplified bsd {_L}|freebsd {_L}|bsd 2 clause {_L}|2 clause bsd {_L}",
+    License("bsd-2-clause", rf"simplified bsd {_L}|freebsd {_L}|bsd 2 clause {_L}|2 clause bsd {_L}",
             "bsd 2 clause", "opensource org licenses bsd 2 clause"),
-    License("0bsd", "bsd", rf"zero clause bsd {_L}|0 clause bsd {_L}|bsd zero clause {_L}", "0bsd"),
-    License("mpl-2.0", "mozilla", rf"mozilla public {_L}{_V}2(?: 0)?", "mozilla mpl 2 0",
+    License("0bsd", rf"zero clause bsd {_L}|0 clause bsd {_L}|bsd zero clause {_L}", "0bsd"),
+    License("mpl-2.0", rf"mozilla public {_L}{_V}2(?: 0)?", "(?:mozilla )?mpl 2 0",
             "mozilla org mpl 2 0"),
-    License("mpl-1.1", "mozilla", rf"mozilla public {_L}{_V}1 1", "mozilla mpl 1 1",
+    License("mpl-1.1", rf"mozilla public {_L}{_V}1 1", "(?:mozilla )?mpl 1 1",
             "mozilla org mpl mpl 1 1"),
-    License("epl-2.0", "eclipse", rf"eclipse public {_L}{_V}2(?: 0)?", "eclipse epl 2 0",
+    License("epl-2.0", rf"eclipse public {_L}{_V}2(?: 0)?", "(?:eclipse )?epl 2 0",
             "eclipse org legal epl 2 0"),
-    License("epl-1.0", "eclipse", rf"eclipse public {_L}{_V}1(?: 0)?", "eclipse epl 1 0",
+    License("epl-1.0", rf"eclipse public {_L}{_V}1(?: 0)?", "(?:eclipse )?epl 1 0",
             "eclipse org legal epl v10"),
-    License("cddl-1.1", "cddl", rf"common development and distribution {_L} cddl{_V}1 1",
+    License("cddl-1.1", rf"common development and distribution {_L} cddl{_V}1 1",
             "cddl 1 1"),
-    License("cddl-1.0", "cddl", rf"common development and distribution {_L} cddl{_V}1 0",
+    License("cddl-1.0", rf"common development and distribution {_L} cddl{_V}1 0",
             "cddl 1 0"),
-    License("cpl-1.0", "common public", rf"common public {_L}{_V}1 0", "common public cpl 1 0"),
-    License("artistic-2.0", "artistic", rf"artistic {_L}{_V}2(?: 0)?", "artistic 2 0"),
-    License("artistic-1.0", "artistic", rf"artistic {_L}{_V}1(?: 0)?", "artistic 1 0"),
-    License("bsl-1.0", "boost", rf"boost software {_L}{_V}1 0", "boost bsl 1 0",
+    License("cpl-1.0", rf"common public {_L}{_V}1 0", "(?:common public )?cpl 1 0"),
+    License("artistic-2.0", rf"artistic {_L}{_V}2(?: 0)?", "artistic 2 0"),
+    License("artistic-1.0", rf"artistic {_L}{_V}1(?: 0)?", "artistic 1 0"),
+    License("bsl-1.0", rf"boost software {_L}{_V}1 0", "(?:boost )?bsl 1 0",
             "boost org license 1 0"),
-    License("busl-1.1", "business source", rf"business source {_L}{_V}1 1",
-            "business source busl 1 1"),
-    License("isc", "isc", rf"(?:the )?isc {_L}", "isc"),
-    License("zlib", "zlib", rf"zlib(?: libpng)? {_L}", "zlib", "zlib net zlib license"),
-    License("unlicense", "unlicense", "this is free and unencumbered software.{0,40}unlicense",
+    License("busl-1.1", rf"business source {_L}{_V}1 1",
+            "(?:business source )?busl 1 1"),
+    License("isc", rf"(?:the )?isc {_L}", "isc"),
+    License("zlib", rf"zlib(?: libpng)? {_L}", "zlib", "zlib net zlib license"),
+    License("unlicense", "this is free and unencumbered software.{0,40}unlicense",
             "(?:the )?unlicense", "unlicense org"),
-    License("wtfpl", "wtfpl", rf"do what the fuck you want to public {_L}.{{0,10}}wtfpl", "wtfpl"),
-    License("odbl-1.0", "open database", rf"open database {_L}{_V}(?:1 0)?", "open database odbl"),
-    License("odc-by-1.0", "open data commons", rf"open data commons attribution {_L}",
-            "open data commons by 1 0"),
-    License("ofl-1.1", "open font", rf"(?:sil )?open font {_L}{_V}1 1", "open font ofl 1 1"),
-    License("eupl-1.2", "eupl", rf"european union public {_L}.{{0,10}}eupl{_V}1 2", "eupl 1 2"),
-    License("eupl-1.1", "eupl", rf"european union public {_L}.{{0,10}}eupl{_V}1 1", "eupl 1 1"),
-    License("ms-pl", "microsoft", rf"microsoft public {_L}", "microsoft ms pl"),
-    License("ms-rl", "microsoft", rf"microsoft reciprocal {_L}", "microsoft ms rl"),
-    License("psf-2.0", "python", rf"python software foundation {_L}{_V}(?:2(?: 0)?)?", "python 2 0"),
-    License("php-3.01", "php", rf"(?:the )?php {_L}{_V}3 01", "php 3 01", "php net license 3 01"),
-    License("ruby", "ruby", rf"(?:the )?ruby {_L}", "ruby license"),
-    License("postgresql", "postgresql", rf"postgresql {_L}", "postgresql license"),
-    License("openssl", "openssl", rf"openssl {_L}", "openssl license"),
-    License("ncsa", "ncsa", rf"(?:university of illinois )?ncsa open source {_L}", "ncsa"),
-    License("upl-1.0", "universal permissive", rf"universal permissive {_L}{_V}1 0",
-            "universal permissive upl 1 0"),
-    License("sspl-1.0", "side public", rf"server side public {_L}{_V}1?", "server side public sspl"),
-    License("elastic-2.0", "elastic", rf"elastic {_L}{_V}2(?: 0)?", "elastic 2 0"),
-    License("osl-3.0", "open software", rf"open software {_L}{_V}3(?: 0)?", "open software osl 3 0"),
-    License("afl-3.0", "academic free", rf"academic free {_L}{_V}3(?: 0)?",
-            "academic free afl 3 0"),
-    License("openrail-m", "openrail", rf"(?:creative ml |bigscience )?openrail m {_L}",
+    License("wtfpl", rf"do what the fuck you want to public {_L}.{{0,10}}wtfpl", "wtfpl"),
+    License("odbl-1.0", rf"open database {_L}{_V}(?:1 0)?", "(?:open database )?odbl(?: 1 0)?"),
+    License("odc-by-1.0", rf"open data commons attribution {_L}",
+            "(?:open data commons|odc) by 1 0"),
+    License("ofl-1.1", rf"(?:sil )?open font {_L}{_V}1 1", "(?:open font )?ofl 1 1"),
+    License("eupl-1.2", rf"european union public {_L}.{{0,10}}eupl{_V}1 2", "eupl 1 2"),
+    License("eupl-1.1", rf"european union public {_L}.{{0,10}}eupl{_V}1 1", "eupl 1 1"),
+    License("ms-pl", rf"microsoft public {_L}", "(?:microsoft )?ms pl"),
+    License("ms-rl", rf"microsoft reciprocal {_L}", "(?:microsoft )?ms rl"),
+    License("psf-2.0", rf"python software foundation {_L}{_V}(?:2(?: 0)?)?", "python 2 0"),
+    License("psf-2.0", rf"psf {_L}{_V}(?:2(?: 0)?)?", "psf 2 0"),
+    License("php-3.01", rf"(?:the )?php {_L}{_V}3 01", "php 3 01", "php net license 3 01"),
+    License("ruby", rf"(?:the )?ruby {_L}", "ruby"),
+    License("postgresql", rf"postgresql {_L}", "postgresql"),
+    License("openssl", rf"openssl {_L}", "openssl"),
+    License("ncsa", rf"(?:university of illinois )?ncsa open source {_L}", "ncsa"),
+    License("upl-1.0", rf"universal permissive {_L}{_V}1 0",
+            "(?:universal permissive )?upl 1 0"),
+    License("sspl-1.0", rf"server side public {_L}{_V}1?", "(?:server side public )?sspl(?: 1 0)?"),
+    License("elastic-2.0", rf"elastic {_L}{_V}2(?: 0)?", "elastic 2 0"),
+    License("osl-3.0", rf"open software {_L}{_V}3(?: 0)?", "(?:open software )?osl 3 0"),
+    License("afl-3.0", rf"academic free {_L}{_V}3(?: 0)?",
+            "(?:academic free )?afl 3 0"),
+    License("openrail-m", rf"(?:creative ml |bigscience )?openrail m {_L}",
             "(?:creativeml )?openrail m"),
-    License("gpl", "gpl", rf"{_GNU}general public {_L}", "gnu gpl"),
-    License("lgpl", "lgpl", rf"{_GNU}lesser general public {_L}", "gnu lgpl"),
-    License("apache", "apache", rf"apache (?:software )?{_L}", "apache license"),
-    License("bsd", "bsd", rf"(?:the )?bsd {_L}", "bsd license"),
-    License("creative-commons", "creative commons", rf"creative commons (?:[a-z]+ )?{_L}",
+    License("gpl", rf"{_GNU}general public {_L}", "gnu gpl"),
+    License("lgpl", rf"{_GNU}lesser general public {_L}", "gnu lgpl"),
+    License("apache", rf"apache (?:software )?{_L}", "apache license"),
+    License("bsd", rf"(?:the )?bsd {_L}", "bsd license"),
+    License("creative-commons", rf"creative commons (?:[a-z]+ )?{_L}",
             "creative commons"),
-    License("public-domain", "public domain", "(?:released|placed|dedicated) (?:in)?to the public"
+    License("public-domain", "(?:released|placed|dedicated) (?:in)?to the public"
             " domain", "public domain dedication"),
-    License("proprietary", "all rights reserved", "copyright .{0,60}all rights reserved",
+    License("proprietary", "copyright .{0,60}all rights reserved",
             "all rights reserved"),
 ]
 

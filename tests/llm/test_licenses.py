@@ -105,3 +105,24 @@ def test_no_text_that_a_rule_matches_is_skipped(spark):
     got = labels_of(spark, list(cases))
     for text, label in cases.items():
         assert label in got[text], (text, got[text])
+
+
+#: The identifiers of the SPDX list for the labels whose identifier is not the label itself.
+SPDX = {
+    "apache-2.0": "Apache-2.0", "odbl-1.0": "ODbL-1.0", "odc-by-1.0": "ODC-By-1.0",
+    "postgresql": "PostgreSQL", "openssl": "OpenSSL", "ruby": "Ruby", "psf-2.0": "PSF-2.0",
+    "php-3.01": "PHP-3.01", "artistic-2.0": "Artistic-2.0", "zlib": "Zlib", "openrail-m": "OpenRAIL-M",
+}
+#: Families and phrases, which the list does not have.
+NO_TAG = {"gpl", "lgpl", "apache", "bsd", "creative-commons", "public-domain", "proprietary"}
+
+
+def test_a_tag_and_a_short_grant_of_every_license(spark):
+    wanted = {}
+    for label in {x.label for x in licenses.LICENSES} - NO_TAG:
+        name = SPDX.get(label, label.upper())
+        wanted[f"// SPDX-License-Identifier: {name}\n"] = label
+        wanted[f"It is licensed under {name}."] = label
+    wanted["SPDX-License-Identifier: Python-2.0"] = "psf-2.0"
+    got = labels_of(spark, list(wanted))
+    assert {t: got[t] for t in wanted if got[t] != [wanted[t]]} == {}
