@@ -1,4 +1,4 @@
-"""Quality rules whose cutoffs come from the data of each language and source.
+"""Quality rules whose cutoffs follow the data of each language and source within fixed bounds.
 
 ``measure`` computes counts per document. ``sketches`` summarises each rate per (lang, source) as a
 histogram over fixed bins: sketches of parts merge by adding counts, so partial ones are combined
@@ -12,6 +12,9 @@ judged by the merged sketch of its language, else by that of all documents; so i
 which fails (its quartile then says nothing about clean text): a cutoff is at most the rule's
 ceiling, which no clean text reaches.
 
+Slack and ceiling are fixed, in the query's SQL too. Where clean text has rates near zero, as in the
+given data, every fence lies below the slack, and the slack alone decides.
+
 Rates are whole numbers per thousand, rounded down; bins are one wide, so at most 1001 per rule.
 
 Defined cases: a null text has no words and fails the base rule (fewer than 50 words), as does an
