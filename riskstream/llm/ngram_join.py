@@ -44,7 +44,6 @@ from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
 from riskstream.llm.hashing import as_long, hashed, mix, slices, windows
-from riskstream.llm.text import WORD
 from riskstream.session import counted, written
 
 SHINGLE = 4
@@ -318,26 +317,41 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each group of similar documents: that of the smallest ``doc_id``.
+    """``docs`` with one row of each group of similar rows: that of the smallest ``doc_id``.
 
     Rows without words or without ``doc_id`` are in no group and stay. Of several rows with the
-    smallest ``doc_id`` of a group, the one with the least text stays.
+    smallest ``doc_id`` of a group, the one with the least text stays. Where ids repeat, rows are
+    numbered and joined by number, so an unlike row with the id of a copy stays.
     """
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if not repeated.isEmpty():
+        return _one_of_each_by_row(docs, size, percent)
     found = written(similar(docs, size, percent).filter("n_shingles > 0"), "similar")
-    doomed = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    doomed = found.filter("doc_id <> component_id").select("doc_id")
     left = docs.join(_stored(doomed, "doomed"), "doc_id", "left_anti")
-    again = _stored(again.filter("doc_id is not null"), "again")
-    with_words = F.rlike(F.coalesce("text", F.lit("")), F.lit(WORD))
-    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
-    several = left.join(again, "doc_id", "left_semi")
-    first = several.filter(with_words).withColumn("_place", F.row_number().over(order))
-    return (
-        left.join(again, "doc_id", "left_anti")
-        .unionByName(several.filter(~with_words))
-        .unionByName(first.filter("_place = 1").drop("_place"))
-        .select(*docs.columns)
+    return left.select(*docs.columns)
+
+
+def _one_of_each_by_row(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.filter("doc_id is not null")
+    found = similar(rows.select(F.col("_row").alias("doc_id"), "text"), size, percent)
+    found = written(found.filter("n_shingles > 0"), "similar")
+    linked = found.filter("doc_id <> component_id").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+    )
+    heads = linked.select(F.col("_group").alias("_row"), "_group").distinct()
+    members = _stored(linked.unionByName(heads), "members")
+    members = written(rows.select("_row", "doc_id").join(members, "_row"), "member-ids")
+    least = members.groupBy("_group").agg(F.min("doc_id").alias("doc_id"))
+    tied = members.join(_stored(least, "least"), ["_group", "doc_id"]).select("_row", "_group")
+    order = F.struct("text", F.xxhash64(*docs.columns).alias("_hash"), "_row")
+    stay = (
+        rows.join(_stored(tied, "tied"), "_row").groupBy("_group").agg(F.min(order).alias("_first"))
     )
+    stay = _stored(stay.select(F.col("_first._row").alias("_row")), "stay")
+    doomed = _stored(members.select("_row").join(stay, "_row", "left_anti"), "doomed")
+    return numbered.join(doomed, "_row", "left_anti").select(*docs.columns)
 
 
 def _join(

@@ -148,3 +148,13 @@ def test_sketches_never_rule_out_a_link():
             flat = np.concatenate([one, other])
             bits = ngram_join._folded(flat, np.array([0, len(one), len(flat)]), width)
             assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= 2 * (n - shared)
+
+
+def test_rows_with_a_repeated_id_go_only_as_copies(spark):
+    same = "one two three four five six seven eight nine ten"
+    other, third, fourth = (" ".join(f"{w}{i}" for i in range(12)) for w in "abc")
+    ids = [1, 2, 2, 7, 7, 9, 9, 9]
+    texts = [same, same, other, third, fourth, third, third, None]
+    left = ngram_join.one_of_each(docs(spark, texts, ids=ids, extra=True))
+    rows = sorted((r["doc_id"], str(r["text"])) for r in left.collect())
+    assert rows == sorted([(1, same), (2, other), (7, third), (7, fourth), (9, "None")])
