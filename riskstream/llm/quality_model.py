@@ -277,9 +277,11 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int =
     chosen = written(usable.orderBy(order, "doc_id", "label").limit(sample), "quality-labels")
     # At most ``sample`` rows of two numbers.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = _features_of(rows.select("text", "label"), vectors).orderBy("label", "features")
-    # Repeated documents may give more rows than labels; the bound holds for what is collected.
-    got = found.limit(2 * sample).toArrow()
+    found = _features_of(rows.select("text", "label"), vectors)
+    # Repeated documents may give more rows than labels; the bound holds for what is collected. What
+    # is cut off depends on the features, not on the label.
+    found = found.orderBy(F.xxhash64("features"), "label", "features").limit(2 * sample)
+    got = found.orderBy("label", "features").toArrow()
     flat = got.column("features").combine_chunks().flatten()
     x = flat.to_numpy().astype(float).reshape(-1, _FEATURES)
     y = got.column("label").to_numpy().astype(float)

@@ -74,3 +74,16 @@ def test_shapes():
     assert len(starts) == 7
     assert looks[0] == looks[1] and looks[4] == looks[5] and looks[2] == looks[6]
     assert len(set(looks.tolist())) == 4
+
+
+def test_repeated_ids_leave_both_labels_in_the_sample(spark, monkeypatch):
+    texts, labels = corpus(40)
+    labels = [(i, i % 2, 0) for i, *_ in labels]
+    ids = [i for i in range(40) for _ in range(10)]
+    repeated = [f"{texts[i]} more{k}" for i in range(40) for k in range(10)]
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    df, seen = docs(spark, repeated, ids=ids), []
+    monkeypatch.setattr(quality_model.Network, "fit", lambda self, x, y: seen.append(y) or self)
+    quality_model.train(df, table, quality_model.word_vectors(df), sample=30)
+    (y,) = seen
+    assert len(y) == 60 and 0.3 <= y.mean() <= 0.7
