@@ -9,8 +9,9 @@ item leaks into a document if tiles cover at least ``COVERAGE`` of its words.
 
 The benchmark is the query set: it is cut into blocks of about ``BLOCK_WORDS`` words, and the
 documents are scanned once per block. One block, whose size is bounded by that parameter (and the
-longest item), travels with the tasks; documents stay where they are and nothing is shuffled. A
-document is only tiled if a vector test over all its windows finds a seed.
+longest item), travels with the tasks; documents stay where they are and nothing is shuffled. With
+several blocks the result of each is written before the next one is read, so the driver holds one
+block and no plan more than one. A document is only tiled if a vector test over all its windows finds a seed.
 
 Words are letters, digits and whatever is beyond ASCII, in lower case, so punctuation and case do
 not hide a copy.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from riskstream.llm.hashing import mix, windows
 from riskstream.llm.text import whole
+from riskstream.session import written
 
 MIN_TILE = 5
 COVERAGE = 0.5
@@ -205,18 +207,27 @@ def _runs(
     return runs, longest
 
 
-def blocks(benchmark: DataFrame, size: int = MIN_TILE, words: int = BLOCK_WORDS) -> list[Block]:
-    """The benchmark in parts of about ``words`` words."""
+def each_block(
+    benchmark: DataFrame, size: int = MIN_TILE, words: int = BLOCK_WORDS
+) -> Iterator[tuple[Block, bool]]:
+    """The benchmark in parts of about ``words`` words, one at a time, and whether it is the only one."""
     n_words = F.regexp_count(whole("text"), F.lit(_WORD))
     total = benchmark.agg(F.sum(n_words)).first()[0] or 0
     parts = -(-total // words)
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(parts, 1)))
-    made = []
     for p in range(parts):
-        rows = benchmark.filter(part == p).select("item_id", "text").collect()
-        rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        made.append(Block([(r[0], r[1].encode() if r[1] else None) for r in rows], size))
-    return made
+        yield _block(benchmark.filter(part == p), size), parts == 1
+
+
+def _block(items: DataFrame, size: int) -> Block:
+    rows = items.select("item_id", "text").collect()
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    return Block([(r[0], r[1].encode() if r[1] else None) for r in rows], size)
+
+
+def blocks(benchmark: DataFrame, size: int = MIN_TILE, words: int = BLOCK_WORDS) -> list[Block]:
+    """All of ``each_block`` at once."""
+    return [block for block, _ in each_block(benchmark, size, words)]
 
 
 def _bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
@@ -224,7 +235,11 @@ def _bytes(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, size: int = MIN_TILE, coverage: float = COVERAGE
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = MIN_TILE,
+    coverage: float = COVERAGE,
+    words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``doc_id, item_id, n_tiles, n_covered, coverage``: one row per document and leaked item."""
     schema = "doc_id long, item_id long, n_tiles long, n_covered long, coverage double"
@@ -244,7 +259,11 @@ def leaks(
         return run
 
     texts = docs.select("doc_id", "text")
-    parts = [texts.mapInArrow(scan(block), schema) for block in blocks(benchmark, size)]
+    parts = []
+    for block, alone in each_block(benchmark, size, words):
+        found = texts.mapInArrow(scan(block), schema)
+        parts.append(found if alone else written(found, "leaks"))
+        del block, found
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     found = parts[0]
@@ -254,7 +273,11 @@ def leaks(
 
 
 def without_leaks(
-    docs: DataFrame, benchmark: DataFrame, size: int = MIN_TILE, coverage: float = COVERAGE
+    docs: DataFrame,
+    benchmark: DataFrame,
+    size: int = MIN_TILE,
+    coverage: float = COVERAGE,
+    words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``docs`` without the rows into which an item leaks; filtered where they are read."""
 
@@ -267,6 +290,8 @@ def without_leaks(
 
         return run
 
-    for block in blocks(benchmark, size):
-        docs = docs.mapInArrow(clean(block), docs.schema)
+    for block, alone in each_block(benchmark, size, words):
+        left = docs.mapInArrow(clean(block), docs.schema)
+        docs = left if alone else written(left, "without-leaks")
+        del block, left
     return docs

@@ -1,4 +1,6 @@
+import gc
 import random
+import weakref
 
 import numpy as np
 
@@ -90,3 +92,22 @@ def test_empty_benchmark(spark, sf):
     none = spark.createDataFrame([], SCHEMA)
     assert tiling.leaks(df, none).count() == 0
     assert tiling.without_leaks(df, none).count() == df.count()
+
+
+def test_one_block_is_held_at_a_time(spark, sf, monkeypatch):
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    one, left = sorted(tiling.leaks(df, items).collect()), tiling.without_leaks(df, items).count()
+    alive, most = weakref.WeakSet(), []
+
+    def counted(items, size, make=tiling.Block):
+        gc.collect()
+        most.append(len(alive))
+        block = make(items, size)
+        alive.add(block)
+        return block
+
+    monkeypatch.setattr(tiling, "Block", counted)
+    assert sorted(tiling.leaks(df, items, words=300).collect()) == one
+    assert tiling.without_leaks(df, items, words=300).count() == left
+    assert len(most) > 6 and max(most) == 0
