@@ -16,6 +16,7 @@ from riskstream.llm import (
     quality_model,
     quality_rules,
     secret_scan,
+    spelling,
     tiling,
     token_counts,
 )
@@ -134,6 +135,10 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.grouped(spelling.vocabulary(table(spark, folder, "documents")))
+
+
 OP9_SQL = r"""
 with docs as (
   select doc_id, lang, source, row_number() over () as row, coalesce(text, '') as text
@@ -243,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_source_mix": OP2_SQL,
