@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskstream.llm import (
+    bloom_lm,
     chat,
+    divergence,
     licenses,
     mixing,
     ngram_join,
@@ -135,6 +137,14 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_lm.scores(table(spark, folder, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents").select("text", "lang", "source"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.grouped(spelling.vocabulary(table(spark, folder, "documents")))
 
@@ -237,6 +247,48 @@ from docs d left join sizes s using (doc_id)
   left join (select id as doc_id, min(other) as least from reach group by id) r using (doc_id)
 """
 
+OP12_SQL = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents),
+pieces as (select distinct lang, source from docs),
+places as (select row, lang, source, unnest(w) as term from docs),
+kept as (
+  select lang, term, count(*) as n from places group by lang, term having count(distinct row) >= 30),
+own as (
+  select p.lang, p.source, p.term, count(*) as n
+  from places p join kept k on p.lang = k.lang and p.term = k.term group by p.lang, p.source, p.term),
+langs as (
+  select g.lang, count(k.term) as v, coalesce(sum(k.n), 0) as total
+  from (select distinct lang from pieces) g left join kept k on g.lang = k.lang group by g.lang),
+sizes as (
+  select g.lang, g.source, coalesce(sum(o.n), 0) as total
+  from pieces g left join own o on g.lang = o.lang and g.source = o.source group by g.lang, g.source),
+shares as (
+  select s.lang, s.source, k.term, coalesce(o.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(o.n, 0) + 5)) // (s.total + 5 * l.v) as p,
+    1 + (1000000000::hugeint * (k.n + 5)) // (l.total + 5 * l.v) as q
+  from sizes s join langs l on s.lang = l.lang join kept k on k.lang = s.lang
+    left join own o on o.lang = s.lang and o.source = s.source and o.term = k.term),
+apart as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source),
+parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0) as value
+  from pieces a join pieces b on a.lang = b.lang and a.source <> b.source
+    left join apart p on p.lang = a.lang and p.source = a.source and p.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item::blob) as rank
+  from parts)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_source_mix": op2_source_mix,
@@ -248,6 +300,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_join": op10_ngram_join,
+    "op11_lm_scores": op11_lm_scores,
+    "op12_source_divergence": op12_source_divergence,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -255,4 +309,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": OP5_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_ngram_join": OP10_SQL,
+    "op12_source_divergence": OP12_SQL,
 }

@@ -12,9 +12,9 @@ def test_query_agrees_with_sql(spark, sf, name):
     same_as_sql(queries.QUERIES[name](spark, sf), queries.ORACLE_SQL[name], sf)
 
 
-def test_all_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry_points.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
     assert set(queries.ORACLE_SQL) <= set(entry_points.oracle_sql())
@@ -27,7 +27,11 @@ def test_empty_tables(spark, sf, tmp_path, name):
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in ("op3_decontamination",)])
+#: Queries whose rows are not one per document; their own tests have the awkward texts.
+OTHER_ROWS = ("op3_decontamination", "op12_source_divergence", "op13_spelling_variants")
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in OTHER_ROWS])
 def test_a_row_per_document_whatever_its_text(spark, sf, tmp_path, name):
     if name.startswith("op5"):
         return
