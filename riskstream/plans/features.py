@@ -62,9 +62,9 @@ def rolling(spark, folder):
 
 
 def rolling_hot(spark, folder):
-    # A low limit sends the heavy card, and whoever else is dense, down the sliced plan.
+    # The heavy card crosses many borders between cells.
     rows = inputs.tx(spark, folder, hot=True).withColumn("us", F.expr(_SOME_TIMES))
-    return _shown(rolling_features(rows, dense_rows=50))
+    return _shown(rolling_features(rows, cells=24))
 
 
 # Now and then the time is missing, for the heavy card and for others.

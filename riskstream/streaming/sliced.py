@@ -26,15 +26,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.functions.scalars import MICROS
-from riskstream.operators.rolling import (
+from riskstream.operators.rolling import WINDOWS, with_means
+from riskstream.operators.slices import (
     SLICE_SECONDS,
-    WINDOWS,
     attach,
     frame_points,
     frames,
     slice_of,
     slice_sums,
-    with_means,
 )
 from riskstream.streaming.archive import path_exists, write_batch
 from riskstream.streaming.features import packed, unpacked

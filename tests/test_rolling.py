@@ -1,9 +1,10 @@
+import collections
 import math
 import random
 
 import pytest
 
-from riskstream.operators.rolling import feature_names, rolling_features
+from riskstream.operators.rolling import WINDOWS, feature_names, rolling_features
 
 SCHEMA = "TransactionID long, us long, card1 long, TransactionAmt double"
 S = 1_000_000
@@ -21,9 +22,9 @@ def vector(card=7):
     return [(i, t * S, card, a) for i, (t, a) in enumerate(zip(times, amounts))]
 
 
-@pytest.mark.parametrize("dense_rows", [10_000, 0])
-def test_frames_are_past_only_and_left_closed(spark, dense_rows):
-    got = features(spark, vector(), dense_rows=dense_rows)
+@pytest.mark.parametrize("cells", [1, 4, 9])
+def test_frames_are_past_only_and_left_closed(spark, cells):
+    got = features(spark, vector(), cells=cells)
     assert [got[i].card1_txn_count_1h for i in range(6)] == [None, None, 2, 2, 1, None]
     assert [got[i].card1_amt_sum_1h for i in range(6)] == [None, None, 3.0, 3.0, 4.0, None]
     assert [got[i].card1_time_since_last for i in range(6)] == [None, 0, 1800, 1800, 1, 86399]
@@ -33,10 +34,10 @@ def test_frames_are_past_only_and_left_closed(spark, dense_rows):
     assert got[5].amt_to_mean_24h_ratio == pytest.approx(6 / 4.5)
 
 
-@pytest.mark.parametrize("dense_rows", [10_000, 0])
-def test_a_frame_of_null_amounts_counts_zero(spark, dense_rows):
+@pytest.mark.parametrize("cells", [1, 4, 9])
+def test_a_frame_of_null_amounts_counts_zero(spark, cells):
     rows = [(1, 0, 7, None), (2, 10 * S, 7, 5.0)]
-    got = features(spark, rows, dense_rows=dense_rows)
+    got = features(spark, rows, cells=cells)
     assert got[1].card1_txn_count_1h is None
     assert got[2].card1_txn_count_1h == 0
     assert got[2].card1_amt_sum_1h is None
@@ -72,8 +73,8 @@ def brute_force(rows):
     return out
 
 
-@pytest.mark.parametrize("dense_rows", [10_000, 50, 0])
-def test_against_brute_force_with_ties_nulls_and_a_heavy_card(spark, dense_rows):
+@pytest.mark.parametrize("cells", [1, 5, 40])
+def test_against_brute_force_with_ties_nulls_and_a_heavy_card(spark, cells):
     pick = random.Random(3)
     rows = []
     for i in range(600):
@@ -81,7 +82,7 @@ def test_against_brute_force_with_ties_nulls_and_a_heavy_card(spark, dense_rows)
         # Times on a coarse grid tie often and fall on slice and window borders.
         time = pick.randint(0, 800) * 225 * S + pick.choice([0, 0, 1, -1])
         rows.append((i, time, card, None if pick.random() < 0.1 else pick.randint(1, 9999) / 100))
-    got = features(spark, rows, dense_rows=dense_rows)
+    got = features(spark, rows, cells=cells)
     expected = brute_force(rows)
     for row_id, ((n1, s1, _), (n24, s24, std24)) in expected.items():
         row = got[row_id]
@@ -101,25 +102,66 @@ def test_input_order_does_not_matter(spark):
     assert features(spark, rows) == features(spark, mixed)
 
 
-def test_slices_must_divide_the_windows(spark):
-    df = spark.createDataFrame(vector(), SCHEMA)
-    with pytest.raises(ValueError):
-        rolling_features(df, slice_seconds=1000)
+def test_the_source_is_shuffled_once_and_crossing_rows_again(spark, sf):
+    from riskstream.operators.rolling import deal
+    from riskstream.plans import inputs
 
+    rows = inputs.tx(spark, sf, hot=True)
+    plan = rolling_features(rows, cells=16)._jdf.queryExecution().executedPlan().toString()
+    # Rows whose frames cross a border, and their marks.
+    assert plan.count("Exchange hashpartitioning") <= 2 and "rangepartitioning" not in plan
+    dealt = deal(rows, "card1", "us", "TransactionAmt", "TransactionID", WINDOWS, 16)
+    assert dealt.where("_kind = 0").count() == rows.count()
 
-def test_the_sparse_plan_shuffles_once(spark, sf):
-    from riskstream.plans import inputs
 
-    plan = rolling_features(inputs.tx(spark, sf))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+def test_a_burst_and_ten_years_of_a_card_spread_over_tasks(spark):
+    from riskstream.operators.rolling import deal
+
+    day = 86_400 * S
+    burst = [(i, 10**15 + i * S // 2, 1, 2.0) for i in range(3000)]
+    years = [(10_000 + i, i * 3 * day // 2, 2, float(i % 7)) for i in range(2400)]
+    quiet = [(20_000 + i, i * day, 3 + i % 700, None if i % 9 == 0 else 1.5) for i in range(2600)]
+    rows = burst + years + quiet
+    df = spark.createDataFrame(rows, SCHEMA)
+    cells = deal(df, "card1", "us", "TransactionAmt", "TransactionID", WINDOWS, 48)
+    cells = cells.where("_kind = 0").select("_row.card1", "_cell").collect()
+    for card in (1, 2):
+        assert len({r["_cell"] for r in cells if r["card1"] == card}) >= 6
+    sizes = collections.Counter(r["_cell"] for r in cells)
+    # Marks take room too: a cell has about one 48th of three times the rows.
+    assert max(sizes.values()) < 2 * 3 * len(rows) / 48
+    got = features(spark, rows, cells=24)
+    for i in range(0, 3000, 97):
+        assert got[i].card1_txn_count_1h == (i or None) and got[i].card1_amt_sum_24h == (2.0 * i or None)
+        assert got[i].card1_time_since_last == (0.5 if i else None)
+    for i in range(1, 2400, 53):
+        assert got[10_000 + i].card1_txn_count_24h is None
+        assert got[10_000 + i].card1_time_since_last == 129_600
+
+
+def test_large_amounts_close_together_keep_their_spread(spark):
+    rows = [(i, i * 60 * S, 1, 1e9 + (i % 3)) for i in range(400)]
+    got = features(spark, rows, cells=7)
+    inside = [1e9 + (i % 3) for i in range(300)]
+    mean = sum(inside) / 300
+    assert got[300].card1_amt_std_24h == pytest.approx(
+        math.sqrt(sum((x - mean) ** 2 for x in inside) / 299), rel=1e-9
+    )
+
+
+def test_cards_may_be_text_and_columns_may_clash(spark):
+    rows = [(1, 0, "a", 1.0, 5), (2, S, "a", 2.0, 6), (3, 2 * S, "b", None, 7)]
+    df = spark.createDataFrame(rows, "TransactionID long, us long, card1 string, TransactionAmt double, _k int")
+    got = {r.TransactionID: r for r in rolling_features(df, cells=3).collect()}
+    assert got[2].card1_txn_count_1h == 1 and [got[i]["_k"] for i in (1, 2, 3)] == [5, 6, 7]
+    assert rolling_features(df.limit(0)).count() == 0
 
 
 def test_rows_without_time_stay_and_have_no_features(spark):
     rows = [(i, 1, 1_000_000 * i, 2.0) for i in range(100)] + [(500, 1, None, 3.0), (501, 2, None, 4.0)]
     tx = spark.createDataFrame(rows, "TransactionID long, card1 long, us long, TransactionAmt double")
-    for dense_rows in (10, 10_000):
-        found = {r.TransactionID: r for r in rolling_features(tx, dense_rows=dense_rows).collect()}
+    for cells in (1, 7):
+        found = {r.TransactionID: r for r in rolling_features(tx, cells=cells).collect()}
         assert len(found) == 102
         assert found[50].card1_txn_count_1h == 50
         for i in (500, 501):
