@@ -15,6 +15,7 @@ from riskstream.plans import inputs
 from riskstream.plans.inputs import Query, rounded, sql, sql_rounded
 from riskstream.session import shared_dir
 from riskstream.sources import files, tables
+from riskstream.sources.ledger import STORED
 from riskstream.streaming.archive import append_new
 
 
@@ -54,11 +55,10 @@ def header_extract(spark, folder):
 def bronze_hourly_counts(spark, folder):
     """Rows per hour partition of an archive written and read back as a table."""
     path = _new_path(spark, "archive")
-    append_new(inputs.bronze(spark, folder), path, 0)
     name = f"archive_{uuid.uuid4().hex}"
-    tables.ensure_table(spark, name, path)
-    tables.ensure_table(spark, name, path)
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    for _ in range(2):
+        tables.ensure_table(spark, name, path, STORED, "event_hour, commit")
+    append_new(inputs.bronze(spark, folder), path, 0, table=name)
     return tables.hourly_counts(spark.table(name))
 
 
@@ -92,12 +92,12 @@ def archive_time_range(spark, folder):
 
 def archive_compaction(spark, folder):
     """Rows per hour after two batches were compacted."""
-    path, target = _new_path(spark, "archive"), _new_path(spark, "compacted")
+    path = _new_path(spark, "archive")
     rows = inputs.bronze(spark, folder)
     append_new(rows.where("kafka_offset % 2 = 0"), path, 0)
     append_new(rows, path, 1)
-    tables.compact(spark, path, target, rows_per_file=1_000)
-    stored = tables.read_archive(spark, target)
+    tables.compact(spark, path, rows_per_file=1_000)
+    stored = tables.read_archive(spark, path)
     keys = F.count_distinct(*schemas.BRONZE_KEY)
     return stored.groupBy("event_hour").agg(F.count(F.lit(1)).alias("n"), keys.alias("n_keys"))
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
 from riskstream.functions.headers import event_hour
-from riskstream.operators.hot import small_or_written
+from riskstream.sources.ledger import NO_HOUR, STORED, Ledger
 
 ROWS_PER_FILE = 1_000_000
 
@@ -30,6 +32,17 @@ def ensure_table(
     )
 
 
+def register(spark: SparkSession, name: str, path: str, parts: list[tuple[str, int]]) -> None:
+    """Show folders of the archive, named by hour and commit, in a table over it."""
+    for at in range(0, len(parts), 100):
+        named = " ".join(
+            f"PARTITION (event_hour='{hour}', commit={commit}) "
+            f"LOCATION '{path}/commit={commit}/event_hour={hour}'"
+            for hour, commit in parts[at : at + 100]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {named}")
+
+
 def read_archive(
     spark: SparkSession,
     path: str,
@@ -42,7 +55,10 @@ def read_archive(
     The time limits are also put on the hour partitions, so files outside them are
     never opened. Rows without event time are read only when no limit is given.
     """
-    rows = spark.read.schema(schemas.ARCHIVE).parquet(path)
+    ledger = Ledger(spark, path)
+    # A folder that no ledger belongs to is read as it is.
+    known = ledger.exists()
+    rows = ledger.rows().drop("commit") if known else spark.read.schema(schemas.ARCHIVE).parquet(path)
     for text, closed in ((start, True), (end, False)):
         if text is None:
             continue
@@ -70,49 +86,60 @@ def load_reference(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hour_counts(rows: DataFrame) -> DataFrame | None:
-    """Rows and offset range per hour, or None without rows.
-
-    Broadcast while the hours are few; bad event times may name any number of them.
-    """
-    counts = rows.groupBy(F.col("event_hour").alias("_hour")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("kafka_offset").alias("_low"),
-        F.max("kafka_offset").alias("_high"),
-    )
-    return small_or_written(counts, "hours")
-
-
-def by_hour(rows: DataFrame, counts: DataFrame, rows_per_file: int) -> DataFrame:
-    """Gather each hour into as few tasks as its size allows, so few files are written.
+def write_by_hour(rows: DataFrame, path: str, rows_per_file: int) -> None:
+    """Append rows to their hours, in few files each.
 
-    A heavy hour is spread by key hash over as many tasks as it needs files.
+    Rows are gathered by hour; a heavy hour is split, and light ones share a task, by their size
+    after the shuffle.
     """
-    files = F.ceil(F.col("_n") / rows_per_file)
-    spread = F.pmod(F.xxhash64(*schemas.BRONZE_KEY), files)
-    return (
-        rows.join(counts, F.col("event_hour").eqNullSafe(F.col("_hour")))
-        .repartition("event_hour", spread)
-        .drop(*counts.columns)
+    (
+        rows.hint("rebalance", F.col("event_hour"))
+        .select(*STORED.names)
         .sortWithinPartitions("event_hour", *schemas.BRONZE_KEY)
+        .write.mode("append")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("commit", "event_hour")
+        .parquet(path)
     )
 
 
 def compact(
-    spark: SparkSession, path: str, target: str, rows_per_file: int = ROWS_PER_FILE
-) -> None:
-    """Rewrite the archive at ``path`` into ``target`` with few files per hour, rows unchanged.
-
-    Readers move to ``target`` once the write has committed; the source stays as it
-    is until then.
+    spark: SparkSession,
+    path: str,
+    closed_before: str | None = None,
+    least_commits: int = 2,
+    rows_per_file: int = ROWS_PER_FILE,
+    table: str | None = None,
+) -> list[str | None]:
+    """Rewrite hours with ``least_commits`` commits or more into few files; rows stay the same.
+
+    Only hours before ``closed_before`` (``yyyy-MM-dd-HH``), if given, and rows without an hour.
+    The new files replace the old ones in one step of the ledger. Batches appended meanwhile have
+    commits of their own and stay; a reader that began before goes on with the old files, which
+    ``Ledger.vacuum`` deletes later.
     """
-    rows = spark.read.schema(schemas.ARCHIVE).parquet(path)
-    counts = hour_counts(rows)
-    if counts is None:
-        return
-    (
-        by_hour(rows, counts, rows_per_file)
-        .write.option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("event_hour")
-        .parquet(target)
-    )
+    ledger = Ledger(spark, path)
+    number, state = ledger.reserve()
+    running = [n for n in state["hidden"] if n != number]
+    commits = defaultdict(list)
+    for hour, commit in ledger.folders():
+        base, *others = state["bases"].get(hour or "", [0])
+        if commit not in state["hidden"] and (commit >= base or commit in others):
+            commits[hour].append(commit)
+    hours = [
+        hour
+        for hour, found in sorted(commits.items(), key=lambda x: x[0] or "")
+        if len(found) >= least_commits and (closed_before is None or (hour or "") < closed_before)
+    ]
+    if hours:
+        named = F.coalesce("event_hour", F.lit("")).isin([hour or "" for hour in hours])
+        old = ledger.rows(state).where(named)
+        write_by_hour(old.withColumn("commit", F.lit(number).cast("bigint")), path, rows_per_file)
+    ledger.replace(number, hours, running)
+    if table:
+        for hour in hours:
+            for commit in commits[hour]:
+                gone = f"event_hour='{hour or NO_HOUR}', commit={commit}"
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({gone})")
+        register(spark, table, path, [(hour or NO_HOUR, number) for hour in hours])
+    return hours

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream import schemas
 from riskstream.functions.headers import event_hour
 from riskstream.operators.bronze import to_bronze
-from riskstream.sources.tables import ROWS_PER_FILE, by_hour, hour_counts
+from riskstream.sources.ledger import STORED, Ledger, inside, spans_of
+from riskstream.sources.tables import ROWS_PER_FILE, ensure_table, register, write_by_hour
 
 COMMIT_INTERVAL = "5 seconds"
 _MAX_LISTED_HOURS = 100
@@ -23,16 +23,20 @@ def archive(
     name: str,
     trigger: dict | None = None,
     rows_per_file: int = ROWS_PER_FILE,
+    table: str | None = None,
 ) -> StreamingQuery:
     """Append a stream of Kafka records to the archive at ``path``.
 
     One query and one checkpoint per topic: a stopped or failing feed does not hold
     up the other. A batch that is run again after a failure, and offsets replayed
-    under a new checkpoint, add nothing.
+    under a new checkpoint, add nothing. With ``table``, that table is created unless it
+    exists and shows each batch once it is archived.
     """
+    if table:
+        ensure_table(records.sparkSession, table, path, STORED, "event_hour, commit")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_new(to_bronze(batch), path, batch_id, rows_per_file)
+        append_new(to_bronze(batch), path, batch_id, rows_per_file, table)
 
     return (
         records.writeStream.foreachBatch(write)
@@ -44,72 +48,66 @@ def archive(
 
 
 def append_new(
-    bronze: DataFrame, path: str, batch_id: int, rows_per_file: int = ROWS_PER_FILE
+    bronze: DataFrame,
+    path: str,
+    batch_id: int,
+    rows_per_file: int = ROWS_PER_FILE,
+    table: str | None = None,
 ) -> None:
     """Append the rows whose (topic, partition, offset) the archive lacks.
 
-    A batch holds an offset once, as a topic does. The archive is read only where
-    the batch could collide: in its hours and offset range, keys only.
+    A batch holds an offset once, as a topic does. Rows beyond the ledger's intervals are new: they
+    are written as the batch is read, once, and no archived file is opened. Rows inside an interval
+    are compared with archived rows of their own hours and offsets. The hours a batch reaches are
+    registered with ``table``, if that is given.
     """
-    spark = bronze.sparkSession
-    # Read three times below: for the counts, against the archive, and to write.
-    rows = (
-        bronze.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .withColumn("event_hour", event_hour(F.col("event_time")))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    ledger = Ledger(bronze.sparkSession, path)
+    number, state = ledger.reserve()
+    rows = bronze.withColumns(
+        {
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "event_hour": event_hour(F.col("event_time")),
+            "commit": F.lit(number).cast("bigint"),
+        }
     )
-    try:
-        counts = hour_counts(rows)
-        if counts is None:
-            return
-        new = rows
-        stored = _stored_near(spark, path, counts)
-        if stored is not None:
-            new = rows.join(stored.select(*schemas.BRONZE_KEY), schemas.BRONZE_KEY, "left_anti")
-        (
-            by_hour(new, counts, rows_per_file)
-            .select(*schemas.ARCHIVE.names)
-            .write.mode("append")
-            .option("maxRecordsPerFile", rows_per_file)
-            .partitionBy("event_hour")
-            .parquet(path)
-        )
-    finally:
-        rows.unpersist()
-
-
-_NO_HOUR = "__HIVE_DEFAULT_PARTITION__"  # where Spark puts rows whose partition value is null
-
-
-def _stored_near(spark, path: str, counts: DataFrame) -> DataFrame | None:
-    """What the archive may hold of a batch, or None.
-
-    Only the folders of the batch's own hours are looked at, so the work of a batch does not
-    grow with the archive. A replay of more hours than are worth naming reads the archive
-    between its first and last hour instead.
-    """
-    listed = counts.select("_hour").take(_MAX_LISTED_HOURS + 1)
-    first, last, low, high, gaps = counts.agg(
-        F.min("_hour"),
-        F.max("_hour"),
-        F.min("_low"),
-        F.max("_high"),
-        F.count_if(F.col("_hour").isNull()),
-    ).first()
-    read = spark.read.schema(schemas.ARCHIVE).option("basePath", path)
-    if len(listed) <= _MAX_LISTED_HOURS:
-        folders = [f"{path}/event_hour={r['_hour'] or _NO_HOUR}" for r in listed]
-        folders = [folder for folder in folders if path_exists(spark, folder)]
-        stored = read.parquet(*folders) if folders else None
-    elif path_exists(spark, path):
-        hour = F.col("event_hour")
-        near = hour.between(first, last)
-        stored = read.parquet(path).where(near | hour.isNull() if gaps else near)
+    spans = ledger.spans(state)
+    if spans is None:
+        write_by_hour(rows, path, rows_per_file)
     else:
-        stored = None
-    if stored is None:
-        return None
-    return stored.where(F.col("kafka_offset").between(low, high))
+        seen = Observation()
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        write_by_hour(counted.join(spans, inside(), "left_anti"), path, rows_per_file)
+    # From the files just written; of them only the columns that name an offset.
+    hours, own = ledger.of(number)
+    ranges, n_new = spans_of(own) if own else ([], 0)
+    if spans is not None:
+        # Without new rows the count may never have been made.
+        left = seen.get["n"] > n_new if n_new else not rows.isEmpty()
+        if left:
+            again = _missing(rows.join(spans, inside(), "left_semi"), ledger, state)
+            write_by_hour(again, path, rows_per_file)
+            hours, own = ledger.of(number)
+            # These lie inside intervals that are known.
+    ledger.confirm(number, ranges)
+    if table:
+        register(bronze.sparkSession, table, path, [(h, number) for h in hours])
+
+
+def _missing(rows: DataFrame, ledger: Ledger, state: dict) -> DataFrame:
+    """Those of ``rows`` that no confirmed commit holds.
+
+    A record has one event time, so a copy of it lies in the same hour.
+    """
+    places = rows.groupBy("event_hour").agg(F.min("kafka_offset"), F.max("kafka_offset"))
+    places = places.take(_MAX_LISTED_HOURS + 1)
+    if not places:
+        return rows
+    hour, offset = F.coalesce("event_hour", F.lit("")), F.col("kafka_offset")
+    near = offset.between(min(p[1] for p in places), max(p[2] for p in places))
+    if len(places) <= _MAX_LISTED_HOURS:
+        near = near & hour.isin([p[0] or "" for p in places])
+    stored = ledger.rows(state).where(near).select(*schemas.BRONZE_KEY, "event_hour")
+    return rows.join(stored.drop("event_hour"), schemas.BRONZE_KEY, "left_anti")
 
 
 def path_exists(spark, path: str) -> bool:

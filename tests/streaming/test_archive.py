@@ -1,3 +1,6 @@
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from riskstream import schemas
@@ -6,6 +9,7 @@ from riskstream.operators.hotkeys import detect, recent
 from riskstream.operators.quality import duplicates
 from riskstream.plans import inputs
 from riskstream.sources import tables
+from riskstream.sources.ledger import Ledger, merged_spans, spans_of
 from riskstream.streaming.archive import append_new, archive, write_batch
 from tests.streaming.helpers import ONCE, add_file, records, write_files
 
@@ -79,17 +83,111 @@ def test_a_heavy_hour_is_written_by_several_tasks(spark, sf, tmp_path):
     assert tables.read_archive(spark, path).count() == rows.count()
 
 
-def test_compaction_keeps_the_rows(spark, sf, tmp_path):
-    path, target = str(tmp_path / "a"), str(tmp_path / "b")
-    rows = inputs.bronze(spark, sf).where("kafka_offset < 200")
-    for batch in range(4):
+def n_files(df):
+    return df.select(F.input_file_name().alias("f")).distinct().count()
+
+
+def test_compaction_rewrites_closed_hours_and_loses_nothing(spark, sf, tmp_path):
+    path = str(tmp_path / "a")
+    rows = inputs.bronze(spark, sf).where("kafka_offset < 200").persist()
+    for batch in range(3):
         append_new(rows.where(f"kafka_offset % 4 = {batch}"), path, batch)
     before = tables.read_archive(spark, path)
-    n_files = before.select(F.input_file_name().alias("f")).distinct().count()
-    tables.compact(spark, path, target)
-    after = tables.read_archive(spark, target)
-    assert after.count() == 200 and after.exceptAll(before).count() == 0
-    assert after.select(F.input_file_name().alias("f")).distinct().count() < n_files
+    files, kept = n_files(before), sorted(map(str, before.collect()))
+    hours = sorted(r[0] for r in before.select("event_hour").where("event_hour is not null").distinct().collect())
+    middle = hours[len(hours) // 2]
+    done = tables.compact(spark, path, closed_before=middle)
+    assert all(h is None or h < middle for h in done) and middle not in done
+    after = tables.read_archive(spark, path)
+    assert sorted(map(str, after.collect())) == kept and n_files(after) < files
+    assert sorted(map(str, before.collect())) == kept  # a reader that began earlier
+    # As of an earlier batch, after more rows came.
+    append_new(rows, path, 3)
+    assert tables.read_archive(spark, path).count() == rows.count()
+    assert tables.read_archive(spark, path, batch_id=0).count() == rows.where("kafka_offset % 4 = 0").count()
+    assert tables.compact(spark, path, closed_before=middle) == done  # the last batch reached them too
+    assert tables.compact(spark, path, closed_before=middle) == []
+    gone = Ledger(spark, path).vacuum()
+    assert gone > 0 and Ledger(spark, path).vacuum() == 0
+    assert tables.read_archive(spark, path).count() == rows.count()
+
+
+def test_rows_appended_while_hours_are_compacted_stay(spark, sf, tmp_path):
+    path = str(tmp_path / "a")
+    rows = inputs.bronze(spark, sf).where("kafka_offset < 90").persist()
+    for batch in range(2):
+        append_new(rows.where(f"kafka_offset % 3 = {batch}"), path, batch)
+    ledger = Ledger(spark, path)
+    early, _ = ledger.reserve()  # a batch that is being written
+    compacted, state = ledger.reserve()
+    old = ledger.rows(state).withColumn("commit", F.lit(compacted).cast("bigint"))
+    append = rows.where("kafka_offset % 3 = 2").withColumns(
+        {"batch_id": F.lit(2).cast("bigint"), "event_hour": event_hour(F.col("event_time")),
+         "commit": F.lit(early).cast("bigint")}
+    )
+    tables.write_by_hour(append, path, 1000)
+    hours = [r[0] for r in old.select("event_hour").distinct().collect()]
+    tables.write_by_hour(old, path, 1000)
+    assert tables.read_archive(spark, path).count() == rows.where("kafka_offset % 3 < 2").count()
+    ledger.replace(compacted, hours, [early])
+    ledger.confirm(early, spans_of(append)[0])
+    assert tables.read_archive(spark, path).count() == rows.count()
+    assert duplicates(tables.read_archive(spark, path), schemas.BRONZE_KEY).count() == 0
+
+
+def test_what_a_dead_writer_left_is_not_seen_and_written_again(spark, sf, tmp_path):
+    path = str(tmp_path / "a")
+    rows = inputs.bronze(spark, sf).where("kafka_offset < 60").persist()
+    append_new(rows.where("kafka_offset < 20"), path, 0)
+    dead, _ = Ledger(spark, path).reserve()
+    part = rows.where("kafka_offset < 40").withColumns(
+        {"batch_id": F.lit(1).cast("bigint"), "event_hour": event_hour(F.col("event_time")),
+         "commit": F.lit(dead).cast("bigint")}
+    )
+    tables.write_by_hour(part, path, 1000)  # and dies before it is confirmed
+    assert tables.read_archive(spark, path).count() == 20
+    append_new(rows, path, 1)
+    assert tables.read_archive(spark, path).count() == 60
+    assert Ledger(spark, path).vacuum() > 0
+    assert tables.read_archive(spark, path).count() == 60
+
+
+def test_a_fresh_batch_reads_no_archived_row(spark, sf, tmp_path):
+    path = str(tmp_path / "a")
+    rows = inputs.bronze(spark, sf).persist()
+    for batch in range(3):
+        append_new(rows.where(f"kafka_offset between {batch * 100} and {batch * 100 + 99}"), path, batch)
+        # Files of earlier batches that cannot be read do no harm.
+        for file in glob.glob(f"{path}/commit={batch}/*/*.parquet"):
+            os.truncate(file, 3)
+    state = Ledger(spark, path).state()
+    partitions = rows.where("kafka_offset < 300").select("kafka_topic", "kafka_partition").distinct().count()
+    assert len(state["spans"]) <= 3 * partitions and state["next"] == 3 and state["hidden"] == []
+
+
+def test_spans_merge_and_too_many_are_joined_where_they_are_near(spark):
+    spans = [("t", 0, 5, 9), ("t", 0, 0, 4), ("t", 1, 3, 3), ("t", 0, 11, 12), ("t", 0, 8, 8)]
+    assert merged_spans(spans) == [("t", 0, 0, 9), ("t", 0, 11, 12), ("t", 1, 3, 3)]
+    many = merged_spans([("t", 0, 10 * i + i * i, 10 * i + i * i + 2) for i in range(20)], most=8)
+    assert len(many) == 8 and many[0][2] == 0 and many[-1][3] == 190 + 361 + 2
+    assert many[-1][2] == 190 + 361 and many[0][3] > 100
+    rows = spark.createDataFrame([("t", 0, o) for o in (1, 2, 7)] + [("t", 1, 4)],
+                                 "kafka_topic string, kafka_partition int, kafka_offset long")
+    found, n = spans_of(rows)
+    assert sorted(found) == [("t", 0, 1, 7), ("t", 1, 4, 4)] and n == 4
+
+
+def test_the_table_shows_hours_as_they_come_and_after_compaction(spark, sf, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "a")
+    write_files(feed(spark, sf), source, F.col("offset"), 3)
+    run(spark, source, path, str(tmp_path / "c"), table="seen_hours")
+    stored = tables.read_archive(spark, path)
+    assert spark.table("seen_hours").count() == stored.count() == 240
+    tables.compact(spark, path, table="seen_hours")
+    spark.catalog.refreshTable("seen_hours")
+    assert spark.table("seen_hours").count() == 240
+    shown = spark.table("seen_hours").groupBy("event_hour").count().collect()
+    assert sorted(map(str, shown)) == sorted(map(str, stored.groupBy("event_hour").count().collect()))
 
 
 def test_write_batch_replaces_an_earlier_try(spark, tmp_path):
@@ -111,17 +209,17 @@ def test_scan_over_the_archive(spark, sf, tmp_path):
     assert "3" in {r.key for r in detect(sample, none, 0.1).collect()}
 
 
-def test_a_batch_opens_only_its_own_hours(spark, sf, tmp_path):
+def test_a_batch_opens_only_its_own_files(spark, sf, tmp_path):
     path = str(tmp_path / "archive")
     rows = inputs.bronze(spark, sf).where("event_time is not null").persist()
     hours = [r[0] for r in rows.select(F.date_trunc("hour", "event_time")).distinct().take(2)]
     batch = rows.where(F.date_trunc("hour", "event_time") == hours[0])
-    other = tmp_path / "archive" / f"event_hour={hours[1]:%Y-%m-%d-%H}"
+    other = tmp_path / "archive" / "commit=77" / f"event_hour={hours[1]:%Y-%m-%d-%H}"
     other.mkdir(parents=True)
     (other / "part-0.parquet").write_bytes(b"not a table")
     for batch_id in (0, 1):
         append_new(batch, path, batch_id)
-    stored = spark.read.schema(schemas.ARCHIVE).parquet(f"{path}/event_hour={hours[0]:%Y-%m-%d-%H}")
+    stored = tables.read_archive(spark, path).where(F.col("event_hour") == f"{hours[0]:%Y-%m-%d-%H}")
     assert stored.count() == batch.count() > 0
 
 
