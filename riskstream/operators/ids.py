@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskstream.session import counted
+from riskstream.session import counted, written
 
 ROWS_PER_TASK = 1_000_000
-_MAX_RANGES = 4_096
-_SAMPLE_PER_RANGE = 20
 
 
 def dense_ids(
@@ -18,48 +16,22 @@ def dense_ids(
 ) -> DataFrame:
     """Number the rows of ``df``, which has one row per ``key``, in key order.
 
-    ``df`` is written once and counted meanwhile. A table one task can sort is numbered
-    directly; a longer one is cut into key ranges that are numbered side by side,
-    each starting after the rows of the ranges below it.
+    ``df`` is written once and counted meanwhile. It is then dealt by ranges of the key, about
+    ``rows_per_task`` rows each; ranges are numbered side by side, each starting after the rows of
+    the ranges below it.
     """
     table, rows = counted(df, "ids")
-    ranges = -(-rows // rows_per_task)
-    in_order = Window.orderBy(key)
-    if ranges <= 1:
-        return table.withColumn(out, F.row_number().over(in_order).cast("bigint") + (start - 1))
-
-    ranges = min(ranges, _MAX_RANGES)
-    ranged = table.withColumn("_range", _range_of(F.col(key), _cuts(table, key, rows, ranges)))
+    ranges = max(1, -(-rows // rows_per_task))
+    dealt = table.repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id())
+    # Written, so that a range keeps its rows whatever is computed again.
+    dealt = written(dealt, "id-ranges")
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range: at most _MAX_RANGES rows.
-    starts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range: as many as tasks that wrote them.
+    starts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key))
     return (
-        ranged.join(F.broadcast(starts), "_range")
+        dealt.join(F.broadcast(starts), "_range")
         .withColumn(out, (F.col("_below") + within + (start - 1)).cast("bigint"))
         .drop("_range", "_below")
     )
-
-
-def _cuts(table: DataFrame, key: str, rows: int, ranges: int) -> list:
-    """Range borders from a sample; any borders give the right ids, even ones balance the tasks."""
-    wanted = ranges * _SAMPLE_PER_RANGE
-    share = min(1.0, wanted / max(rows, 1))
-    sample = sorted(row[0] for row in table.select(key).sample(share, seed=7).take(2 * wanted))
-    step = max(len(sample) // ranges, 1)
-    return sample[step::step][: ranges - 1]
-
-
-def _range_of(key: Column, cuts: list) -> Column:
-    """Number of cuts at or below ``key``, as a balanced tree of comparisons."""
-
-    def branch(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < F.lit(cuts[middle]), branch(low, middle)).otherwise(
-            branch(middle + 1, high)
-        )
-
-    return branch(0, len(cuts))

@@ -94,73 +94,69 @@ def drift(
     ``n_mistyped``: a value that does not convert. Fields absent from the proposal are
     ignored, as removing a field is always allowed.
     """
-    named = {f.name: f.type for f in proposed}
-    kinds = F.create_map(*[F.lit(v) for pair in named.items() for v in pair])
-    entries = F.map_entries(F.from_json(F.col(value), "map<string,string>"))
-    kept = F.filter(entries, lambda e: e["key"].isin(list(named)))
-    # One nameless entry per record counts the records in the same pass.
-    record = F.array(F.struct(F.lit("").alias("key"), F.lit(None).cast("string").alias("value")))
-    known = F.concat(record, F.coalesce(kept, F.slice(record, 1, 0)))
+    text = F.col(value)
+    # Only fields that must be there, or must not be null, ask whether they are there.
+    strict = any(not (f.nullable and f.has_default) for f in proposed)
+    names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    read = bronze.where(text.isNotNull()).select(
+        F.col(version).alias("_version"),
+        F.from_json(text, T.StructType([T.StructField(f.name, T.StringType()) for f in proposed])).alias("_r"),
+        (names if strict else F.array().cast("array<string>")).alias("_names"),
+    )
+    # What is wrong with a record, by number of the field; nothing in most of them. One entry
+    # without a field counts the record in the same pass.
+    faults = F.filter(F.array(*[_fault(i, f) for i, f in enumerate(proposed)]), lambda x: x["fault"] > 0)
+    record = F.array(F.struct(F.lit(-1).alias("field"), F.lit(0).alias("fault")))
     found = (
-        bronze.select(
-            F.col(version).alias("_version"),
-            F.explode(F.when(F.col(value).isNotNull(), known)).alias("_e"),
-        )
-        .select(
-            "_version",
-            F.col("_e.key").alias("_field"),
-            _unwrapped(F.col("_e.value")).alias("_content"),
-            kinds[F.col("_e.key")].alias("_kind"),
-        )
-        .groupBy("_version", "_field")
-        .agg(
-            F.count(F.lit(1)).alias("_present"),
-            F.count_if(F.col("_content").isNull()).alias("_nulls"),
-            F.count_if(_mistyped(F.col("_content"), F.col("_kind"))).alias("_bad"),
-        )
+        read.select("_version", F.inline(F.concat(record, faults)))
+        .groupBy("_version", "field", "fault")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    literals = [
-        F.struct(
-            F.lit(f.name).alias("field"),
-            F.lit(f.nullable).alias("nullable"),
-            F.lit(f.has_default).alias("has_default"),
-        )
-        for f in proposed
-    ]
-    # One entry per proposed field and version.
-    counts = F.struct("_present", "_nulls", "_bad")
+    counts = F.struct(F.struct("field", "fault").alias("key"), F.col("_n").alias("value"))
     versions = found.groupBy(F.col("_version").alias("schema_version")).agg(
-        F.map_from_entries(F.collect_list(F.struct("_field", counts))).alias("_found")
+        F.map_from_entries(F.collect_list(counts)).alias("_found")
     )
-    n_rows = F.col("_found")[""]["_present"]
-    of_field = F.try_element_at(F.col("_found"), F.col("field"))
-    expected = versions.select(
-        "schema_version", n_rows.alias("n_rows"), "_found", F.explode(F.array(*literals)).alias("_f")
-    ).select("schema_version", "n_rows", "_f.*", "_found")
 
-    def counted_as(part: str) -> Column:
-        return F.coalesce(of_field[part], F.lit(0)).cast("bigint")
+    def counted_as(number: Column, fault: int) -> Column:
+        at = F.struct(number.alias("field"), F.lit(fault).alias("fault"))
+        return F.coalesce(F.try_element_at(F.col("_found"), at), F.lit(0)).cast("bigint")
 
-    zero = F.lit(0).cast("bigint")
-    counted = expected.select(
+    # One row per proposed field and version.
+    fields = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("field")) for i, f in enumerate(proposed)])
+    rows = versions.select("schema_version", "_found", F.inline(fields))
+    counted = rows.select(
         "schema_version",
         "field",
-        "n_rows",
-        F.when(F.col("has_default"), zero)
-        .otherwise(F.col("n_rows") - counted_as("_present"))
-        .alias("n_missing"),
-        F.when(F.col("nullable"), zero).otherwise(counted_as("_nulls")).alias("n_null"),
-        counted_as("_bad").alias("n_mistyped"),
+        counted_as(F.lit(-1), 0).alias("n_rows"),
+        counted_as(F.col("i"), _MISSING).alias("n_missing"),
+        counted_as(F.col("i"), _NULL).alias("n_null"),
+        counted_as(F.col("i"), _MISTYPED).alias("n_mistyped"),
     )
     broken = F.col("n_missing") + F.col("n_null") + F.col("n_mistyped")
     return counted.withColumn("readable", broken == 0)
 
 
-def _mistyped(content: Column, kind: Column) -> Column:
+_MISSING, _NULL, _MISTYPED = 1, 2, 3
+
+
+def _fault(number: int, field: ProposedField) -> Column:
+    """What is wrong with a field of a record; 0 for nothing."""
+    text = F.col(f"_r.`{field.name}`")
+    fault = F.when(_mistyped(_unwrapped(text), field.type), _MISTYPED)
+    there = F.array_contains("_names", field.name)
+    if not field.nullable:
+        fault = fault.when(text.isNull() & there, _NULL)
+    if not field.has_default:
+        fault = fault.when(text.isNull() & ~there, _MISSING)
+    return F.struct(F.lit(number).alias("field"), fault.otherwise(0).alias("fault"))
+
+
+def _mistyped(content: Column, kind: str) -> Column:
     # Patterns, because a failing cast costs many times a failing match.
-    bad_double = (kind == "double") & ~content.rlike(_NUMBER)
-    bad_long = (kind == "long") & ~content.rlike(_WHOLE)
-    return content.isNotNull() & (bad_double | bad_long)
+    patterns = {"double": _NUMBER, "long": _WHOLE}
+    if kind not in patterns:
+        return F.lit(False)
+    return content.isNotNull() & ~content.rlike(patterns[kind])
 
 
 def _unwrapped(text: Column) -> Column:

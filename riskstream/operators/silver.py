@@ -91,12 +91,95 @@ def parse_versions(
 
     Records without a version, or with one not listed, are read by ``default``. Fields a
     version lacks are null; ``valid`` is about the fields the record's own schema requires.
+
+    Every record is read where it stands: all versions are merged into one schema, and a field
+    counts in the records whose version has it. A field that changed its type is in one more schema
+    for each further type, which only records of those versions are read by.
     """
-    own = F.when(F.col(version).isin(list(versions)), F.col(version)).otherwise(F.lit(default))
-    parts = [
-        parse(bronze.where(own == name), schema, value) for name, schema in versions.items()
-    ]
-    return union_versions(*parts)
+    numbers = {name: i for i, name in enumerate(versions)}
+    known = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
+    own = F.coalesce(F.try_element_at(known, F.col(version)), F.lit(numbers[default]))
+    merged = _Merged(versions)
+    text = F.col(value)
+    wrapped = text.rlike(_WRAPPED)
+    read: dict[str, Column] = {}
+    for i, layer in enumerate(merged.layers):
+        mine = _among(F.col("_own"), merged.readers[i], len(versions))
+        plain = T.StructType([T.StructField(n, t) for n, t in layer.items()])
+        nullable = [n for n in layer if merged.nullable[i, n]]
+        boxed = T.StructType([T.StructField(n, _wrapped_type(layer[n])) for n in nullable])
+        read[f"_plain_{i}"] = F.when(mine, F.from_json(text, plain))
+        if nullable:
+            read[f"_boxed_{i}"] = F.when(mine & wrapped, F.from_json(text, boxed))
+    rows = bronze.withColumn("_own", own).withColumns(read)
+    fields = {name: merged.field(name, F.col("_own")) for name in merged.names}
+    typed = rows.select(
+        *[c for c in bronze.columns if c != value], "_own", *[c.alias(n) for n, c in fields.items()]
+    )
+    valid = F.lit(True)
+    for name, needed in merged.required.items():
+        there = F.col(f"`{name}`").isNotNull()
+        valid = valid & (~_among(F.col("_own"), needed, len(versions)) | there)
+    return typed.withColumn("valid", valid).drop("_own")
+
+
+class _Merged:
+    """All versions in one schema, or in a few where types disagree; versions by number."""
+
+    def __init__(self, versions: dict[str, T.StructType]) -> None:
+        self.n = len(versions)
+        self.layers: list[dict[str, T.DataType]] = []
+        #: versions that use a layer, that have a field there, and that may have it wrapped
+        self.readers: list[set[int]] = []
+        self.having: dict[tuple[int, str], set[int]] = {}
+        self.nullable: dict[tuple[int, str], set[int]] = {}
+        self.required: dict[str, set[int]] = {}
+        for number, schema in enumerate(versions.values()):
+            for field in schema.fields:
+                self._add(number, field)
+        self.names = list(dict.fromkeys(n for layer in self.layers for n in layer))
+
+    def _add(self, number: int, field: T.StructField) -> None:
+        name = field.name
+        for i, layer in enumerate(self.layers):
+            if layer.setdefault(name, field.dataType) == field.dataType:
+                break
+        else:
+            i = len(self.layers)
+            self.layers.append({name: field.dataType})
+            self.readers.append(set())
+        self.readers[i].add(number)
+        self.having.setdefault((i, name), set()).add(number)
+        may = self.nullable.setdefault((i, name), set())
+        if field.nullable:
+            may.add(number)
+        else:
+            self.required.setdefault(name, set()).add(number)
+
+    def field(self, name: str, own: Column) -> Column:
+        parts = []
+        for i, layer in enumerate(self.layers):
+            if name not in layer:
+                continue
+            plain = F.col(f"_plain_{i}.`{name}`")
+            value = plain
+            if may := self.nullable[i, name]:
+                kinds = _wrapped_type(layer[name]).names
+                boxed = F.coalesce(*[F.col(f"_boxed_{i}.`{name}`.{k}") for k in kinds], plain)
+                boxed = null_if_nan(boxed) if isinstance(layer[name], T.DoubleType) else boxed
+                everywhere = may >= self.having[i, name]
+                value = boxed if everywhere else F.when(_among(own, may, self.n), boxed).otherwise(plain)
+            having = self.having[i, name]
+            whole = having >= self.readers[i]
+            parts.append(value if whole else F.when(_among(own, having, self.n), value))
+        kinds = {layer[name] for layer in self.layers if name in layer}
+        if len(kinds) > 1 and T.StringType() in kinds:  # text and numbers meet as text
+            parts = [part.cast("string") for part in parts]
+        return F.coalesce(*parts)
+
+
+def _among(own: Column, numbers: set[int], n: int) -> Column:
+    return F.lit(True) if len(numbers) == n else own.isin(sorted(numbers))
 
 
 def union_versions(*versions: DataFrame) -> DataFrame:

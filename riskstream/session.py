@@ -64,6 +64,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(table: DataFrame) -> None:
+    """Delete the files of a table that :func:`written` made and that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """The written table and its number of rows, counted while it is written."""
     seen = Observation()

@@ -16,21 +16,18 @@ are never more than ``MOST_SPANS`` per topic partition, and one while offsets ri
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
+from riskstream.sources.versions import Versions
 
 NO_HOUR = "__HIVE_DEFAULT_PARTITION__"  # where Spark puts rows whose partition value is null
 MOST_SPANS = 100
-_KEPT_VERSIONS = 20
-_TRIES = 50
 STORED = T.StructType([*schemas.ARCHIVE.fields, T.StructField("commit", T.LongType())])
 _EMPTY = {"next": 0, "hidden": [], "spans": [], "bases": {}}
 
@@ -38,17 +35,10 @@ _EMPTY = {"next": 0, "hidden": [], "spans": [], "bases": {}}
 Span = tuple[str, int, int, int]
 
 
-class Ledger:
+class Ledger(Versions):
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-        self._folder = f"{self.path}/_ledger"
-
-    def exists(self) -> bool:
-        return self._version() is not None
-
-    def state(self) -> dict:
-        version = self._version()
-        return dict(_EMPTY) if version is None else json.loads(self._read(version))
+        self.archive = path.rstrip("/")
+        super().__init__(spark, f"{self.archive}/_ledger", _EMPTY)
 
     def reserve(self) -> tuple[int, dict]:
         """A new commit number, hidden until it is confirmed, and the state before it."""
@@ -57,7 +47,7 @@ class Ledger:
             n = state["next"]
             return state | {"next": n + 1, "hidden": [*state["hidden"], n]}
 
-        state = self._change(change)
+        state = self.change(change)
         return state["next"] - 1, state
 
     def confirm(self, number: int, spans: Iterable[Span]) -> None:
@@ -69,7 +59,7 @@ class Ledger:
             hidden = [n for n in state["hidden"] if n != number]
             return state | {"hidden": hidden, "spans": merged_spans(known + spans)}
 
-        self._change(change)
+        self.change(change)
 
     def replace(self, number: int, hours: list[str | None], running: list[int]) -> None:
         """Show a commit that holds all rows of ``hours`` but those of the commits ``running``."""
@@ -79,7 +69,7 @@ class Ledger:
             hidden = [n for n in state["hidden"] if n != number]
             return state | {"hidden": hidden, "bases": state["bases"] | bases}
 
-        self._change(change)
+        self.change(change)
 
     def visible(self, state: dict, hour: Column, commit: Column) -> Column:
         """Whether files of a commit count; decided on partition values, before any file is read."""
@@ -92,19 +82,19 @@ class Ledger:
     def rows(self, state: dict | None = None) -> DataFrame:
         """The rows of all confirmed commits, with their ``commit``."""
         state = state or self.state()
-        if not state["next"] or not self._fs(folder := self._path(self.path)).exists(folder):
+        if not state["next"] or not self.fs(folder := self.path(self.archive)).exists(folder):
             return self.spark.createDataFrame([], STORED)
-        stored = self.spark.read.schema(STORED).parquet(self.path)
+        stored = self.spark.read.schema(STORED).parquet(self.archive)
         return stored.where(self.visible(state, F.col("event_hour"), F.col("commit")))
 
     def of(self, number: int) -> tuple[list[str], DataFrame | None]:
         """The hours one commit wrote, and its rows, from its own folder."""
-        folder = self._path(f"{self.path}/commit={number}")
-        fs = self._fs(folder)
+        folder = self.path(f"{self.archive}/commit={number}")
+        fs = self.fs(folder)
         if not fs.exists(folder):
             return [], None
         names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        read = self.spark.read.schema(STORED).option("basePath", self.path)
+        read = self.spark.read.schema(STORED).option("basePath", self.archive)
         hours = sorted(n.split("=", 1)[1] for n in names if "=" in n)
         return hours, read.parquet(folder.toString())
 
@@ -116,13 +106,10 @@ class Ledger:
 
     def folders(self) -> list[tuple[str | None, int]]:
         """Hour and commit of every folder, confirmed or not."""
-        jvm_path = self._path(f"{self.path}/commit=*/event_hour=*")
-        found = self._fs(jvm_path).globStatus(jvm_path) or []
         result = []
-        for status in found:
-            commit, hour = status.getPath().toString().rsplit("/", 2)[1:]
-            hour = hour.split("=", 1)[1]
-            result.append((None if hour == NO_HOUR else hour, int(commit.split("=")[1])))
+        for name in self.names(f"{self.archive}/commit=*/event_hour=*"):
+            commit, hour = (part.split("=", 1)[1] for part in name.rsplit("/", 2)[1:])
+            result.append((None if hour == NO_HOUR else hour, int(commit)))
         return result
 
     def vacuum(self) -> int:
@@ -133,62 +120,16 @@ class Ledger:
         for hour, commit in self.folders():
             base, *others = bases.get(hour or "", [0])
             if commit in hidden or (commit < base and commit not in others):
-                folder = self._path(f"{self.path}/commit={commit}/event_hour={hour or NO_HOUR}")
-                self._fs(folder).delete(folder, True)
+                self.delete(f"{self.archive}/commit={commit}/event_hour={hour or NO_HOUR}")
                 gone += 1
 
         def change(now: dict) -> dict:
             rest = {h: b for h, b in now["bases"].items() if bases.get(h) != b}
             return now | {"hidden": [n for n in now["hidden"] if n not in hidden], "bases": rest}
 
-        self._change(change)
+        self.change(change)
         return gone
 
-    def _change(self, change: Callable[[dict], dict]) -> dict:
-        """Write the next version; another writer's version in between is taken in and tried again."""
-        for _ in range(_TRIES):
-            version = self._version()
-            state = change(self.state() if version is not None else dict(_EMPTY))
-            if self._write((version or 0) + 1, json.dumps(state)):
-                return state
-        raise RuntimeError(f"ledger of {self.path} is changed by too many writers")
-
-    def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _fs(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _version(self) -> int | None:
-        pattern = self._path(f"{self._folder}/v*.json")
-        names = [s.getPath().getName() for s in self._fs(pattern).globStatus(pattern) or []]
-        return max((int(n[1:-5]) for n in names), default=None)
-
-    def _file(self, version: int):
-        return self._path(f"{self._folder}/v{version}.json")
-
-    def _read(self, version: int) -> str:
-        file = self._file(version)
-        stream = self._fs(file).open(file)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def _write(self, version: int, text: str) -> bool:
-        file, draft = self._file(version), self._path(f"{self._folder}/.{uuid.uuid4().hex}")
-        fs = self._fs(file)
-        stream = fs.create(draft, True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        if fs.exists(file) or not fs.rename(draft, file):
-            fs.delete(draft, False)
-            return False
-        old = self._file(version - _KEPT_VERSIONS)
-        if fs.exists(old):
-            fs.delete(old, False)
-        return True
-
 
 def inside() -> Column:
     """Whether a row's offset lies in an interval of the ledger."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskstream.operators.joins import enrich
-from riskstream.session import written
+from riskstream.session import remove, written
 
 _LOG = logging.getLogger(__name__)
 
@@ -69,16 +69,38 @@ def enrich_stream(
 class RefreshingTable:
     """A lookup table re-read for every micro-batch; a failed read keeps the last good one.
 
-    What was read is copied to a folder of its own, a new one per refresh, so the last good
-    version stays readable when the source is overwritten, damaged or gone.
+    A version is named by its content, so what has not changed is not copied again, however many
+    batches pass. The last ``kept`` versions stay, for batches that are still at work; as each is
+    a copy, a source that is overwritten, damaged or gone does no harm.
     """
 
-    def __init__(self, read: Callable[[], DataFrame], empty: DataFrame):
-        self._read, self._current = read, empty
+    def __init__(self, read: Callable[[], DataFrame], empty: DataFrame, kept: int = 2):
+        self._read, self._current, self._kept = read, empty, kept
+        self._versions: list[tuple] = []
 
     def get(self) -> DataFrame:
         try:
-            self._current = written(self._read(), "lookup")
+            self._refresh()
         except Exception as error:  # noqa: BLE001 - whatever fails, the old table stays in use
             _LOG.warning("refresh failed, the last good table stays in use: %s", error)
         return self._current
+
+    def _refresh(self) -> None:
+        source = self._read()
+        content = _content(source)
+        if self._versions and self._versions[-1][0] == content:
+            return
+        copied = written(source, "lookup")
+        # The source may have changed while it was copied.
+        self._versions.append((_content(copied), copied))
+        self._current = copied
+        for _, old in self._versions[: -self._kept]:
+            remove(old)
+        del self._versions[: -self._kept]
+
+
+def _content(table: DataFrame) -> tuple:
+    """Columns, rows, and two sums of row hashes: equal for equal content in any order."""
+    hashes = [F.xxhash64(F.lit(seed), *table.columns).cast("decimal(20,0)") for seed in (1, 2)]
+    sums = table.agg(F.count(F.lit(1)), *[F.sum(h) for h in hashes]).first()
+    return (table.schema.json(), *sums)

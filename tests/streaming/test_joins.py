@@ -1,10 +1,14 @@
+import glob
+
+import pytest
 from pyspark.sql import functions as F
 
 from riskstream.functions.keys import salt_keys
 from riskstream.operators.joins import join_within
 from riskstream.plans import inputs
+from riskstream.session import shared_dir
 from riskstream.streaming.joins import RefreshingTable, enrich_stream, join_feeds
-from riskstream.streaming.publish import fold_latest, latest_per_key, publish, read_latest
+from riskstream.streaming.publish import LatestStore, latest_per_key, publish, read_latest
 from tests.streaming.helpers import ONCE, add_file, read_files, write_files
 
 
@@ -135,10 +139,77 @@ def test_history_and_latest_agree(spark, sf, tmp_path):
     expected = latest_per_key(stored)
     found = read_latest(spark, latest).select(*expected.columns)
     assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
-    target = str(tmp_path / "folded")
-    fold_latest(spark, latest, target, 1, "card1")
-    folded = read_latest(spark, target).select(*expected.columns)
-    assert folded.exceptAll(expected).count() == 0 and folded.count() == expected.count()
+    as_of = read_latest(spark, latest, batch_id=0, history=history)
+    assert as_of.count() == latest_per_key(spark.read.parquet(f"{history}/batch_id=0")).count()
+
+
+def batches_of(spark, n):
+    schema = "card1 long, us long, TransactionID long, v string"
+    for i in range(n):
+        rows = [(c, 100 * i + c % 3, 1000 * i + c, f"{i}-{c}") for c in range(i % 5, 40, 1 + i % 7)]
+        yield spark.createDataFrame([*rows, (None, i, i, "no card")], schema).coalesce(1)
+
+
+def test_the_latest_table_does_not_grow_with_batches(spark, tmp_path):
+    store = LatestStore(spark, str(tmp_path / "latest"), fan=3, levels=3, buckets=2)
+    every, most = None, 0
+    for batch in batches_of(spark, 20):
+        every = batch if every is None else every.union(batch)
+        store.add(batch)
+        runs = [run for level in store.state()["levels"] for run in level]
+        most = max(most, len(runs))
+        assert len(glob.glob(f"{tmp_path}/latest/run-*")) <= len(runs) + 3 * 3
+    assert most <= 2 + 2 + 1
+    assert len(store.read().inputFiles()) <= most * 2
+    found = store.read()
+    expected = latest_per_key(every)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select(*found.columns).collect()))
+    assert store.vacuum() == 0
+
+
+def test_a_fold_that_dies_changes_nothing_and_is_done_again(spark, tmp_path, monkeypatch):
+    store = LatestStore(spark, str(tmp_path / "latest"), fan=2, levels=3, buckets=2)
+    batches = list(batches_of(spark, 6))
+    for batch in batches[:3]:
+        store.add(batch)
+    before = store.state()
+
+    def die(*_):
+        raise OSError("the writer died")
+
+    for broken in ("change", "_write_run"):
+        monkeypatch.setattr(LatestStore, broken, die)
+        with pytest.raises(OSError):
+            store.add(batches[3])
+        monkeypatch.undo()
+        assert store.state() == before
+    assert store.read().count() == latest_per_key(batches[0].union(batches[1]).union(batches[2])).count()
+    for batch in batches[3:]:
+        store.add(batch)
+        store.add(batch)  # run again after the pointer had moved
+    every = batches[0]
+    for batch in batches[1:]:
+        every = every.union(batch)
+    found = store.read()
+    expected = latest_per_key(every).select(*found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert store.vacuum() > 0
+    assert found.count() == expected.count()
+
+
+def test_a_quiet_lookup_is_not_copied_again(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(5).write.parquet(path)
+    folders = f"{shared_dir(spark)}/riskstream/lookup-*"
+    before = set(glob.glob(folders))
+    table = RefreshingTable(lambda: spark.read.schema("id long").parquet(path), spark.range(0))
+    for _ in range(30):
+        assert table.get().count() == 5
+    assert len(set(glob.glob(folders)) - before) == 1
+    for n in range(6, 10):
+        spark.range(n).write.mode("overwrite").parquet(path)
+        assert table.get().count() == table.get().count() == n
+    assert len(set(glob.glob(folders)) - before) == 2
 
 
 def test_a_quiet_feed_publishes_nothing_and_goes_on(spark, sf, tmp_path):

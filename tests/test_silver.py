@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
@@ -116,3 +117,33 @@ def test_json_is_read_once_per_form(spark):
     df = spark.createDataFrame([("{}",)], "kafka_value string")
     plan = silver.parse(df, SCHEMA)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 2
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") + df._jdf.queryExecution(
+    ).optimizedPlan().toString().count("LogicalRDD")
+
+
+def test_versions_are_read_in_one_scan_whatever_their_number(spark):
+    def schema(n):
+        kind = [T.LongType(), T.DoubleType(), T.StringType()][n % 3]
+        return T.StructType(
+            [T.StructField("id", T.LongType(), False), T.StructField(f"f{n % 7}", T.DoubleType()),
+             T.StructField("changing", kind, n % 4 != 0)]
+        )
+
+    texts = ['{"id": %d, "f%d": 1.5, "changing": 7}' % (i, i % 7) for i in range(60)]
+    texts += ['{"id": %d, "f3": {"double": 2.5}, "changing": {"string": "x"}}' % i for i in range(60)]
+    texts += ['{"id": 1, "changing": 7.25}', '{"f1": 1}', "broken", None, '{"id": 5, "f2": "NaN", "changing": "t"}'] * 8
+    rows = [(str(i % 45) if i % 11 else None, t) for i, t in enumerate(texts)]
+    bronze = spark.createDataFrame(rows, "schema_version string, kafka_value string")
+    for n in (4, 40):
+        versions = {str(i): schema(i) for i in range(n)}
+        merged = silver.parse_versions(bronze, versions, "2")
+        assert _scans(merged) == 1
+        own = F.when(F.col("schema_version").isin(list(versions)), F.col("schema_version")).otherwise("2")
+        parts = [silver.parse(bronze.where(own == v), s) for v, s in versions.items()]
+        expected = silver.union_versions(*[p.withColumn("changing", F.col("changing").cast("string")) for p in parts])
+        columns = sorted(expected.columns)
+        found, wanted = (sorted(map(str, df.select(*columns).collect())) for df in (merged, expected))
+        assert found == wanted
