@@ -95,20 +95,27 @@ def drift(
     ignored, as removing a field is always allowed.
     """
     text = F.col(value)
-    # Only fields that must be there, or must not be null, ask whether they are there.
-    strict = any(not (f.nullable and f.has_default) for f in proposed)
-    names = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    # Whether a field is there is only asked of those that must be there, or must not be null.
+    strict = F.array(*[F.lit(f.name) for f in proposed if not (f.nullable and f.has_default)])
+    strict = strict.cast("array<string>")
+    there = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
     read = bronze.where(text.isNotNull()).select(
         F.col(version).alias("_version"),
         F.from_json(text, T.StructType([T.StructField(f.name, T.StringType()) for f in proposed])).alias("_r"),
-        (names if strict else F.array().cast("array<string>")).alias("_names"),
+        F.when(F.size(strict) > 0, F.array_except(strict, there)).alias("_absent"),
     )
     # What is wrong with a record, by number of the field; nothing in most of them. One entry
     # without a field counts the record in the same pass.
-    faults = F.filter(F.array(*[_fault(i, f) for i, f in enumerate(proposed)]), lambda x: x["fault"] > 0)
     record = F.array(F.struct(F.lit(-1).alias("field"), F.lit(0).alias("fault")))
+    faults = [record]
+    for fault, found in _faults(proposed).items():
+        if found:
+            faults.append(_listed(list(found), F.array(*found.values()), fault))
     found = (
-        read.select("_version", F.inline(F.concat(record, faults)))
+        read.select("_version", F.concat(*faults).alias("_faults"))
+        # Never empty; the outer form keeps Spark from testing that before the record is parsed,
+        # which would parse each field on its own.
+        .select("_version", F.inline_outer("_faults"))
         .groupBy("_version", "field", "fault")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -139,28 +146,36 @@ def drift(
 _MISSING, _NULL, _MISTYPED = 1, 2, 3
 
 
-def _fault(number: int, field: ProposedField) -> Column:
-    """What is wrong with a field of a record; 0 for nothing."""
-    text = F.col(f"_r.`{field.name}`")
-    fault = F.when(_mistyped(_unwrapped(text), field.type), _MISTYPED)
-    there = F.array_contains("_names", field.name)
-    if not field.nullable:
-        fault = fault.when(text.isNull() & there, _NULL)
-    if not field.has_default:
-        fault = fault.when(text.isNull() & ~there, _MISSING)
-    return F.struct(F.lit(number).alias("field"), fault.otherwise(0).alias("fault"))
+def _faults(proposed: list[ProposedField]) -> dict[int, dict[int, Column]]:
+    """Per fault and number of a field, whether a record has it; null counts as no."""
+    found: dict[int, dict[int, Column]] = {_MISSING: {}, _NULL: {}, _MISTYPED: {}}
+    for i, field in enumerate(proposed):
+        text = F.col(f"_r.`{field.name}`")
+        absent = F.array_contains("_absent", field.name)
+        if field.type in _PATTERNS:
+            # Patterns, because a failing cast costs many times a failing match.
+            found[_MISTYPED][i] = ~text.rlike(_PATTERNS[field.type])
+        if not field.nullable:
+            found[_NULL][i] = text.isNull() & ~absent
+        if not field.has_default:
+            found[_MISSING][i] = text.isNull() & absent
+    return found
+
+
+def _listed(numbers: list[int], flags: Column, fault: int) -> Column:
+    """The fields whose flag is set, each with the fault."""
+    at = F.array_compact(F.transform(flags, lambda flag, i: F.when(flag, i)))
+    named = F.array(*map(F.lit, numbers))
+    return F.transform(
+        at, lambda i: F.struct(F.get(named, i).alias("field"), F.lit(fault).alias("fault"))
+    )
 
 
-def _mistyped(content: Column, kind: str) -> Column:
-    # Patterns, because a failing cast costs many times a failing match.
-    patterns = {"double": _NUMBER, "long": _WHOLE}
-    if kind not in patterns:
-        return F.lit(False)
-    return content.isNotNull() & ~content.rlike(patterns[kind])
+def _wrapped_or_plain(pattern: str) -> str:
+    """The value as it is, or inside ``{"double": ...}``, there with or without quotes."""
+    value = pattern.removeprefix("^").removesuffix("$")
+    names = "|".join([*NUMBER_TYPES, "string"])
+    return rf'^(?:{value}|\{{"(?:{names})":"?{value}"?\}})$'
 
 
-def _unwrapped(text: Column) -> Column:
-    """The value inside ``{"double": ...}``, or the text itself."""
-    pattern = r'^\{"(?:' + "|".join(NUMBER_TYPES + ["string"]) + r')":"?(.*?)"?\}$'
-    inner = F.regexp_extract(text, pattern, 1)
-    return F.when(text.startswith("{"), F.coalesce(F.nullif(inner, F.lit("")), text)).otherwise(text)
+_PATTERNS = {"double": _wrapped_or_plain(_NUMBER), "long": _wrapped_or_plain(_WHOLE)}
