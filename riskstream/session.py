@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -52,6 +53,52 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+class Scratch:
+    """Tables that :func:`written` makes while this is open (``with``) belong to it.
+
+    ``remove`` deletes them once nothing reads them any more. What is left when it closes goes to
+    the one it was opened in, if any.
+    """
+
+    _open = threading.local()
+
+    def __init__(self) -> None:
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> Scratch:
+        self._stack().append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        stack = self._stack()
+        stack.remove(self)
+        if stack:
+            stack[-1]._paths += self._paths
+            self._paths = []
+
+    def remove(self, but: DataFrame | None = None) -> None:
+        """Delete the tables that ``but`` does not read."""
+        needed = but.inputFiles() if but is not None and self._paths else []
+        kept = []
+        for spark, path in self._paths:
+            if any(f"{path}/" in file for file in needed):
+                kept.append((spark, path))
+            else:
+                _delete(spark, path)
+        self._paths = kept
+
+    @classmethod
+    def _stack(cls) -> list[Scratch]:
+        if not hasattr(cls._open, "stack"):
+            cls._open.stack = []
+        return cls._open.stack
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
@@ -60,16 +107,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/riskstream/{name}-{uuid.uuid4().hex}"
+    for scratch in Scratch._stack()[-1:]:
+        scratch._paths.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(table: DataFrame) -> None:
     """Delete the files of a table that :func:`written` made and that nothing reads any more."""
-    spark = table.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(table.sparkSession, folder)
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:

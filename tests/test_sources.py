@@ -1,10 +1,11 @@
+import os
 import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskstream import schemas
-from riskstream.session import written
+from riskstream.session import Scratch, written
 from riskstream.sources import files, tables
 
 
@@ -58,3 +59,23 @@ def test_hour_limits_prune_partitions(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_hour" in text
     assert "event_hour#" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_scratch_removes_what_nothing_reads(spark):
+    def there(table):
+        return [f for f in table.inputFiles() if os.path.exists(f.removeprefix("file://"))]
+
+    with Scratch() as outer:
+        kept = written(spark.range(3), "kept")
+        with Scratch() as inner:
+            gone, used = written(spark.range(4), "gone"), written(spark.range(5), "used")
+            files = gone.inputFiles()
+            lazy = used.join(kept, "id")
+            inner.remove(but=lazy)
+            assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+        assert there(used) and lazy.count() == 3
+        outer.remove(but=kept)
+        assert not there(used) and kept.count() == 3
+    after = written(spark.range(2), "after")
+    outer.remove()
+    assert not there(kept) and there(after)
