@@ -44,7 +44,7 @@ from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
 from riskstream.llm.hashing import as_long, hashed, mix, slices, windows
-from riskstream.session import counted, written
+from riskstream.session import Scratch, counted, written
 
 SHINGLE = 4
 #: Two sets link when 100 x intersection >= PERCENT x union.
@@ -326,17 +326,24 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if not repeated.isEmpty():
         return _one_of_each_by_row(docs, size, percent)
-    found = written(similar(docs, size, percent).filter("n_shingles > 0"), "similar")
+    found = _found(docs, size, percent)
     doomed = found.filter("doc_id <> component_id").select("doc_id")
     left = docs.join(_stored(doomed, "doomed"), "doc_id", "left_anti")
     return left.select(*docs.columns)
 
 
+def _found(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The groups of ``docs`` with sets, written; what the search wrote on its way is deleted."""
+    with Scratch() as tables:
+        found = written(similar(docs, size, percent).filter("n_shingles > 0"), "similar")
+        tables.remove(but=found)
+    return found
+
+
 def _one_of_each_by_row(docs: DataFrame, size: int, percent: int) -> DataFrame:
     numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     rows = numbered.filter("doc_id is not null")
-    found = similar(rows.select(F.col("_row").alias("doc_id"), "text"), size, percent)
-    found = written(found.filter("n_shingles > 0"), "similar")
+    found = _found(rows.select(F.col("_row").alias("doc_id"), "text"), size, percent)
     linked = found.filter("doc_id <> component_id").select(
         F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
     )
