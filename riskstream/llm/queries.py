@@ -283,7 +283,7 @@ parts as (
   union all
   select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
 ranked as (
-  select *, row_number() over (partition by lang, source, part order by value desc, item::blob) as rank
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
   from parts)
 select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
 from ranked where part = 'pair' or rank <= 50
