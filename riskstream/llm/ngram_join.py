@@ -18,7 +18,7 @@ of rows and then across slices every set is paired with the smallest document of
 pairs are verified; (2) keys whose members are still in different components are searched for pairs
 between these: members are compared in blocks by size and by sketch (parity bits of the set, from
 which a least difference follows), each names the closest partners that are not ruled out, and the
-search is repeated for more partners until no member has any left. Pairs are verified exactly on the
+search is repeated for more partners where a member has any left. Pairs are verified exactly on the
 whole sets. A group of copies is thereby joined by a star, whatever its size, and only pairs that may
 link are emitted. Links within a component that is already joined are not verified again: the result
 is the components.
@@ -63,6 +63,8 @@ BLOCK = 4000
 CELLS = 500_000
 #: Partners a member of an open key names in the first search, and how many times more in each next.
 FIRST_PARTNERS, MORE_PARTNERS = 4, 16
+#: A pair of blocks of one group, compared in one task.
+PLACE = ["whole", "key", "i", "j"]
 #: Tables of ids up to this many rows (two or three numbers each) are broadcast.
 BROADCAST_ROWS = 250_000
 
@@ -378,14 +380,17 @@ def _join(
     most = FIRST_PARTNERS
     while True:
         found = written(_partners(groups, joined, percent, most), "partners")
-        new = found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        new = _stored(new, "pairs")
+        new = found.filter("a is not null").select("a", "b").distinct()
+        new = _stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():
             links = written(links.unionByName(verify(docs, new, size, percent)), "verified")
             joined = _stored(components(links), "components")
             tried = tried.unionByName(new)
-        if found.filter("more").isEmpty():
+        # Elsewhere all close pairs have been verified.
+        again = _stored(found.filter("a is null").select(*PLACE), "searched-again")
+        if again.isEmpty():
             return joined
+        groups = groups.join(again, PLACE, "left_semi")
         most *= MORE_PARTNERS
 
 
@@ -477,13 +482,15 @@ def _partners(groups: DataFrame, joined: DataFrame, percent: int, most: int) ->
 
     Every pair of blocks is compared in one task by size and sketch, which are enough to rule out
     almost all pairs that do not link. Of two members the one whose component has the larger number
-    names the other; each names the ``most`` closest; ``more`` tells that some member has others.
+    names the other; each names the ``most`` closest. A row without ``a`` is a place where some
+    member has more of them.
     """
-    place = ["whole", "key", "i", "j"]
     rows = groups.join(joined, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    rows = rows.repartition(*place).sortWithinPartitions(*place, "id")
-    rows = rows.select(*place, "block", "id", "c", "n", "sketch")
-    return rows.mapInArrow(_compare(percent, most), "a long, b long, more boolean")
+    rows = rows.repartition(*PLACE).sortWithinPartitions(*PLACE, "id")
+    rows = rows.select(*PLACE, "block", "id", "c", "n", "sketch")
+    return rows.mapInArrow(
+        _compare(percent, most), "a long, b long, whole boolean, key long, i int, j int"
+    )
 
 
 def _compare(percent: int, most: int):
@@ -497,7 +504,7 @@ def _compare(percent: int, most: int):
                 rows = pa.concat_tables([kept, rows]).combine_chunks()
             if not rows.num_rows:
                 continue
-            place = [rows.column(c).to_numpy() for c in ("whole", "key", "i", "j")]
+            place = [rows.column(c).to_numpy() for c in PLACE]
             group = np.stack([p.astype(np.int64) for p in place])
             starts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
             last = int(starts[-1]) if len(starts) else 0
@@ -510,7 +517,7 @@ def _compare(percent: int, most: int):
 
 
 def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa.RecordBatch:
-    pairs, more = [], False
+    pairs, more = [], []
     if rows.num_rows:
         ids, comps, sizes, own, i, j = (
             rows.column(c).to_numpy() for c in ("id", "c", "n", "block", "i", "j")
@@ -523,7 +530,7 @@ def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa
                 continue
             width = int((offsets[a + 1 : b + 1] - offsets[a:b]).min())
             bits = _folded(flat[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
-            two_blocks = i[a] != j[a]
+            two_blocks, others = i[a] != j[a], False
             for x in range(0, b - a, step := max(1, CELLS // ((b - a) * width))):
                 some = slice(a + x, min(a + x + step, b))
                 total = sizes[some, None] + sizes[None, a:b]
@@ -536,7 +543,7 @@ def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa
                 apart = np.bitwise_count(bits[x : x + step, None] ^ bits[None]).sum(2, np.int64)
                 near &= apart <= (100 - percent) * total // (100 + percent)
                 for k in np.flatnonzero(near.sum(1) > most).tolist():
-                    more = True
+                    others = True
                     y = np.flatnonzero(near[k])
                     near[k, y[np.lexsort((ids[a:b][y], apart[k, y]))[most:]]] = False
                 k, y = np.nonzero(near)
@@ -544,15 +551,14 @@ def _compared(rows: pa.Table, starts: np.ndarray, percent: int, most: int) -> pa
                 pairs += zip(
                     np.maximum(one, other).tolist(), np.minimum(one, other).tolist(), strict=True
                 )
+            if others:
+                more.append(tuple(rows.column(c)[int(a)].as_py() for c in PLACE))
     pairs = sorted(set(pairs))
-    flags = [more] * len(pairs)
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32())
+    lines = [(*p, None, None, None, None) for p in pairs] + [(None, None, *m) for m in more]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([p[0] for p in pairs], pa.int64()),
-            pa.array([p[1] for p in pairs], pa.int64()),
-            pa.array(flags, pa.bool_()),
-        ],
-        names=["a", "b", "more"],
+        [pa.array([x[k] for x in lines], kind) for k, kind in enumerate(kinds)],
+        names=["a", "b", *PLACE],
     )
 
 
