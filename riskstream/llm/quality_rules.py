@@ -1,19 +1,18 @@
-"""Quality rules whose cutoffs follow the data of each language and source within fixed bounds.
+"""Quality rules whose cutoffs are read from the data of each language and source.
 
 ``measure`` computes counts per document. ``sketches`` summarises each rate per (lang, source) as a
 histogram over fixed bins: sketches of parts merge by adding counts, so partial ones are combined
 before the shuffle, and a (lang, source) of any size costs as many rows as it has bins. ``cutoffs``
 reads quantiles from them, and ``judge`` joins the cutoffs to the documents.
 
-A cutoff is the group's upper quartile plus ``SPREAD`` times its quartile distance, at least the
-rule's slack: a document goes when it lies far outside its own group, not when it is in some last
-percent, so a group without junk loses nothing. A group with fewer than ``LEAST`` documents is
-judged by the merged sketch of its language, else by that of all documents; so is a group most of
-which fails (its quartile then says nothing about clean text): a cutoff is at most the rule's
-ceiling, which no clean text reaches.
-
-Slack and ceiling are fixed, in the query's SQL too. Where clean text has rates near zero, as in the
-given data, every fence lies below the slack, and the slack alone decides.
+A cutoff lies in the middle of a valley of the sketch: a stretch of rates that hardly any document
+has, above the median, wider than ``GAP`` and than all rates below it, with a minority of
+documents beyond it (at least ``BEYOND``, and one in a hundred). A long tail has no such valley, so
+a group without junk loses nothing, and no constant stands for a cutoff. Chance leaves gaps in small
+groups; hence the stretch must be thin in the merged sketch of the language too, and a language's in
+that of all documents. A group without a valley of its own, or with fewer than ``LEAST`` documents,
+is judged by its language, else by all documents; so is a group most of which lies beyond that
+cutoff, being junk itself. Where no sketch has a valley no document goes.
 
 Rates are whole numbers per thousand, rounded down; bins are one wide, so at most 1001 per rule.
 
@@ -34,32 +33,36 @@ from pyspark.sql.window import Window
 from riskstream.llm.text import SPACES, WORD, whole
 from riskstream.session import written
 
-SPREAD = 3
+#: Least width of a valley, per thousand.
+GAP = 40
+#: Documents beyond a valley, at least.
+BEYOND = 3
+#: Documents a sketch needs to be used.
 LEAST = 30
+#: Bins with less than this part of a sketch's documents do not end a valley.
+STRAY = 2000
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 class Rule(NamedTuple):
-    """A rate per thousand with the least and the highest cutoff it may get."""
+    """A rate per thousand."""
 
     part: Column
     of: Column
-    slack: int
-    ceiling: int
 
 
 def rules() -> dict[str, Rule]:
     words = F.col("n_words")
     return {
         # symbols per character of words
-        "symbols": Rule(F.col("n_symbols"), F.col("word_chars"), 60, 120),
+        "symbols": Rule(F.col("n_symbols"), F.col("word_chars")),
         # words in repeated three-word windows
-        "repeats": Rule(F.col("n_repeat_words"), words, 400, 500),
+        "repeats": Rule(F.col("n_repeat_words"), words),
         # repeated lines per ten words
-        "lines": Rule(10 * F.col("n_dup_lines"), words, 250, 500),
+        "lines": Rule(10 * F.col("n_dup_lines"), words),
         # characters in words without a lower-case letter
-        "shouting": Rule(F.col("_shouted"), F.col("word_chars"), 300, 500),
+        "shouting": Rule(F.col("_shouted"), F.col("word_chars")),
     }
 
 
@@ -168,40 +171,81 @@ def sketches(measured: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, by: list[str], name: str) -> DataFrame:
-    """One row per group and rule: documents and the two quartiles, from a merged sketch."""
+def _ranked(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """The merged sketch of each group: documents per bin, up to it, and in all."""
     merged = sketch.groupBy(*by, "rule", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "rule")
     running = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = merged.withColumns({"_up_to": running, "_all": F.sum("n").over(group)})
-    return ranked.groupBy(*by, "rule").agg(
-        F.sum("n").alias(f"{name}_n"),
-        F.min(F.when(4 * F.col("_up_to") >= F.col("_all"), F.col("bin"))).alias(f"{name}_q1"),
-        F.min(F.when(4 * F.col("_up_to") >= 3 * F.col("_all"), F.col("bin"))).alias(f"{name}_q3"),
+    return merged.withColumns({"up_to": running, "all": F.sum("n").over(group)})
+
+
+def _valleys(ranked: DataFrame, by: list[str], wider: DataFrame, wider_by: list[str]) -> DataFrame:
+    """One row per group and rule: ``n`` documents, their ``median`` rate, and ``cut``, the middle of
+    the lowest valley.
+
+    ``wider`` is the ranked sketch of more documents, in which the valley must be thin as well.
+    """
+    more = wider.select(
+        *(F.col(c).alias(f"_{c}") for c in [*wider_by, "rule", "bin"]),
+        F.col("up_to").alias("more_up_to"),
+        (F.col("up_to") - F.col("n")).alias("more_before"),
+        F.col("all").alias("more_all"),
     )
+    same = (F.col("rule") == F.col("_rule")) & (F.col("bin") == F.col("_bin"))
+    for c in wider_by:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    group = Window.partitionBy(*by, "rule")
+    usual = ranked.filter(STRAY * F.col("n") >= F.col("all")).join(more, same)
+    follow = group.orderBy("bin")
+    usual = usual.withColumns(
+        {
+            "first": F.min("bin").over(group),
+            "next": F.lead("bin").over(follow),
+            "more_next": F.lead("more_before").over(follow),
+        }
+    )
+    beyond = F.col("all") - F.col("up_to")
+    valley = (
+        (F.col("next") - F.col("bin") > F.greatest(F.lit(GAP), F.col("bin") - F.col("first")))
+        & (2 * F.col("up_to") > F.col("all"))
+        & (beyond >= BEYOND)
+        & (100 * beyond >= F.col("all"))
+        & (
+            10 * (F.col("more_next") - F.col("more_up_to"))
+            <= F.col("more_all") - F.col("more_up_to")
+        )
+    )
+    middle = F.floor((F.col("bin") + F.col("next")) / 2).cast("int")
+    return usual.groupBy(*by, "rule").agg(
+        F.max("all").alias("n"),
+        F.min(F.when(valley, middle)).alias("cut"),
+        F.min(F.when(2 * F.col("up_to") >= F.col("all"), F.col("bin"))).alias("median"),
+    )
+
+
+def _own(n: str, cut: str, median: str, wider: Column) -> Column:
+    """The group's cutoff; null where it has few documents or most fail by the wider sketch."""
+    return F.when((F.col(n) >= LEAST) & ~F.coalesce(F.col(median) > wider, F.lit(False)), F.col(cut))
 
 
 def cutoffs(sketch: DataFrame) -> DataFrame:
-    """``lang, source`` and one column per rule: the highest rate that passes."""
-    own = _quartiles(sketch, ["lang", "source"], "own")
-    lang = _quartiles(sketch, ["lang"], "lang").withColumnsRenamed({"lang": "_l", "rule": "_r"})
-    every = _quartiles(sketch, [], "every").withColumnRenamed("rule", "_every_rule")
+    """``lang, source`` and one column per rule: the highest rate that passes; null: any."""
+    own, lang, every = (_ranked(sketch, by) for by in (["lang", "source"], ["lang"], []))
+    own = _valleys(own, ["lang", "source"], lang, ["lang"])
+    lang = _valleys(lang, ["lang"], every, []).select(
+        F.col("lang").alias("_l"), F.col("rule").alias("_r"),
+        F.col("n").alias("lang_n"), F.col("cut").alias("lang_cut"), F.col("median").alias("lang_m"),
+    )
+    every = _valleys(every, [], every, []).select(
+        F.col("rule").alias("_every_rule"), F.col("cut").alias("every_cut")
+    )
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("rule") == F.col("_r")))
     joined = joined.join(every, F.col("rule") == F.col("_every_rule"))
-
-    def chosen(quantile: str) -> Column:
-        return (
-            F.when(F.col("own_n") >= LEAST, F.col(f"own_{quantile}"))
-            .when(F.col("lang_n") >= LEAST, F.col(f"lang_{quantile}"))
-            .otherwise(F.col(f"every_{quantile}"))
-        )
-
-    fence = chosen("q3") + SPREAD * (chosen("q3") - chosen("q1"))
-    columns = []
-    for name, rule in rules().items():
-        limit = F.greatest(F.lit(rule.slack), F.least(F.lit(rule.ceiling), fence))
-        columns.append(F.max(F.when(F.col("rule") == name, limit)).alias(f"_most_{name}"))
-    return joined.groupBy("lang", "source").agg(*columns)
+    wider = F.coalesce(_own("lang_n", "lang_cut", "lang_m", F.col("every_cut")), F.col("every_cut"))
+    limit = F.coalesce(_own("n", "cut", "median", wider), wider)
+    return joined.groupBy("lang", "source").agg(
+        *(F.max(F.when(F.col("rule") == name, limit)).alias(f"_most_{name}") for name in rules())
+    )
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -226,7 +270,7 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     failed = F.concat_ws(
         ",",
         *(
-            F.when(rate > F.coalesce(F.col(f"_most_{name}"), F.lit(rules()[name].ceiling)), name)
+            F.when(rate > F.col(f"_most_{name}"), name)
             for name, rate in _rates().items()
         ),
     )

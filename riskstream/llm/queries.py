@@ -184,34 +184,54 @@ rates as (
   unpivot (select row, lang, source, symbols, repeats, lines, shouting from judged
     where not base_failed)
   on symbols, repeats, lines, shouting into name rule value rate),
-own as (
-  select lang, source, rule, count(*) as n, quantile_disc(rate, 0.25) as q1,
-    quantile_disc(rate, 0.75) as q3 from rates group by all),
-by_lang as (
-  select lang, rule, count(*) as n, quantile_disc(rate, 0.25) as q1, quantile_disc(rate, 0.75) as q3
-  from rates group by all),
-every as (
-  select rule, quantile_disc(rate, 0.25) as q1, quantile_disc(rate, 0.75) as q3
-  from rates group by all),
+levels as (
+  select 'own' as level, lang, source, rule, rate from rates
+  union all select 'lang', lang, null, rule, rate from rates
+  union all select 'every', null, null, rule, rate from rates),
+bins as (
+  select level, lang, source, rule, rate, count(*) as n from levels group by all),
+ranked as (
+  select *, sum(n) over (partition by level, lang, source, rule order by rate) as up_to,
+    sum(n) over (partition by level, lang, source, rule) as total
+  from bins),
+usual as (
+  select a.*, b.up_to as more_up_to, b.total as more_total,
+    min(a.rate) over (partition by a.level, a.lang, a.source, a.rule) as low,
+    lead(a.rate) over (partition by a.level, a.lang, a.source, a.rule order by a.rate) as high,
+    lead(b.up_to - b.n) over (partition by a.level, a.lang, a.source, a.rule order by a.rate)
+      as more_high
+  from ranked a join ranked b on a.rule = b.rule and a.rate = b.rate
+    and case when a.level = 'own' then b.level = 'lang' and a.lang is not distinct from b.lang
+      else b.level = 'every' end
+  where 2000 * a.n >= a.total),
+cuts as (
+  select level, lang, source, rule, max(total) as n, min((rate + high) // 2) filter (
+    high - rate > greatest(40, rate - low) and 2 * up_to > total
+    and total - up_to >= 3 and 100 * (total - up_to) >= total
+    and 10 * (more_high - more_up_to) <= more_total - more_up_to) as cut,
+    min(rate) filter (2 * up_to >= total) as median
+  from usual group by all),
 chosen as (
-  select o.lang, o.source, o.rule,
-    case when o.n >= 30 then o.q1 when l.n >= 30 then l.q1 else e.q1 end as q1,
-    case when o.n >= 30 then o.q3 when l.n >= 30 then l.q3 else e.q3 end as q3
-  from own o join by_lang l on o.lang is not distinct from l.lang and o.rule = l.rule
-    join every e on o.rule = e.rule),
+  select o.lang, o.source, o.rule, coalesce(
+    case when l.n >= 30 and not coalesce(l.median > e.cut, false) then l.cut end, e.cut) as wider,
+    coalesce(case when o.n >= 30 and not coalesce(o.median > wider, false) then o.cut end, wider)
+      as most
+  from cuts o join cuts l on l.level = 'lang' and o.lang is not distinct from l.lang
+      and o.rule = l.rule
+    join cuts e on e.level = 'every' and o.rule = e.rule
+  where o.level = 'own'),
 limits as (
-  select lang, source,
-    max(greatest(60, least(120, 4 * q3 - 3 * q1))) filter (rule = 'symbols') as most_symbols,
-    max(greatest(400, least(500, 4 * q3 - 3 * q1))) filter (rule = 'repeats') as most_repeats,
-    max(greatest(250, least(500, 4 * q3 - 3 * q1))) filter (rule = 'lines') as most_lines,
-    max(greatest(300, least(500, 4 * q3 - 3 * q1))) filter (rule = 'shouting') as most_shouting
+  select lang, source, max(most) filter (rule = 'symbols') as most_symbols,
+    max(most) filter (rule = 'repeats') as most_repeats,
+    max(most) filter (rule = 'lines') as most_lines,
+    max(most) filter (rule = 'shouting') as most_shouting
   from chosen group by all),
 failed as (
   select j.*, concat_ws(',',
-    case when symbols > coalesce(most_symbols, 120) then 'symbols' end,
-    case when repeats > coalesce(most_repeats, 500) then 'repeats' end,
-    case when lines > coalesce(most_lines, 500) then 'lines' end,
-    case when shouting > coalesce(most_shouting, 500) then 'shouting' end) as failed_rules
+    case when symbols > most_symbols then 'symbols' end,
+    case when repeats > most_repeats then 'repeats' end,
+    case when lines > most_lines then 'lines' end,
+    case when shouting > most_shouting then 'shouting' end) as failed_rules
   from judged j left join limits m
     on j.lang is not distinct from m.lang and j.source is not distinct from m.source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -69,3 +69,42 @@ def test_sketches_merge(spark, sf):
     merged = parts[0].unionByName(parts[1]).unionByName(parts[2])
     first = quality_rules.cutoffs(whole).collect()
     assert sorted(map(str, quality_rules.cutoffs(merged).collect())) == sorted(map(str, first))
+
+
+def marked(i, marks, n=100):
+    """Prose of which ``marks`` words are single symbols."""
+    words = prose(i, n).split()
+    step = n // marks if marks else 1
+    return " ".join("#" if marks and k % step == 0 and k < marks * step else w for k, w in enumerate(words))
+
+
+def limits_of(df):
+    sketch = quality_rules.sketches(quality_rules.measure(df).drop("text"))
+    return {r["source"]: r for r in quality_rules.cutoffs(sketch).collect()}
+
+
+def test_groups_with_different_data_get_different_cutoffs(spark):
+    # "plain" has no symbols but for junk; "marks" has some in every text
+    plain = [prose(i) for i in range(100)] + [marked(i, 25) for i in range(5)]
+    marks = [marked(i, 1 + i % 10) for i in range(100)] + [marked(i, 50) for i in range(5)]
+    df = docs(spark, plain + marks, ["plain"] * 105 + ["marks"] * 105, ["en"] * 105 + ["de"] * 105)
+    limits = limits_of(df)
+    assert 0 < limits["plain"]["_most_symbols"] < limits["marks"]["_most_symbols"]
+    gone = {r["doc_id"] for r in check(df) if not r["kept"]}
+    assert gone == set(range(100, 105)) | set(range(205, 210))
+
+
+def test_a_long_tail_is_no_valley_and_loses_nothing(spark):
+    texts = [marked(i, int(40 * (i / 200) ** 4)) for i in range(200)]
+    df = docs(spark, texts)
+    assert limits_of(df)["s"]["_most_symbols"] is None
+    assert all(r["kept"] for r in check(df))
+
+
+def test_a_gap_by_chance_is_judged_by_the_language(spark):
+    # the tail of the language fills what a few texts of one source leave open
+    tail = [marked(i, i % 30) for i in range(300)]
+    few = [prose(i) for i in range(40)] + [marked(i, 24) for i in range(4)]
+    df = docs(spark, tail + few, ["tail"] * 300 + ["few"] * 44)
+    assert limits_of(df)["few"]["_most_symbols"] is None
+    assert all(r["kept"] for r in check(df))
