@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from riskstream.plans.inputs import Query, rounded, sql, sql_rounded
 from riskstream.session import shared_dir
 from riskstream.sources import files, tables
 from riskstream.sources.ledger import STORED
+from riskstream.sources.sketches import HourSketches
 from riskstream.streaming.archive import append_new
 
 
@@ -102,6 +104,21 @@ def archive_compaction(spark, folder):
     return stored.groupBy("event_hour").agg(F.count(F.lit(1)).alias("n"), keys.alias("n_keys"))
 
 
+def archive_time_quantiles(spark, folder):
+    """Event times by share of the rows: the sketches of the hours, then one scan of the archive."""
+    path = _new_path(spark, "archive")
+    rows = inputs.bronze(spark, folder)
+    append_new(rows.where("kafka_offset % 2 = 0"), path, 0)
+    sketches = HourSketches(spark, path)
+    sketches.refresh()
+    append_new(rows, path, 1)
+    tables.compact(spark, path, closed_before="1970-01-02-00")
+    shares = [0.01, 0.25, 0.5, 0.75, 0.99]
+    found = zip(shares, sketches.quantiles(shares, max_rows=500))
+    lines = [(share, None if at is None else math.floor(at + 0.5)) for share, at in found]
+    return spark.createDataFrame(lines, "share double, event_ms long")
+
+
 _HOUR_SQL = "strftime(make_timestamp(event_ms * 1000), '%Y-%m-%d-%H')"
 
 _PAYLOAD = T.StructType(
@@ -339,6 +356,16 @@ QUERIES = {
             "msgs",
         ),
     ),
+    "archive_time_quantiles": Query(
+        archive_time_quantiles,
+        sql(
+            """select cast(share as double) as share,
+              cast(floor(ms + 0.5) as bigint) as event_ms
+            from (select unnest([0.01, 0.25, 0.5, 0.75, 0.99]) as share,
+              unnest(quantile_cont(event_ms, [0.01, 0.25, 0.5, 0.75, 0.99])) as ms from msgs)""",
+            "msgs",
+        ),
+    ),
     "silver_parse": Query(silver_parse, sql(_SILVER_SQL, "msgs")),
     "mixed_version_read": Query(mixed_version_read, sql(_MIXED_SQL, "msgs")),
     "schema_profile": Query(schema_profile, sql(_profile_sql(), "tx", extra=_TEXT_SQL)),

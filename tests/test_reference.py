@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskstream.operators import ids, joins, reference
-from riskstream.operators.quantiles import exact_quantile
+from riskstream.operators.quantiles import exact_quantile, exact_quantiles, sketch_of
 
 TX = "TransactionID long, us long, card1 long, card4 string, ProductCD string, isFraud int"
 
@@ -82,6 +82,24 @@ def test_exact_quantile_of_one_repeated_value(spark):
     assert exact_quantile(df.where("false"), "v", 0.8) is None
 
 
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_quantiles_in_one_search_with_a_sketch_of_other_rows(spark, kind):
+    """Counts decide: a sketch that misses every rank costs time, not the result."""
+    df = spark.range(3_000).select((F.col("id") * 7 % 3_001).cast(kind).alias("v"))
+    shares = [0.0, 0.1, 0.1003, 0.5, 0.77, 1.0]
+    wanted = df.agg(F.percentile("v", F.array(*map(F.lit, shares)))).first()[0]
+    assert exact_quantiles(df, "v", shares, 20) == pytest.approx(wanted, abs=1e-9)
+    other = spark.range(50).select((F.col("id") + 2_000).cast(kind).alias("v"))
+    wrong = (3_000, sketch_of(other)[1])
+    assert exact_quantiles(df, "v", shares, 20, sketch=wrong) == pytest.approx(wanted, abs=1e-9)
+
+
+def test_nan_is_no_value_for_a_quantile(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (3.0,), (None,)], "v double")
+    assert exact_quantiles(df, "v", [0.5], 1) == [2.0]
+    assert exact_quantiles(df.where("isnan(v)"), "v", [0.5]) == [None]
+
+
 def test_orphans_come_last(spark):
     rows = tx(spark, [(1, 10, 7, "x", "W", 0)])
     identities = spark.createDataFrame([(2, "d2"), (1, "d1")], "TransactionID long, DeviceInfo string")
