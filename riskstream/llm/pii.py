@@ -5,11 +5,16 @@ method's own. Each candidate carries the votes of ``LABELERS`` (yes 1, no -1, si
 check digits, gazetteer, words before it, misleading words before it, and what it is glued to.
 
 ``reliabilities`` estimates by expectation-maximisation, from how often each pattern of votes
-occurs in all documents, how often each labeler says yes and no on true and on false spans, and
-the share of true spans per kind. ``train`` then fits the span classifier (naive Bayes over kind,
-length and votes) to the estimated probabilities of all spans, as soft labels. A round is one
-aggregate over the table of vote patterns, whose size is bounded by kinds x length classes x
-3^labelers; only the parameters reach the driver.
+occurs in all documents, how often each labeler says yes and no on true and on false spans of a
+kind, and the share of true spans per kind. The table of vote patterns has at most kinds x length classes x
+3^labelers rows, whatever the input, so it is fetched once and the rounds run in numpy.
+
+``train`` then fits the span classifier, a logistic regression, to the estimated probabilities as
+soft labels. It sees no votes but what the span is: its kind and length, its shape and the shape's
+trigrams, the words and characters around it, hashed to ``BUCKETS`` numbers; so it also tells apart
+spans on which the labelers agree. Equal spans are counted before they are fetched, and a kind with
+more than ``SAMPLE`` different ones is thinned to about that many by hash (a bound on training
+alone: votes are counted, and spans scored, over all rows).
 
 ``find`` returns base spans always, and spans of the other kinds if the classifier gives them at
 least ``LEAST`` and they touch no base span. All work on text is in built-in functions, row by row.
@@ -25,8 +30,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,18 +39,32 @@ from riskstream.session import written
 
 #: In the order of results.
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "phone_local", "ssn", "iban", "name", "card_like", "ip_like")
+KINDS = (
+    *BASE, "phone_local", "ssn", "iban", "name", "card_like", "ip_like", "email_spelled", "birth"
+)
 LABELERS = ("format", "check", "gazetteer", "context", "misleading", "border")
 LEAST = 0.5
 ROUNDS = 12
+#: Shares of the votes -1, 0, 1 on false and on true spans before anything is counted, and their weight.
+START = ((0.4, 0.1), (0.5, 0.5), (0.1, 0.4))
+TRUST = 4
+#: Numbers that features are hashed to, and different spans of a kind that the classifier learns from.
+BUCKETS = 8192
+SAMPLE = 4000
+STEPS = 300
 _LENGTHS = (8, 14, 18)
 
-#: Given names (fixed values).
+#: Given names that are frequent where the four languages are spoken (fixed values).
 GIVEN = (
-    "James John Robert Michael William David Richard Joseph Thomas Charles Mary Patricia Jennifer"
-    " Linda Elizabeth Barbara Susan Jessica Sarah Karen Hans Peter Wolfgang Klaus Jürgen Ursula"
-    " Petra Sabine Monika Renate Jean Pierre Michel Philippe Marie Nathalie Isabelle Sylvie Juan"
-    " José Antonio Manuel Carmen María Pilar Dolores"
+    "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel"
+    " Matthew Anthony Mark Steven Andrew Paul Joshua Kevin Brian George Edward Mary Patricia"
+    " Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa Margaret Sandra Ashley"
+    " Emily Donna Michelle Carol Amanda Melissa Laura Hans Peter Wolfgang Klaus Jürgen Dieter"
+    " Manfred Uwe Günter Horst Bernd Rainer Stefan Andreas Markus Matthias Ursula Petra Sabine"
+    " Monika Renate Karin Helga Brigitte Ingrid Gisela Heike Anja Katrin Jean Pierre Michel Philippe"
+    " Alain Bernard Nicolas Laurent Julien François Jacques Marie Nathalie Isabelle Sylvie Catherine"
+    " Françoise Monique Valérie Céline Juan José Antonio Manuel Francisco Javier Carlos Miguel"
+    " Alejandro Rafael Pedro Luis Carmen María Pilar Dolores Josefa Ana Cristina Lucía Marta Elena"
 ).split()
 #: Forms of address (fixed values).
 TITLES = "Mr Mrs Ms Dr Prof Herr Frau Señor Señora Sr Sra Monsieur Madame Mme Mlle".split()
@@ -58,6 +76,8 @@ CONTEXT = (
     " courriel correo contact kontakt contacto card visa karte carte tarjeta ip host address"
     " adresse dirección iban konto compte cuenta ssn social name nombre nom write reach"
 ).split()
+#: Words that announce a date of birth (fixed values).
+BIRTH = "born birth birthday birthdate dob geboren geburtstag geburtsdatum née né naissance nacido nacida nacimiento".split()
 #: Words that announce other numbers (fixed values).
 MISLEADING = (
     "version v release build order invoice isbn page chapter section figure table id no nr ref"
@@ -89,12 +109,21 @@ _PATTERNS = {
         rf"|(?:{'|'.join(GIVEN)}) \p{{Lu}}\p{{Ll}}++)",
         rf"(?:{'|'.join(TITLES + GIVEN)})\.? \p{{Lu}}",
     ),
+    "email_spelled": (
+        rf"(?<!{_W}){_W}++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++"
+        r"(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]++)++",
+        r"[\[(](?:at|AT)[\])]",
+    ),
+    "birth": (
+        r"(?<![0-9./-])[0-9]{1,2}([./-])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9])(?![./-][0-9])",
+        r"[./-](?:19|20)[0-9]{2}",
+    ),
 }
 
 _SPAN = (
     "array<struct<kind:int,start:int,end:int,length:int,"
     + ",".join(f"{name}:int" for name in LABELERS)
-    + ">>"
+    + ",features:array<int>>>"
 )
 
 
@@ -151,6 +180,10 @@ def _votes(kind: str, hit: Column, before: Column, after: Column) -> dict[str, C
         "name": F.rlike(hit, F.lit(rf"^(?:{'|'.join(TITLES)})\.? ")),
         "card_like": F.rlike(hit, F.lit(r"[ -]")),
         "ip_like": F.lit(False),
+        "email_spelled": F.rlike(hit, F.lit(r"(?:\.|[\])] ?)[A-Za-z]{2,}$")),
+        "birth": F.rlike(
+            hit, F.lit(r"^(?:0?[1-9]|[12][0-9]|3[01]).(?:0?[1-9]|[12][0-9]|3[01]).(?:19|200|201)")
+        ),
     }[kind]
     check = {
         "card": F.lit(1),
@@ -163,6 +196,7 @@ def _votes(kind: str, hit: Column, before: Column, after: Column) -> dict[str, C
     top = F.lower(F.regexp_extract(hit, r"([A-Za-z0-9-]+)$", 1))
     gazetteer = {
         "email": _vote(top.isin(DOMAINS), ~top.isin(DOMAINS)),
+        "email_spelled": _vote(top.isin(DOMAINS), ~top.isin(DOMAINS)),
         "name": _vote(F.rlike(hit, F.lit(rf"(?:{'|'.join(GIVEN)})(?!\p{{Ll}})"))),
         "phone": _vote(F.rlike(digits, F.lit("^(?:1|33|34|39|4[0-9]|7|8[16]|9[01])"))),
         "card": _vote(F.rlike(digits, F.lit("^(?:4|5[1-5]|3[47]|6011|2[2-7])"))),
@@ -171,16 +205,55 @@ def _votes(kind: str, hit: Column, before: Column, after: Column) -> dict[str, C
     glued = F.rlike(F.right(before, F.lit(1)), F.lit(r"[\p{L}\p{N}_]")) | F.rlike(
         F.left(after, F.lit(1)), F.lit(r"[\p{L}\p{N}_]")
     )
+    announced = _words_before(before, BIRTH if kind == "birth" else CONTEXT)
+    # A well-formed date says nothing: most are not of birth.
+    well_formed, apart = (F.lit(False),) * 2 if kind == "birth" else (strict, ~glued)
     return {
-        "format": _vote(strict, ~strict),
+        "format": _vote(well_formed, ~strict),
         "check": check,
         "gazetteer": gazetteer,
-        "context": _vote(_words_before(before, CONTEXT)),
+        # A date is personal only where something says so.
+        "context": _vote(announced, ~announced if kind == "birth" else None),
         "misleading": F.when(_words_before(before, MISLEADING), F.lit(-1)).otherwise(silent),
-        "border": _vote(~glued, glued),
+        "border": _vote(apart, glued),
     }
 
 
+def _features(kind: str, hit: Column, before: Column, after: Column, length: Column) -> Column:
+    """What the classifier sees of a span: hashed, distinct, in order."""
+    shape = hit
+    for run, sign in (("[0-9]", "9"), (r"\p{Lu}", "A"), (r"\p{Ll}", "a")):
+        shape = F.regexp_replace(shape, run, sign)
+    near, far = F.lower(F.right(before, F.lit(40))), F.lower(F.left(after, F.lit(40)))
+
+    def grams(shape: Column) -> Column:
+        signs = F.split(shape, "")
+        n = F.size(signs)
+        joined = F.transform(
+            F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
+            lambda i: F.concat_ws("", F.get(signs, i), F.get(signs, i + 1), F.get(signs, i + 2)),
+        )
+        return F.array_distinct(joined)
+
+    runs = F.regexp_replace(F.regexp_replace(shape, "9++", "9"), "a++", "a")
+    named = {
+        f"k {kind}": F.lit(""),
+        f"l {kind}": length.cast("string"),
+        f"s {kind}": runs,
+        "b": F.regexp_extract(near, r"(\p{L}++)[^\p{L}]*+$", 1),
+        "bb": F.regexp_extract(near, r"(\p{L}++)[^\p{L}]++\p{L}++[^\p{L}]*+$", 1),
+        "a": F.regexp_extract(far, r"^[^\p{L}]*+(\p{L}++)", 1),
+        f"cb {kind}": F.regexp_replace(F.right(before, F.lit(1)), r"[\p{L}\p{N}]", "x"),
+        f"ca {kind}": F.regexp_replace(F.left(after, F.lit(1)), r"[\p{L}\p{N}]", "x"),
+    }
+    texts = F.concat(
+        F.array(*(F.concat_ws(" ", F.lit(name), value) for name, value in named.items())),
+        F.transform(grams(shape), lambda g: F.concat(F.lit(f"t {kind} "), g)),
+    )
+    hashed = F.transform(texts, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"))
+    return F.sort_array(F.array_distinct(hashed))
+
+
 def _spans(text: Column, pattern: str, keep: dict[str, Column | object]) -> Column:
     """Spans of one pattern with their votes. ``keep`` gives, per kind, a test of the match."""
     pieces = F.split(text, pattern)
@@ -194,7 +267,8 @@ def _spans(text: Column, pattern: str, keep: dict[str, Column | object]) -> Colu
 
     def span(kind: str, x: Column, begin: Column) -> Column:
         n = F.length(x["hit"])
-        votes = _votes(kind, x["hit"], x["before"], F.coalesce(x["after"], F.lit("")))
+        after = F.coalesce(x["after"], F.lit(""))
+        votes = _votes(kind, x["hit"], x["before"], after)
         length = sum((F.when(n > bound, 1).otherwise(0) for bound in _LENGTHS), F.lit(0))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
@@ -202,6 +276,7 @@ def _spans(text: Column, pattern: str, keep: dict[str, Column | object]) -> Colu
             (begin + n).alias("end"),
             length.alias("length"),
             *(votes[name].cast("int").alias(name) for name in LABELERS),
+            _features(kind, x["hit"], x["before"], after, length).alias("features"),
         )
 
     def step(acc: Column, x: Column) -> Column:
@@ -241,6 +316,8 @@ def candidates(docs: DataFrame) -> DataFrame:
         "ssn": {"ssn": always},
         "iban": {"iban": n_digits(10, 32)},
         "name": {"name": always},
+        "email_spelled": {"email_spelled": always},
+        "birth": {"birth": always},
     }
     found = [
         F.when(F.rlike(text, F.lit(gate)), _spans(text, pattern, tests[name])).otherwise(
@@ -249,105 +326,127 @@ def candidates(docs: DataFrame) -> DataFrame:
         for name, (pattern, gate) in _PATTERNS.items()
     ]
     # One gate for all kinds: most texts hold neither digits nor a sign nor a title.
-    any_gate = F.rlike(text, F.lit("[0-9@]")) | F.rlike(text, F.lit(_PATTERNS["name"][1]))
+    any_gate = F.rlike(text, F.lit("[0-9@]"))
+    for kind in ("name", "email_spelled"):
+        any_gate = any_gate | F.rlike(text, F.lit(_PATTERNS[kind][1]))
     return docs.select("doc_id", whole("text").alias("_text")).select(
         "doc_id",
         F.when(any_gate, F.concat(*found)).otherwise(F.array().cast(_SPAN)).alias("spans"),
     )
 
 
-def patterns(found: DataFrame) -> DataFrame:
-    """How often each kind, length class and set of votes occurs; bounded, whatever the input."""
+def distinct_spans(found: DataFrame) -> DataFrame:
+    """How often each kind, length class, set of votes and set of features occurs."""
+    columns = ("kind", "length", *LABELERS, "features")
     return (
         found.select(F.explode("spans").alias("s"))
-        .groupBy("s.kind", "s.length", *(f"s.{name}" for name in LABELERS))
+        .groupBy(*(F.col(f"s.{name}").alias(name) for name in columns))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _log_odds(tables: dict[str, dict[int, tuple[float, float]]], prior: dict[int, float]) -> Column:
+def patterns(spans: DataFrame) -> DataFrame:
+    """How often each kind, length class and set of votes occurs; bounded, whatever the input."""
+    return spans.groupBy("kind", "length", *LABELERS).agg(F.sum("n").alias("n"))
+
+
+def _log_odds(kind, votes, speaks: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """Log odds of a true span: its kind's prior and one weight per labeler and vote."""
-    odds = _lookup(F.col("kind"), {k: math.log(p / (1 - p)) for k, p in prior.items()})
-    for name, votes in tables.items():
-        odds = odds + _lookup(
-            F.col(name), {v: math.log(yes / no) for v, (yes, no) in votes.items()}
-        )
-    return odds
-
-
-def _lookup(key: Column, values: dict[int, float]) -> Column:
-    case = F.lit(0.0)
-    for k, v in sorted(values.items()):
-        case = F.when(key == k, F.lit(float(v))).otherwise(case)
-    return case
-
-
-def _soft_counts(table: DataFrame, truth: Column, columns: dict[str, range]) -> dict:
-    """Weighted counts of each value of each column on true and on false spans, in one pass."""
-    n = F.col("n")
-    aggs = []
-    for name, values in columns.items():
-        for v in values:
-            here = F.when(F.col(name) == v, n).otherwise(0)
-            aggs += [
-                F.sum(here * F.col("_true")).alias(f"{name}:{v}:1"),
-                F.sum(here * (1 - F.col("_true"))).alias(f"{name}:{v}:0"),
-            ]
-    row = table.withColumn("_true", truth).agg(*aggs).first().asDict()
-    return {
-        name: {v: (row[f"{name}:{v}:1"] or 0.0, row[f"{name}:{v}:0"] or 0.0) for v in values}
-        for name, values in columns.items()
-    }
+    weights = np.log(speaks[..., 1] / speaks[..., 0])
+    said = weights[kind[:, None], np.arange(len(LABELERS)), votes + 1].sum(axis=1)
+    return np.log(prior[kind] / (1 - prior[kind])) + said
+
+
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+
+def _pattern(row) -> tuple[int, ...]:
+    return (row["kind"], row["length"], *(row[name] for name in LABELERS))
 
 
-def _shares(counts: dict[int, tuple[float, float]], smooth: float = 1.0) -> dict:
-    """Per value, its smoothed share among true and among false spans."""
-    total = [sum(c[i] for c in counts.values()) + smooth * len(counts) for i in (0, 1)]
-    return {v: ((c[0] + smooth) / total[0], (c[1] + smooth) / total[1]) for v, c in counts.items()}
+def _columns(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kind = np.array([r["kind"] for r in rows], dtype=np.int64)
+    votes = np.array([[r[name] for name in LABELERS] for r in rows], dtype=np.int64)
+    n = np.array([r["n"] for r in rows], dtype=np.float64)
+    return kind, votes.reshape(len(rows), len(LABELERS)), n
 
 
-def reliabilities(table: DataFrame, rounds: int = ROUNDS) -> tuple[dict, dict]:
-    """Per labeler and vote its shares on true and on false spans; per kind the share of true ones.
+def reliabilities(rows: list, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """From counted vote patterns: the share of each vote (-1, 0, 1) of each labeler on false and on
+    true spans, as an array by kind, labeler, vote, truth; and per kind the share of true spans.
 
-    The start takes a labeler that speaks to be right in four of five cases.
+    The start takes a labeler that speaks to be right in four of five cases; later rounds count this
+    as ``TRUST`` spans. Each kind has shares of its own: a labeler that cannot speak on one kind
+    would otherwise make its silence there look like a sign of truth.
     """
-    votes = range(-1, 2)
-    speaks = {name: {-1: (0.1, 0.4), 0: (0.5, 0.5), 1: (0.4, 0.1)} for name in LABELERS}
-    prior = {k: 0.5 for k in range(len(KINDS))}
-    columns = {**{name: votes for name in LABELERS}, "kind": range(len(KINDS))}
+    # In one order, so that reruns add up alike.
+    kind, votes, n = _columns(sorted(rows, key=_pattern))
+    start = np.tile(np.array(START), (len(KINDS), len(LABELERS), 1, 1))
+    speaks, prior = start, np.full(len(KINDS), 0.5)
     for _ in range(rounds):
-        truth = 1 / (1 + F.exp(-_log_odds(speaks, prior)))
-        counts = _soft_counts(table, truth, columns)
-        speaks = {name: _shares(counts[name]) for name in LABELERS}
-        prior = {k: (yes + 1) / (yes + no + 2) for k, (yes, no) in counts["kind"].items()}
+        true = _chance(_log_odds(kind, votes, speaks, prior))
+        counts = TRUST * start
+        for truth, weight in enumerate((n * (1 - true), n * true)):
+            for i in range(len(LABELERS)):
+                np.add.at(counts[:, i, :, truth], (kind, votes[:, i] + 1), weight)
+        speaks = counts / counts.sum(axis=2, keepdims=True)
+        yes, every = np.bincount(kind, n * true, len(KINDS)), np.bincount(kind, n, len(KINDS))
+        prior = (yes + 1) / (every + 2)
     return speaks, prior
 
 
-def train(table: DataFrame, speaks: dict, prior: dict) -> tuple[dict, dict]:
-    """The span classifier: naive Bayes on the estimated truth of every span."""
-    truth = 1 / (1 + F.exp(-_log_odds(speaks, prior)))
-    columns = {
-        **{name: range(-1, 2) for name in LABELERS},
-        "kind": range(len(KINDS)),
-        "length": range(len(_LENGTHS) + 1),
-    }
-    counts = _soft_counts(table, truth, columns)
-    weights = {name: _shares(counts[name]) for name in (*LABELERS, "length")}
-    return weights, {k: (yes + 1) / (yes + no + 2) for k, (yes, no) in counts["kind"].items()}
+def sample(spans: DataFrame, sizes: dict[int, int], bound: int = SAMPLE) -> list:
+    """Of each kind its different spans, thinned by hash to about ``bound``, with their weight."""
+    share = F.lit(1.0)
+    for kind, size in sizes.items():
+        if size > bound:
+            share = F.when(F.col("kind") == kind, bound / size).otherwise(share)
+    key = F.xxhash64("kind", "length", *LABELERS, "features")
+    drawn = F.pmod(key, F.lit(1 << 40)) < share * (1 << 40)
+    # Twice the bound is out of reach of the thinning; the limit states it.
+    kept = spans.where(drawn).withColumn("n", F.col("n") / share)
+    found = kept.limit(2 * bound * len(KINDS)).collect()
+    return sorted(found, key=lambda r: (r["features"], _pattern(r)))
+
+
+def train(rows: list, speaks: np.ndarray, prior: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Weights of the span classifier, the last one for what all spans share.
+
+    Logistic regression on the estimated truth of each span, by steps of fixed size scaled per
+    weight, with a small pull to zero. A kind counts the same however frequent it is.
+    """
+    weights = np.zeros(BUCKETS + 1)
+    if not rows:
+        return weights
+    kind, votes, n = _columns(rows)
+    true = _chance(_log_odds(kind, votes, speaks, prior))
+    share = n / np.bincount(kind, n, len(KINDS))[kind] / len(set(kind.tolist()))
+    owner = np.repeat(np.arange(len(rows)), [len(r["features"]) for r in rows])
+    feature = np.concatenate([np.array(r["features"], dtype=np.int64) for r in rows])
+    seen = np.zeros(BUCKETS + 1)
+    for _ in range(steps):
+        odds = weights[-1] + np.bincount(owner, weights[feature], len(rows))
+        off = share * (_chance(odds) - true)
+        slope = np.append(np.bincount(feature, off[owner], BUCKETS), off.sum()) + 1e-5 * weights
+        seen += slope**2
+        weights -= 0.1 * slope / np.sqrt(seen + 1e-8)
+    return weights
 
 
 def find(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``doc_id, base, added``: spans as (kind, start, end, score), each list by kind, then start."""
     found = written(candidates(docs), "pii-candidates")
-    table = written(patterns(found), "pii-patterns")
-    weights, prior = train(table, *reliabilities(table))
+    spans = written(distinct_spans(found), "pii-spans")
+    sizes = dict(spans.groupBy("kind").count().collect())
+    weights = train(sample(spans, sizes), *reliabilities(patterns(spans).collect()))
+    # One literal array, made once per plan.
+    table = F.split(F.lit(",".join(map(repr, weights.tolist()))), ",").cast("array<double>")
 
     def score(s: Column) -> Column:
-        odds = _lookup(s["kind"], {k: math.log(p / (1 - p)) for k, p in prior.items()})
-        for name, values in weights.items():
-            odds = odds + _lookup(
-                s[name], {v: math.log(yes / no) for v, (yes, no) in values.items()}
-            )
+        odds = F.aggregate(
+            s["features"], F.get(table, F.lit(BUCKETS)), lambda a, i: a + F.get(table, i)
+        )
         return 1 / (1 + F.exp(-odds))
 
     scored = found.withColumn(

@@ -1,7 +1,11 @@
 import collections
 import hashlib
+import math
+import random
 import re
 
+import pytest
+
 from riskstream.llm import pii
 from tests.llm.helpers import docs
 
@@ -69,12 +73,127 @@ def test_the_method_adds_spans_that_touch_no_base_span(spark):
     assert rows[7]["spans"] == ""
 
 
-def test_em_tells_reliable_labelers_from_noise(spark):
+def test_em_tells_reliable_labelers_from_noise():
     # context says yes on true spans alone; misleading says no on false ones alone
     rows = [(4, 0, 1, 0, 0, 1, 0, 1, 900), (4, 0, -1, 0, 0, 0, -1, -1, 800), (4, 0, 1, 0, 0, 0, 0, 1, 200)]
     names = ["kind", "length", *pii.LABELERS, "n"]
-    table = spark.createDataFrame(rows, names)
-    speaks, prior = pii.reliabilities(table)
-    assert speaks["context"][1][0] > 10 * speaks["context"][1][1]
-    assert speaks["misleading"][-1][1] > 10 * speaks["misleading"][-1][0]
+    speaks, prior = pii.reliabilities([dict(zip(names, row)) for row in rows])
+    context, misleading = pii.LABELERS.index("context"), pii.LABELERS.index("misleading")
+    assert speaks[4, context, 2, 1] > 10 * speaks[4, context, 2, 0]
+    assert speaks[4, misleading, 0, 0] > 10 * speaks[4, misleading, 0, 1]
     assert 0.5 < prior[4] < 0.65
+
+
+def plain_em(spans):
+    """The same rounds, span by span."""
+    start = {-1: (0.4, 0.1), 0: (0.5, 0.5), 1: (0.1, 0.4)}
+    kinds = range(len(pii.KINDS))
+    speaks = {(k, name): dict(start) for k in kinds for name in pii.LABELERS}
+    prior = dict.fromkeys(kinds, 0.5)
+    for _ in range(pii.ROUNDS):
+        counts = {key: {v: [4 * no, 4 * yes] for v, (no, yes) in start.items()} for key in speaks}
+        sizes = {k: [1.0, 2.0] for k in kinds}
+        for s in spans:
+            k = s["kind"]
+            yes, no = prior[k], 1 - prior[k]
+            for name in pii.LABELERS:
+                no, yes = no * speaks[k, name][s[name]][0], yes * speaks[k, name][s[name]][1]
+            true = yes / (yes + no)
+            for name in pii.LABELERS:
+                counts[k, name][s[name]][0] += 1 - true
+                counts[k, name][s[name]][1] += true
+            sizes[k][0] += true
+            sizes[k][1] += 1
+        for key, by_vote in counts.items():
+            total = [sum(c[i] for c in by_vote.values()) for i in (0, 1)]
+            speaks[key] = {v: (c[0] / total[0], c[1] / total[1]) for v, c in by_vote.items()}
+        prior = {k: yes / every for k, (yes, every) in sizes.items()}
+    return speaks, prior
+
+
+PLANTED = {
+    "phone_local": lambda r: f"({r.randint(200, 989)}) {r.randint(200, 999)}-{r.randint(1000, 9999)}",
+    "ssn": lambda r: f"{r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}",
+    "iban": lambda r: "DE" + f"{r.randint(10, 98)} " + " ".join(f"{r.randint(0, 9999):04}" for _ in range(4)) + " 12",
+    "name": lambda r: f"{r.choice(['Mr.', 'Frau', 'Señora', 'Mme'])} {r.choice(['Albers', 'Dupont', 'Garza', 'Wells'])}",
+    "email_spelled": lambda r: f"{r.choice(['ann', 'bob.k', 'c_d'])}{r.randint(1, 99)} [at] site{r.randint(1, 9)}.{r.choice(['com', 'de'])}",
+    "birth": lambda r: f"{r.randint(1, 28)}.{r.randint(1, 12)}.{r.randint(1940, 2005)}",
+}
+BEFORE = {
+    "phone_local": ["call", "telefon", "tel"], "ssn": ["ssn", "social"], "iban": ["iban", "konto"],
+    "name": ["contact", "write"], "email_spelled": ["mail", "contacto"], "birth": ["born", "geboren", "née"],
+}
+ALIKE = [
+    lambda r: f"order {r.randint(200, 989)}-{r.randint(200, 999)}-{r.randint(1000, 9999)}x",
+    lambda r: f"version {r.randint(300, 900)}.{r.randint(300, 900)}.1.{r.randint(1, 9)}",
+    lambda r: f"build {r.randint(10**12, 10**13 - 1)}",
+    lambda r: f"invoice 000-{r.randint(10, 99)}-0000",
+    lambda r: f"released {r.randint(1, 28)}.{r.randint(1, 12)}.{r.randint(1940, 2005)}",
+    lambda r: f"page {r.randint(1, 9)}-{r.randint(1, 9)}",
+]
+
+
+def planted(n=400):
+    """Texts of one finding or one look-alike each, with the true (kind, start, end) of each."""
+    r = random.Random(5)
+    words = "the of and under river letter market stone winter over".split()
+    texts, true = [], []
+    for i in range(n):
+        text = " ".join(r.choices(words, k=12)) + ". "
+        spans = set()
+        if i % 2:
+            kind = r.choice(sorted(PLANTED))
+            hit = PLANTED[kind](r)
+            text += r.choice(BEFORE[kind]) + " "
+            spans.add((kind, len(text), len(text) + len(hit)))
+            text += hit
+        else:
+            text += r.choice(ALIKE)(r)
+        texts.append(text + " " + " ".join(r.choices(words, k=8)))
+        true.append(spans)
+    return texts, true
+
+
+def test_added_spans_on_planted_data(spark):
+    texts, true = planted()
+    rows = pii.digests(pii.find(docs(spark, texts))).collect()
+    hits = wrong = 0
+    for row in rows:
+        found = {(k, int(a), int(b)) for k, a, b in (x.split(":") for x in row["spans"].split(",") if x)}
+        found = {x for x in found if x[0] not in pii.BASE}
+        hits += len(found & true[row["doc_id"]])
+        wrong += len(found - true[row["doc_id"]])
+    assert hits >= 0.9 * sum(map(len, true))
+    assert wrong <= 0.05 * hits
+
+
+def test_em_and_scores_against_plain_python(spark):
+    df = docs(spark, planted()[0])
+    found = pii.candidates(df)
+    flat = [s.asDict() for r in found.collect() for s in r["spans"]]
+    spans = pii.distinct_spans(found)
+    speaks, prior = pii.reliabilities(pii.patterns(spans).collect())
+    plain_speaks, plain_prior = plain_em(flat)
+    for i, name in enumerate(pii.LABELERS):
+        for v in (-1, 0, 1):
+            for k in range(len(pii.KINDS)):
+                assert list(speaks[k, i, v + 1]) == pytest.approx(plain_speaks[k, name][v], rel=1e-9)
+    assert list(prior) == pytest.approx([plain_prior[k] for k in range(len(pii.KINDS))], rel=1e-9)
+    weights = pii.train(pii.sample(spans, dict(spans.groupBy("kind").count().collect())), speaks, prior)
+    score = {
+        (s["kind"], s["start"], s["end"]): 1 / (1 + math.exp(-weights[-1] - sum(weights[f] for f in s["features"])))
+        for s in flat
+    }
+    for row in pii.find(df).collect():
+        for s in [*row["base"], *row["added"]]:
+            assert s["score"] == pytest.approx(score[s["kind"], s["start"], s["end"]], abs=1e-6)
+
+
+def test_training_thins_kinds_with_many_spans_and_keeps_the_others(spark):
+    spans = pii.distinct_spans(pii.candidates(docs(spark, planted()[0])))
+    sizes = dict(spans.groupBy("kind").count().collect())
+    rows = pii.sample(spans, sizes, bound=20)
+    drawn = collections.Counter(r["kind"] for r in rows)
+    for kind, size in sizes.items():
+        assert drawn[kind] == size if size <= 20 else 5 <= drawn[kind] <= 40
+    assert rows == pii.sample(spans.repartition(7), sizes, bound=20)
