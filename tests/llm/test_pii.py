@@ -170,7 +170,7 @@ def test_added_spans_on_planted_data(spark):
 def test_em_and_scores_against_plain_python(spark):
     df = docs(spark, planted()[0])
     found = pii.candidates(df)
-    flat = [s.asDict() for r in found.collect() for s in r["spans"]]
+    flat = [{"doc_id": r["doc_id"], **s.asDict()} for r in found.collect() for s in r["spans"]]
     spans = pii.distinct_spans(found)
     speaks, prior = pii.reliabilities(pii.patterns(spans).collect())
     plain_speaks, plain_prior = plain_em(flat)
@@ -181,12 +181,12 @@ def test_em_and_scores_against_plain_python(spark):
     assert list(prior) == pytest.approx([plain_prior[k] for k in range(len(pii.KINDS))], rel=1e-9)
     weights = pii.train(pii.sample(spans, dict(spans.groupBy("kind").count().collect())), speaks, prior)
     score = {
-        (s["kind"], s["start"], s["end"]): 1 / (1 + math.exp(-weights[-1] - sum(weights[f] for f in s["features"])))
+        (s["doc_id"], s["kind"], s["start"]): 1 / (1 + math.exp(-weights[-1] - sum(weights[f] for f in s["features"])))
         for s in flat
     }
     for row in pii.find(df).collect():
         for s in [*row["base"], *row["added"]]:
-            assert s["score"] == pytest.approx(score[s["kind"], s["start"], s["end"]], abs=1e-6)
+            assert s["score"] == pytest.approx(score[row["doc_id"], s["kind"], s["start"]], abs=1e-6)
 
 
 def test_training_thins_kinds_with_many_spans_and_keeps_the_others(spark):
