@@ -54,6 +54,7 @@ SAMPLE = 4000
 STEPS = 300
 _LENGTHS = (8, 14, 18)
 
+#: Titles and names begin with A-Z, which the pattern for names tests first.
 #: Given names that are frequent where the four languages are spoken (fixed values).
 GIVEN = (
     "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel"
@@ -105,9 +106,9 @@ _PATTERNS = {
         "[A-Z]{2}[0-9]{2}",
     ),
     "name": (
-        rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? \p{{Lu}}\p{{Ll}}++"
+        rf"(?=[A-Z])(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? \p{{Lu}}\p{{Ll}}++"
         rf"|(?:{'|'.join(GIVEN)}) \p{{Lu}}\p{{Ll}}++)",
-        rf"(?:{'|'.join(TITLES + GIVEN)})\.? \p{{Lu}}",
+        rf"(?=[A-Z])(?<!\p{{L}})(?:{'|'.join(TITLES + GIVEN)})\.? \p{{Lu}}",
     ),
     "email_spelled": (
         rf"(?<!{_W}){_W}++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++"
