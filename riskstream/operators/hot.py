@@ -8,6 +8,8 @@ travels through a table with one row per (key, slice).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,8 +18,14 @@ from riskstream.session import written
 
 MAX_ROWS_PER_TASK = 5_000_000
 _MAX_DRIVER_KEYS = 10_000
-# Quantiles kept per heavy key: a power of two, more when the heaviest key needs more slices.
-_LEAST_SLICES, _MOST_SLICES = 4_096, 1 << 24
+
+
+class Heavy(NamedTuple):
+    """Heavy keys (``_heavy``), their rows in all, and how many rows a slice holds at most."""
+
+    keys: DataFrame
+    rows: int
+    max_rows: int
 
 
 def small_or_written(df: DataFrame, name: str) -> DataFrame | None:
@@ -36,13 +44,8 @@ def small_or_written(df: DataFrame, name: str) -> DataFrame | None:
 
 def heavy_keys(
     df: DataFrame, key: str, time: str, max_rows: int = MAX_ROWS_PER_TASK
-) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, each with the times that cut its history.
-
-    The cuts are quantiles of the key's times, about two per ``max_rows`` rows, so a
-    burst gets as many slices as its rows need. They come from a mergeable sketch; any
-    cuts give the right result, even ones balance the tasks.
-    """
+) -> Heavy | None:
+    """Keys with more than ``max_rows`` rows, if there are any."""
     counted = (
         df.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_heavy"))
@@ -52,45 +55,38 @@ def heavy_keys(
     keys = small_or_written(counted, "heavy-keys")
     if keys is None:
         return None
-    heaviest = keys.agg(F.max("_n")).first()[0]
-    slices = _LEAST_SLICES
-    while slices * max_rows < 2 * heaviest and slices < _MOST_SLICES:
-        slices *= 2
-    # One constant instead of thousands keeps the plan small.
-    shares = F.lit(",".join(str(i / slices) for i in range(1, slices)))
-    quantiles = F.split(shares, ",").cast("array<double>")
-    every = F.greatest(F.floor(slices / (2 * F.ceil(F.col("_n") / max_rows))), F.lit(1))
-    cuts = (
-        df.join(keys, F.col(key) == F.col("_heavy"))
-        .groupBy("_heavy", "_n")
-        .agg(F.percentile_approx(time, quantiles, 10 * slices).alias("_all"))
-        .select("_heavy", F.filter("_all", lambda c, i: (i + 1) % every == 0).alias("_cuts"))
-    )
-    return small_or_written(cuts, "heavy-cuts")
+    return Heavy(keys.select("_heavy"), keys.agg(F.sum("_n")).first()[0], max_rows)
 
 
-def with_slice(df: DataFrame, key: str, time: str, heavy: DataFrame | None) -> DataFrame:
-    """Add ``_slice``: the time slice of a heavy key's row, null for every other row.
+def with_slice(df: DataFrame, key: str, time: str | list[str], heavy: Heavy | None) -> DataFrame:
+    """Add ``_slice``: the slice of a heavy key's row, rising with ``time``, null for other rows.
+
+    The rows of all heavy keys are dealt by ranges of (key, time) and sorted; every ``max_rows``
+    places in that order are a slice, so a burst gets as many slices as its rows need, and the
+    work does not depend on how many keys or slices there are. They are written, as ranges are
+    sampled and another evaluation might cut elsewhere. ``time`` may be a list of columns; rows
+    that are alike in all of them may lie in two slices.
 
     ``_alone`` separates rows without a key from each other.
     """
-    df = df.withColumn("_alone", spread_nulls(key, time))
+    order = [time] if isinstance(time, str) else time
+    df = df.withColumn("_alone", spread_nulls(key, order[0]))
     if heavy is None:
         return df.withColumn("_slice", F.lit(None).cast("bigint"))
-    # Number of cuts at or below the time, by halving steps.
-    steps = F.array(*[F.lit(_MOST_SLICES >> i) for i in range(1, _MOST_SLICES.bit_length())])
-    reached = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: at
-        + F.when(F.try_element_at("_cuts", at + step) <= F.col(time), step).otherwise(0),
+    spark, same = df.sparkSession, F.col(key) == F.col("_heavy")
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-heavy.rows // MAX_ROWS_PER_TASK)
     )
-    slice_ = F.when(F.col("_cuts").isNotNull(), reached).cast("bigint")
-    return (
-        df.join(heavy, F.col(key) == F.col("_heavy"), "left")
+    # The id is the task's number and the place in it, so no slice reaches into a second task.
+    slice_ = F.expr(f"monotonically_increasing_id() div {int(heavy.max_rows)}")
+    dealt = (
+        df.join(heavy.keys, same, "left_semi")
+        .repartitionByRange(tasks, key, *order)
+        .sortWithinPartitions(key, *order)
         .withColumn("_slice", slice_)
-        .drop("_heavy", "_cuts")
     )
+    light = df.join(heavy.keys, same, "left_anti").withColumn("_slice", F.lit(None).cast("bigint"))
+    return light.unionByName(written(dealt, "heavy-rows"))
 
 
 def spread_nulls(key: str, *by: str) -> Column:
@@ -103,7 +99,7 @@ def carry_previous(
     key: str,
     order: list[str],
     values: dict[str, Column],
-    heavy: DataFrame | None,
+    heavy: Heavy | None,
 ) -> DataFrame:
     """For each row, the last non-null of each value strictly before it in ``order``.
 
@@ -145,7 +141,7 @@ def carry_previous(
 
 
 def carry_next(
-    sliced: DataFrame, key: str, order: list[str], value: str, out: str, heavy: DataFrame | None
+    sliced: DataFrame, key: str, order: list[str], value: str, out: str, heavy: Heavy | None
 ) -> DataFrame:
     """For each row, ``value`` of the next row in ``order``; ``value`` itself is never null."""
     ahead = Window.partitionBy(key, "_slice", "_alone").orderBy(*order)

@@ -91,12 +91,13 @@ def change_history(
     rows = tx.where(F.col(key).isNotNull()).select(key, time, row_id, *attributes)
     heavy = heavy_keys(rows, key, time, max_rows)
     known = {f"_old_{a}": F.col(a) for a in attributes}
-    filled = carry_previous(with_slice(rows, key, time, heavy), key, [time, row_id], known, heavy)
+    order = [time, row_id]
+    filled = carry_previous(with_slice(rows, key, order, heavy), key, order, known, heavy)
     new = {f"_new_{a}": F.coalesce(F.col(a), F.col(f"_old_{a}")) for a in attributes}
     before = F.struct(*[F.col(f"_old_{a}").alias(a) for a in attributes])
     after = F.struct(*[F.col(f"_new_{a}").alias(a) for a in attributes])
     changes = filled.withColumns(new).where(~before.eqNullSafe(after))
-    return carry_next(changes, key, [time, row_id], time, "valid_to", heavy).select(
+    return carry_next(changes, key, order, time, "valid_to", heavy).select(
         key,
         *[F.col(f"_new_{a}").alias(a) for a in attributes],
         F.col(time).alias("valid_from"),

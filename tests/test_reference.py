@@ -143,3 +143,20 @@ def test_a_burst_is_cut_into_even_slices(spark):
     rows = sorted(sizes.collect(), key=lambda r: r._slice)
     assert len(rows) >= 10 and max(r.n for r in rows) <= 100
     assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
+
+
+def test_slices_of_many_heavy_keys_need_no_list_of_cuts(spark):
+    """Rows of one instant are cut as well, and what a heavy key costs beside its rows is one number."""
+    from riskstream.operators.hot import heavy_keys, with_slice
+
+    df = spark.range(3_000).select((F.col("id") % 30).alias("k"), F.lit(5).alias("t"), "id")
+    heavy = heavy_keys(df, "k", "t", max_rows=20)
+    assert heavy.rows == 3_000 and heavy.keys.count() == 30
+    assert [kind for _, kind in heavy.keys.dtypes] == ["bigint"]
+    sliced = with_slice(df, "k", ["t", "id"], heavy)
+    sizes = sliced.groupBy("k", "_slice").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
+    )
+    rows = sorted(sizes.collect(), key=lambda r: (r.k, r._slice))
+    assert sum(r.n for r in rows) == 3_000 and max(r.n for r in rows) <= 20
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]) if a.k == b.k)
