@@ -119,7 +119,7 @@ def as_of(
     # A version starts before an event at the same time; of versions, the shortest comes first.
     order = ["_t", "_side", "_end"]
     state = {"_state": F.col("_version")}
-    merged = carry_previous(with_slice(both, key, "_t", heavy), key, order, state, heavy)
+    merged = carry_previous(with_slice(both, key, order, heavy), key, order, state, heavy)
     current = F.coalesce(F.col("_state.valid_to"), F.lit(2**63 - 1)) > F.col("_t")
     return merged.where(F.col("_side") == 1).select(
         key,
