@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskstream.llm.components import components
-from riskstream.llm.hashing import as_long, hashed, mix, slices, windows
+from riskstream.llm.hashing import as_long, hashed, mix, runs_of, windows
 from riskstream.session import Scratch, counted, written
 
 SHINGLE = 4
@@ -197,13 +197,9 @@ def _index(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _texts(batch, "text")
-            for part in slices(texts):
-                yield _indexed(
-                    batch.column("doc_id").slice(part.start, part.stop - part.start),
-                    shingle_sets(texts[part], size),
-                    percent,
-                )
+            for part in runs_of(batch, "text"):
+                sets = shingle_sets(_texts(part, "text"), size)
+                yield _indexed(part.column("doc_id"), sets, percent)
 
     return run
 
@@ -256,13 +252,11 @@ def _sets(size: int, columns: tuple[str, ...]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = _texts(batch, "text")
-            for part in slices(texts):
-                n = part.stop - part.start
-                sets = [as_long(s) for s in shingle_sets(texts[part], size)]
+            for part in runs_of(batch, "text"):
+                sets = [as_long(s) for s in shingle_sets(_texts(part, "text"), size)]
                 elements = _long_lists(np.concatenate([_NO_KEYS, *sets]), [len(s) for s in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(part.start, n) for c in columns), elements],
+                    [*(part.column(c) for c in columns), elements],
                     names=[*columns, "elements"],
                 )
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskstream.llm.hashing import mix, windows
+from riskstream.llm.hashing import mix, runs_of, windows
 from riskstream.llm.text import whole
 from riskstream.session import written
 
@@ -246,7 +246,7 @@ def leaks(
 
     def scan(block: Block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for full in batches for part in runs_of(full, "text")):
                 ids = batch.column("doc_id").to_pylist()
                 found = list(block.matches(_bytes(batch, "text"), coverage))
                 columns = [[ids[f[0]] for f in found], *([f[k] for f in found] for k in range(1, 5))]
@@ -283,7 +283,7 @@ def without_leaks(
 
     def clean(block: Block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for full in batches for part in runs_of(full, "text")):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[f[0] for f in block.matches(_bytes(batch, "text"), coverage)]] = False
                 yield batch.filter(pa.array(keep))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from riskstream.llm import hashing
 
@@ -31,3 +32,14 @@ def test_windows():
     assert len(hashing.windows(words, 4)) == 7
     assert len(set(hashing.windows(np.array([1, 2, 1, 2, 1], np.uint64), 2).tolist())) == 2
     assert len(hashing.windows(words[:3], 4)) == 0
+
+
+def test_a_batch_is_handled_in_runs_of_bounded_text():
+    texts = ["x" * 400_000] * 7 + [None, ""] + ["y" * (3 * hashing.SLICE), "z"]
+    batch = pa.record_batch({"n": list(range(len(texts))), "text": texts})
+    runs = list(hashing.runs_of(batch, "text"))
+    assert [n for run in runs for n in run.column("n").to_pylist()] == batch.column("n").to_pylist()
+    assert [t for run in runs for t in run.column("text").to_pylist()] == texts
+    sizes = [sum(len(t or "") for t in run.column("text").to_pylist()) for run in runs]
+    assert all(run.num_rows == 1 or size <= hashing.SLICE for run, size in zip(runs, sizes))
+    assert len(runs) == 6 and not list(hashing.runs_of(batch.slice(0, 0), "text"))

@@ -3,6 +3,8 @@ import random
 import weakref
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from riskstream.llm import tiling
 from tests.llm.helpers import docs
@@ -111,3 +113,28 @@ def test_one_block_is_held_at_a_time(spark, sf, monkeypatch):
     assert sorted(tiling.leaks(df, items, words=300).collect()) == one
     assert tiling.without_leaks(df, items, words=300).count() == left
     assert len(most) > 6 and max(most) == 0
+
+
+def test_a_task_compares_a_bounded_run_of_texts_at_once():
+    """Spark's batches hold 10 000 rows whatever their texts; all numbers of one were held at once."""
+    seen = []
+
+    class Watched(tiling.Block):
+        def matches(self, texts, coverage):
+            seen.append(sum(len(t or b"") for t in texts))
+            return super().matches(texts, coverage)
+
+    class Local:
+        schema = None
+
+        def mapInArrow(self, run, schema):
+            return list(run(iter([batch])))
+
+    texts = ["some other words " * 20_000, moved()] * 8
+    batch = pa.record_batch({"doc_id": list(range(16)), "text": texts})
+    block = Watched([(1, ITEM.encode())], 5)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tiling, "each_block", lambda *_: iter([(block, True)]))
+        left = tiling.without_leaks(Local(), None)
+    assert [i for part in left for i in part.column("doc_id").to_pylist()] == list(range(0, 16, 2))
+    assert len(seen) > 1 and max(seen) <= 1 << 20
