@@ -42,6 +42,8 @@ STD_WINDOWS = ("24h",)
 RATIO_WINDOW = "24h"
 _ROW, _MARK, _TOTAL = 0, 1, 2
 _BATCH = 10_000
+#: Rows and marks of a cell, about; a task holds one cell in Python, a few hundred bytes an event.
+CELL_EVENTS = 500_000
 
 
 def rolling_features(
@@ -55,8 +57,9 @@ def rolling_features(
 ) -> DataFrame:
     """``tx`` plus rolling count, sum, mean, std, time since last and amount ratio.
 
-    ``time`` is epoch micros. ``cells`` is how many tasks the rows are dealt to, by default the
-    session's number of shuffle partitions; a task holds the rows of its cell.
+    ``time`` is epoch micros. ``cells`` is how many tasks the rows are dealt to at least, by default
+    the session's number of shuffle partitions. A task holds the events of its cell, so there are
+    more where a cell would get over ``CELL_EVENTS``.
     """
     dealt = deal(tx, key, time, amount, row_id, windows, cells)
     found = Borders.of(dealt)
@@ -154,6 +157,7 @@ def deal(
     """Rows, marks and cell totals (``_kind``), with the parts that each cell tells on its own."""
     spark = tx.sparkSession
     cells = cells or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = max(cells, -(-tx.count() * (len(windows) + 1) // CELL_EVENTS))
     placed = F.col(key).isNotNull() & F.col(time).isNotNull()
     kinds = F.when(placed, F.array(*map(F.lit, range(len(windows) + 1)))).otherwise(F.array(F.lit(0)))
     moves = F.array(F.lit(0).cast("bigint"), *(F.lit(s * MICROS).cast("bigint") for s in windows.values()))
@@ -192,6 +196,7 @@ def deal(
         held = [b for b in batches if b.num_rows]
         if held:
             cell = _Cell(pa.Table.from_batches(held), TaskContext.get().partitionId(), spans)
+            held.clear()  # the cell has copies
             yield from cell.told()
 
     return written(ordered.mapInArrow(run, schema), "rolling-cells")

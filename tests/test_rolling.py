@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from riskstream.operators import rolling
 from riskstream.operators.rolling import WINDOWS, feature_names, rolling_features
 
 SCHEMA = "TransactionID long, us long, card1 long, TransactionAmt double"
@@ -166,3 +167,20 @@ def test_rows_without_time_stay_and_have_no_features(spark):
         assert found[50].card1_txn_count_1h == 50
         for i in (500, 501):
             assert all(found[i][c] is None for c in feature_names())
+
+
+def test_cells_grow_in_number_and_not_in_size(spark, monkeypatch):
+    """However few cells are asked for, a task holds no more events than a cell may have."""
+    from riskstream.operators.rolling import deal
+
+    monkeypatch.setattr(rolling, "CELL_EVENTS", 600)
+    df = spark.range(2_000).selectExpr(
+        "id as TransactionID", f"id * 60 * {S} as us", "7L as card1", "double(id % 10) as TransactionAmt"
+    )
+    dealt = deal(df, "card1", "us", "TransactionAmt", "TransactionID", WINDOWS, 2)
+    sizes = collections.Counter(r["_cell"] for r in dealt.where("_kind = 0").select("_cell").collect())
+    assert sum(sizes.values()) == 2_000 and len(sizes) > 2 and max(sizes.values()) <= 600
+    got = {r.TransactionID: r for r in rolling_features(df, cells=2).collect()}
+    assert len(got) == 2_000
+    assert all(got[i].card1_txn_count_1h == (min(i, 60) or None) for i in range(2_000))
+    assert all(got[i].card1_txn_count_24h == (min(i, 1_440) or None) for i in range(2_000))
