@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskstream import schemas
 from riskstream.functions.headers import event_hour
 from riskstream.operators.bronze import to_bronze
+from riskstream.session import Scratch, counted
 from riskstream.sources.ledger import STORED, Ledger, inside, spans_of
 from riskstream.sources.tables import ROWS_PER_FILE, ensure_table, register, write_by_hour
 
@@ -75,8 +76,8 @@ def append_new(
         write_by_hour(rows, path, rows_per_file)
     else:
         seen = Observation()
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        write_by_hour(counted.join(spans, inside(), "left_anti"), path, rows_per_file)
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        write_by_hour(watched.join(spans, inside(), "left_anti"), path, rows_per_file)
     # From the files just written; of them only the columns that name an offset.
     hours, own = ledger.of(number)
     ranges, n_new = spans_of(own) if own else ([], 0)
@@ -84,19 +85,23 @@ def append_new(
         # Without new rows the count may never have been made.
         left = seen.get["n"] > n_new if n_new else not rows.isEmpty()
         if left:
-            again = _missing(rows.join(spans, inside(), "left_semi"), ledger, state)
-            write_by_hour(again, path, rows_per_file)
-            hours, own = ledger.of(number)
+            with Scratch() as made:
+                again = _missing(rows.join(spans, inside(), "left_semi"), ledger, state)
+                if again is not None:
+                    write_by_hour(again, path, rows_per_file)
+                    hours, own = ledger.of(number)
+                made.remove()
             # These lie inside intervals that are known.
     ledger.confirm(number, ranges)
     if table:
         register(bronze.sparkSession, table, path, [(h, number) for h in hours])
 
 
-def _missing(rows: DataFrame, ledger: Ledger, state: dict) -> DataFrame:
-    """Those of ``rows`` that no confirmed commit holds.
+def _missing(rows: DataFrame, ledger: Ledger, state: dict) -> DataFrame | None:
+    """Those of ``rows`` that no confirmed commit holds, or None if there are none.
 
-    A record has one event time, so a copy of it lies in the same hour.
+    A record has one event time, so a copy of it lies in the same hour. Offsets alone are compared
+    first, so a batch that was archived before is never shuffled or sorted with its payloads.
     """
     places = rows.groupBy("event_hour").agg(F.min("kafka_offset"), F.max("kafka_offset"))
     places = places.take(_MAX_LISTED_HOURS + 1)
@@ -107,7 +112,10 @@ def _missing(rows: DataFrame, ledger: Ledger, state: dict) -> DataFrame:
     if len(places) <= _MAX_LISTED_HOURS:
         near = near & hour.isin([p[0] or "" for p in places])
     stored = ledger.rows(state).where(near).select(*schemas.BRONZE_KEY, "event_hour")
-    return rows.join(stored.drop("event_hour"), schemas.BRONZE_KEY, "left_anti")
+    stored = stored.drop("event_hour")
+    lacked = rows.select(*schemas.BRONZE_KEY).join(stored, schemas.BRONZE_KEY, "left_anti")
+    lacked, n = counted(lacked, "archive-missing")
+    return rows.join(lacked, schemas.BRONZE_KEY, "left_semi") if n else None
 
 
 def path_exists(spark, path: str) -> bool:
