@@ -23,6 +23,9 @@ whole sets. A group of copies is thereby joined by a star, whatever its size, an
 link are emitted. Links within a component that is already joined are not verified again: the result
 is the components.
 
+On disk: the keys are made, shuffled and matched in ``TURNS`` turns, of which only the rows of shared
+keys stay; a search goes over its groups in turns that shuffle at most about ``SEARCH_ROWS`` rows a document.
+
 Defined cases: a null or blank text has no set and links with nothing; fewer than ``SHINGLE`` words
 make one shingle of the whole sequence; rows with equal ``doc_id`` are one node with several sets;
 a row without ``doc_id`` gets its set size, links with nothing and has no component; an empty
@@ -33,7 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -63,6 +66,10 @@ BLOCK = 4000
 CELLS = 500_000
 #: Partners a member of an open key names in the first search, and how many times more in each next.
 FIRST_PARTNERS, MORE_PARTNERS = 4, 16
+#: Turns in which the keys of the index are made, shuffled and matched, each with its share of them.
+TURNS = 2
+#: Rows for each document that a search shuffles at once; what is beyond goes into further turns.
+SEARCH_ROWS = 6
 #: Tables of ids up to this many rows (two or three numbers each) are broadcast.
 BROADCAST_ROWS = 250_000
 
@@ -192,19 +199,22 @@ _DOCUMENT, _HEAD, _MEMBER = 0, 1, 2
 _INDEX = "part long, a long, kind int, key long, b long, sketch array<long>"
 
 
-def _index(size: int, percent: int):
-    """Rows of the index, slice by slice: (document, set size) and (document, head) per key."""
+def _index(size: int, percent: int, turn: int):
+    """Rows of the index, slice by slice: (document, head) per key of this turn.
+
+    The first turn also has (document, set size).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in runs_of(batch, "text"):
                 sets = shingle_sets(_texts(part, "text"), size)
-                yield _indexed(part.column("doc_id"), sets, percent)
+                yield _indexed(part.column("doc_id"), sets, percent, turn)
 
     return run
 
 
-def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBatch:
+def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int, turn: int) -> pa.RecordBatch:
     named = ids.is_valid().to_numpy(zero_copy_only=False).tolist()
     keys = [
         as_long(keys_of(s, percent)) if len(s) and name else _NO_KEYS
@@ -212,6 +222,10 @@ def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBa
     ]
     key = np.concatenate([_NO_KEYS, *keys])
     owner = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), [len(k) for k in keys])
+    now = _turn_of(key) == turn
+    key, owner = key[now], owner[now]
+    if turn:
+        ids, sets = ids.slice(0, 0), []
     order = np.lexsort((owner, key))
     key, owner = key[order], owner[order]
     first = np.ones(len(key), bool)
@@ -228,11 +242,11 @@ def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBa
         [
             pa.array(np.concatenate([part, spread])),
             pa.concat_arrays([pa.array(owner, pa.int64()), ids.cast(pa.int64())]),
-            pa.array(np.concatenate([np.where(other, _MEMBER, _HEAD), [_DOCUMENT] * n]), pa.int32()),
-            pa.array(np.concatenate([key, spread]), mask=np.concatenate([~other, [True] * n])),
+            pa.array(np.concatenate([np.where(other, _MEMBER, _HEAD), np.full(n, _DOCUMENT)]), pa.int32()),
+            pa.array(np.concatenate([key, spread]), mask=np.concatenate([~other, np.ones(n, bool)])),
             pa.array(
                 np.concatenate([head, np.array([len(s) for s in sets], np.int64)]),
-                mask=np.concatenate([~other, [False] * n]),
+                mask=np.concatenate([~other, np.zeros(n, bool)]),
             ),
             pa.ListArray.from_arrays(
                 pa.array(offsets.astype(np.int32)),
@@ -247,6 +261,10 @@ def _indexed(ids: pa.Array, sets: list[np.ndarray], percent: int) -> pa.RecordBa
 _NO_KEYS = np.empty(0, np.int64)
 
 
+def _turn_of(key: np.ndarray) -> np.ndarray:
+    return (key.view(np.uint64) >> np.uint64(33)) % np.uint64(TURNS)
+
+
 def _sets(size: int, columns: tuple[str, ...]):
     """Rows of ``columns`` and ``text`` with the text replaced by its set."""
 
@@ -293,21 +311,34 @@ def verify(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per document."""
-    rows = docs.select("doc_id", "text").mapInArrow(_index(size, percent), _INDEX)
+    with Scratch() as tables:
+        turns = [_shared(docs, size, percent, turn) for turn in range(TURNS)]
+        index = turns[0].filter(F.col("kind") == _DOCUMENT).select(
+            F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sketch"
+        )
+        shared = reduce(DataFrame.unionByName, turns).filter(F.col("kind") != _DOCUMENT)
+        sizes, n = counted(index.drop("sketch"), "set-sizes")
+        shared = shared.select("key", "a", "b")
+        groups, *known = _linked(docs, index, shared, size, percent)
+        tables.remove(sizes, groups, *known)
+        joined = _searched(docs, groups, n, *known, size, percent)
+    return sizes.join(joined, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+    )
+
+
+def _shared(docs: DataFrame, size: int, percent: int, turn: int) -> DataFrame:
+    """Rows of the index of this turn, written: documents, and members of keys with their head.
+
+    A turn's keys are deleted but for the few that documents share before the next one begins.
+    """
+    rows = docs.select("doc_id", "text").mapInArrow(_index(size, percent, turn), _INDEX)
     # Of the heads of a key the smallest is the head of all; the others become its members.
     head = F.first("a").over(Window.partitionBy("kind", "part").orderBy("a"))
     rows = rows.withColumn("b", F.when(F.col("kind") == _HEAD, head).otherwise(F.col("b")))
     rows = rows.filter((F.col("kind") == _DOCUMENT) | (F.col("a") != F.col("b")))
     key = F.coalesce("key", "part").alias("key")
-    rows = written(rows.select("kind", key, "a", "b", "sketch"), "ngram-index")
-    index = rows.filter(F.col("kind") == _DOCUMENT).select(
-        F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "sketch"
-    )
-    shared = rows.filter(F.col("kind") != _DOCUMENT).select("key", "a", "b")
-    joined = _join(docs, index, shared, size, percent)
-    return index.join(joined, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-    )
+    return written(rows.select("kind", key, "a", "b", "sketch"), "ngram-index")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -355,10 +386,10 @@ def _one_of_each_by_row(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return numbered.join(doomed, "_row", "left_anti").select(*docs.columns)
 
 
-def _join(
+def _linked(
     docs: DataFrame, index: DataFrame, shared: DataFrame, size: int, percent: int
-) -> DataFrame:
-    """``id, component`` of all documents that link with another."""
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The groups to search, the links by way of heads, their components and the pairs tried."""
     known = index.filter("doc_id is not null and n_shingles > 0").select(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"
     )
@@ -368,10 +399,30 @@ def _join(
     joined = _stored(components(links), "components")
     family = components(pairs.filter(F.col("n") >= FAMILY).select("a", "b"))
     groups = _groups(_stored_open(shared, joined), _stored(family, "families"), known)
-
+    return groups, links, joined, tried
+
+
+def _searched(
+    docs: DataFrame,
+    groups: DataFrame,
+    n: int,
+    links: DataFrame,
+    joined: DataFrame,
+    tried: DataFrame,
+    size: int,
+    percent: int,
+) -> DataFrame:
+    """``id, component`` of all of the ``n`` documents that link with another."""
+    turns = 1 + int(groups.count() / (SEARCH_ROWS * max(n, 1)))
     most = FIRST_PARTNERS
     while True:
-        found = written(_partners(groups, joined, percent, most), "partners")
+        found = reduce(
+            DataFrame.unionByName,
+            [
+                written(_partners(_turn(groups, turn, turns), joined, percent, most), "partners")
+                for turn in range(turns)
+            ],
+        )
         new = found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         new = _stored(new, "pairs")
         if not new.isEmpty():
@@ -383,6 +434,11 @@ def _join(
         most *= MORE_PARTNERS
 
 
+def _turn(groups: DataFrame, turn: int, turns: int) -> DataFrame:
+    """Whole places, a share of all."""
+    return groups.filter(F.pmod(F.xxhash64("whole", "key", "i", "j"), F.lit(turns)) == turn)
+
+
 def _close(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Those of the stored ``pairs`` that may link by set size and sketch, larger id first."""
     left = known.join(pairs, F.col("id") == F.col("a")).select(

@@ -1,10 +1,14 @@
 import collections
 import random
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from riskstream.llm import ngram_join
 from riskstream.llm.components import components
+from riskstream.session import shared_dir
 from tests.llm.helpers import docs
 
 
@@ -136,6 +140,44 @@ def test_search_by_key_in_small_blocks_and_several_rounds(spark, monkeypatch):
     assert got(docs(spark, texts).repartition(5)) == brute(texts, list(range(60)))
 
 
+def test_index_and_search_in_turns(spark, monkeypatch):
+    """A turn of the index has about its share of the keys; many turns give the same components."""
+    texts = corpus(4, 50)
+    sets = ngram_join.shingle_sets([t.encode() for t in texts], 4)
+    ids = pa.array(range(len(texts)), pa.int64())
+    rows = [
+        ngram_join._indexed(ids, sets, 85, turn).filter(pc.field("kind") != ngram_join._DOCUMENT).num_rows
+        for turn in range(ngram_join.TURNS)
+    ]
+    assert sum(rows) == sum(len(ngram_join.keys_of(s, 85)) for s in sets)
+    assert ngram_join.TURNS > 1 and max(rows) < 1.2 * sum(rows) / ngram_join.TURNS
+
+    searched = []
+    of = ngram_join._turn
+    monkeypatch.setattr(ngram_join, "_turn", lambda *a: searched.append(a[1:]) or of(*a))
+    for name, value in (("SEARCH_ROWS", 1), ("FAMILY", 10**9)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert got(docs(spark, texts).repartition(5)) == brute(texts, list(range(len(texts))))
+    turns = searched[0][1]
+    assert turns > 1 and {turn for turn, _ in searched} == set(range(turns))
+
+
+def test_searches_begin_without_the_tables_of_the_index(spark, monkeypatch):
+    shared = Path(shared_dir(spark).removeprefix("file://")) / "riskstream"
+    seen = []
+    search = ngram_join._partners
+    before = {p.name for p in shared.glob("*")}
+
+    def partners(*args):
+        seen.extend({p.name.rpartition("-")[0] for p in shared.glob("*") if p.name not in before})
+        return search(*args)
+
+    monkeypatch.setattr(ngram_join, "_partners", partners)
+    texts = corpus(6)
+    assert got(docs(spark, texts)) == brute(texts, list(range(len(texts))))
+    assert "open-groups" in seen and not {"ngram-index", "open-rows", "open-members"} & set(seen)
+
+
 def test_sketches_never_rule_out_a_link():
     rng = np.random.default_rng(9)
     for n in (1, 5, 60, 390, 410, 1490, 1510, 6100):

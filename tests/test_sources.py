@@ -1,5 +1,8 @@
 import os
+import subprocess
+import sys
 import uuid
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,3 +82,31 @@ def test_scratch_removes_what_nothing_reads(spark):
     after = written(spark.range(2), "after")
     outer.remove()
     assert not there(kept) and there(after)
+
+
+def test_a_written_table_leaves_no_shuffle_files(tmp_path):
+    """In a session with a folder of its own, so that no other test's files are counted."""
+    code = """
+import pathlib, sys, time
+from riskstream.session import build_session, written
+folder = pathlib.Path(sys.argv[1])
+conf = {"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.sql.shuffle.partitions": "4",
+        "spark.local.dir": str(folder / "local"), "spark.checkpoint.dir": str(folder / "shared")}
+spark = build_session("shuffles", "local[2]", conf)
+name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+before = spark.conf.get(name)
+rows = written(spark.range(100_000).selectExpr("id % 5000 as k").groupBy("k").count(), "t")
+left = lambda: len([*(folder / "local").rglob("shuffle_*.data")])
+for _ in range(40):
+    if left():
+        time.sleep(0.25)
+print("LEFT", left(), spark.conf.get(name) == before, rows.count())
+spark.stop()
+"""
+    (tmp_path / "local").mkdir()
+    env = {k: v for k, v in os.environ.items() if k != "SPARK_LOCAL_DIRS"}
+    env["PYTHONPATH"] = str(Path(__file__).parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", code, str(tmp_path)], env=env, capture_output=True, text=True, timeout=120
+    )
+    assert "LEFT 0 True 5000" in done.stdout, done.stdout + done.stderr[-2000:]
