@@ -142,7 +142,9 @@ def test_search_by_key_in_small_blocks_and_several_rounds(spark, monkeypatch):
 
 def test_index_and_search_in_turns(spark, monkeypatch):
     """A turn of the index has about its share of the keys; many turns give the same components."""
-    texts = corpus(4, 50)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(edited(words, rng, rng.choice([0.005, 0.01, 0.02, 0.03]))) for _ in range(60)]
     sets = ngram_join.shingle_sets([t.encode() for t in texts], 4)
     ids = pa.array(range(len(texts)), pa.int64())
     rows = [
@@ -155,7 +157,7 @@ def test_index_and_search_in_turns(spark, monkeypatch):
     searched = []
     of = ngram_join._turn
     monkeypatch.setattr(ngram_join, "_turn", lambda *a: searched.append(a[1:]) or of(*a))
-    for name, value in (("SEARCH_ROWS", 1), ("FAMILY", 10**9)):
+    for name, value in (("SEARCH_ROWS", 2), ("FAMILY", 10**9)):
         monkeypatch.setattr(ngram_join, name, value)
     assert got(docs(spark, texts).repartition(5)) == brute(texts, list(range(len(texts))))
     turns = searched[0][1]
