@@ -14,6 +14,7 @@ from riskstream.sources.ledger import STORED, Ledger, inside, spans_of
 from riskstream.sources.tables import ROWS_PER_FILE, ensure_table, register, write_by_hour
 
 COMMIT_INTERVAL = "5 seconds"
+#: Hours of a batch up to which archived rows are read by a list of hours; beyond, by first and last hour.
 _MAX_LISTED_HOURS = 100
 
 
@@ -103,14 +104,18 @@ def _missing(rows: DataFrame, ledger: Ledger, state: dict) -> DataFrame | None:
     A record has one event time, so a copy of it lies in the same hour. Offsets alone are compared
     first, so a batch that was archived before is never shuffled or sorted with its payloads.
     """
-    places = rows.groupBy("event_hour").agg(F.min("kafka_offset"), F.max("kafka_offset"))
-    places = places.take(_MAX_LISTED_HOURS + 1)
+    # A row for each hour, as the batch has folders: the range of offsets is that of all of them.
+    offset = F.col("kafka_offset")
+    places = rows.groupBy("event_hour").agg(F.min(offset), F.max(offset)).collect()
     if not places:
         return rows
-    hour, offset = F.coalesce("event_hour", F.lit("")), F.col("kafka_offset")
     near = offset.between(min(p[1] for p in places), max(p[2] for p in places))
-    if len(places) <= _MAX_LISTED_HOURS:
-        near = near & hour.isin([p[0] or "" for p in places])
+    hour, named = F.col("event_hour"), [p[0] for p in places if p[0] is not None]
+    if len(named) <= _MAX_LISTED_HOURS:
+        own = hour.isin(named)
+    else:
+        own = hour.between(min(named), max(named))
+    near = near & (own if len(named) == len(places) else own | hour.isNull())
     stored = ledger.rows(state).where(near).select(*schemas.BRONZE_KEY, "event_hour")
     stored = stored.drop("event_hour")
     lacked = rows.select(*schemas.BRONZE_KEY).join(stored, schemas.BRONZE_KEY, "left_anti")

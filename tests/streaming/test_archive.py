@@ -83,6 +83,25 @@ def test_a_heavy_hour_is_written_by_several_tasks(spark, sf, tmp_path):
     assert tables.read_archive(spark, path).count() == rows.count()
 
 
+def test_a_replay_of_more_hours_than_are_listed_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "a")
+    hour = F.when(F.col("id") % 150 != 7, F.timestamp_seconds(F.col("id") * 3600))
+    rows = spark.range(300).select(
+        F.lit("k").alias("kafka_key"), F.lit("v").cast("binary").alias("kafka_value"),
+        F.lit("t").alias("kafka_topic"), F.lit(0).alias("kafka_partition"),
+        (299 - F.col("id")).alias("kafka_offset"), hour.alias("event_time"),
+        F.lit("2024-01-01").cast("timestamp").alias("ingest_time"),
+        *(F.lit("x").alias(c) for c in ("source_service", "run_id", "schema_version")),
+    )
+    rows = rows.select(*(F.col(f.name).cast(f.dataType) for f in schemas.BRONZE.fields))
+    append_new(rows.where("kafka_offset % 3 = 0 or kafka_offset > 290"), path, 0)
+    for batch in (1, 2):
+        append_new(rows, path, batch)
+        stored = tables.read_archive(spark, path)
+        assert stored.count() == 300 and duplicates(stored, schemas.BRONZE_KEY).count() == 0
+    assert tables.read_archive(spark, path, batch_id=0).count() == 106
+
+
 def n_files(df):
     return df.select(F.input_file_name().alias("f")).distinct().count()
 
