@@ -194,6 +194,72 @@ def test_sketches_never_rule_out_a_link():
             assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= 2 * (n - shared)
 
 
+def test_places_where_all_partners_were_named_are_not_searched_again(spark, monkeypatch):
+    few = {"FAMILY": 10**9, "FIRST_PARTNERS": 1, "MORE_PARTNERS": 3, "SEARCH_ROWS": 10**6}
+    for name, value in few.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    # No pair is tried by way of heads, so the searches find all links.
+    close = ngram_join._close
+    monkeypatch.setattr(ngram_join, "_close", lambda *a: close(*a).filter("false"))
+    searched = []
+    search = ngram_join._partners
+    monkeypatch.setattr(
+        ngram_join, "_partners", lambda rows, *a: searched.append(rows.count()) or search(rows, *a)
+    )
+    rng = random.Random(8)
+    texts = []
+    for n, many in ((60, 40), (200, 3), (300, 3), (400, 3)):
+        words = [f"{n}-{i}" for i in range(120)]
+        texts += [" ".join(edited(words, rng, 0.005)) for _ in range(many)]
+    assert got(docs(spark, texts)) == brute(texts, list(range(len(texts))))
+    assert len(searched) > 1 and all(later < searched[0] for later in searched[1:]), searched
+
+
+def test_comparisons_against_brute_force(monkeypatch):
+    """Small and large places, one block and two, sketches of several lengths, with pairs held back."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 1200).astype(np.uint64)
+    rows, expected = [], {}
+    for key, (m, size, blocks) in enumerate([(2, 50, 1), (30, 390, 1), (90, 390, 2), (250, 395, 1), (160, 300, 2), (1, 9, 1)]):
+        members = []
+        for _ in range(m):
+            n = int(size * rng.uniform(0.9, 1.1))
+            own = np.unique(np.concatenate([base[: int(n * rng.uniform(0.8, 1))], rng.integers(0, 2**63, n // 9).astype(np.uint64)]))
+            members.append((len(own), ngram_join.sketch_of(own), int(rng.integers(blocks)), int(rng.integers(m))))
+        for x, (n, sketch, block, c) in enumerate(members):
+            id_ = 1000 * key + x
+            rows.append((False, key, 0, blocks - 1, block, id_, 1000 * key + c, n, sketch.tolist(), key))
+            for y, (o, other, block_y, c_y) in enumerate(members[:x]):
+                width = min(len(v[1]) for v in members)
+                a, b = (np.bitwise_xor.reduce(v.reshape(-1, width)) for v in (sketch, other))
+                apart = int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+                if c == c_y or (blocks == 2 and block == block_y) or 100 * min(n, o) < 80 * max(n, o):
+                    continue
+                if apart <= 20 * (n + o) // 180:
+                    named, partner = (id_, 1000 * key + y) if c > c_y else (1000 * key + y, id_)
+                    expected.setdefault(key, {}).setdefault(named, []).append((apart, partner))
+    names = ["whole", "key", "i", "j", "block", "id", "c", "n", "sketch", "place"]
+    table = pa.table({name: list(column) for name, column in zip(names, zip(*rows, strict=True), strict=True)})
+    keys = np.array([r[1] for r in rows])
+    starts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    held = collections.Counter(keys.tolist())
+    assert len(expected) >= 4
+    for most, close in ((10**6, 10**6), (3, 10**6), (3, 50), (20, 50), (20, 10**6)):
+        monkeypatch.setattr(ngram_join, "CLOSE", close)
+        pairs, left = set(), set()
+        for batch in ngram_join._compared(table, starts, 80, most):
+            pairs |= set(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True))
+            left |= set(batch.column("place").drop_null().to_pylist())
+        want, open_ = set(), set()
+        for key, named in expected.items():
+            every = sum(len(v) for v in named.values()) <= most * held[key]
+            for one, partners in named.items():
+                chosen = sorted(partners) if every else sorted(partners)[:most]
+                want |= {(max(one, p), min(one, p)) for _, p in chosen}
+                open_ |= {key} if len(chosen) < len(partners) else set()
+        assert pairs == want and left == open_
+
+
 def test_rows_with_a_repeated_id_go_only_as_copies(spark):
     same = "one two three four five six seven eight nine ten"
     other, third, fourth = (" ".join(f"{w}{i}" for i in range(12)) for w in "abc")
